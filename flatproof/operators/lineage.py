@@ -66,19 +66,17 @@ def error_counts(owners: DataFrame, rows: DataFrame, key: str, is_error: Column,
     return owners.join(counted, key, "left").withColumn(name, F.coalesce(name, F.lit(0)))
 
 
-def latest_by_prefix(names: DataFrame, log: DataFrame, name_col: str = "name", max_prefix: int = 64) -> DataFrame:
+def latest_by_prefix(names: DataFrame, log: DataFrame, name_col: str = "name") -> DataFrame:
     """For each name the highest log id whose original or new file name begins with it, else 0.
 
-    The test is made an equi-join: a log name is found under each of its beginnings that has the
-    length of some wanted name.
+    The test is made an equi-join: a log name is listed under each of its beginnings (names are
+    short), and only the wanted beginnings go on.
     """
     wanted = names.select(F.col(name_col).alias("_name")).where(~T.is_blank(F.col("_name"))).distinct()
-    sizes = wanted.select(F.length("_name").alias("_size")).distinct()
-    # The sizes are a handful of small numbers, so the join repeats a log row only a few times.
     entries = log.select("file_log_id", F.explode(F.array("original_file_name", "new_file_name")).alias("_file"))
-    cut = entries.join(sizes, sizes["_size"] <= F.length("_file")).withColumn(
-        "_name", F.left(F.col("_file"), F.col("_size"))
-    )
+    entries = entries.where(F.length("_file") > 0)
+    beginnings = F.transform(F.sequence(F.lit(1), F.length("_file")), lambda n: F.left(F.col("_file"), n))
+    cut = entries.select("file_log_id", F.explode(beginnings).alias("_name"))
     best = cut.join(wanted, "_name", "left_semi").groupBy("_name").agg(F.max("file_log_id").alias("file_log_id"))
     joined = names.join(best, names[name_col] == best["_name"], "left").drop("_name")
     return joined.withColumn("file_log_id", F.coalesce("file_log_id", F.lit(0)))

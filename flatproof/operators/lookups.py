@@ -11,13 +11,13 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NullType
 
 from ..functions import text as T
 from ..functions import values as V
 from .rules import add_error, error, has_error
 
 ANY_PLAN = "*"
-MASTER_ORDER = -1
 
 
 def _same(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> Column:
@@ -42,28 +42,31 @@ def first_known(
     master: DataFrame | None, added: DataFrame | None, keys: list[str], order: list[str]
 ) -> DataFrame:
     """Per key the place from which on it is known: before all rows for master keys, else the
-    first row that adds it. Columns: ``keys`` and ``_known`` (a struct of ``order``)."""
+    first row that adds it. Columns: ``keys``, ``in_master`` and ``known_from`` (a struct of ``order``)."""
     parts = []
-    if master is not None:
-        start = F.struct(*[F.lit(MASTER_ORDER).cast("bigint").alias(o) for o in order])
-        parts.append(master.select(*keys, start.alias("_known")))
     if added is not None:
-        at = F.struct(*[F.col(o).cast("bigint").alias(o) for o in order])
-        parts.append(added.select(*keys, at.alias("_known")))
+        parts.append(added.select(*keys, F.lit(False).alias("in_master"), F.struct(*order).alias("known_from")))
+    if master is not None:
+        never = F.lit(None).cast(parts[0].schema["known_from"].dataType) if parts else F.lit(None).cast("void")
+        parts.append(master.select(*keys, F.lit(True).alias("in_master"), never.alias("known_from")))
     known = reduce(DataFrame.unionByName, parts)
-    return known.groupBy(*keys).agg(F.min("_known").alias("_known"))
+    if added is None:
+        return known.select(*keys, "in_master", "known_from").distinct()
+    return known.groupBy(*keys).agg(
+        F.bool_or("in_master").alias("in_master"), F.min("known_from").alias("known_from")
+    )
 
 
 def exists_before(
     rows: DataFrame, known: DataFrame, on: dict[str, str], order: list[str], flag: str
 ) -> DataFrame:
     """Add a boolean: was the key known before this row? ``known`` comes from :func:`first_known`."""
-    side = known.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(on.values())], "_known")
-    here = F.struct(*[F.col(o).cast("bigint").alias(o) for o in order])
+    side = known.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(on.values())], "in_master", "known_from")
     cond = _same(rows, side, [(r, f"_k{i}") for i, r in enumerate(on)])
-    joined = rows.withColumn("_here", here).join(side, cond, "left")
-    before = F.coalesce(F.col("_known") < F.col("_here"), F.lit(False))
-    return joined.select(*rows.columns, before.alias(flag))
+    before = F.col("in_master")
+    if not isinstance(known.schema["known_from"].dataType, NullType):
+        before = before | F.coalesce(F.col("known_from") < F.struct(*order), F.lit(False))
+    return rows.join(side, cond, "left").select(*rows.columns, F.coalesce(before, F.lit(False)).alias(flag))
 
 
 def optional_key(column: Column) -> Column:
@@ -116,14 +119,16 @@ def tpa_error(tpa_id: str, required: bool) -> Column:
 
 
 def plan_error(code: str, owner: str, owner_label: str, has_plan: Column, has_period: Column) -> Column:
-    """The plan must exist, with the same period; the period must be ordered and hold the date."""
+    """The plan must exist, with the same period; the period must be ordered and hold the date.
+
+    Dates are cleaned ``yyyyMMdd`` text here, which compares like dates.
+    """
     start, end, eff = (T.text(c) for c in ("PlanStartDate", "PlanEndDate", "EffectiveDate"))
     plan_part = F.when(
         T.is_blank(F.col("PlanId")), F.lit("")
     ).otherwise(F.concat(F.lit(" and Plan ID '"), F.col("PlanId"), F.lit("'")))
     head = F.concat(F.lit("The AccountTypeID '"), F.col("AccountTypeCode"), F.lit("'"), plan_part)
     tail = F.concat(F.lit(f" for {owner_label} '"), F.col(owner), F.lit("'"))
-    start_d, end_d, eff_d = V.to_date(start), V.to_date(end), V.to_date(eff)
     text = (
         F.when(T.is_blank(F.col("EmployerId")), F.lit("The Employer ID cannot be blank"))
         .when(T.is_blank(F.col(owner)), F.lit(f"The {owner_label} cannot be blank"))
@@ -137,20 +142,20 @@ def plan_error(code: str, owner: str, owner_label: str, has_plan: Column, has_pe
             ),
         )
         .when(
-            eff_d > end_d,
+            (eff != "") & (eff > end),
             F.concat(
                 head, F.lit(" ended on '"), end, F.lit("' and is no longer active on '"), eff, F.lit("'")
             ),
         )
         .when(
-            start_d > end_d,
+            start > end,
             F.concat(
                 head, F.lit(" Start Date '"), start, F.lit("' must be before the Plan End Date '"), end,
                 F.lit("'"), tail,
             ),
         )
         .when(
-            eff_d < start_d,
+            (eff != "") & (eff < start),
             F.concat(
                 head, F.lit(" starts only on '"), start, F.lit("' and is not yet started on '"), eff, F.lit("'")
             ),
@@ -164,18 +169,16 @@ def with_plan_flags(
 ) -> DataFrame:
     """Add ``_has_plan`` and ``_has_period`` for rows with columns ``on``, ``PlanId`` and dates.
 
-    ``plans`` and ``added`` have columns ``on``, ``PlanId``, ``planstart``, ``planend`` (``added``
-    also ``order``). A blank plan id matches any plan of the key.
+    ``plans`` have columns ``on``, ``PlanId`` and the dates ``planstart`` and ``planend``; ``added``
+    are rows like ``rows``. A blank plan id matches any plan of the key.
     """
-    keyed = rows.withColumns(
-        {
-            "_plan": optional_key(F.col("PlanId")),
-            "_start": V.to_date(T.text("PlanStartDate")),
-            "_end": V.to_date(T.text("PlanEndDate")),
-        }
-    )
-    master = with_any_key(plans, "PlanId")
-    extra = None if added is None else with_any_key(added, "PlanId")
+    keyed = rows.withColumn("_plan", optional_key(F.col("PlanId")))
+    dates = {"planstart": V.iso_date(F.col("planstart")), "planend": V.iso_date(F.col("planend"))}
+    master = with_any_key(plans.withColumns(dates), "PlanId")
+    extra = None
+    if added is not None:
+        periods = {"planstart": F.col("PlanStartDate"), "planend": F.col("PlanEndDate")}
+        extra = with_any_key(added.withColumns(periods), "PlanId")
     plan_keys = [*on, "PlanId"]
     period_keys = [*plan_keys, "planstart", "planend"]
     on_plan = {**{c: c for c in on}, "_plan": "PlanId"}
@@ -183,11 +186,11 @@ def with_plan_flags(
     out = exists_before(
         out,
         first_known(master, extra, period_keys, order),
-        {**on_plan, "_start": "planstart", "_end": "planend"},
+        {**on_plan, "PlanStartDate": "planstart", "PlanEndDate": "planend"},
         order,
         "_has_period",
     )
-    return out.drop("_plan", "_start", "_end")
+    return out.drop("_plan")
 
 
 def check_a_rows(
@@ -236,11 +239,7 @@ def check_a_rows(
         "_lookup", F.when(clean, F.coalesce("_first", enrol_error, no_employee))
     ).drop("_has_plan", "_has_period")
 
-    adds = enrolled.where(clean & F.col("_lookup").isNull()).select(
-        "EmployerId", "EmployeeID", "AccountTypeCode", "PlanId",
-        V.to_date(T.text("PlanStartDate")).alias("planstart"), V.to_date(T.text("PlanEndDate")).alias("planend"),
-        *order,
-    )
+    adds = enrolled.where(clean & F.col("_lookup").isNull())
     deposits = with_plan_flags(
         out.where(code == "IH"), ee_plans, ["EmployerId", "EmployeeID", "AccountTypeCode"], order, adds
     )
@@ -281,13 +280,13 @@ def earlier_posting(
     counts = F.lit(True) if counts is None else counts
     body = F.struct(*[c.alias(n) for n, c in report.items()])
     own = rows.where(counts).select(
-        *keys, F.col(batch).cast("bigint").alias("_batch"), F.col(row).cast("bigint").alias("_row"),
-        body.alias("_body"), F.lit(None).cast("bigint").alias("_past"),
+        *keys, F.col(batch).alias("_batch"), F.col(row).cast("bigint").alias("_row"), body.alias("_body"),
+        F.lit(None).cast("bigint").alias("_past"),
     )
     if history is not None:
         past = history.select(
-            *keys, F.lit(None).cast("bigint").alias("_batch"), F.lit(None).cast("bigint").alias("_row"),
-            body.alias("_body"), F.col(history_order).cast("bigint").alias("_past"),
+            *keys, F.lit(None).cast(rows.schema[batch].dataType).alias("_batch"),
+            F.lit(None).cast("bigint").alias("_row"), body.alias("_body"), F.col(history_order).cast("bigint").alias("_past"),
         )
         own = own.unionByName(past)
     place = F.when(F.col("_batch").isNotNull(), F.struct(F.col("_batch"), (-F.col("_row")).alias("_r")))
@@ -403,3 +402,174 @@ def plans_of_clients(plans: DataFrame, clients: DataFrame) -> DataFrame:
 def clients_with_divisions(clients: DataFrame, divisions: DataFrame) -> DataFrame:
     """Every client with its divisions, and clients without one."""
     return clients.join(divisions, "client_id", "left")
+
+
+MAIN_CODES = ("[QB]", "[QBLOOKUP]", "[SPM]", "[SPMLOOKUP]", "[NPM]", "[NPMLOOKUP]")
+PLAN_CODES = ("[QBPLANINITIAL]", "[QBPLAN]", "[QBDEPENDENTPLANINITIAL]", "[QBDEPENDENTPLAN]")
+ANY_PARENT_CODES = ("[MEMBERUSERDEFINEDFIELD]",)
+FAMILIES = ("QB", "SPM", "NPM")
+
+
+def family_of(code: Column) -> Column:
+    """The member family of a bracket code: by its beginning."""
+    out = None
+    for family in FAMILIES:
+        test = code.startswith(f"[{family}")
+        out = F.when(test, family) if out is None else out.when(test, family)
+    return out
+
+
+def check_main_rows(
+    mains: DataFrame, clients: DataFrame, divisions: DataFrame, members: dict[str, DataFrame],
+    fail_if_exists: bool = False,
+) -> DataFrame:
+    """Main rows of platform C: client, division and member. Adds ``client_id``,
+    ``client_division_id`` and ``main_ok`` (may rows below refer to this one?).
+
+    ``members`` holds one table per family. NPM members belong to a division only; a look-up row
+    names no division, so an NPM look-up searches all divisions of the client.
+    """
+    out = clients_by_name(mains, clients, divisions)
+    npm = members["NPM"].join(divisions.select("client_division_id", "client_id"), "client_division_id")
+    everyone = reduce(
+        DataFrame.unionByName,
+        [
+            (npm if family == "NPM" else members[family]).select(
+                "member_id", "client_id", "client_division_id", F.lit(family).alias("family"),
+                F.concat_ws(":", F.lit(family), member_key(F.col("ssn"))).alias("ssn"),
+            )
+            for family in FAMILIES
+        ],
+    )
+    family = family_of(F.col("row_type"))
+    lookup = F.col("row_type").endswith("LOOKUP]")
+    ssn_key = F.concat_ws(":", family, member_key(F.col("SSN")))
+    in_division = everyone.groupBy(F.col("client_division_id").alias("_d"), F.col("ssn").alias("_dk")).agg(
+        F.min("member_id").alias("_in_division")
+    )
+    in_client = everyone.groupBy(F.col("client_id").alias("_c"), F.col("ssn").alias("_ck")).agg(
+        F.min("member_id").alias("_in_client")
+    )
+    out = out.withColumn("_ssn", ssn_key)
+    out = out.join(
+        in_division, (out["client_division_id"] == in_division["_d"]) & (out["_ssn"] == in_division["_dk"]), "left"
+    )
+    out = out.join(in_client, (out["client_id"] == in_client["_c"]) & (out["_ssn"] == in_client["_ck"]), "left")
+    client_wide = (family != "NPM") | lookup
+    member = F.coalesce("_in_division", F.when(client_wide, F.col("_in_client")))
+    client, division = T.text("ClientName"), T.text("ClientDivisionName")
+    no_client = F.col("client_id").isNull()
+    no_division = ~no_client & ~T.is_blank(division) & F.col("client_division_id").isNull()
+    no_npm_division = ~no_client & (family == "NPM") & ~lookup & F.col("client_division_id").isNull()
+    no_ssn = ~no_client & T.is_blank(F.col("SSN"))
+    unknown = ~no_client & lookup & member.isNull()
+    exists_already = ~no_client & ~lookup & member.isNotNull() & F.lit(fail_if_exists)
+    quoted = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+    tests = [
+        (no_client, error("ClientAndDivision", quoted("The Client Name '", client, "' could not be found"))),
+        (
+            no_client,
+            error(
+                "Client And Division Does Not Exist",
+                quoted("Client with '", client, "' and Division Name '", division, "' Not Found."),
+            ),
+        ),
+        (
+            no_division,
+            error(
+                "ClientAndDivision",
+                quoted("The Division Name '", division, "' could not be found for Client '", client, "'"),
+            ),
+        ),
+        (no_npm_division, error("ClientDivisionId", F.lit("The Client and Division ID cannot be blank"))),
+        (no_ssn, error("SSN", F.lit("The SSN cannot be blank"))),
+        (
+            unknown,
+            error(quoted(family, " Not Found"), quoted(family, " with SSN '", T.text("SSN"), "' not found")),
+        ),
+        (
+            exists_already,
+            error(
+                quoted(family, " Already exists"),
+                quoted("Duplicate ", family, ". ", family, " with SSN '", T.text("SSN"), "' already exists"),
+            ),
+        ),
+    ]
+    bad = reduce(lambda a, b: a | b, [t for t, _ in tests])
+    for test, found in tests:
+        out = add_error(out, F.when(test, found))
+    return out.select(*mains.columns, "client_id", "client_division_id", (~bad).alias("main_ok"))
+
+
+def check_c_rows(
+    rows: DataFrame,
+    clients: DataFrame,
+    divisions: DataFrame,
+    members: dict[str, DataFrame],
+    plans: DataFrame,
+    plan_links: DataFrame,
+    fail_if_exists: bool = False,
+    file_col: str = "file",
+    order: str = "source_row_no",
+) -> DataFrame:
+    """Reference checks of platform C: main rows, the main row above each other row, and plans."""
+    from .parents import last_parent
+
+    code = F.col("row_type")
+    main = F.coalesce(code.isin(*MAIN_CODES), F.lit(False))
+    mains = check_main_rows(rows.where(main), clients, divisions, members, fail_if_exists)
+    others = rows.where(~main).withColumns(
+        {
+            "client_id": F.lit(None).cast(mains.schema["client_id"].dataType),
+            "client_division_id": F.lit(None).cast(mains.schema["client_division_id"].dataType),
+            "main_ok": F.lit(None).cast("boolean"),
+        }
+    )
+    payload = {
+        "family": family_of(code),
+        "ok": F.col("main_ok") & ~T.is_blank(F.col("SSN")),
+        "client_id": F.col("client_id"),
+        "client_division_id": F.col("client_division_id"),
+        "client": F.col("ClientName"),
+        "division": F.col("ClientDivisionName"),
+    }
+    placed = last_parent(mains.unionByName(others), main, payload, file_col, order)
+
+    parent = F.col("parent")
+    family = family_of(code)
+    needs_parent = ~main & (family.isNotNull() | code.isin(*ANY_PARENT_CODES))
+    fits = F.coalesce(parent["ok"] & (family.isNull() | (parent["family"] == family)), F.lit(False))
+    wanted = F.coalesce(family, F.lit(", ".join(FAMILIES)))
+    orphan = error(
+        F.concat(F.lit("No Current "), wanted),
+        F.concat(
+            F.lit("Could Not Process this Record Type '"), code, F.lit("' as no Valid "), wanted,
+            F.lit(" is referenced above"),
+        ),
+    )
+    placed = add_error(placed, F.when(needs_parent & ~fits, orphan)).withColumn(
+        "_plan_row", F.coalesce(code.isin(*PLAN_CODES) & fits, F.lit(False))
+    )
+
+    planned = placed.where("_plan_row").withColumns(
+        {"client_id": parent["client_id"], "client_division_id": parent["client_division_id"]}
+    )
+    planned = client_plan(planned, plans, plan_links)
+    head = F.concat(
+        F.lit("The Plan '"), T.text("PlanName"), F.lit("' could not be found for Client '"),
+        T.text(parent["client"]), F.lit("'"),
+    )
+    no_plan = F.when(~F.col("has_client_plan"), head).when(
+        F.col("client_division_id").isNotNull() & ~F.col("has_division_plan"),
+        F.concat(head, F.lit(" and Division '"), T.text(parent["division"]), F.lit("'")),
+    )
+    planned = add_error(planned, F.when(no_plan.isNotNull(), error("No Such Plan Found", no_plan)))
+    rest = placed.where(~F.col("_plan_row"))
+    return planned.select(*rows.columns).unionByName(rest.select(*rows.columns))
+
+
+def period_status(value: Column, start: Column, end: Column) -> Column:
+    """Where a date lies: ``before`` its period, ``after`` it, or ``inside``; NULL if unknown."""
+    return F.when(value < start, "before").when(value > end, "after").when(
+        (value >= start) & (value <= end), "inside"
+    )
