@@ -283,11 +283,14 @@ def apply_rules_by_layout(
             f"concat(array({entries})[e.rule].name, ' ', array({entries})[e.rule].wording, '. \\'', "
             "e.text, '\\' is not valid') as message))"
         )
-        errors = f"if(coalesce(size(_found), 0) <= 0, cast(array() as {ERROR_TYPE}), {worded}) as errors"
+        errors = f"if(coalesce(size(_found), 0) <= 0, cast(array() as {ERROR_TYPE}), {worded})"
     else:
-        errors = f"cast(array() as {ERROR_TYPE}) as errors"
+        errors = f"cast(array() as {ERROR_TYPE})"
     row = [f"if(changed, {_choose(rebuilt, every)}, `{row_col}`) as `{row_col}`"] if has_row else []
-    return out.selectExpr(*kept, *[f"`{n}`" for n in fields], *row, errors, "changed")
+    # The outcome is handed on through a generator of one row: a later filter on errors would
+    # otherwise be pushed below all projections above and compute every rule a second time.
+    outcome = f"inline(array(struct({errors} as errors, changed as changed)))"
+    return out.selectExpr(*kept, *[f"`{n}`" for n in fields], *row, outcome)
 
 
 def apply_rules(

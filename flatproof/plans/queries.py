@@ -790,8 +790,8 @@ def header_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 bad AS (SELECT file, count(*) FILTER (len(codes) > 0) AS n FROM chk GROUP BY 1)
 SELECT file || CASE s WHEN 0 THEN '-0-OriginalFile.mbi' WHEN 1 THEN '-1-PassedLines.mbi' WHEN 2 THEN '-2-RejectedLines.err'
   WHEN 3 THEN '-3-RejectedLines.mbi' ELSE '-4-allLines.err' END AS out_file,
-  count(*) + 1 AS line_count FROM chk JOIN bad USING (file), range(5) AS r(s)
-WHERE n > 0 AND (s IN (0, 4) OR (s = 1 AND len(codes) = 0) OR (s IN (2, 3) AND len(codes) > 0)) GROUP BY 1"""
+  1 + count(*) FILTER (s IN (0, 4) OR (s = 1 AND len(codes) = 0) OR (s IN (2, 3) AND len(codes) > 0)) AS line_count
+FROM chk JOIN bad USING (file), range(5) AS r(s) WHERE n > 0 GROUP BY file, s"""
 )
 def delivered_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which output files the checked files give, and how long each is."""
