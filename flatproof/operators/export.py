@@ -6,7 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..functions.values import FALSE_WORDS, TRUE_WORDS
 from ..session import broadcast_bounded
+from ..spec import platform_c_layouts
+from .classify import c_record_type
+from .parse import split_csv
 
 # The splits of a file in order, and the ending of each output name.
 SPLITS = {
@@ -146,28 +150,19 @@ def prepare_c_flags(lines: DataFrame, positions: dict[str, list[int]], line_col:
 
     ``positions`` gives, per bracket code, the value positions (the code is 0) that are flags.
     """
-    from ..functions.values import FALSE_WORDS, TRUE_WORDS
-    from .classify import c_record_type
-    from .parse import split_csv
+    pairs = [x for code, at in positions.items() for x in (F.lit(code), F.array(*[F.lit(p) for p in at]))]
+    marks = F.create_map(*pairs)[c_record_type(F.col(line_col))]
 
-    out = F.col(line_col)
-    code = c_record_type(F.col(line_col))
-    for bracket, places in positions.items():
-        marks = F.array(*[F.lit(p) for p in places])
+    def fix(value: Column, at: Column) -> Column:
+        word = F.upper(F.trim(value))
+        flag = F.when(word.isin(*TRUE_WORDS), "1").when(word.isin(*FALSE_WORDS), "0").otherwise(value)
+        return F.when(F.array_contains(marks, at), flag).otherwise(value)
 
-        def fix(value: Column, at: Column, marks: Column = marks) -> Column:
-            word = F.upper(F.trim(value))
-            flag = F.when(word.isin(*TRUE_WORDS), "1").when(word.isin(*FALSE_WORDS), "0").otherwise(value)
-            return F.when(F.array_contains(marks, at), flag).otherwise(value)
-
-        rebuilt = F.array_join(F.transform(split_csv(F.col(line_col)), fix), ",")
-        out = F.when(code == bracket, rebuilt).otherwise(out)
-    return lines.withColumn(line_col, out)
+    rebuilt = F.array_join(F.transform(split_csv(F.col(line_col)), fix), ",")
+    return lines.withColumn(line_col, F.when(marks.isNotNull(), rebuilt).otherwise(F.col(line_col)))
 
 
 def c_flag_positions() -> dict[str, list[int]]:
-    from ..spec import platform_c_layouts
-
     found = {
         code: [i + 1 for i, f in enumerate(spec.fields) if f.kind in ("flag", "yesno", "truefalse")]
         for code, spec in platform_c_layouts().items()

@@ -210,7 +210,8 @@ def check_a_rows(
     """
     order = list(order)
     code = F.col("row_type")
-    clean = ~has_error()
+    # Headers, result rows and codes without a layout are not checked.
+    clean = ~has_error() & F.col("layout").isNotNull()
     employers = employers.select(F.col("employer_id").alias("EmployerId"))
     employees = employees.select(F.col("employerid").alias("EmployerId"), F.col("employeeid").alias("EmployeeID"))
     er_plans = employer_plans.select(
@@ -321,18 +322,19 @@ def flag_repeat_deposits(
     ``history`` holds stored rows with ``file``, ``created_at``, ``check_type`` and ``error_message``.
     """
     counts = (F.col("row_type") == "IH") & ~has_error()
+    dated = rows if "created_at" in rows.columns else rows.withColumn("created_at", F.current_timestamp())
     if history is not None:
         history = history.where(
             (F.col("check_type") == "PreCheck") & (T.text("error_message") == "") & (F.col("row_type") == "IH")
         )
     report = {"file": F.col("file"), "on": V.iso_date(F.col("created_at"))}
-    found = earlier_posting(rows, DEPOSIT_KEYS, batch, row, report, history, history_order, counts)
+    found = earlier_posting(dated, DEPOSIT_KEYS, batch, row, report, history, history_order, counts)
     text = F.concat(
         F.lit("Potential Duplicate Posting! Was probably posted earlier on '"), F.col("earlier.on"),
         F.lit("' as part of file '"), F.col("earlier.file"), F.lit("'"),
     )
     flagged = F.when(F.col("earlier").isNotNull(), error("DuplicatePosting", text))
-    return add_error(found, flagged).drop("earlier")
+    return add_error(found, flagged).select(*rows.columns)
 
 
 # --- platform C ----------------------------------------------------------------------------

@@ -137,7 +137,7 @@ def check_c(lines: DataFrame, masters: MastersC, options: CheckOptions = CheckOp
 
 def _storable(rows: DataFrame, options: CheckOptions) -> DataFrame:
     flat = rules.flatten_errors(rows, last_only=options.last_error_only)
-    return merge.mark_check(merge.keep_original(flat))
+    return merge.mark_check(merge.keep_original(flat)).withColumn("created_at", F.current_timestamp())
 
 
 def outcomes(rows: DataFrame, wrong: DataFrame | None = None) -> DataFrame:
