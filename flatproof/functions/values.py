@@ -12,20 +12,21 @@ MONEY = "decimal(18,2)"
 TRUE_WORDS = ("TRUE", "T", "YES", "1")
 FALSE_WORDS = ("NO", "FALSE", "F", "0")
 
-# Accepted date shapes, tried in this order. The shape test picks the one
-# pattern to parse, so that a value is parsed once and bad text costs no exceptions.
+# Accepted date shapes. A value fits at most one shape, which picks the one pattern
+# to parse it with: a value is parsed once, bad text costs no exceptions, and the common shapes
+# come first.
 DATE_FORMATS = (
+    (r"^\d{8}$", "yyyyMMdd"),
+    (r"^\d{1,2}/\d{1,2}/\d{4}$", "M/d/yyyy"),
+    (r"^\d{4}-\d{2}-\d{2}$", "yyyy-MM-dd"),
+    (r"(?i)^\d{2}-[a-z]{3}-\d{4}$", "dd-MMM-yyyy"),
     (r"^\d{8} \d{2}:\d{2}:\d{2}$", "yyyyMMdd HH:mm:ss"),
     (r"^\d{8} \d{6}$", "yyyyMMdd HHmmss"),
-    (r"^\d{8}$", "yyyyMMdd"),
+    (r"(?i)^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2} [ap]m$", "M/d/yyyy h:mm a"),
+    (r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$", "yyyy-MM-dd HH:mm:ss"),
     (r"(?i)^\d{2}-[a-z]{3}-\d{4} \d{2}:\d{2}:\d{2} [ap]m$", "dd-MMM-yyyy hh:mm:ss a"),
-    (r"(?i)^\d{2}-[a-z]{3}-\d{4}$", "dd-MMM-yyyy"),
     (r"(?i)^\d{2}-[a-z]{3}-\d{2} \d{2}:\d{2}:\d{2} [ap]m$", "dd-MMM-yy hh:mm:ss a"),
     (r"(?i)^\d{1,2}-\d{1,2}-\d{4} \d{2}:\d{2}:\d{2} [ap]m$", "d-M-yyyy hh:mm:ss a"),
-    (r"^\d{1,2}/\d{1,2}/\d{4}$", "M/d/yyyy"),
-    (r"(?i)^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2} [ap]m$", "M/d/yyyy h:mm a"),
-    (r"^\d{4}-\d{2}-\d{2}$", "yyyy-MM-dd"),
-    (r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$", "yyyy-MM-dd HH:mm:ss"),
 )
 
 ISO_DATE, ISO_DATETIME = "yyyyMMdd", "yyyyMMdd HHmmss"
@@ -36,8 +37,12 @@ def strip_number(c: Column) -> Column:
     return F.translate(c, ", ", "")
 
 
+# The shape of a whole number. Testing it is cheap; a cast that fails is not.
+WHOLE = "^[+-]?[0-9]{1,19}$"
+
+
 def to_int(c: Column) -> Column:
-    return F.trim(c).try_cast("bigint")
+    return F.when(F.trim(c).rlike(WHOLE), F.trim(c).try_cast("bigint"))
 
 
 def to_money(c: Column) -> Column:
@@ -64,7 +69,7 @@ def date_text(c: Column) -> Column:
 
 
 def to_timestamp(c: Column) -> Column:
-    """The first accepted shape that fits, or NULL."""
+    """The timestamp by the shape that fits, or NULL."""
     out = None
     for shape, pattern in DATE_FORMATS:
         test, value = c.rlike(shape), F.try_to_timestamp(c, F.lit(pattern))

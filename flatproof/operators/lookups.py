@@ -118,56 +118,64 @@ def tpa_error(tpa_id: str, required: bool) -> Column:
     return F.when(text.isNotNull(), error("TpaId", text))
 
 
-def plan_error(code: str, owner: str, owner_label: str, has_plan: Column, has_period: Column) -> Column:
-    """The plan must exist, with the same period; the period must be ordered and hold the date.
+def plan_verdict(owner: str, has_plan: Column, has_period: Column) -> Column:
+    """What is wrong with the plan of a row: the plan must exist, with the same period; the period
+    must be ordered and hold the effective date. ``ok`` if nothing is.
 
     Dates are cleaned ``yyyyMMdd`` text here, which compares like dates.
     """
     start, end, eff = (T.text(c) for c in ("PlanStartDate", "PlanEndDate", "EffectiveDate"))
-    plan_part = F.when(
-        T.is_blank(F.col("PlanId")), F.lit("")
-    ).otherwise(F.concat(F.lit(" and Plan ID '"), F.col("PlanId"), F.lit("'")))
-    head = F.concat(F.lit("The AccountTypeID '"), F.col("AccountTypeCode"), F.lit("'"), plan_part)
-    tail = F.concat(F.lit(f" for {owner_label} '"), F.col(owner), F.lit("'"))
-    text = (
-        F.when(T.is_blank(F.col("EmployerId")), F.lit("The Employer ID cannot be blank"))
-        .when(T.is_blank(F.col(owner)), F.lit(f"The {owner_label} cannot be blank"))
-        .when(T.is_blank(F.col("AccountTypeCode")), F.lit("The AccountTypeCode cannot be blank"))
-        .when(~has_plan, F.concat(head, F.lit(" could not be found"), tail))
-        .when(
-            ~has_period,
-            F.concat(
-                head, F.lit(" and Plan Start date '"), start, F.lit("' and Plan End date '"), end,
-                F.lit("' could not be found"), tail,
-            ),
-        )
-        .when(
-            (eff != "") & (eff > end),
-            F.concat(
-                head, F.lit(" ended on '"), end, F.lit("' and is no longer active on '"), eff, F.lit("'")
-            ),
-        )
-        .when(
-            start > end,
-            F.concat(
-                head, F.lit(" Start Date '"), start, F.lit("' must be before the Plan End Date '"), end,
-                F.lit("'"), tail,
-            ),
-        )
-        .when(
-            (eff != "") & (eff < start),
-            F.concat(
-                head, F.lit(" starts only on '"), start, F.lit("' and is not yet started on '"), eff, F.lit("'")
-            ),
-        )
+    return (
+        F.when(T.is_blank(F.col("EmployerId")), "no employer")
+        .when(T.is_blank(F.col(owner)), "no owner")
+        .when(T.is_blank(F.col("AccountTypeCode")), "no account type")
+        .when(~has_plan, "no plan")
+        .when(~has_period, "no period")
+        .when((eff != "") & (eff > end), "ended")
+        .when(start > end, "period reversed")
+        .when((eff != "") & (eff < start), "not started")
+        .otherwise("ok")
     )
-    return F.when(text.isNotNull(), error(code, text))
 
 
-def with_plan_flags(
+def plan_error(code: str, owner: str, owner_label: str, verdict: Column) -> Column:
+    """The error for a verdict, NULL for a plan in order."""
+    start, end, eff = (T.text(c) for c in ("PlanStartDate", "PlanEndDate", "EffectiveDate"))
+    plan = F.when(T.is_blank(F.col("PlanId")), F.lit("")).otherwise(
+        F.concat(F.lit(" and Plan ID '"), F.col("PlanId"), F.lit("'"))
+    )
+    blanks = {
+        "no employer": "The Employer ID cannot be blank",
+        "no owner": f"The {owner_label} cannot be blank",
+        "no account type": "The AccountTypeCode cannot be blank",
+    }
+    missing = F.concat(F.lit(f"' could not be found for {owner_label} '"), F.col(owner), F.lit("'"))
+    details = {
+        "no plan": F.concat(F.lit(f" could not be found for {owner_label} '"), F.col(owner), F.lit("'")),
+        "no period": F.concat(F.lit(" and Plan Start date '"), start, F.lit("' and Plan End date '"), end, missing),
+        "ended": F.concat(F.lit(" ended on '"), end, F.lit("' and is no longer active on '"), eff, F.lit("'")),
+        "period reversed": F.concat(
+            F.lit(" Start Date '"), start, F.lit("' must be before the Plan End Date '"), end,
+            F.lit(f"' for {owner_label} '"), F.col(owner), F.lit("'"),
+        ),
+        "not started": F.concat(
+            F.lit(" starts only on '"), start, F.lit("' and is not yet started on '"), eff, F.lit("'")
+        ),
+    }
+    blank = detail = None
+    for kind, wording in blanks.items():
+        blank = F.when(verdict == kind, wording) if blank is None else blank.when(verdict == kind, wording)
+    for kind, wording in details.items():
+        detail = F.when(verdict == kind, wording) if detail is None else detail.when(verdict == kind, wording)
+    head = F.concat(F.lit("The AccountTypeID '"), F.col("AccountTypeCode"), F.lit("'"), plan)
+    return F.when(verdict != "ok", error(code, F.coalesce(blank, F.concat(head, detail))))
+
+
+def with_plan_verdict(
     rows: DataFrame, plans: DataFrame, on: list[str], order: list[str], added: DataFrame | None = None
 ) -> DataFrame:
-    """Add ``_has_plan`` and ``_has_period`` for rows with columns ``on``, ``PlanId`` and dates.
+    """Add ``plan_verdict`` for rows with columns ``on`` (its last but one names the owner of the
+    plan), ``PlanId`` and dates.
 
     ``plans`` have columns ``on``, ``PlanId`` and the dates ``planstart`` and ``planend``; ``added``
     are rows like ``rows``. A blank plan id matches any plan of the key.
@@ -190,7 +198,8 @@ def with_plan_flags(
         order,
         "_has_period",
     )
-    return out.drop("_plan")
+    verdict = plan_verdict(on[-2], F.col("_has_plan"), F.col("_has_period"))
+    return out.withColumn("plan_verdict", verdict).drop("_plan", "_has_plan", "_has_period")
 
 
 def check_a_rows(
@@ -232,24 +241,22 @@ def check_a_rows(
     out = exists_before(out, known, who, order, "_has_employee")
     no_employee = F.when(code != "IB", employee_error(F.col("_has_employee")))
 
-    enrolled = with_plan_flags(
+    enrolled = with_plan_verdict(
         out.where(code == "IC"), er_plans, ["EmployerId", "AccountTypeCode"], order
     )
-    enrol_error = plan_error("PlanId", "EmployerId", "Employer Id", F.col("_has_plan"), F.col("_has_period"))
+    enrol_error = plan_error("PlanId", "EmployerId", "Employer Id", F.col("plan_verdict"))
     enrolled = enrolled.withColumn(
         "_lookup", F.when(clean, F.coalesce("_first", enrol_error, no_employee))
-    ).drop("_has_plan", "_has_period")
+    ).drop("plan_verdict")
 
     adds = enrolled.where(clean & F.col("_lookup").isNull())
-    deposits = with_plan_flags(
+    deposits = with_plan_verdict(
         out.where(code == "IH"), ee_plans, ["EmployerId", "EmployeeID", "AccountTypeCode"], order, adds
     )
-    deposit_error = plan_error(
-        "AccountTypeCode", "EmployeeID", "Employee Id", F.col("_has_plan"), F.col("_has_period")
-    )
+    deposit_error = plan_error("AccountTypeCode", "EmployeeID", "Employee Id", F.col("plan_verdict"))
     deposits = deposits.withColumn(
         "_lookup", F.when(clean, F.coalesce("_first", deposit_error, no_employee))
-    ).drop("_has_plan", "_has_period")
+    ).drop("plan_verdict")
 
     others = out.where(F.coalesce(~code.isin("IC", "IH"), F.lit(True))).withColumn(
         "_lookup", F.when(clean, F.coalesce("_first", no_employee))

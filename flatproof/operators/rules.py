@@ -49,6 +49,10 @@ DROPPED = {
 }
 
 
+# A field has at most this many rules; the broken ones are kept as the bits of a number.
+MAX_RULES = 8
+
+
 @dataclass(frozen=True)
 class RuleOptions:
     platform: str = "A"
@@ -94,7 +98,7 @@ def _formatted(value: str, when: str | None, field: FieldSpec, options: RuleOpti
     if kind == "const":
         return f"if({value} <> '', {sql_text(field.fixed)}, {value})"
     if kind == "int":
-        return f"coalesce(cast(try_cast({value} as bigint) as string), {value})"
+        return f"if(rlike({value}, '{V.WHOLE}'), coalesce(cast(try_cast({value} as bigint) as string), {value}), {value})"
     if kind in MONEY_KINDS:
         return f"coalesce(cast(try_cast({value} as {V.MONEY}) as string), {value})"
     if kind in DATE_KINDS:
@@ -124,13 +128,19 @@ def _cleaned(value: str, when: str | None, field: FieldSpec, options: RuleOption
     return out
 
 
+def _reads_twice(field: FieldSpec, options: RuleOptions) -> bool:
+    plain = field.kind in DROPPED or field.kind in ("any", "text", "email")
+    flag = field.kind in FLAG_KINDS and options.platform == "A"
+    return not (plain or flag) or bool(field.default) or _is_ssn(field, options)
+
+
 def _unreadable(value: str, when: str | None, field: FieldSpec, options: RuleOptions):
     """The test and wording of the format error of a kind, on the cleaned value."""
     kind = field.kind
     if kind == "email":
         return f"not rlike({value}, {sql_text(T.EMAIL)})", "must be a valid Email"
     if kind == "int":
-        return f"try_cast({value} as bigint) is null", "must be numbers only"
+        return f"(not rlike({value}, '{V.WHOLE}') or try_cast({value} as bigint) is null)", "must be numbers only"
     if kind in MONEY_KINDS:
         return f"try_cast({value} as {V.MONEY}) is null", "must be a Currency Value"
     if kind in DATE_KINDS:
@@ -222,16 +232,27 @@ def apply_rules_by_layout(
     originals = []
     for name, specs in fields.items():
         has = sorted(n for numbers in specs.values() for n in numbers)
-        originals.append(f"{_choose([(has, f'coalesce(`{name}`, {sql_text("")})')], every)} as {raw[name]}")
+        found = f"coalesce(`{name}`, '')"
+        if every > 1:
+            test = "is not null" if len(has) == every else f"in ({', '.join(map(str, has))})"
+            found = f"if(_layout_no {test}, {found}, null)"
+        originals.append(f"{found} as {raw[name]}")
     own_row = [f"`{row_col}`"] if has_row else []
     out = out.selectExpr(*kept, *own_row, "_layout_no", *originals)
+    # Only texts that are read more than once get a column of their own.
+    held = {n for n, specs in fields.items() if any(_reads_twice(f, options) for f in specs)}
     out = out.selectExpr(
         "*",
         *[
             f"{_choose([(k, _prepared(raw[n], f)) for f, k in specs.items()], every)} as {text[n]}"
             for n, specs in fields.items()
+            if n in held
         ],
     )
+
+    def prepared(name: str, f: FieldSpec) -> str:
+        return text[name] if name in held else _prepared(raw[name], f)
+
     dates = [n for n, specs in fields.items() if any(f.kind in DATE_KINDS for f in specs)]
     if dates:
         texts = F.array(*[text[n] for n in dates])
@@ -240,52 +261,59 @@ def apply_rules_by_layout(
     out = out.selectExpr(
         "*",
         *[
-            f"{_choose([(k, _cleaned(text[n], parsed.get(n), f, options)) for f, k in specs.items()], every)} as `{n}`"
+            f"{_choose([(k, _cleaned(prepared(n, f), parsed.get(n), f, options)) for f, k in specs.items()], every)} as `{n}`"
             for n, specs in fields.items()
         ],
-    )
+    ).drop(*[text[n] for n in held])
 
-    # A broken rule is noted as its number and the original text; the wording is only put
-    # together for rows that have errors.
+    # The broken rules of a field are the bits of one number, so that a row without errors costs no
+    # allocation. The texts are put together only where a bit is set.
     wordings: list[tuple[str, str]] = []
+    base: dict[tuple[str, FieldSpec], int] = {}
     noted = {}
     for name, specs in fields.items():
         cases = []
         for f, k in specs.items():
-            marks = []
-            for test, wording in field_rules(f"`{name}`", parsed.get(name), f, options):
-                marks.append(f"if({test}, struct({len(wordings)} as rule, {raw[name]} as text), null)")
-                wordings.append((name, wording))
-            if marks:
-                cases.append((k, f"array_compact(array({', '.join(marks)}))"))
+            rules = field_rules(f"`{name}`", parsed.get(name), f, options)
+            if rules:
+                base[name, f] = len(wordings)
+                wordings += [(name, wording) for _, wording in rules]
+                cases.append((k, " + ".join(f"if({test}, {1 << i}, 0)" for i, (test, _) in enumerate(rules))))
         if cases:
             noted[name] = _choose(cases, every)
-    out = out.selectExpr("*", *[f"{expr} as {mark[n]}" for n, expr in noted.items()])
+    out = out.selectExpr("*", *[f"coalesce({expr}, 0) as {mark[n]}" for n, expr in noted.items()])
 
     found, rebuilt = [], []
     quoted = "v -> if(contains(v, ',') or contains(v, '\"'), concat('\"', replace(v, '\"', '\"\"'), '\"'), v)"
     for key, spec in layouts.items():
-        marks = [mark[n] for n in spec.names if n in noted]
+        marks = [
+            f"struct({base[f.name, f]} as base, {mark[f.name]} as bad, {raw[f.name]} as text)"
+            for f in spec.fields
+            if (f.name, f) in base
+        ]
         if marks:
-            found.append(([number[key]], f"flatten(array_compact(array({', '.join(marks)})))"))
+            found.append(([number[key]], f"array({', '.join(marks)})"))
         values = ", ".join(f"`{n}`" for n in spec.names)
-        row = f"concat({code_col}, ',', array_join(transform(array({values}), {quoted}), ','))"
-        rebuilt.append(([number[key]], row))
+        # Values are quoted one by one only if the plain row shows more commas than separators, or quotes.
+        plain = f"concat_ws(',', {code_col}, {values})"
+        tidy = f"not contains({plain}, '\"') and length({plain}) - length(replace({plain}, ',', '')) = {len(spec.names)}"
+        careful = f"concat({code_col}, ',', array_join(transform(array({values}), {quoted}), ','))"
+        rebuilt.append(([number[key]], f"if({tidy}, {plain}, {careful})"))
     differs = " or ".join(f"`{n}` <> {raw[n]}" for n in fields)
-    extra = [f"coalesce({differs}, false) as changed"]
-    if found:
-        extra.append(f"{_choose(found, every)} as _found")
-    out = out.selectExpr("*", *extra)
+    bad = " or ".join(f"{mark[n]} <> 0" for n in noted) or "false"
+    out = out.selectExpr("*", f"coalesce({differs}, false) as changed", f"({bad}) as _bad")
+    errors = f"cast(array() as {ERROR_TYPE})"
     if found:
         entries = ", ".join(f"struct({sql_text(n)} as name, {sql_text(w)} as wording)" for n, w in wordings)
+        bits = ", ".join(map(str, range(MAX_RULES)))
         worded = (
-            f"transform(_found, e -> struct(array({entries})[e.rule].name as code, "
-            f"concat(array({entries})[e.rule].name, ' ', array({entries})[e.rule].wording, '. \\'', "
-            "e.text, '\\' is not valid') as message))"
+            f"struct(array({entries})[f.base + b].name as code, concat(array({entries})[f.base + b].name, ' ', "
+            f"array({entries})[f.base + b].wording, '. \\'', f.text, '\\' is not valid') as message)"
+        )
+        errors = (
+            f"if(_bad, flatten(transform(filter({_choose(found, every)}, f -> f.bad <> 0), "
+            f"f -> transform(filter(array({bits}), b -> (f.bad & shiftleft(1, b)) <> 0), b -> {worded}))), {errors})"
         )
-        errors = f"if(coalesce(size(_found), 0) <= 0, cast(array() as {ERROR_TYPE}), {worded})"
-    else:
-        errors = f"cast(array() as {ERROR_TYPE})"
     row = [f"if(changed, {_choose(rebuilt, every)}, `{row_col}`) as `{row_col}`"] if has_row else []
     # The outcome is handed on through a generator of one row: a later filter on errors would
     # otherwise be pushed below all projections above and compute every rule a second time.

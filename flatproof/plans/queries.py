@@ -18,7 +18,7 @@ from ..operators import commission as C
 from ..operators import export, lineage, lookups, merge, results, rules
 from ..operators.parents import last_parent, time_chunk
 from ..operators.parse import delimited_line, parse_record, split_result_rows, split_to_rows
-from ..session import pin_splits, scratch_path
+from ..session import scratch_path, spread_small, stage
 from ..sources.lines import as_logical_files, latest_of_pattern, number_lines, read_lines
 from ..sources.sinks import write_lines
 from ..spec import record
@@ -70,7 +70,7 @@ ORDER_SPEC = record(
 
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as delimited lines, in the varied and partly faulty forms clients send."""
-    o = table(spark, sf_dir, "orders")
+    o = spread_small(table(spark, sf_dir, "orders"))
     date = (
         F.when(F.col("o_orderstatus") == "F", F.date_format("o_orderdate", "MM/dd/yyyy"))
         .when(F.col("o_orderstatus") == "O", F.date_format("o_orderdate", "yyyyMMdd"))
@@ -421,7 +421,7 @@ def text_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
   o_orderkey AS whole, CAST(NULL AS BIGINT) AS bad_whole, o_orderstatus = 'F' AS flag FROM orders"""
 )
 def date_and_number_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders")
+    o = spread_small(table(spark, sf_dir, "orders"))
     text = lambda pattern: F.date_format("o_orderdate", pattern)
     day = F.col("o_orderdate").cast("timestamp")
     status = F.when(F.col("o_orderstatus") == "F", "t").when(F.col("o_orderstatus") == "O", "No").otherwise("?")
@@ -494,7 +494,7 @@ flagged AS (SELECT r.*, a.er IS NOT NULL AS has_plan, p.er IS NOT NULL AS has_pe
   LEFT JOIN any_plan a ON r.er = a.er AND r.acct = a.acct AND r.plan = a.plan
   LEFT JOIN any_period p ON r.er = p.er AND r.acct = p.acct AND r.plan = p.plan AND r.s = p.s AND r.e = p.e)
 SELECT l_returnflag, CASE WHEN NOT has_plan THEN 'no plan' WHEN NOT has_period THEN 'no period'
-  WHEN eff > e THEN 'ended' WHEN s > e THEN 'order' WHEN eff < s THEN 'not started' ELSE 'ok' END AS verdict,
+  WHEN eff > e THEN 'ended' WHEN s > e THEN 'period reversed' WHEN eff < s THEN 'not started' ELSE 'ok' END AS verdict,
   count(*) AS row_count FROM flagged GROUP BY 1, 2"""
 )
 def optional_key_match(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -519,19 +519,8 @@ def optional_key_match(spark: SparkSession, sf_dir: str) -> DataFrame:
         start.alias("planstart"),
         F.lit("2024-12-31").cast("date").alias("planend"),
     )
-    flagged = lookups.with_plan_flags(rows, plans, ["EmployerId", "AccountTypeCode"], ["EffectiveDate"])
-    message = lookups.plan_error(
-        "PlanId", "EmployerId", "Employer Id", F.col("_has_plan"), F.col("_has_period")
-    )["message"]
-    verdict = (
-        F.when(message.isNull(), "ok")
-        .when(message.contains("ended on"), "ended")
-        .when(message.contains("must be before"), "order")
-        .when(message.contains("starts only"), "not started")
-        .when(message.contains("and Plan Start date"), "no period")
-        .otherwise("no plan")
-    )
-    return flagged.groupBy("l_returnflag", verdict.alias("verdict")).agg(F.count("*").alias("row_count"))
+    judged = lookups.with_plan_verdict(rows, plans, ["EmployerId", "AccountTypeCode"], ["EffectiveDate"])
+    return judged.groupBy("l_returnflag", F.col("plan_verdict").alias("verdict")).agg(F.count("*").alias("row_count"))
 
 
 @query(
@@ -732,16 +721,16 @@ def upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stored_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Checked orders as stored rows, with one header row per file."""
+    """Checked orders as the stored table that exports read, with one header row per file."""
     flat = merge.mark_check(merge.keep_original(rules.flatten_errors(checked_orders(spark, sf_dir))))
-    body = flat.select("file", "source_row_no", "row_type", "data_row", "org_data_row", "error_message")
-    head = body.groupBy("file").agg(F.lit(-1).cast("bigint").alias("source_row_no"))
+    body = flat.select("file", "source_row_no", "row_type", "data_row", "org_data_row", "error_message", "errors")
     line = F.lit("IA,XX,TPA01,Orders Template")
-    heads = head.select(
-        "file", "source_row_no", F.lit("IA").alias("row_type"), line.alias("data_row"), line.alias("org_data_row"),
-        F.lit("").alias("error_message"),
+    files = order_lines(spark, sf_dir).select("file").distinct()
+    heads = files.select(
+        "file", F.lit(-1).cast("bigint").alias("source_row_no"), F.lit("IA").alias("row_type"), line.alias("data_row"),
+        line.alias("org_data_row"), F.lit("").alias("error_message"), rules.no_errors().alias("errors"),
     )
-    return heads.unionByName(body)
+    return stage(heads.unionByName(body), "stored-orders")
 
 
 @query(
@@ -796,7 +785,7 @@ FROM chk JOIN bad USING (file), range(5) AS r(s) WHERE n > 0 GROUP BY file, s"""
 def delivered_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which output files the checked files give, and how long each is."""
     stored = stored_orders(spark, sf_dir)
-    outcome = rules.file_outcomes(checked_orders(spark, sf_dir))
+    outcome = rules.file_outcomes(stored)
     chosen = export.outputs_of_files(export.export_splits(stored), outcome)
     name = export.output_name(F.col("file"), F.col("split"), F.lit("A"))
     return chosen.groupBy(name.alias("out_file")).agg(F.count("*").alias("line_count"))

@@ -21,6 +21,9 @@ def build_session(app: str = "flatproof", master: str | None = None, **conf: str
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.ui.enabled", "false")
+        # The rules of a layout make long generated methods. Above this size the JVM would not compile
+        # them to machine code; Spark then generates shorter ones, operator by operator.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         # Call-site capture costs several JVM round trips per column operation.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
@@ -73,6 +76,23 @@ def broadcast_bounded(df: DataFrame, max_rows: int | None, row_bytes: int = 256)
     return df
 
 
+def plan_bytes(df: DataFrame) -> int:
+    """Size of a plan's output as the optimizer estimates it."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def spread_small(df: DataFrame) -> DataFrame:
+    """Give a small input one partition per core.
+
+    Files below the minimal split size arrive in one task; before work that is heavy per row this
+    leaves cores idle. Inputs of a useful size have enough splits and are returned as they are.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    smallest_split = 4 * 1024 * 1024
+    return df.repartition(cores) if plan_bytes(df) < cores * smallest_split else df
+
+
 def stage(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write a table to the shared scratch folder and read it back.
 
