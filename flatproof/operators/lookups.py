@@ -7,6 +7,7 @@ handling of adaptive execution splits.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -15,7 +16,8 @@ from pyspark.sql.types import NullType
 
 from ..functions import text as T
 from ..functions import values as V
-from .rules import add_error, error, has_error
+from .parents import last_parent
+from .rules import ERROR_TYPE, add_error, error, has_error, no_errors
 
 ANY_PLAN = "*"
 
@@ -202,7 +204,27 @@ def with_plan_verdict(
     return out.withColumn("plan_verdict", verdict).drop("_plan", "_has_plan", "_has_period")
 
 
-def check_a_rows(
+ROW_ID = ["file", "source_row_no"]
+A_KEYS = [
+    "row_type", "TpaId", "EmployerId", "EmployeeID", "AccountTypeCode", "PlanId", "PlanStartDate", "PlanEndDate",
+    "EffectiveDate", "DepositType",
+]
+
+
+def attach_errors(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """Rows with the errors found for them (``file, source_row_no, found``) behind their own.
+
+    Look-ups run on the few columns they need, and only rows that failed come back, so the wide
+    rows take part in one join, and in none that shuffles them while few rows fail.
+    """
+    side = found.select(*[F.col(c).alias(f"_{c}") for c in ROW_ID], "found")
+    joined = rows.join(side, _same(rows, side, [(c, f"_{c}") for c in ROW_ID]), "left")
+    errors = F.concat("errors", F.coalesce("found", no_errors()))
+    kept = [F.col(f"`{c}`") for c in rows.columns if c != "errors"]
+    return joined.select(*kept, errors.alias("errors"))
+
+
+def lookup_errors_a(
     rows: DataFrame,
     employers: DataFrame,
     employees: DataFrame,
@@ -210,17 +232,18 @@ def check_a_rows(
     employee_plans: DataFrame,
     tpa_id: str = "TPA01",
     require_tpa: bool = False,
-    order: tuple[str, ...] = ("file_seq", "source_row_no"),
+    history: DataFrame | None = None,
+    hold: Callable[[DataFrame, str], DataFrame] = lambda df, label: df,
 ) -> DataFrame:
-    """Reference checks of platform A on rows that passed the rules.
+    """The errors of the reference checks of platform A: ``file, source_row_no, found``.
 
-    Per row only the first failing check counts, in the field order of its layout. Demographics
-    rows add their employee, and enrolment rows their plan, for the rows that come later.
+    Only rows that passed the rules are checked, and per row only the first failing check counts,
+    in the field order of its layout. Demographics rows add their employee, and enrolment rows
+    their plan, for the rows that come later. Deposits that pass are checked for repeats. ``hold``
+    may store an intermediate result that is read more than once.
     """
-    order = list(order)
+    order = ["file_seq", "source_row_no"]
     code = F.col("row_type")
-    # Headers, result rows and codes without a layout are not checked.
-    clean = ~has_error() & F.col("layout").isNotNull()
     employers = employers.select(F.col("employer_id").alias("EmployerId"))
     employees = employees.select(F.col("employerid").alias("EmployerId"), F.col("employeeid").alias("EmployeeID"))
     er_plans = employer_plans.select(
@@ -231,38 +254,38 @@ def check_a_rows(
         F.col("employerid").alias("EmployerId"), F.col("employeeid").alias("EmployeeID"),
         F.col("plancode").alias("AccountTypeCode"), F.col("plandesc").alias("PlanId"), "planstart", "planend",
     )
-    out = exists(rows, employers, {"EmployerId": "EmployerId"}, "_has_employer")
-    first = F.coalesce(tpa_error(tpa_id, require_tpa), employer_error(F.col("_has_employer")))
-    out = out.withColumn("_first", F.when(clean, first))
+    # Headers, result rows and codes without a layout are not checked.
+    out = rows.where(~has_error() & F.col("layout").isNotNull()).select(*ROW_ID, "file_seq", *A_KEYS)
+    out = exists(out, employers, {"EmployerId": "EmployerId"}, "_has_employer")
+    out = out.withColumn(
+        "_first", F.coalesce(tpa_error(tpa_id, require_tpa), employer_error(F.col("_has_employer")))
+    )
 
-    joiners = out.where((code == "IB") & clean & F.col("_first").isNull())
+    joiners = out.where((code == "IB") & F.col("_first").isNull())
     known = first_known(employees, joiners, ["EmployerId", "EmployeeID"], order)
     who = {"EmployerId": "EmployerId", "EmployeeID": "EmployeeID"}
     out = exists_before(out, known, who, order, "_has_employee")
     no_employee = F.when(code != "IB", employee_error(F.col("_has_employee")))
 
-    enrolled = with_plan_verdict(
-        out.where(code == "IC"), er_plans, ["EmployerId", "AccountTypeCode"], order
-    )
+    enrolled = with_plan_verdict(out.where(code == "IC"), er_plans, ["EmployerId", "AccountTypeCode"], order)
     enrol_error = plan_error("PlanId", "EmployerId", "Employer Id", F.col("plan_verdict"))
-    enrolled = enrolled.withColumn(
-        "_lookup", F.when(clean, F.coalesce("_first", enrol_error, no_employee))
-    ).drop("plan_verdict")
+    enrolled = hold(
+        enrolled.withColumn("_lookup", F.coalesce("_first", enrol_error, no_employee)).drop("plan_verdict"), "enrolled"
+    )
 
-    adds = enrolled.where(clean & F.col("_lookup").isNull())
+    adds = enrolled.where(F.col("_lookup").isNull())
     deposits = with_plan_verdict(
         out.where(code == "IH"), ee_plans, ["EmployerId", "EmployeeID", "AccountTypeCode"], order, adds
     )
     deposit_error = plan_error("AccountTypeCode", "EmployeeID", "Employee Id", F.col("plan_verdict"))
-    deposits = deposits.withColumn(
-        "_lookup", F.when(clean, F.coalesce("_first", deposit_error, no_employee))
-    ).drop("plan_verdict")
-
-    others = out.where(F.coalesce(~code.isin("IC", "IH"), F.lit(True))).withColumn(
-        "_lookup", F.when(clean, F.coalesce("_first", no_employee))
+    deposits = hold(
+        deposits.withColumn("_lookup", F.coalesce("_first", deposit_error, no_employee)).drop("plan_verdict"), "deposits"
     )
-    checked = enrolled.unionByName(deposits).unionByName(others)
-    return add_error(checked, F.col("_lookup")).select(*rows.columns)
+    repeats = repeat_deposits(deposits.where(F.col("_lookup").isNull()), history)
+
+    others = out.where(~code.isin("IC", "IH")).withColumn("_lookup", F.coalesce("_first", no_employee))
+    failed = [d.where(F.col("_lookup").isNotNull()).select(*ROW_ID, "_lookup") for d in (enrolled, deposits, others, repeats)]
+    return reduce(DataFrame.unionByName, failed).select(*ROW_ID, F.array("_lookup").cast(ERROR_TYPE).alias("found"))
 
 
 # --- repeat postings -----------------------------------------------------------------------
@@ -320,28 +343,26 @@ DEPOSIT_KEYS = [
 ]
 
 
-def flag_repeat_deposits(
+def repeat_deposits(
     rows: DataFrame, history: DataFrame | None = None, history_order: str = "row_id", batch: str = "file_seq",
     row: str = "source_row_no",
 ) -> DataFrame:
-    """Add the repeat-posting error to clean deposit rows that were posted before.
+    """Add ``_lookup``, the repeat-posting error, to deposit rows that were posted before.
 
     ``history`` holds stored rows with ``file``, ``created_at``, ``check_type`` and ``error_message``.
     """
-    counts = (F.col("row_type") == "IH") & ~has_error()
     dated = rows if "created_at" in rows.columns else rows.withColumn("created_at", F.current_timestamp())
     if history is not None:
         history = history.where(
             (F.col("check_type") == "PreCheck") & (T.text("error_message") == "") & (F.col("row_type") == "IH")
         )
     report = {"file": F.col("file"), "on": V.iso_date(F.col("created_at"))}
-    found = earlier_posting(dated, DEPOSIT_KEYS, batch, row, report, history, history_order, counts)
+    found = earlier_posting(dated, DEPOSIT_KEYS, batch, row, report, history, history_order)
     text = F.concat(
         F.lit("Potential Duplicate Posting! Was probably posted earlier on '"), F.col("earlier.on"),
         F.lit("' as part of file '"), F.col("earlier.file"), F.lit("'"),
     )
-    flagged = F.when(F.col("earlier").isNotNull(), error("DuplicatePosting", text))
-    return add_error(found, flagged).select(*rows.columns)
+    return found.withColumn("_lookup", F.when(F.col("earlier").isNotNull(), error("DuplicatePosting", text)))
 
 
 # --- platform C ----------------------------------------------------------------------------
@@ -510,7 +531,10 @@ def check_main_rows(
     return out.select(*mains.columns, "client_id", "client_division_id", (~bad).alias("main_ok"))
 
 
-def check_c_rows(
+C_KEYS = ["row_type", "ClientName", "ClientDivisionName", "SSN", "PlanName"]
+
+
+def lookup_errors_c(
     rows: DataFrame,
     clients: DataFrame,
     divisions: DataFrame,
@@ -518,15 +542,18 @@ def check_c_rows(
     plans: DataFrame,
     plan_links: DataFrame,
     fail_if_exists: bool = False,
-    file_col: str = "file",
-    order: str = "source_row_no",
+    hold: Callable[[DataFrame, str], DataFrame] = lambda df, label: df,
 ) -> DataFrame:
-    """Reference checks of platform C: main rows, the main row above each other row, and plans."""
-    from .parents import last_parent
+    """The errors of the reference checks of platform C: ``file, source_row_no, found``.
 
+    Main rows are looked up, every other row gets the main row above it, and plan rows are checked
+    against the client of theirs. Rows that failed a rule are checked all the same.
+    """
+    file_col, order = ROW_ID
     code = F.col("row_type")
+    rows = rows.select(*ROW_ID, *C_KEYS, no_errors().alias("errors"))
     main = F.coalesce(code.isin(*MAIN_CODES), F.lit(False))
-    mains = check_main_rows(rows.where(main), clients, divisions, members, fail_if_exists)
+    mains = hold(check_main_rows(rows.where(main), clients, divisions, members, fail_if_exists), "mains")
     others = rows.where(~main).withColumns(
         {
             "client_id": F.lit(None).cast(mains.schema["client_id"].dataType),
@@ -574,7 +601,8 @@ def check_c_rows(
     )
     planned = add_error(planned, F.when(no_plan.isNotNull(), error("No Such Plan Found", no_plan)))
     rest = placed.where(~F.col("_plan_row"))
-    return planned.select(*rows.columns).unionByName(rest.select(*rows.columns))
+    both = planned.select(*ROW_ID, "errors").unionByName(rest.select(*ROW_ID, "errors"))
+    return both.where(has_error()).withColumnRenamed("errors", "found")
 
 
 def period_status(value: Column, start: Column, end: Column) -> Column:

@@ -91,17 +91,18 @@ def check_a(
     lines: DataFrame, masters: MastersA, history: DataFrame | None = None, options: CheckOptions = CheckOptions()
 ) -> tuple[DataFrame, DataFrame]:
     """Checked rows of platform A files, ready to store, and the files with a wrong layout."""
+    hold = stage if options.staged else _as_is
     validated, wrong = validate_a(lines, options)
-    if options.staged:
-        validated = stage(validated, "a-rows")
-    looked_up = lookups.check_a_rows(
+    validated = hold(validated, "a-rows")
+    found = lookups.lookup_errors_a(
         validated, masters.employers, masters.employees, masters.employer_plans, masters.employee_plans,
-        options.tpa_id, options.require_tpa,
+        options.tpa_id, options.require_tpa, history, hold,
     )
-    if options.staged:
-        looked_up = stage(looked_up, "a-lookups")
-    flagged = lookups.flag_repeat_deposits(looked_up, history)
-    return _storable(flagged, options), wrong
+    return _storable(lookups.attach_errors(validated, found), options), wrong
+
+
+def _as_is(df: DataFrame, label: str) -> DataFrame:
+    return df
 
 
 def validate_c(lines: DataFrame, options: CheckOptions = CheckOptions()) -> DataFrame:
@@ -125,14 +126,13 @@ def validate_c(lines: DataFrame, options: CheckOptions = CheckOptions()) -> Data
 
 def check_c(lines: DataFrame, masters: MastersC, options: CheckOptions = CheckOptions()) -> DataFrame:
     """Checked rows of platform C files, ready to store."""
-    validated = validate_c(lines, options)
-    if options.staged:
-        validated = stage(validated, "c-rows")
-    looked_up = lookups.check_c_rows(
+    hold = stage if options.staged else _as_is
+    validated = hold(validate_c(lines, options), "c-rows")
+    found = lookups.lookup_errors_c(
         validated, masters.clients, masters.divisions, masters.members, masters.plans, masters.plan_links,
-        options.fail_if_member_exists,
+        options.fail_if_member_exists, hold,
     )
-    return _storable(looked_up, options)
+    return _storable(lookups.attach_errors(validated, found), options)
 
 
 def _storable(rows: DataFrame, options: CheckOptions) -> DataFrame:
