@@ -67,9 +67,20 @@ def upsert(
     return kept.unionByName(batch, allowMissingColumns=True)
 
 
+ROWS_PER_BUCKET_UNIT = 1_000_000
+
+
 def key_bucket(keys: list[str], buckets: int = 256) -> Column:
-    """The storage bucket of a key; rows of one file spread over all buckets."""
-    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+    """The storage bucket of a key.
+
+    Rows of a file stay together, so that a batch of few files touches few buckets, but a very
+    large file is spread by ranges of its rows. Other keys are spread by hash.
+    """
+    if keys == ROW_KEY:
+        parts = [F.col("file"), F.floor(F.col("source_row_no") / ROWS_PER_BUCKET_UNIT)]
+    else:
+        parts = [F.col(k) for k in keys]
+    return F.pmod(F.xxhash64(*parts), F.lit(buckets)).cast("int")
 
 
 def upsert_table(
@@ -84,20 +95,21 @@ def upsert_table(
 
     Only buckets that the batch touches are read and rewritten. The new buckets are first written
     to the scratch folder, so the table is never read and overwritten in one plan, and a failed
-    run can be repeated: the outcome depends only on table and batch.
+    run can be repeated: the outcome depends only on table and batch. Choose ``buckets`` so that
+    one holds a few gigabytes; adaptive execution cuts a bucket into files of a good size.
     """
     batch = batch.withColumn("bucket", key_bucket(keys, buckets))
-    if _has_table(spark, path):
+    if has_table(spark, path):
+        # At most ``buckets`` numbers.
         touched = batch.select("bucket").distinct()
         current = spark.read.parquet(path).join(F.broadcast(touched), "bucket", "left_semi")
         merged = upsert(current, batch, keys, order)
     else:
         merged = batch if order is None else latest_per_key(batch, keys, order)
     held = scratch_path(spark, "upsert")
-    merged.repartition("bucket").write.partitionBy("bucket").parquet(held)
+    merged.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(held)
     (
         spark.read.parquet(held)
-        .repartition("bucket")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("bucket")
@@ -105,7 +117,7 @@ def upsert_table(
     )
 
 
-def _has_table(spark: SparkSession, path: str) -> bool:
+def has_table(spark: SparkSession, path: str) -> bool:
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
     return bool(fs.exists(fs.makeQualified(hadoop_path)))
@@ -124,10 +136,6 @@ def replace_period(
     archive: DataFrame, current: DataFrame, period: list[str] = ["statement_year", "statement_month"]
 ) -> DataFrame:
     """The archive with the periods that ``current`` holds replaced by its rows."""
-    return upsert_periods(archive, current, period)
-
-
-def upsert_periods(archive: DataFrame, current: DataFrame, period: list[str]) -> DataFrame:
     held = current.select(*[F.col(p).alias(f"_p{i}") for i, p in enumerate(period)]).distinct()
     same = reduce(lambda a, b: a & b, [archive[p] == held[f"_p{i}"] for i, p in enumerate(period)])
     return archive.join(held, same, "left_anti").unionByName(current, allowMissingColumns=True)

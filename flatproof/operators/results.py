@@ -160,7 +160,7 @@ def rows_with_codes(
     """
     size = codes.agg(F.min(F.length(code_col))).first()[0]
     if not size:
-        return rows.join(codes, F.lit(False))
+        return rows.withColumn(code_col, F.lit(None).cast("string")).where(F.lit(False))
     keyed = codes.where(T.text(code_col) != "").distinct().withColumn("_piece", F.left(F.col(code_col), F.lit(size)))
     last = F.length(text_col) - F.lit(size - 1)
     pieces = F.when(
@@ -169,6 +169,4 @@ def rows_with_codes(
     cut = rows.select("*", F.explode(pieces).alias("_piece"))
     hits = cut.join(keyed, "_piece").drop("_piece")
     place = F.position(F.col(code_col), F.col(text_col))
-    if after_first:
-        return hits.where(F.position(F.col(code_col), F.col(text_col), F.lit(1)) > 1)
-    return hits.where(place > 0)
+    return hits.where(place > (1 if after_first else 0))

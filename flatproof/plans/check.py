@@ -62,8 +62,14 @@ def wrong_layout_files(header_types: DataFrame) -> DataFrame:
 
 
 def validate_a(lines: DataFrame, options: CheckOptions = CheckOptions()) -> tuple[DataFrame, DataFrame]:
-    """Numbered lines of platform A files as validated rows, and the files with a wrong layout."""
+    """Numbered lines of platform A files as validated rows, and the files with a wrong layout.
+
+    The lines are read twice: once for the header types, which are one row per file and record
+    type, and once for the rows. Numbered lines that come straight from text are worth a stage.
+    """
     found = K.header_types(lines)
+    if options.staged:
+        found = stage(found, "header-types")
     wrong = wrong_layout_files(found)
     kept = lines.where(K.is_a_import_line(F.col("line"), options.notices) | K.is_a_header_line(F.col("line")))
     good = kept.join(broadcast_bounded(wrong.select("file"), options.max_files), "file", "left_anti")

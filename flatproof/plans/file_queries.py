@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import values as V
+from ..operators.classify import classify_files
 from ..operators.parse import delimited_line
-from ..session import spread_small
+from ..session import spread_small, stage
 from ..spec import platform_a_layouts, platform_c_layouts
 from . import check
 from .queries import money, query, table
@@ -77,7 +77,7 @@ def a_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     lines = members.unionByName(plans).unionByName(deposits)
     arrived = F.when(F.col("file").endswith("_a"), 1).otherwise(2)
-    return lines.withColumn("modified", F.timestamp_seconds(arrived))
+    return stage(lines.withColumn("modified", F.timestamp_seconds(arrived)), "a-files")
 
 
 def a_masters(spark: SparkSession, sf_dir: str) -> check.MastersA:
@@ -172,9 +172,10 @@ def c_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     exploded = home.select(
         F.concat(F.lit("region_"), F.col("r_regionkey").cast("string")).alias("file"), "c_custkey", F.explode(entries).alias("e")
     )
-    return exploded.select(
+    lines = exploded.select(
         "file", (F.col("c_custkey") * 3 + F.col("e.n") + 1).alias("source_row_no"), F.col("e.line").alias("line")
     )
+    return stage(lines, "c-files")
 
 
 def c_masters(spark: SparkSession, sf_dir: str) -> check.MastersC:
@@ -232,8 +233,6 @@ SELECT file, n AS row_count, bad AS error_rows, CASE WHEN bad > 0 THEN 'PartialF
 )
 def file_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where each checked platform A file goes."""
-    from ..operators.classify import classify_files
-
     lines = a_lines(spark, sf_dir)
     rows, wrong = check.check_a(lines, a_masters(spark, sf_dir))
     outcome = check.outcomes(rows, wrong)

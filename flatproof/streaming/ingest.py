@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.merge import upsert_table
+from ..operators.merge import has_table, upsert_table
 
 
 def stream_lines(spark: SparkSession, path: str, mask: str | None = None, files_per_trigger: int = 1000) -> DataFrame:
@@ -56,8 +56,6 @@ def ingest(
 
 
 def _earlier_batches(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
-    from ..operators.merge import _has_table
-
-    if not _has_table(spark, path):
+    if not has_table(spark, path):
         return None
     return spark.read.parquet(path).where(F.col("batch_id") < batch_id)

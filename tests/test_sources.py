@@ -120,7 +120,7 @@ def test_quarantine(spark, tmp_path):
 
 def test_upsert_table_touches_only_its_buckets(spark, tmp_path):
     path = str(tmp_path / "t")
-    make = lambda lo, hi, v: spark.range(lo, hi).selectExpr("'f' as file", "id as source_row_no", f"{v} as v")
+    make = lambda lo, hi, v: spark.range(lo, hi).selectExpr("concat('f', id) as file", "id as source_row_no", f"{v} as v")
     merge.upsert_table(spark, path, make(0, 40, 1), buckets=8)
     before = {b: sorted(os.listdir(os.path.join(path, b))) for b in os.listdir(path) if b.startswith("bucket=")}
     merge.upsert_table(spark, path, make(39, 42, 2).unionByName(make(39, 40, 3)), order=F.col("v"), buckets=8)
@@ -130,6 +130,8 @@ def test_upsert_table_touches_only_its_buckets(spark, tmp_path):
     assert sum(before.get(b) == files for b, files in after.items()) >= 5
     merge.upsert_table(spark, path, make(39, 42, 2), buckets=8)
     assert spark.read.parquet(path).count() == 42
+    one = spark.range(1, 5_000_000, 400_000).selectExpr("'big' as file", "id as source_row_no")
+    assert one.select(merge.key_bucket(merge.ROW_KEY)).distinct().count() > 3
 
 
 def test_period_is_replaced(spark, tmp_path):
