@@ -132,13 +132,11 @@ def clean_invoices(rows: DataFrame, year: int, month: str) -> DataFrame:
     return rows.withColumns({**amounts, **texts, **period})
 
 
-def replace_period(
-    archive: DataFrame, current: DataFrame, period: list[str] = ["statement_year", "statement_month"]
-) -> DataFrame:
-    """The archive with the periods that ``current`` holds replaced by its rows."""
-    held = current.select(*[F.col(p).alias(f"_p{i}") for i, p in enumerate(period)]).distinct()
-    same = reduce(lambda a, b: a & b, [archive[p] == held[f"_p{i}"] for i, p in enumerate(period)])
-    return archive.join(held, same, "left_anti").unionByName(current, allowMissingColumns=True)
+def replace_period(archive: DataFrame, current: DataFrame, year: int, month: str) -> DataFrame:
+    """The archive with one period replaced by the current rows, also where there are none."""
+    same = (F.col("statement_year") == year) & (F.col("statement_month") == month.strip().upper())
+    kept = archive.where(~F.coalesce(same, F.lit(False)))
+    return kept.unionByName(current, allowMissingColumns=True)
 
 
 def write_period(rows: DataFrame, path: str, period: list[str] = ["statement_year", "statement_month"]) -> None:

@@ -831,7 +831,7 @@ def period_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderpriority").alias("memo"), F.lit(None).cast(V.MONEY).alias("qty"),
         F.lit(None).cast(V.MONEY).alias("sales_price"), amount.alias("amount"), F.lit(None).cast(V.MONEY).alias("open_balance"),
     )
-    replaced = merge.replace_period(archive, merge.clean_invoices(current, 1998, " March"))
+    replaced = merge.replace_period(archive, merge.clean_invoices(current, 1998, " March"), 1998, "March")
     return replaced.groupBy("statement_year", "statement_month", "memo").agg(
         F.count("*").alias("row_count"), F.sum("amount").cast(V.MONEY).alias("amount")
     )
@@ -882,8 +882,10 @@ def account_managers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def error_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Error codes with their texts, taken from the line flags."""
     flags = table(spark, sf_dir, "lineitem").select("l_returnflag").distinct()
-    return flags.where("l_returnflag = 'A'").select(
-        F.lit("15028").alias("error_code"), F.lit("Employer must be active").alias("user_desc")
+    known = F.col("l_returnflag") == "A"
+    return flags.select(
+        F.when(known, "15028").otherwise(F.concat(F.lit("9"), F.col("l_returnflag"))).alias("error_code"),
+        F.when(known, "Employer must be active").otherwise("Unused").alias("user_desc"),
     )
 
 
