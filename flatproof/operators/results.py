@@ -14,8 +14,10 @@ SENT_NAME = r"([^,\"]*?\.(?i:mbi|csv))"
 def sent_file_names(rows: DataFrame, result_file: str = "result_file", order: str = "source_row_no",
                     row_col: str = "error_row") -> DataFrame:
     """Per result file the sent-file name in its first row that holds one."""
-    # The header's second value; the row itself is not kept in the aggregation.
-    name = F.trim(F.regexp_extract(F.col(row_col), SENT_NAME, 1))
+    # The pattern is only tried on rows that hold a file ending, which few do.
+    text = F.lower(F.col(row_col))
+    named = text.contains(".mbi") | text.contains(".csv")
+    name = F.when(named, F.trim(F.regexp_extract(F.col(row_col), SENT_NAME, 1))).otherwise("")
     at = F.when(name != "", F.col(order))
     return rows.groupBy(result_file).agg(F.min_by(name, at).alias("sent_file"))
 

@@ -159,6 +159,12 @@ def outcomes(rows: DataFrame, wrong: DataFrame | None = None) -> DataFrame:
     return counted.unionByName(failed)
 
 
+def run_reports(results: DataFrame) -> DataFrame:
+    """One JSON text per file, for whoever waits for the outcome."""
+    body = F.struct("file", "outcome", F.col("outcome_code").alias("code"), "row_count", "error_rows")
+    return results.select("file", F.to_json(body).alias("report"))
+
+
 def deliver(rows: DataFrame, platform: str, batch_id: Column | None = None, max_files: int | None = None) -> DataFrame:
     """Output lines of checked files: ``out_file, row_no, file_row``."""
     splits = export.export_splits(rows, batch_id, platform=platform)

@@ -2,21 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.classify import classify_files
 from ..operators.parse import delimited_line
 from ..session import spread_small, stage
 from ..spec import platform_a_layouts, platform_c_layouts
-from . import check
-from .queries import money, query, table
+from . import check, reconcile
+from .queries import account_managers, error_catalogue, money, query, table
 
 LATE = 5_000_000_000_000
 DEPOSITS = 1_000_000_000_000
 
 
-def _line(code: str, names: list[str], values: dict) -> DataFrame:
+def _line(code: str, names: list[str], values: dict) -> Column:
     """A line of a layout; fields without a value stay blank."""
     cells = [values.get(n, "") for n in names]
     return delimited_line(F.lit(code), *[F.lit(c) if isinstance(c, str) else c for c in cells])
@@ -272,3 +272,49 @@ def standard_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.groupBy("file").agg(
         F.max(F.when(is_head, F.col("line"))).alias("header"), F.count_if(~is_head).alias("line_count")
     )
+
+
+RESULT_LINES_CTE = """
+li AS (SELECT 'res_' || l_returnflag || '.csv' AS rf, l_orderkey, l_linenumber, l_suppkey, l_partkey,
+    CASE WHEN l_discount > 0.05 THEN '15028' WHEN l_tax > 0.04 THEN '0' ELSE '777' END AS code, l_linestatus = 'O' AS is_rb FROM lineitem),
+err AS (SELECT DISTINCT 'sent_' || substr(rf, 5, 1) || '.mbi' AS sent_file, 'NATION_' || (l_suppkey % 25) AS er, code,
+    CASE WHEN is_rb THEN 'RB' ELSE 'RC' END AS row_type, l_orderkey * 10 + l_linenumber AS n,
+    CASE WHEN code = '15028' THEN 'Employer must be active' WHEN is_rb THEN 'own text' END AS msg, l_partkey, l_suppkey
+  FROM li WHERE code <> '0')"""
+
+
+@query(
+    f"""WITH {RESULT_LINES_CTE}
+SELECT e.sent_file, e.row_type, e.code AS error_code, e.msg AS error_message, m.crm, count(*) AS row_count,
+  count(s.l_orderkey) AS matched
+FROM (SELECT DISTINCT sent_file, row_type, code, msg, er, n, l_partkey, l_suppkey FROM err) e
+LEFT JOIN (SELECT DISTINCT 'sent_' || l_returnflag || '.mbi' AS f, l_orderkey, l_orderkey * 10 + l_linenumber AS n FROM lineitem
+  WHERE l_quantity > 25) s ON s.f = e.sent_file AND s.n = e.n
+LEFT JOIN (SELECT n_name, 'mgr ' || n_regionkey AS crm FROM nation WHERE n_nationkey < 20) m ON m.n_name = e.er
+GROUP BY 1, 2, 3, 4, 5"""
+)
+def result_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Result files from lines to a report: two record layouts, sent names, texts, sent rows, managers."""
+    li = spread_small(table(spark, sf_dir, "lineitem"))
+    code = F.when(F.col("l_discount") > 0.05, "15028").when(F.col("l_tax") > 0.04, "0").otherwise("777")
+    er = F.concat(F.lit("NATION_"), (F.col("l_suppkey") % 25).cast("string"))
+    ee = F.concat_ws("-", F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string"))
+    known = F.when(code == "15028", "").otherwise("own text")
+    rb = delimited_line(F.lit("RB"), er, ee, code, known)
+    rc = delimited_line(F.lit("RC"), er, ee, F.lit("PLAN-1"), F.lit("20240101"), F.lit("20241231"), code)
+    number = F.col("l_orderkey") * 10 + F.col("l_linenumber")
+    file = F.concat(F.lit("out/res_"), F.col("l_returnflag"), F.lit(".csv"))
+    body = li.select(
+        file.alias("file"), number.alias("source_row_no"), F.when(F.col("l_linestatus") == "O", rb).otherwise(rc).alias("line")
+    )
+    head = F.concat(F.lit("RA,sent_"), F.col("l_returnflag"), F.lit(".mbi,Result Template"))
+    heads = li.select(file.alias("file"), F.lit(0).cast("bigint").alias("source_row_no"), head.alias("line")).distinct()
+    sent = li.where("l_quantity > 25").select(
+        F.concat(F.lit("sent_"), F.col("l_returnflag"), F.lit(".mbi")).alias("file"), number.alias("row_num"),
+        F.lit("line").alias("data_row"),
+    ).distinct()
+    loaded = reconcile.load_results(heads.unionByName(body), error_catalogue(spark, sf_dir))
+    report = reconcile.error_report(loaded, sent, account_managers(spark, sf_dir))
+    return report.groupBy("sent_file", "row_type", "error_code", "error_message", "crm").agg(
+        F.count("*").alias("row_count"), F.count("sent_row_num").alias("matched")
+    )

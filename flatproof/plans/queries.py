@@ -84,12 +84,14 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise("no")
     )
     at = F.when(F.col("o_custkey") % 11 == 0, "").otherwise("@")
-    line = delimited_line(
+    # Only the price holds commas.
+    line = F.concat_ws(
+        ",",
         F.lit("OR"),
         F.concat(F.lit(" "), F.col("o_orderkey").cast("string")),
         F.col("o_custkey").cast("string"),
         F.col("o_orderstatus"),
-        price,
+        T.csv_quote(price),
         date,
         F.col("o_orderpriority"),
         F.when(F.col("o_orderstatus") == "F", "client").otherwise(""),

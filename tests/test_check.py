@@ -75,6 +75,9 @@ def test_platform_a_end_to_end(spark, numbered, masters):
         "one": ("PartialFail", "300"), "two": ("PartialFail", "300"), "wrong": ("CompleteFail", "400")
     }
 
+    report = check.run_reports(check.outcomes(rows, wrong)).where("file = 'wrong'").first()["report"]
+    assert '"outcome":"CompleteFail"' in report and '"code":"400"' in report
+
     splits = export.export_splits(rows, F.lit("B9")).cache()
     by_split = {}
     for r in splits.where("file = 'one'").orderBy("split", "row_no").collect():
@@ -246,3 +249,20 @@ def test_routing(spark, numbered):
         "in/a.mbi": "a/passed", "in/b_test.mbi": "a/test", "in/c.csv": "c/empty", "in/d.txt": "unknown/holding",
         "in/e.csv": "c/rejects",
     }
+
+
+def test_result_files(spark, numbered):
+    from flatproof.plans.reconcile import load_results
+
+    lines = numbered(
+        r1=[
+            "RA,EMP001_IB_AL_20240115.mbi,Result Template", "RB,EMP001,123456789,0,", "RC,EMP001,123456789,PLAN-1,20240101,20241231,15028",
+            "RE,EMP001,123456789,D1,PLAN-1,20240101,20241231,99,own", "not a result", "RZ,EMP001,123456789, 15028 ,",
+        ],
+    )
+    codes = spark.createDataFrame([("15028", "inactive")], "error_code string, user_desc string")
+    out = {r["source_row_no"]: r for r in load_results(lines, codes).collect()}
+    assert sorted(out) == [1, 2, 3, 4, 6]
+    assert {r["sent_file"] for r in out.values()} == {"EMP001_IB_AL_20240115.mbi"}
+    assert (out[1]["error_code"], out[3]["PlanId"], out[3]["error_message"]) == (None, "PLAN-1", "inactive")
+    assert (out[4]["DependentID"], out[4]["error_message"], out[6]["error_message"]) == ("D1", "own", "inactive")
