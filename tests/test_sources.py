@@ -49,10 +49,11 @@ def test_line_numbers_over_many_splits(spark, tmp_path):
         assert big == [(i, f"line {i}") for i in range(1, 5001)]
         assert [(r["source_row_no"], r["line"]) for r in got if r["name"] == "small.txt"] == [(1, "one"), (2, "two"), (3, "three")]
         assert [r["source_row_no"] for r in got if r["line"] == "b"] == [4]
-        dense = L.number_lines(src, skip_blank=True, max_files=3).select(base, "source_row_no", "line").collect()
+        dense = L.number_lines(src, skip_blank=True).select(base, "source_row_no", "line").collect()
         assert [(r["source_row_no"], r["line"]) for r in dense if r["name"] == "blank.txt"] == [(1, "a"), (2, "b")]
-        plan = L.number_lines(src, max_files=3)._jdf.queryExecution().executedPlan().toString()
-        assert "BroadcastHashJoin" in plan
+        plan = L.number_lines(src)._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        assert src.select("part", "block").distinct().count() <= L.max_blocks(src) < 200
     finally:
         for k, v in old.items():
             spark.conf.set(k, v) if v else spark.conf.unset(k)
