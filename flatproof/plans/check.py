@@ -166,9 +166,15 @@ def run_reports(results: DataFrame) -> DataFrame:
 
 
 def deliver(rows: DataFrame, platform: str, batch_id: Column | None = None, max_files: int | None = None) -> DataFrame:
-    """Output lines of checked files: ``out_file, row_no, file_row``."""
+    """Output lines of checked files: ``out_file, row_no, file_row``.
+
+    Pass stored rows: they are read for the outcomes, for the header counts and for the lines. The
+    outcomes, one row per file, are staged, so that Spark joins them by their true size and does
+    not shuffle the lines of large files by name.
+    """
+    results = stage(outcomes(rows), "outcomes")
     splits = export.export_splits(rows, batch_id, platform=platform)
-    chosen = export.outputs_of_files(splits, outcomes(rows), max_files=max_files)
+    chosen = export.outputs_of_files(splits, results, max_files=max_files)
     name = export.output_name(K.base_name(F.col("file")), F.col("split"), F.lit(platform))
     plain = F.when(F.col("outcome") == "Ok", K.base_name(F.col("file"))).otherwise(name)
     return chosen.select(plain.alias("out_file"), "row_no", "file_row")

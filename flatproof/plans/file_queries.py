@@ -277,7 +277,7 @@ def standard_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
 RESULT_LINES_CTE = """
 li AS (SELECT 'res_' || l_returnflag || '.csv' AS rf, l_orderkey, l_linenumber, l_suppkey, l_partkey,
     CASE WHEN l_discount > 0.05 THEN '15028' WHEN l_tax > 0.04 THEN '0' ELSE '777' END AS code, l_linestatus = 'O' AS is_rb FROM lineitem),
-err AS (SELECT DISTINCT 'sent_' || substr(rf, 5, 1) || '.mbi' AS sent_file, 'NATION_' || (l_suppkey % 25) AS er, code,
+err AS (SELECT DISTINCT 'sent_' || substr(rf, 5, 1) || '.mbi' AS sent_file, 'NATION_' || (l_suppkey % 30) AS er, code,
     CASE WHEN is_rb THEN 'RB' ELSE 'RC' END AS row_type, l_orderkey * 10 + l_linenumber AS n,
     CASE WHEN code = '15028' THEN 'Employer must be active' WHEN is_rb THEN 'own text' END AS msg, l_partkey, l_suppkey
   FROM li WHERE code <> '0')"""
@@ -290,14 +290,14 @@ SELECT e.sent_file, e.row_type, e.code AS error_code, e.msg AS error_message, m.
 FROM (SELECT DISTINCT sent_file, row_type, code, msg, er, n, l_partkey, l_suppkey FROM err) e
 LEFT JOIN (SELECT DISTINCT 'sent_' || l_returnflag || '.mbi' AS f, l_orderkey, l_orderkey * 10 + l_linenumber AS n FROM lineitem
   WHERE l_quantity > 25) s ON s.f = e.sent_file AND s.n = e.n
-LEFT JOIN (SELECT n_name, 'mgr ' || n_regionkey AS crm FROM nation WHERE n_nationkey < 20) m ON m.n_name = e.er
+LEFT JOIN (SELECT n_name, 'mgr ' || n_regionkey AS crm FROM nation) m ON m.n_name = e.er
 GROUP BY 1, 2, 3, 4, 5"""
 )
 def result_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Result files from lines to a report: two record layouts, sent names, texts, sent rows, managers."""
     li = spread_small(table(spark, sf_dir, "lineitem"))
     code = F.when(F.col("l_discount") > 0.05, "15028").when(F.col("l_tax") > 0.04, "0").otherwise("777")
-    er = F.concat(F.lit("NATION_"), (F.col("l_suppkey") % 25).cast("string"))
+    er = F.concat(F.lit("NATION_"), (F.col("l_suppkey") % 30).cast("string"))
     ee = F.concat_ws("-", F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string"))
     known = F.when(code == "15028", "").otherwise("own text")
     rb = delimited_line(F.lit("RB"), er, ee, code, known)

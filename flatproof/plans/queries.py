@@ -676,14 +676,14 @@ def client_division(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """SELECT r_name AS client_name, n_name AS division_name FROM region
-LEFT JOIN (SELECT * FROM nation WHERE n_regionkey <> 3) ON r_regionkey = n_regionkey"""
+    """SELECT c_name AS client_name, event_type AS division_name FROM customer
+LEFT JOIN (SELECT DISTINCT user_id, event_type FROM events) ON user_id = c_custkey"""
 )
 def clients_with_divisions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    clients = table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("client_id"), F.col("r_name").alias("client_name"))
-    divisions = table(spark, sf_dir, "nation").where("n_regionkey <> 3").select(
-        F.col("n_regionkey").alias("client_id"), F.col("n_name").alias("division_name")
-    )
+    clients = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("client_id"), F.col("c_name").alias("client_name"))
+    divisions = table(spark, sf_dir, "events").select(
+        F.col("user_id").alias("client_id"), F.col("event_type").alias("division_name")
+    ).distinct()
     return lookups.clients_with_divisions(clients, divisions).select("client_name", "division_name")
 
 
@@ -843,11 +843,11 @@ def period_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 RESULT_CTE = """
 sent AS (SELECT 'sent_' || (o_custkey % 40) || '.mbi' AS file, o_orderkey AS row_num, 'OR,' || o_orderkey || ',' || o_orderstatus AS data_row FROM orders),
-res AS (SELECT 'sent_' || (l_suppkey % 50) || '.mbi' AS sent_file, l_orderkey AS row_num, 'NATION_' || (l_suppkey % 25) AS er,
+res AS (SELECT 'sent_' || (l_suppkey % 50) || '.mbi' AS sent_file, l_orderkey AS row_num, 'NATION_' || (l_suppkey % 30) AS er,
   CASE l_returnflag WHEN 'N' THEN '0' WHEN 'A' THEN '15028' ELSE CASE WHEN l_linestatus = 'O' THEN 'X1' ELSE '20001' END END AS code FROM lineitem),
 err AS (SELECT sent_file, row_num, er, code, CASE code WHEN '15028' THEN 'Employer must be active' END AS msg FROM res
   WHERE TRY_CAST(code AS DOUBLE) IS NOT NULL AND code > '0'),
-crm AS (SELECT n_name AS bencode, 'mgr ' || n_regionkey AS crm FROM nation WHERE n_nationkey < 20)"""
+crm AS (SELECT n_name AS bencode, 'mgr ' || n_regionkey AS crm FROM nation)"""
 
 
 def sent_and_results(spark: SparkSession, sf_dir: str):
@@ -865,7 +865,7 @@ def sent_and_results(spark: SparkSession, sf_dir: str):
     res = table(spark, sf_dir, "lineitem").select(
         F.concat(F.lit("sent_"), (F.col("l_suppkey") % 50).cast("string"), F.lit(".mbi")).alias("sent_file"),
         F.col("l_orderkey").alias("row_num"),
-        F.concat(F.lit("NATION_"), (F.col("l_suppkey") % 25).cast("string")).alias("EmployerId"),
+        F.concat(F.lit("NATION_"), (F.col("l_suppkey") % 30).cast("string")).alias("EmployerId"),
         code.alias("error_code"),
         F.lit("").alias("error_message"),
         F.lit("RB").alias("row_type"),
@@ -874,8 +874,7 @@ def sent_and_results(spark: SparkSession, sf_dir: str):
 
 
 def account_managers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = table(spark, sf_dir, "nation").where("n_nationkey < 20")
-    return n.select(
+    return table(spark, sf_dir, "nation").select(
         F.col("n_name").alias("bencode"), F.concat(F.lit("mgr "), F.col("n_regionkey").cast("string")).alias("crm"),
         F.lit("m@example.org").alias("crm_email"),
     )
@@ -951,7 +950,7 @@ def queue_inputs(spark: SparkSession, sf_dir: str):
         F.col("event_id").alias("error_row_num"),
         code.alias("error_code"),
         F.concat(F.lit("error "), code).alias("error_message"),
-        F.concat(F.lit("NATION_"), (F.col("user_id") % 25).cast("string")).alias("EmployerId"),
+        F.concat(F.lit("NATION_"), (F.col("user_id") % 30).cast("string")).alias("EmployerId"),
         F.lit("").alias("crm"),
         "value",
     )
@@ -962,7 +961,7 @@ def queue_inputs(spark: SparkSession, sf_dir: str):
     queue = errors.where("value < 10").drop("value").withColumns(
         {c: F.lit(True) for c in ("crm_check", "proc_check", "archive_check")}
     )
-    managers = table(spark, sf_dir, "nation").where("n_nationkey < 20").select(
+    managers = table(spark, sf_dir, "nation").select(
         F.col("n_name").alias("bencode"), F.concat(F.lit('""'), F.col("n_name")).alias("crm")
     )
     return results.track_new_errors(errors.drop("value"), tracked, queue, managers)
@@ -981,8 +980,8 @@ def tracked_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     f"""WITH {QUEUE_CTE}
 SELECT sent_file, n AS error_row_num, code AS error_code, n IN (SELECT n FROM queue) AS proc_check,
-  CASE WHEN CAST(substr(sent_file, 6) AS INTEGER) % 25 < 20 THEN 'NATION_' || (CAST(substr(sent_file, 6) AS INTEGER) % 25) ELSE '' END AS crm
-FROM err"""
+  coalesce(n_name, '') AS crm
+FROM err LEFT JOIN nation ON n_name = 'NATION_' || (CAST(substr(sent_file, 6) AS INTEGER) % 30)"""
 )
 def new_error_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, queue = queue_inputs(spark, sf_dir)
