@@ -266,3 +266,31 @@ def test_result_files(spark, numbered):
     assert {r["sent_file"] for r in out.values()} == {"EMP001_IB_AL_20240115.mbi"}
     assert (out[1]["error_code"], out[3]["PlanId"], out[3]["error_message"]) == (None, "PLAN-1", "inactive")
     assert (out[4]["DependentID"], out[4]["error_message"], out[6]["error_message"]) == ("D1", "own", "inactive")
+
+
+def test_from_text_files_to_text_outputs(spark, masters, tmp_path):
+    """Files on disk are read, checked, stored twice, split and written."""
+    from flatproof.operators.merge import upsert_table
+    from flatproof.sources.lines import as_logical_files, number_lines, read_lines
+    from flatproof.sources.sinks import write_lines
+
+    inbox, table, outbox = (str(tmp_path / n) for n in ("inbox", "table", "outbox"))
+    (tmp_path / "inbox").mkdir()
+    good = IH.format(ee="100000001", eff="20240115")
+    (tmp_path / "inbox" / "a.mbi").write_text("\n".join(["IA,XX,TPA01,T", good, "", good.replace(",1,10", ",3,10")]) + "\n")
+    (tmp_path / "inbox" / "b.mbi").write_text(good.replace("20240115", "20240116") + "\n")
+    lines = number_lines(read_lines(spark, [inbox], masks=["*.mbi"]))
+    rows, wrong = check.check_a(lines, masters)
+    assert wrong.count() == 0
+    for _ in range(2):
+        upsert_table(spark, table, rows, buckets=4)
+    stored = spark.read.parquet(table)
+    assert stored.count() == 4
+    write_lines(check.deliver(stored, "A", F.lit("B1")), outbox)
+    out = {}
+    for r in number_lines(as_logical_files(read_lines(spark, [outbox], recursive=True))).orderBy("source_row_no").collect():
+        out.setdefault(r["file"], []).append(r["line"])
+    assert out["a.mbi-1-PassedLines.mbi"] == ["IA,1,TPA01,T,B1", good]
+    assert out["a.mbi-2-RejectedLines.err"][1].endswith("DepositType must always be one of 1. '3' is not valid")
+    assert out["b.mbi"] == [good.replace("20240115", "20240116")]
+    assert len(out) == 6
