@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import scratch_path, stage
 
-__all__ = ["table", "pack", "unpack", "scratch_path", "stage", "binary_lists", "groups_of", "drop_columns"]
-
 #: A word is a run of characters outside this class (ASCII white space).
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -32,17 +31,6 @@ def unpack(packed: DataFrame, columns: Iterable[str], **computed: Column) -> Dat
     return packed.select(*kept, *[c.alias(n) for n, c in computed.items()])
 
 
-def drop_columns(schema_names: Iterable[str], *names: str) -> list[str]:
-    return [c for c in schema_names if c not in names]
-
-
-def binary_lists(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[tuple[list, ...]]:
-    """The columns of each batch that has rows, as Python lists."""
-    for batch in batches:
-        if batch.num_rows:
-            yield tuple(batch.column(n).to_pylist() for n in names)
-
-
 def groups_of(sizes: Iterable[int], limit: int) -> Iterator[slice]:
     """Slices of consecutive items of about ``limit`` in total; an item above the limit stands alone."""
     start, total, i = 0, 0, -1
@@ -53,3 +41,35 @@ def groups_of(sizes: Iterable[int], limit: int) -> Iterator[slice]:
         total += n
     if i >= start:
         yield slice(start, i + 1)
+
+
+def map_texts(
+    rows: DataFrame,
+    text_col: str,
+    computed: str,
+    prepare: Callable[[], Callable[[list[bytes]], list[pa.Array]]],
+    keep: list[str] | None = None,
+    block_bytes: int = 4 << 20,
+) -> DataFrame:
+    """The columns ``keep`` (all by default) and those of the schema text ``computed``, made from the texts.
+
+    ``prepare`` runs once per task and gives a function from some texts, as UTF-8 with null as empty, to one array per
+    computed column. It gets about ``block_bytes`` of texts at a time; a longer text comes alone. A computed column
+    replaces an input column of its name.
+    """
+    fields = T._parse_datatype_string(computed).fields
+    names = {f.name for f in fields}
+    kept = [c for c in (rows.columns if keep is None else keep) if c not in names]
+    schema = T.StructType([*[rows.schema[c] for c in kept], *fields])
+    place = len(kept)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compute = prepare()
+        for batch in batches:
+            texts = [t or b"" for t in batch.column(place).cast(pa.binary()).to_pylist()]
+            for part in groups_of(map(len, texts), block_bytes):
+                own = [batch.column(i).slice(part.start, part.stop - part.start) for i in range(place)]
+                yield pa.RecordBatch.from_arrays([*own, *compute(texts[part])], names=schema.names)
+
+    text = F.col(f"`{text_col}`").alias("text of the row")
+    return rows.select(*[F.col(f"`{c}`") for c in kept], text).mapInArrow(run, schema)
