@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import binary_lists, groups_of, stage
+from .common import groups_of, stage
 from .graph import connected_components
 
 HASH_SEED = 42
