@@ -98,11 +98,12 @@ class FMIndex:
     """Search in a sequence of symbols 1 to ``sigma - 1``; 0 separates and is never searched for."""
 
     def __init__(self, symbols: np.ndarray, sigma: int):
-        levels = max(1, (sigma - 1).bit_length())
+        # All symbols one higher, and an end below all others that stands before the first suffix.
+        sigma, symbols = sigma + 1, np.r_[symbols + 1, 0]
+        levels = (sigma - 1).bit_length()
         sa, _ = suffix_array(symbols, levels)
         sa = sa.astype(np.int64)
         self.size = len(symbols)
-        # The row before the first suffix has no symbol; as the sequence ends with a separator, 0 can stand there.
         self.tree = WaveletTree(symbols[sa - 1], levels, sigma)
         self.below = np.r_[0, np.cumsum(np.bincount(symbols, minlength=sigma))]
         sampled = sa % SAMPLE == 0
@@ -116,7 +117,7 @@ class FMIndex:
         low, high = np.zeros(len(patterns), np.int64), np.full(len(patterns), self.size)
         for i in range(patterns.shape[1]):
             todo = np.flatnonzero((lengths > i) & (low < high))
-            symbol = patterns[todo, -1 - i]
+            symbol = patterns[todo, -1 - i] + 1
             low[todo] = self.below[symbol] + self.tree.rank(symbol, low[todo])
             high[todo] = self.below[symbol] + self.tree.rank(symbol, high[todo])
         return low, np.maximum(low, high)
