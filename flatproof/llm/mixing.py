@@ -6,7 +6,8 @@ number that its interval crosses. Ordered by size, the sample takes long and sho
 the words taken come near the target.
 
 A source may hold a third of all rows. Rows are therefore ranked inside slices (source, size, one of 256 hash
-slices); a table with one row per slice carries the prefix sums. Only DataFrame operations are used.
+slices); a table with one row per slice carries the prefix sums. These are made in two levels: over the bands of
+64 sizes of a source, and inside a band, whose slices are bounded in number. Only DataFrame operations are used.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 
 from .common import WORD, pack, unpack
 
+SIZES_PER_BAND = 64
 KEYS = ["_null", "_source", "_size", "_slice"]
 
 
@@ -30,14 +32,14 @@ def offset_of(seed: int, null: Column, source: Column) -> Column:
     return F.conv(F.substring(F.md5(name), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
 
 
-def source_targets(slices: DataFrame, weights: list[float], max_copies: float) -> DataFrame:
+def source_targets(bands: DataFrame, weights: list[float], max_copies: float) -> DataFrame:
     """Per source its size and target: shares by weight, none above ``max_copies`` times its size.
 
-    ``slices`` has ``_null, _source, _size, _rows``. Sources in order of cap over weight are capped as long as that is
+    ``bands`` has ``_null, _source, _words``. Sources in order of cap over weight are capped as long as that is
     below the level which the remaining weights give; the level is largest where capping ends, so it is a maximum. One
     row per source passes through a single window.
     """
-    sources = slices.groupBy("_null", "_source").agg(F.sum(F.col("_size") * F.col("_rows")).alias("source_size"))
+    sources = bands.groupBy("_null", "_source").agg(F.sum("_words").alias("source_size"))
     by_name = Window.orderBy("_null", "_source")
     place = (F.row_number().over(by_name) - 1) % len(weights)
     sources = sources.withColumn("_weight", F.element_at(F.array(*[F.lit(float(w)) for w in weights]), place + 1))
@@ -78,9 +80,16 @@ def mix_sources(
         _tie=F.xxhash64(F.col(text_col)),
     )
     slices = packed.groupBy(*KEYS).agg(F.count("*").alias("_rows"))
-    before = Window.partitionBy("_null", "_source").orderBy("_size", "_slice").rowsBetween(Window.unboundedPreceding, -1)
-    first = F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_first")
-    placed = slices.select(*KEYS, first).join(source_targets(slices, list(weights), max_copies), ["_null", "_source"])
+    band = [*KEYS[:2], "_band"]
+    slices = slices.withColumn("_band", F.floor(F.col("_size") / SIZES_PER_BAND))
+    bands = slices.groupBy(*band).agg(F.sum("_rows").alias("_rows"), F.sum(F.col("_size") * F.col("_rows")).alias("_words"))
+    earlier_bands = Window.partitionBy(*band[:2]).orderBy("_band").rowsBetween(Window.unboundedPreceding, -1)
+    band_first = F.coalesce(F.sum("_rows").over(earlier_bands), F.lit(0)).alias("_band_first")
+    bands = bands.select(*band, band_first).join(source_targets(bands, list(weights), max_copies), band[:2])
+    earlier = Window.partitionBy(*band).orderBy("_size", "_slice").rowsBetween(Window.unboundedPreceding, -1)
+    inside_band = F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_inside_band")
+    placed = slices.select(*KEYS, "_band", inside_band).join(bands, band)
+    placed = placed.withColumn("_first", F.col("_band_first") + F.col("_inside_band")).drop("_band")
     inside = F.row_number().over(Window.partitionBy(*KEYS).orderBy("_id", "_tie"))
     ranked = packed.withColumn("_inside", inside).join(placed, KEYS)
     each = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))

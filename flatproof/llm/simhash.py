@@ -17,11 +17,11 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import groups_of, stage
+from .common import groups_of, pack, stage
 from .graph import connected_components
 
 HASH_SEED = 42
@@ -148,8 +148,10 @@ def keep_one_per_group(
     """The rows whose id names their group, one row per id. Rows with a null id are kept as they are."""
     groups = near_duplicates(docs, shingle, max_bits, segments, id_col, text_col)
     kept = stage(groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct(), "kept")
-    named = docs.where(F.col(id_col).isNotNull())
-    once = named.join(kept, named[id_col] == kept["doc_id"], "left_semi").dropDuplicates([id_col])
+    packed = pack(docs, id=F.col(id_col), tie=F.xxhash64(F.col(text_col)))
+    named = packed.join(kept, packed["id"] == kept["doc_id"], "left_semi")
+    place = F.row_number().over(Window.partitionBy("id").orderBy("tie"))
+    once = named.withColumn("place", place).where(F.col("place") == 1).select("row.*")
     return once.unionByName(docs.where(F.col(id_col).isNull()))
 
 
