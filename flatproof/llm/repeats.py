@@ -198,6 +198,8 @@ class Plan:
 def _batch_runs(ids: np.ndarray, subs: np.ndarray, texts: list[bytes], plan: Plan, symbols, up, down) -> dict:
     """The rows of :data:`_COLUMNS` for the documents of one Arrow batch, runs of equal content reduced to one."""
     order = np.lexsort((subs, ids))
+    # Rows that are equal in id and text are one document.
+    order = order[np.r_[True, (ids[order][1:] != ids[order][:-1]) | (subs[order][1:] != subs[order][:-1])]]
     ids, subs, parts = ids[order], subs[order], []
     for part in groups_of([len(texts[i]) for i in order], BLOCK):
         pieces, of, offset = [], [], []
@@ -228,14 +230,6 @@ def _reduce(rows: dict, keep_first: bool) -> dict:
     content = rows["content"][order]
     first = np.ones(n, bool)
     first[1:] = content[1:] != content[:-1]
-    # Rows that are equal in id and text name the same place twice.
-    same = np.zeros(n, bool)
-    same[1:] = ~first[1:]
-    for c in ("id", "sub", "start"):
-        v = rows[c][order]
-        same[1:] &= v[1:] == v[:-1]
-    order, first = order[~same], first[~same]
-    n = len(order)
     size = np.diff(np.r_[np.flatnonzero(first), n])
     flag = np.where(first, FREE, DONE)
     out = {c: rows[c][order] for c in rows}
@@ -414,6 +408,12 @@ def _resolve(segments: DataFrame, plan: Plan, compare: Callable) -> DataFrame:
         table = pa.Table.from_batches(got)
         numbers = {c: table.column(c).to_numpy() for c in ("key", "id", "sub", "start", "count", "anchor")}
         order = np.lexsort((numbers["start"], numbers["sub"], numbers["id"], numbers["key"]))
+        # Rows that are equal in id and text are one document.
+        fresh = np.zeros(len(order), bool)
+        fresh[0] = True
+        for c in ("key", "id", "sub", "start"):
+            fresh[1:] |= numbers[c][order[1:]] != numbers[c][order[:-1]]
+        order = order[fresh]
         numbers = {c: v[order].astype(np.int64) for c, v in numbers.items()}
         texts = table.column("segment").to_pylist()
         texts = [texts[i] for i in order]
