@@ -71,5 +71,6 @@ def map_texts(
                 own = [batch.column(i).slice(part.start, part.stop - part.start) for i in range(place)]
                 yield pa.RecordBatch.from_arrays([*own, *compute(texts[part])], names=schema.names)
 
-    text = F.col(f"`{text_col}`").alias("text of the row")
-    return rows.select(*[F.col(f"`{c}`") for c in kept], text).mapInArrow(run, schema)
+    # Plain names on the way, so that no input name can clash or hold a dot.
+    own = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)]
+    return rows.select(*own, F.col(f"`{text_col}`").alias("text")).mapInArrow(run, schema)

@@ -276,23 +276,24 @@ def _merge_blocks(found: DataFrame, columns: list[str], blocks: int, text_col: s
     every = lambda name: F.flatten(F.array(*[F.col(f"{name}_{i}") for i in range(blocks)]))
     computed = {"n_words", "spans", "items", "cleaned"}
     kept = [c for c in columns if c not in computed]
+    own = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)]
     joined = found.select(
-        *[F.col(f"`{c}`") for c in dict.fromkeys([*kept, text_col])], F.col("n_words_0").alias("n_words"),
-        every("spans").alias("raw_spans"), F.array_sort(F.array_distinct(every("items"))).alias("items"),
+        *own, F.col("n_words_0").alias("n_words"), every("spans").alias("raw_spans"),
+        F.array_sort(F.array_distinct(every("items"))).alias("items"), F.col(f"`{text_col}`").alias("text"),
     )
 
     def merge(batches):
         for batch in batches:
-            texts = [t or b"" for t in batch.column(text_col).cast(pa.binary()).to_pylist()]
+            texts = [t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()]
             spans = [merge_spans([(x["start"], x["stop"]) for x in s]) for s in batch.column("raw_spans").to_pylist()]
-            arrays = [batch.column(c) for c in [*kept, "n_words"]]
+            arrays = [batch.column(i) for i in range(len(kept) + 1)]
             arrays += [pa.array([[{"start": a, "stop": b} for a, b in s] for s in spans], SPANS), batch.column("items")]
             if text_out:
                 cut = [remove_words(t, s) if s else t for t, s in zip(texts, spans)]
                 arrays.append(pa.array(cut, pa.binary()).cast(pa.string()))
             yield pa.RecordBatch.from_arrays(arrays, names=[f.name for f in schema.fields])
 
-    fields = [joined.schema[c] for c in [*kept, "n_words"]]
+    fields = [*[found.schema[c] for c in kept], joined.schema["n_words"]]
     fields += T._parse_datatype_string("spans array<struct<start:long,stop:long>>").fields + [joined.schema["items"]]
     fields += T._parse_datatype_string("cleaned string").fields * text_out
     schema = T.StructType(fields)

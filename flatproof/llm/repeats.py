@@ -192,7 +192,7 @@ class Plan:
     gram: int
     keep_first: bool
     make_symbols: Callable[[], Callable[[bytes], np.ndarray]]
-    group_limit: int = 4096
+    group_limit: int = 512
 
 
 def _batch_runs(ids: np.ndarray, subs: np.ndarray, texts: list[bytes], plan: Plan, symbols, up, down) -> dict:
