@@ -3,7 +3,8 @@
 The tree has one level per path segment. A segment that is a number, a hash or a date is a wildcard at once; at every
 node of the tree that has many children with few pages each, the children become one wildcard branch. Siblings whose
 labelled pages do not differ significantly are merged into the wildcard branch as well. A template is rejected by the
-share of bad pages among its labelled ones, smoothed towards its host's share, which is smoothed towards that of all.
+share of bad pages among its labelled ones, smoothed towards that of its host's other templates, which is smoothed
+towards that of all pages.
 
 Labels come by page id. All work runs on one row per distinct (host, path shape); pages are joined to their template
 at the end by that key, on plain columns, so that adaptive execution can split a host that holds a third of all rows.
@@ -73,10 +74,10 @@ def path_shape(path: Column) -> Column:
 def _differs(bad: Column, labelled: Column, bad_all: Column, labelled_all: Column, z: float) -> Column:
     """Whether a branch's bad share differs from that of its siblings by a two-sample test."""
     rest, bad_rest = labelled_all - labelled, bad_all - bad
-    pooled = bad_all / labelled_all
-    error = F.sqrt(pooled * (1 - pooled) * (1 / labelled + 1 / rest))
-    both = (labelled > 0) & (rest > 0) & (error > 0)
-    return F.coalesce(F.when(both, F.abs(bad / labelled - bad_rest / rest) > z * error), F.lit(False))
+    share, share_rest, pooled = (F.try_divide(a, b) for a, b in ((bad, labelled), (bad_rest, rest), (bad_all, labelled_all)))
+    error = F.sqrt(pooled * (1 - pooled) * (F.try_divide(F.lit(1), labelled) + F.try_divide(F.lit(1), rest)))
+    # Null where either side has no labels.
+    return F.coalesce((error > 0) & (F.abs(share - share_rest) > z * error), F.lit(False))
 
 
 def template_tree(
@@ -120,10 +121,12 @@ def template_verdicts(tree: DataFrame, weight: float = 4.0, threshold: float = 0
     every = hosts.agg(F.sum("_host_l").alias("_all_l"), F.sum("_host_b").alias("_all_b"))
     # One row.
     hosts = hosts.crossJoin(F.broadcast(every))
-    base = F.coalesce(F.col("_all_b") / F.col("_all_l"), F.lit(0.0))
-    host_share = (F.col("_host_b") + weight * base) / (F.col("_host_l") + weight)
-    hosts = hosts.select("host", host_share.alias("_host_share"))
-    share = (F.col("_own_b") + weight * F.col("_host_share")) / (F.col("_own_l") + weight)
+    base = F.coalesce(F.try_divide("_all_b", "_all_l"), F.lit(0.0))
+    hosts = hosts.select("host", "_host_l", "_host_b", base.alias("_base"))
+    # The host's share without the template's own pages, which count once.
+    others_l, others_b = F.col("_host_l") - F.col("_own_l"), F.col("_host_b") - F.col("_own_b")
+    host_share = (others_b + weight * F.col("_base")) / (others_l + weight)
+    share = (F.col("_own_b") + weight * host_share) / (F.col("_own_l") + weight)
     judged = totals.join(hosts, "host").select("host", "template", share.alias("template_bad"))
     verdict = F.when(F.col("template_bad") >= threshold, F.lit("block")).otherwise(F.lit("allow"))
     return tree.select("host", "shape", "template").join(judged, ["host", "template"]).withColumn("template_verdict", verdict)
