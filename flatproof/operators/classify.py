@@ -172,6 +172,19 @@ def header_types(
     return found.withColumn("fits", F.col("header_type").isNotNull())
 
 
+def file_header_types(
+    lines: DataFrame, file_col: str = "file", order: str = "source_row_no", line_col: str = "line"
+) -> DataFrame:
+    """Per file with record lines the header type of its first line that decides: whose code and
+    column count fit a layout. NULL if there is none."""
+    line = F.col(line_col)
+    with_layout = sorted({code for code, _ in platform_a_layouts()})
+    rows = lines.withColumn("code", a_code(line)).where(F.col("code").isin(*with_layout))
+    kind = header_type_for(F.col("code"), column_count(line))
+    first = F.min_by(kind, F.when(kind.isNotNull(), F.col(order)))
+    return rows.groupBy(file_col).agg(first.alias("header_type"))
+
+
 # --- file names ----------------------------------------------------------------------------
 
 
@@ -223,14 +236,21 @@ def file_id_from_name(name: Column) -> Column:
 
 
 def file_id(path: Column, modified: Column) -> Column:
-    """Nine digits from path and time: the same file always gets the same id."""
-    return F.lpad(F.pmod(F.xxhash64(path, modified), F.lit(10**9)).cast("string"), 9, "0")
+    """128 bits of path and time as hexadecimal text: the same file always gets the same id."""
+    return F.md5(F.concat_ws("|", path.cast("string"), modified.cast("string")))
 
 
 def add_file_id(name: Column, new_id: Column) -> Column:
     return F.trim(F.concat(strip_file_id(name), F.lit("--"), new_id, extension(name)))
 
 
+def add_id_and_header_type(name: Column, new_id: Column, header_type: Column) -> Column:
+    """``id--N--name``, the form from which :func:`header_type_from_name` reads the type."""
+    pairs = [F.lit(x) for t, n in HEADER_TYPES.items() for x in (t, str(n))]
+    number = F.coalesce(F.create_map(*pairs)[header_type], F.lit(str(HEADER_TYPES["NotApplicable"])))
+    return F.trim(F.concat_ws("--", new_id, number, base_name(name)))
+
+
 def ftp_file_name(name: Column, max_len: int = 60) -> Column:
     """The name cut to the length the transfer allows, extension kept."""
     return F.concat(F.left(without_extension(name), F.lit(max_len - 4)), extension(name))

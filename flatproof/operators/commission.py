@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions import values as V
+from .lookups import one_per_key
 
 RATE = "decimal(18,4)"
 
@@ -153,17 +154,19 @@ def commission_result(
     return merged.join(balances, F.trim("num") == balances["_num"], "left").drop("_num")
 
 
-def header_key(broker_id: Column, year: Column, month: Column) -> Column:
-    """A header id that is the same whenever a period is built again."""
-    return F.xxhash64(broker_id, year, month)
+def header_key(broker_id: Column, broker_name: Column, payroll_id: Column, year: Column, month: Column) -> Column:
+    """A header id that is the same whenever a period is built again, from all that tells headers apart."""
+    return F.xxhash64(broker_id, broker_name, payroll_id, year, month)
 
 
 def statement_headers(result: DataFrame, year: int, month: str, on_date: Column | None = None) -> DataFrame:
-    """One header per broker of a period."""
+    """One header per broker, name and payroll id of a period."""
     brokers = result.where((T.text("broker_name") != "") & F.col("broker_id").isNotNull())
-    heads = brokers.select("broker_id", "broker_name", "paylocity_id").distinct()
+    heads = one_per_key(brokers, {c: F.col(c) for c in ("broker_id", "broker_name", "paylocity_id")})
     return heads.select(
-        header_key(F.col("broker_id"), F.lit(year), F.lit(month)).alias("header_id"),
+        header_key(
+            F.col("broker_id"), F.col("broker_name"), F.col("paylocity_id"), F.lit(year), F.lit(month)
+        ).alias("header_id"),
         F.lit(month).alias("month"),
         F.lit(year).alias("year"),
         "broker_id",
@@ -175,9 +178,11 @@ def statement_headers(result: DataFrame, year: int, month: str, on_date: Column
 
 
 def statement_details(headers: DataFrame, result: DataFrame) -> DataFrame:
-    """The lines of each header."""
+    """The lines of each header: those of its broker, name and payroll id, so that a line of a broker
+    with two names is billed once."""
     lines = result.select(*[F.col(c).alias(f"_{c}") for c in result.columns])
-    joined = headers.join(lines, headers["broker_id"] == lines["_broker_id"], "left")
+    own = [headers[c].eqNullSafe(lines[f"_{c}"]) for c in ("broker_id", "broker_name", "paylocity_id")]
+    joined = headers.join(lines, own[0] & own[1] & own[2], "left")
     c = F.col
     return joined.select(
         F.xxhash64("header_id", "_id", "_num", "_qb_client", "_qb_fee", "_memo").alias("detail_id"),

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions.values import FALSE_WORDS, TRUE_WORDS
-from ..session import broadcast_bounded
 from ..spec import platform_c_layouts
 from .classify import c_record_type
 from .parse import split_csv
@@ -25,7 +24,11 @@ COUNT_MARK = "XX"
 
 
 def standard_headers(header_type: Column, templates: dict[str, str]) -> Column:
-    """The header line for a header type; types without a template keep their own header."""
+    """The header line for a header type; types without a template keep their own header.
+
+    A file of segmented funding takes the template of the new layout.
+    """
+    header_type = F.when(header_type == "SegmentedFunding", "New").otherwise(header_type)
     value = None
     for kind, line in templates.items():
         value = F.when(header_type == kind, F.lit(line)) if value is None else value.when(header_type == kind, F.lit(line))
@@ -34,15 +37,16 @@ def standard_headers(header_type: Column, templates: dict[str, str]) -> Column:
 
 def add_standard_header(
     lines: DataFrame, files: DataFrame, templates: dict[str, str], file_col: str = "file",
-    order: str = "source_row_no", line_col: str = "line", max_files: int | None = None,
+    order: str = "source_row_no", line_col: str = "line",
 ) -> DataFrame:
     """Replace the incoming header of each file by the template of its header type.
 
-    ``files`` holds ``file`` and ``header_type``. Files without a template (Own, None) pass through.
+    ``files`` holds ``file`` and ``header_type``, best as a stored table, which Spark joins by its
+    size. Files without a template (Own, None) pass through.
     The count mark of the template stays, because each split has its own count.
     """
     header = files.select(F.col(file_col), standard_headers(F.col("header_type"), templates).alias("_header"))
-    joined = lines.join(broadcast_bounded(header, max_files), file_col, "left")
+    joined = lines.join(header, file_col, "left")
     old = F.left(F.ltrim(F.col(line_col)), F.lit(3)) == "IA,"
     body = joined.where(F.col("_header").isNull() | ~old).select(file_col, order, line_col)
     heads = header.where(F.col("_header").isNotNull()).select(
@@ -60,8 +64,11 @@ def split_rows(rows: DataFrame, file_col: str = "file", order: str = "source_row
     """Each checked row under every split it belongs to: ``file, split, row_no, file_row``.
 
     ``rows`` hold ``row_type, data_row, org_data_row, error_message``. Header rows are left out;
-    they are added per split by :func:`split_headers`. One narrow pass, no shuffle.
+    they are added per split by :func:`split_headers`. Rows with an ``outcome`` give the splits
+    that are delivered for it: a passed file its passed lines, any other file all five. One narrow
+    pass, no shuffle.
     """
+    every = F.lit(True) if "outcome" not in rows.columns else F.coalesce(F.col("outcome") != "Ok", F.lit(True))
     message = T.text("error_message")
     bad = message != ""
     data, org = F.trim(T.text("data_row")), F.trim(T.text("org_data_row"))
@@ -72,11 +79,11 @@ def split_rows(rows: DataFrame, file_col: str = "file", order: str = "source_row
 
     entries = F.array_compact(
         F.array(
-            entry("original_file", org),
+            F.when(every, entry("original_file", org)),
             F.when(~bad, entry("passed_lines", data)),
-            F.when(bad, entry("rejected_lines_with_errors", note)),
-            F.when(bad, entry("rejected_lines", data)),
-            entry("all_lines_with_errors", note),
+            F.when(every & bad, entry("rejected_lines_with_errors", note)),
+            F.when(every & bad, entry("rejected_lines", data)),
+            F.when(every, entry("all_lines_with_errors", note)),
         )
     )
     body = rows.where(~_is_header("A")) if platform == "A" else rows
@@ -134,10 +141,23 @@ def output_name(file_name: Column, split: Column, platform: Column) -> Column:
     return F.concat(file_name, F.create_map(*pairs)[split], F.coalesce(ext, F.lit("")))
 
 
-def outputs_of_files(splits: DataFrame, outcomes: DataFrame, file_col: str = "file", max_files: int | None = None):
-    """The splits that are delivered: a passed file gives its passed lines only, others all five."""
-    joined = splits.join(broadcast_bounded(outcomes.select(file_col, "outcome"), max_files), file_col)
-    return joined.where((F.col("outcome") != "Ok") | (F.col("split") == "passed_lines"))
+def outputs_of_files(
+    rows: DataFrame, outcomes: DataFrame, batch_id: Column | None = None, file_col: str = "file",
+    order: str = "source_row_no", platform: str = "A",
+) -> DataFrame:
+    """The output lines that are delivered, with the ``outcome`` of their file: a passed file gives
+    its passed lines only, others all five splits.
+
+    The outcome is joined to the rows before they are put under splits, so lines that nobody gets
+    are never made. ``outcomes``, one row per file, is best a stored table.
+    """
+    results = outcomes.select(file_col, "outcome")
+    body = split_rows(rows.join(results, file_col), file_col, order, platform)
+    if platform == "A":
+        heads = split_headers(rows, batch_id, file_col, order).join(results, file_col)
+        heads = heads.where((F.col("outcome") != "Ok") | (F.col("split") == "passed_lines")).drop("outcome")
+        body = heads.unionByName(body)
+    return body.join(results, file_col)
 
 
 def return_texts(splits: DataFrame) -> DataFrame:

@@ -1,8 +1,11 @@
 """Reference checks: does what a row refers to exist in the master data?
 
 Every check is an equi-join against a side that was reduced to one row per key first, so no
-check multiplies rows and a hot key only makes one side of a join large, which the skew
-handling of adaptive execution splits.
+check multiplies rows and a hot key only makes one side of a join large. The skew handling of
+adaptive execution splits a hot key where both sides of a join come straight from a shuffle; the
+reduced side is therefore dealt anew behind its aggregate (:func:`one_per_key`). Where look-ups
+by the same key follow each other, ``spark.sql.adaptive.forceOptimizeSkewedJoin``, which
+:func:`~flatproof.session.build_session` sets, lets the first one split it all the same.
 """
 
 from __future__ import annotations
@@ -26,9 +29,22 @@ def _same(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> Co
     return reduce(lambda a, b: a & b, [left[l] == right[r] for l, r in pairs])
 
 
+def one_per_key(rows: DataFrame, keys: dict[str, Column], *found: Column) -> DataFrame:
+    """One row per key with what is ``found`` for it, reduced before the shuffle.
+
+    The rows are grouped by the keys as one struct. A join by the single columns then deals the few
+    reduced rows anew, and with that it is a join of two shuffles, whose hot keys Spark can split;
+    straight from an aggregate by those columns it would not be.
+    """
+    key = F.struct(*[c.alias(n) for n, c in keys.items()]).alias("_key")
+    reduced = rows.groupBy(key).agg(*found) if found else rows.select(key).distinct()
+    rest = [c for c in reduced.columns if c != "_key"]
+    return reduced.select(*[F.col("_key").getField(n).alias(n) for n in keys], *rest)
+
+
 def exists(rows: DataFrame, master: DataFrame, on: dict[str, str], flag: str) -> DataFrame:
     """Add a boolean: is there a master row with these keys? ``on`` maps row to master columns."""
-    keys = master.select(*[F.col(m).alias(f"_k{i}") for i, m in enumerate(on.values())]).distinct()
+    keys = one_per_key(master, {f"_k{i}": F.col(m) for i, m in enumerate(on.values())})
     keys = keys.withColumn("_hit", F.lit(True))
     cond = _same(rows, keys, [(r, f"_k{i}") for i, r in enumerate(on)])
     joined = rows.join(keys, cond, "left")
@@ -53,9 +69,10 @@ def first_known(
         parts.append(master.select(*keys, F.lit(True).alias("in_master"), never.alias("known_from")))
     known = reduce(DataFrame.unionByName, parts)
     if added is None:
-        return known.select(*keys, "in_master", "known_from").distinct()
-    return known.groupBy(*keys).agg(
-        F.bool_or("in_master").alias("in_master"), F.min("known_from").alias("known_from")
+        return one_per_key(known, {k: F.col(k) for k in [*keys, "in_master", "known_from"]})
+    return one_per_key(
+        known, {k: F.col(k) for k in keys}, F.bool_or("in_master").alias("in_master"),
+        F.min("known_from").alias("known_from"),
     )
 
 
@@ -321,14 +338,12 @@ def earlier_posting(
         )
         own = own.unionByName(past)
     place = F.when(F.col("_batch").isNotNull(), F.struct(F.col("_batch"), (-F.col("_row")).alias("_r")))
-    seen = own.groupBy(*keys).agg(
+    side = one_per_key(
+        own, {f"_k{i}": F.col(k) for i, k in enumerate(keys)},
         F.max_by("_body", "_past").alias("_past_body"),
         F.min("_batch").alias("_first_batch"),
         F.min_by("_body", place).alias("_first_body"),
     )
-    side = seen.select(
-        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_past_body", "_first_batch", "_first_body"
-    )
     same = reduce(lambda a, b: a & b, [rows[k].eqNullSafe(side[f"_k{i}"]) for i, k in enumerate(keys)])
     joined = rows.join(side, same, "left")
     found = F.when(F.col("_past_body").isNotNull(), F.col("_past_body")).when(
@@ -373,10 +388,11 @@ def clients_by_name(rows: DataFrame, clients: DataFrame, divisions: DataFrame) -
 
     A name that occurs twice takes the lowest id. The division counts only below its client.
     """
-    named = clients.groupBy(F.col("client_name").alias("_cn")).agg(F.min("client_id").alias("client_id"))
-    divided = divisions.groupBy(
-        F.col("client_id").alias("_dc"), F.col("division_name").alias("_dn")
-    ).agg(F.min("client_division_id").alias("client_division_id"))
+    named = one_per_key(clients, {"_cn": F.col("client_name")}, F.min("client_id").alias("client_id"))
+    divided = one_per_key(
+        divisions, {"_dc": F.col("client_id"), "_dn": F.col("division_name")},
+        F.min("client_division_id").alias("client_division_id"),
+    )
     out = rows.join(named, rows["ClientName"] == named["_cn"], "left").drop("_cn")
     return out.join(
         divided, (out["client_id"] == divided["_dc"]) & (out["ClientDivisionName"] == divided["_dn"]), "left"
@@ -393,17 +409,17 @@ def member_by_ssn(
 ) -> DataFrame:
     """Add ``name``: the member with this SSN in the division of the row, else in its client."""
     keyed = rows.withColumn("_ssn", member_key(F.col(ssn)))
-    ids = members.withColumn("_key", member_key(F.col("ssn")))
-    in_division = ids.groupBy(F.col("client_division_id").alias("_d"), F.col("_key").alias("_dk")).agg(
-        F.min("member_id").alias("_in_division")
+    ids = members.withColumn("_ssn_key", member_key(F.col("ssn")))
+    in_division = one_per_key(
+        ids, {"_d": F.col("client_division_id"), "_dk": F.col("_ssn_key")}, F.min("member_id").alias("_in_division")
     )
     out = keyed.join(
         in_division, (keyed["client_division_id"] == in_division["_d"]) & (keyed["_ssn"] == in_division["_dk"]), "left"
     ).drop("_d", "_dk")
     found = F.col("_in_division")
     if by_client:
-        in_client = ids.groupBy(F.col("client_id").alias("_c"), F.col("_key").alias("_ck")).agg(
-            F.min("member_id").alias("_in_client")
+        in_client = one_per_key(
+            ids, {"_c": F.col("client_id"), "_ck": F.col("_ssn_key")}, F.min("member_id").alias("_in_client")
         )
         out = out.join(
             in_client, (out["client_id"] == in_client["_c"]) & (out["_ssn"] == in_client["_ck"]), "left"
@@ -474,11 +490,11 @@ def check_main_rows(
     family = family_of(F.col("row_type"))
     lookup = F.col("row_type").endswith("LOOKUP]")
     ssn_key = F.concat_ws(":", family, member_key(F.col("SSN")))
-    in_division = everyone.groupBy(F.col("client_division_id").alias("_d"), F.col("ssn").alias("_dk")).agg(
-        F.min("member_id").alias("_in_division")
+    in_division = one_per_key(
+        everyone, {"_d": F.col("client_division_id"), "_dk": F.col("ssn")}, F.min("member_id").alias("_in_division")
     )
-    in_client = everyone.groupBy(F.col("client_id").alias("_c"), F.col("ssn").alias("_ck")).agg(
-        F.min("member_id").alias("_in_client")
+    in_client = one_per_key(
+        everyone, {"_c": F.col("client_id"), "_ck": F.col("ssn")}, F.min("member_id").alias("_in_client")
     )
     out = out.withColumn("_ssn", ssn_key)
     out = out.join(

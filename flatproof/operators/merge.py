@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions import values as V
-from ..session import scratch_path
 
 ROW_KEY = ["file", "source_row_no"]
 
@@ -67,20 +66,89 @@ def upsert(
     return kept.unionByName(batch, allowMissingColumns=True)
 
 
-ROWS_PER_BUCKET_UNIT = 1_000_000
+# --- stored tables ---------------------------------------------------------------------------
+#
+# A stored table is a folder of upserts: ``keys`` names the key columns with their types, each
+# ``part-<n>`` holds the rows of one upsert, and ``whole-<n>`` all rows up to part n. A folder counts
+# once Spark's writer has put its ``_SUCCESS`` mark into it, which is the last thing it does; what a
+# failed run leaves behind is not read, and is overwritten by the next. An upsert writes its own
+# rows and nothing else. There is one writer at a time.
 
+PART = "_part"
 
-def key_bucket(keys: list[str], buckets: int = 256) -> Column:
-    """The storage bucket of a key.
 
-    Rows of a file stay together, so that a batch of few files touches few buckets, but a very
-    large file is spread by ranges of its rows. Other keys are spread by hash.
+def _file_system(spark: SparkSession, path: str):
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return root.getFileSystem(spark._jsc.hadoopConfiguration()), root
+
+
+def has_table(spark: SparkSession, path: str) -> bool:
+    fs, root = _file_system(spark, path)
+    return bool(fs.exists(fs.makeQualified(root)))
+
+
+def _committed(spark: SparkSession, path: str, kind: str) -> list[int]:
+    """Numbers of the finished folders of a kind, in order."""
+    fs, root = _file_system(spark, path)
+    if not fs.exists(root):
+        return []
+    names = [status.getPath().getName() for status in fs.listStatus(root)]
+    done = [n for n in names if n.startswith(f"{kind}-") and has_table(spark, f"{path}/{n}/_SUCCESS")]
+    return sorted(int(n.split("-")[1]) for n in done)
+
+
+def _folder(path: str, kind: str, number: int) -> str:
+    return f"{path}/{kind}-{number:012d}"
+
+
+def table_keys(spark: SparkSession, path: str) -> list[str]:
+    """The key columns of a stored table."""
+    return [r["name"] for r in spark.read.parquet(f"{path}/keys").orderBy("place").collect()]
+
+
+def _check_columns(spark: SparkSession, path: str, batch: DataFrame, keys: list[str]) -> None:
+    """Note the keys of a new table; refuse other keys, and columns that changed their type."""
+    types = {f.name: f.dataType.simpleString() for f in batch.schema.fields}
+    wanted = [(i, k, types[k]) for i, k in enumerate(keys)]
+    if not has_table(spark, f"{path}/keys/_SUCCESS"):
+        noted = spark.createDataFrame(wanted, "place int, name string, type string")
+        noted.coalesce(1).write.mode("overwrite").parquet(f"{path}/keys")
+        return
+    stored = [tuple(r) for r in spark.read.parquet(f"{path}/keys").orderBy("place").collect()]
+    if stored != wanted:
+        raise ValueError(f"the table is keyed by {stored}, not by {wanted}")
+    held = _stored_rows(spark, path, None)
+    changed = [f.name for f in held.schema.fields if types.get(f.name, f.dataType.simpleString()) != f.dataType.simpleString()]
+    if changed:
+        raise ValueError(f"columns with another type than stored: {changed}")
+
+
+def _stored_rows(spark: SparkSession, path: str, before: int | None) -> DataFrame:
+    """The rows of the latest whole and of the parts after it, with the columns of all of them."""
+    wholes = [n for n in _committed(spark, path, "whole") if before is None or n < before]
+    parts = [n for n in _committed(spark, path, "part") if before is None or n < before]
+    last = wholes[-1] if wholes else 0
+    folders = [_folder(path, "whole", last)] * bool(wholes) + [_folder(path, "part", n) for n in parts if n > last]
+    return spark.read.option("mergeSchema", "true").parquet(*folders)
+
+
+def stored_parts(spark: SparkSession, path: str, before: int | None = None) -> int:
+    """How many upserts a table holds."""
+    return len([n for n in _committed(spark, path, "part") if before is None or n < before])
+
+
+def read_table(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
+    """A stored table: per key the row of its last upsert. A column that some upserts lack is NULL in their rows.
+
+    ``before`` leaves out the parts from that number on. The rows of a whole are unique already:
+    they are only tested against the keys of the parts that came after it.
     """
-    if keys == ROW_KEY:
-        parts = [F.col("file"), F.floor(F.col("source_row_no") / ROWS_PER_BUCKET_UNIT)]
-    else:
-        parts = [F.col(k) for k in keys]
-    return F.pmod(F.xxhash64(*parts), F.lit(buckets)).cast("int")
+    wholes = [n for n in _committed(spark, path, "whole") if before is None or n < before]
+    rows = _stored_rows(spark, path, before)
+    keys = table_keys(spark, path)
+    last = wholes[-1] if wholes else 0
+    fresh = latest_per_key(rows.where(F.col(PART) > last), keys, F.col(PART))
+    return upsert(rows.where(F.col(PART) <= last), fresh, keys).drop(PART)
 
 
 def upsert_table(
@@ -89,38 +157,37 @@ def upsert_table(
     batch: DataFrame,
     keys: list[str] = ROW_KEY,
     order: Column | None = None,
-    buckets: int = 256,
-) -> None:
-    """Upsert into a Parquet table that is partitioned by key bucket.
-
-    Only buckets that the batch touches are read and rewritten. The new buckets are first written
-    to the scratch folder, so the table is never read and overwritten in one plan, and a failed
-    run can be repeated: the outcome depends only on table and batch. Choose ``buckets`` so that
-    one holds a few gigabytes; adaptive execution cuts a bucket into files of a good size.
+    part: int | None = None,
+) -> int:
+    """Upsert into a stored table; the batch is computed and written once, stored rows are not touched.
+
+    With ``order``, duplicate keys of the batch keep their highest row; without it, they must not
+    occur. ``part`` numbers the upsert, from 1 on (by default the next number); an upsert that is
+    repeated under its number replaces what it wrote before. Returns the number.
     """
-    batch = batch.withColumn("bucket", key_bucket(keys, buckets))
-    if has_table(spark, path):
-        # At most ``buckets`` numbers.
-        touched = batch.select("bucket").distinct()
-        current = spark.read.parquet(path).join(F.broadcast(touched), "bucket", "left_semi")
-        merged = upsert(current, batch, keys, order)
-    else:
-        merged = batch if order is None else latest_per_key(batch, keys, order)
-    held = scratch_path(spark, "upsert")
-    merged.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(held)
-    (
-        spark.read.parquet(held)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("bucket")
-        .parquet(path)
-    )
+    _check_columns(spark, path, batch, keys)
+    if part is None:
+        part = max([0, *_committed(spark, path, "part"), *_committed(spark, path, "whole")]) + 1
+    rows = batch if order is None else latest_per_key(batch, keys, order)
+    rows.withColumn(PART, F.lit(part).cast("bigint")).write.mode("overwrite").parquet(_folder(path, "part", part))
+    return part
 
 
-def has_table(spark: SparkSession, path: str) -> bool:
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    return bool(fs.exists(fs.makeQualified(hadoop_path)))
+def compact_table(spark: SparkSession, path: str) -> None:
+    """Write the table as one whole and remove what it replaces. Readers that started before must be done.
+
+    A failed run leaves the table as it was.
+    """
+    parts, wholes = _committed(spark, path, "part"), _committed(spark, path, "whole")
+    if not parts or wholes and wholes[-1] >= parts[-1]:
+        return
+    last = parts[-1]
+    rows = read_table(spark, path).withColumn(PART, F.lit(last).cast("bigint"))
+    rows.write.mode("overwrite").parquet(_folder(path, "whole", last))
+    fs, _ = _file_system(spark, path)
+    for kind, numbers in (("part", parts), ("whole", wholes)):
+        for n in numbers:
+            fs.delete(spark._jvm.org.apache.hadoop.fs.Path(_folder(path, kind, n)), True)
 
 
 def clean_invoices(rows: DataFrame, year: int, month: str) -> DataFrame:
@@ -139,14 +206,16 @@ def replace_period(archive: DataFrame, current: DataFrame, year: int, month: str
     return kept.unionByName(current, allowMissingColumns=True)
 
 
-def write_period(rows: DataFrame, path: str, period: list[str] = ["statement_year", "statement_month"]) -> None:
-    """Write periods in place of what is stored for them; other periods stay untouched."""
-    (
-        rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*period)
-        .parquet(path)
-    )
+def write_period(rows: DataFrame, path: str, year: int, month: str) -> None:
+    """Store the rows of one period in place of what is stored for it, also where there are none.
+
+    Other periods are not touched. The folder of the period is written as a whole, with the
+    columns of ``rows`` but those of the period, which follow from its name.
+    """
+    name = month.strip().upper()
+    same = (F.col("statement_year") == year) & (F.upper(F.trim("statement_month")) == name)
+    folder = f"{path}/statement_year={year}/statement_month={name}"
+    rows.where(same).drop("statement_year", "statement_month").write.mode("overwrite").parquet(folder)
 
 
 def table_totals(**tables: DataFrame) -> DataFrame:

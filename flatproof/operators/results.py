@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from .lookups import one_per_key
 from .merge import clear_result_headers, default_sent_name
 
 SENT_NAME = r"([^,\"]*?\.(?i:mbi|csv))"
@@ -25,14 +26,15 @@ def sent_file_names(rows: DataFrame, result_file: str = "result_file", order: st
 def with_sent_file(rows: DataFrame, result_file: str = "result_file", order: str = "source_row_no",
                    row_col: str = "error_row") -> DataFrame:
     """Add the sent-file name of each result file to all its rows; default to the result name."""
-    names = sent_file_names(rows, result_file, order, row_col).withColumnRenamed(result_file, "_rf")
+    names = sent_file_names(rows, result_file, order, row_col)
+    names = one_per_key(names, {"_rf": F.col(result_file)}, F.first("sent_file").alias("sent_file"))
     joined = rows.drop("sent_file").join(names, F.col(result_file) == F.col("_rf"), "left").drop("_rf")
     return default_sent_name(joined, "sent_file", result_file)
 
 
 def with_error_texts(rows: DataFrame, codes: DataFrame) -> DataFrame:
     """Take the text of a known error code from the catalogue where the row has none."""
-    known = codes.groupBy(F.col("error_code").alias("_code")).agg(F.min("user_desc").alias("error_message_calc"))
+    known = one_per_key(codes, {"_code": F.col("error_code")}, F.min("user_desc").alias("error_message_calc"))
     joined = rows.join(known, rows["error_code"] == known["_code"], "left").drop("_code")
     message = F.coalesce(T.blank_to_null(F.col("error_message")), F.col("error_message_calc"))
     return joined.withColumn("error_message", message)
@@ -156,19 +158,22 @@ def rows_with_codes(
 ) -> DataFrame:
     """Pairs of rows and codes where the text contains the code (not at its very start).
 
-    An equi-join on short pieces instead of a test of every row with every code: a text contains a
-    code only if it contains the code's first letters, so each distinct piece of that length is
-    joined to the codes that begin with it, and only these are searched in the text.
+    An equi-join on whole codes: for every length that codes have, the distinct pieces of that
+    length of a text are joined to the codes of that length. What is joined is a hit, however many
+    codes share a beginning; a row gives as many pieces as its text has places, for each length.
+    The lengths, a handful of numbers, are read when the plan is made.
     """
-    size = codes.agg(F.min(F.length(code_col))).first()[0]
-    if not size:
+    keyed = codes.select(code_col).where(T.text(code_col) != "").distinct()
+    lengths = sorted(r[0] for r in keyed.select(F.length(code_col)).distinct().collect())
+    if not lengths:
         return rows.withColumn(code_col, F.lit(None).cast("string")).where(F.lit(False))
-    keyed = codes.where(T.text(code_col) != "").distinct().withColumn("_piece", F.left(F.col(code_col), F.lit(size)))
-    last = F.length(text_col) - F.lit(size - 1)
-    pieces = F.when(
-        last >= 1, F.array_distinct(F.transform(F.sequence(F.lit(1), last), lambda i: F.substring(F.col(text_col), i, F.lit(size))))
-    )
-    cut = rows.select("*", F.explode(pieces).alias("_piece"))
-    hits = cut.join(keyed, "_piece").drop("_piece")
-    place = F.position(F.col(code_col), F.col(text_col))
-    return hits.where(place > (1 if after_first else 0))
+    text = F.col(text_col)
+
+    def pieces(size: int) -> Column:
+        last = F.length(text) - F.lit(size - 1)
+        cut = F.transform(F.sequence(F.lit(1), last), lambda i: F.substring(text, i, F.lit(size)))
+        return F.when(last >= 1, F.array_distinct(cut)).otherwise(F.array().cast("array<string>"))
+
+    every = F.concat(*[pieces(n) for n in lengths])
+    hits = rows.select("*", F.explode(every).alias(code_col)).join(keyed, code_col).select(*rows.columns, code_col)
+    return hits.where(F.position(F.col(code_col), text) > (1 if after_first else 0))

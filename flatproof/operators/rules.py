@@ -49,10 +49,6 @@ DROPPED = {
 }
 
 
-# A field has at most this many rules; the broken ones are kept as the bits of a number.
-MAX_RULES = 8
-
-
 @dataclass(frozen=True)
 class RuleOptions:
     platform: str = "A"
@@ -269,6 +265,7 @@ def apply_rules_by_layout(
     # The broken rules of a field are the bits of one number, so that a row without errors costs no
     # allocation. The texts are put together only where a bit is set.
     wordings: list[tuple[str, str]] = []
+    most = 0  # rules of a field
     base: dict[tuple[str, FieldSpec], int] = {}
     noted = {}
     for name, specs in fields.items():
@@ -278,6 +275,7 @@ def apply_rules_by_layout(
             if rules:
                 base[name, f] = len(wordings)
                 wordings += [(name, wording) for _, wording in rules]
+                most = max(most, len(rules))
                 cases.append((k, " + ".join(f"if({test}, {1 << i}, 0)" for i, (test, _) in enumerate(rules))))
         if cases:
             noted[name] = _choose(cases, every)
@@ -305,7 +303,7 @@ def apply_rules_by_layout(
     errors = f"cast(array() as {ERROR_TYPE})"
     if found:
         entries = ", ".join(f"struct({sql_text(n)} as name, {sql_text(w)} as wording)" for n, w in wordings)
-        bits = ", ".join(map(str, range(MAX_RULES)))
+        bits = ", ".join(map(str, range(most)))
         worded = (
             f"struct(array({entries})[f.base + b].name as code, concat(array({entries})[f.base + b].name, ' ', "
             f"array({entries})[f.base + b].wording, '. \\'', f.text, '\\' is not valid') as message)"

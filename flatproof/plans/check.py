@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..operators import classify as K
 from ..operators import export, lookups, merge, rules
 from ..operators.parse import parse_by_layout
-from ..session import broadcast_bounded, stage
+from ..session import stage
 from ..spec import platform_a_layouts, platform_c_layouts
 
 
@@ -39,7 +39,6 @@ class CheckOptions:
     last_error_only: bool = False
     fail_if_member_exists: bool = False
     notices: tuple[str, ...] = K.NOTICES
-    max_files: int | None = None
     # Write the validated rows once and run the look-ups on that table.
     staged: bool = True
     extra: dict = field(default_factory=dict)
@@ -71,11 +70,12 @@ def validate_a(lines: DataFrame, options: CheckOptions = CheckOptions()) -> tupl
     if options.staged:
         found = stage(found, "header-types")
     wrong = wrong_layout_files(found)
+    if options.staged:
+        wrong = stage(wrong, "wrong-layouts")
     kept = lines.where(K.is_a_import_line(F.col("line"), options.notices) | K.is_a_header_line(F.col("line")))
-    good = kept.join(broadcast_bounded(wrong.select("file"), options.max_files), "file", "left_anti")
+    good = kept.join(wrong.select("file"), "file", "left_anti")
     coded = good.withColumn("code", K.a_code(F.col("line")))
-    bound = None if options.max_files is None else options.max_files * len(K.platform_a_catalogue())
-    per_code = broadcast_bounded(found.select("file", "code", "header_type"), bound)
+    per_code = found.select("file", "code", "header_type")
     layouts = {f"{c}/{h}": s for (c, h), s in platform_a_layouts(options.tpa_id).items() if c.startswith("I")}
     keyed = coded.join(per_code, ["file", "code"], "left").withColumn("file_seq", file_order(lines))
     key = F.when(F.col("code").startswith("I") & (F.col("code") != "IA"), F.concat_ws("/", "code", "header_type"))
@@ -165,7 +165,7 @@ def run_reports(results: DataFrame) -> DataFrame:
     return results.select("file", F.to_json(body).alias("report"))
 
 
-def deliver(rows: DataFrame, platform: str, batch_id: Column | None = None, max_files: int | None = None) -> DataFrame:
+def deliver(rows: DataFrame, platform: str, batch_id: Column | None = None) -> DataFrame:
     """Output lines of checked files: ``out_file, row_no, file_row``.
 
     Pass stored rows: they are read for the outcomes, for the header counts and for the lines. The
@@ -173,8 +173,7 @@ def deliver(rows: DataFrame, platform: str, batch_id: Column | None = None, max_
     not shuffle the lines of large files by name.
     """
     results = stage(outcomes(rows), "outcomes")
-    splits = export.export_splits(rows, batch_id, platform=platform)
-    chosen = export.outputs_of_files(splits, results, max_files=max_files)
+    chosen = export.outputs_of_files(rows, results, batch_id, platform=platform)
     name = export.output_name(K.base_name(F.col("file")), F.col("split"), F.lit(platform))
     plain = F.when(F.col("outcome") == "Ok", K.base_name(F.col("file"))).otherwise(name)
     return chosen.select(plain.alias("out_file"), "row_no", "file_row")
@@ -191,10 +190,14 @@ def route(files: DataFrame, facts: DataFrame, results: DataFrame) -> DataFrame:
 
 
 def prepare_headers(
-    lines: DataFrame, templates: dict[str, str], notices: tuple[str, ...] = K.NOTICES, max_files: int | None = None
+    lines: DataFrame, templates: dict[str, str], notices: tuple[str, ...] = K.NOTICES
 ) -> DataFrame:
-    """The header step: keep import lines, find each file's header type, put the standard header on top."""
-    kinds = K.header_types(lines).groupBy("file").agg(F.min("header_type").alias("header_type"))
+    """The header step: keep import lines, find each file's header type, put the standard header on top.
+
+    The type is that of the first line that decides. The table of types, one row per file, is
+    staged, so that Spark joins the lines to it by its true size.
+    """
+    kinds = stage(K.file_header_types(lines), "file-header-types")
     line = F.col("line")
     kept = lines.where(K.is_a_import_line(line, notices) | K.is_a_header_line(line))
-    return export.add_standard_header(kept, kinds, templates, max_files=max_files)
+    return export.add_standard_header(kept, kinds, templates)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators.classify import classify_files
 from ..operators.parse import delimited_line
-from ..session import spread_small, stage
+from ..session import stage
 from ..spec import platform_a_layouts, platform_c_layouts
 from . import check, reconcile
 from .queries import account_managers, error_catalogue, money, query, table
@@ -27,8 +27,8 @@ def a_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Members of one segment come after their plan rows, members of another have a bad address.
     """
-    customer = spread_small(table(spark, sf_dir, "customer"))
-    orders = spread_small(table(spark, sf_dir, "orders"))
+    customer = table(spark, sf_dir, "customer")
+    orders = table(spark, sf_dir, "orders")
     layouts = platform_a_layouts()
     er = F.concat(F.lit("EMP"), F.lpad(F.col("c_nationkey").cast("string"), 3, "0"))
     ee = F.col("c_custkey").cast("string")
@@ -148,7 +148,7 @@ C_PLAN = {"StartDate": "2/1/2024", "CoverageLevel": "EE", "SendPlanChangeLetterF
 def c_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One file per region: a member row per customer and a plan row of either family below it."""
     home = (
-        spread_small(table(spark, sf_dir, "customer"))
+        table(spark, sf_dir, "customer")
         .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
         .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     )
@@ -247,16 +247,28 @@ TEMPLATES = {"Old": "IA,XX,TPA01,Old Template", "New": "IA,XX,TPA01,New Template
 
 
 @query(
-    """WITH f AS (SELECT 'nation_' || c_nationkey AS file, count(*) AS n, any_value(c_nationkey % 3) AS k FROM customer GROUP BY c_nationkey)
-SELECT file, CASE k WHEN 0 THEN 'IA,XX,TPA01,Old Template' WHEN 1 THEN 'IA,XX,TPA01,New Template' ELSE 'IA,9,TPA01,Own' END AS header,
+    """WITH f AS (SELECT 'nation_' || c_nationkey AS file, count(*) AS n, any_value(c_nationkey % 5) AS k FROM customer GROUP BY c_nationkey)
+SELECT file, CASE k WHEN 0 THEN 'IA,XX,TPA01,Old Template' WHEN 2 THEN 'IA,9,TPA01,Own' ELSE 'IA,XX,TPA01,New Template' END AS header,
   n AS line_count FROM f"""
 )
 def standard_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The header step: own headers are replaced by the template of the layout, notices are dropped."""
+    """The header step: own headers are replaced by the template of the layout, notices are dropped.
+
+    The first line of a file decides: some files begin with an old enrolment and go on with
+    deposits, some the other way round, some are of segmented funding, some fit no layout.
+    """
     c = table(spark, sf_dir, "customer")
-    kind = F.col("c_nationkey") % 3
-    width = F.when(kind == 0, 14).when(kind == 1, 15).otherwise(17)
-    body = F.concat(F.lit("IC"), F.repeat(F.lit(","), width - 1))
+    heads_of = c.groupBy("c_nationkey").agg(F.min("c_custkey").alias("first_key"))
+    c = c.join(heads_of, "c_nationkey")
+    kind, first = F.col("c_nationkey") % 5, F.col("c_custkey") == F.col("first_key")
+    old, deposit = (F.concat(F.lit(code), F.repeat(F.lit(","), F.lit(n - 1))) for code, n in (("IC", 14), ("IZ", 7)))
+    body = (
+        F.when(kind == 0, F.when(first, old).otherwise(deposit))
+        .when(kind == 1, F.concat(F.lit("IC"), F.repeat(F.lit(","), F.lit(14))))
+        .when(kind == 2, F.concat(F.lit("IC"), F.repeat(F.lit(","), F.lit(16))))
+        .when(kind == 3, F.concat(F.lit("IC"), F.repeat(F.lit(","), F.lit(15))))
+        .otherwise(F.when(first, deposit).otherwise(old))
+    )
     entries = F.array(
         F.struct(F.lit(0).alias("n"), body.alias("line")),
         F.struct(F.lit(1).alias("n"), F.lit("Please email completed file to x@example.org").alias("line")),
@@ -295,7 +307,7 @@ GROUP BY 1, 2, 3, 4, 5"""
 )
 def result_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Result files from lines to a report: two record layouts, sent names, texts, sent rows, managers."""
-    li = spread_small(table(spark, sf_dir, "lineitem"))
+    li = table(spark, sf_dir, "lineitem")
     code = F.when(F.col("l_discount") > 0.05, "15028").when(F.col("l_tax") > 0.04, "0").otherwise("777")
     er = F.concat(F.lit("NATION_"), (F.col("l_suppkey") % 30).cast("string"))
     ee = F.concat_ws("-", F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string"))

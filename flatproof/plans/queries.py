@@ -18,7 +18,7 @@ from ..operators import commission as C
 from ..operators import export, lineage, lookups, merge, results, rules
 from ..operators.parents import last_parent, time_chunk
 from ..operators.parse import delimited_line, parse_record, split_result_rows, split_to_rows
-from ..session import scratch_path, spread_small, stage
+from ..session import scratch_path, stage
 from ..sources.lines import as_logical_files, latest_of_pattern, number_lines, read_lines
 from ..sources.sinks import write_lines
 from ..spec import record
@@ -70,7 +70,7 @@ ORDER_SPEC = record(
 
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as delimited lines, in the varied and partly faulty forms clients send."""
-    o = spread_small(table(spark, sf_dir, "orders"))
+    o = table(spark, sf_dir, "orders")
     date = (
         F.when(F.col("o_orderstatus") == "F", F.date_format("o_orderdate", "MM/dd/yyyy"))
         .when(F.col("o_orderstatus") == "O", F.date_format("o_orderdate", "yyyyMMdd"))
@@ -358,14 +358,17 @@ def file_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""WITH {DOCUMENT_LINES},
 c_files AS (SELECT file, arg_min(lang = 'de', doc_id) AS is_c FROM lines GROUP BY 1),
 parts AS (SELECT file, doc_id, is_c, lang, string_split(line, ',') AS p FROM lines JOIN c_files USING (file)),
-hits AS (SELECT file, doc_id, CASE WHEN is_c THEN CASE lang WHEN 'es' THEN 'SPM' WHEN 'fr' THEN 'QB' END
-    WHEN lang = 'en' THEN 'IB' END AS kind FROM parts)
-SELECT file, arg_min(kind, doc_id) FILTER (kind IS NOT NULL) AS record_type FROM hits GROUP BY 1"""
+hits AS (SELECT file, doc_id, p, CASE WHEN is_c THEN CASE lang WHEN 'es' THEN 'SPM' WHEN 'fr' THEN 'QB' END
+    WHEN lang = 'en' THEN 'IB' END AS kind FROM parts),
+named AS (SELECT file, doc_id, kind, CASE WHEN kind <> 'IB' THEN trim(p[2])
+    WHEN upper(trim(p[3])) LIKE 'BEN%' THEN trim(p[3]) ELSE 'UNKNOWN' END AS client FROM hits)
+SELECT file, arg_min(kind, doc_id) FILTER (kind IS NOT NULL) AS record_type,
+  arg_min(client, doc_id) FILTER (kind IS NOT NULL) AS client FROM named GROUP BY 1"""
 )
 def naming_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = document_lines(spark, sf_dir)
     facts = K.classify_files(lines).select("file", "platform")
-    return K.naming_facts(lines.join(facts, "file")).select("file", "record_type")
+    return K.naming_facts(lines.join(facts, "file")).select("file", "record_type", "client")
 
 
 # --- scalar functions ----------------------------------------------------------------------
@@ -423,7 +426,7 @@ def text_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
   o_orderkey AS whole, CAST(NULL AS BIGINT) AS bad_whole, o_orderstatus = 'F' AS flag FROM orders"""
 )
 def date_and_number_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = spread_small(table(spark, sf_dir, "orders"))
+    o = table(spark, sf_dir, "orders")
     text = lambda pattern: F.date_format("o_orderdate", pattern)
     day = F.col("o_orderdate").cast("timestamp")
     status = F.when(F.col("o_orderstatus") == "F", "t").when(F.col("o_orderstatus") == "O", "No").otherwise("?")
@@ -722,6 +725,53 @@ def upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge.upsert(rows(o, F.col("o_orderstatus"), 0, 0), batch, ["order_key"], F.col("version"))
 
 
+@query(
+    """WITH b AS (
+  SELECT o_orderkey AS order_key, o_orderstatus AS status, NULL AS note, 1 AS part FROM orders
+  UNION ALL SELECT o_orderkey, 'NEW', o_orderpriority, 2 FROM orders WHERE o_orderstatus = 'P'
+  UNION ALL SELECT o_orderkey + 100000000, 'ADDED', NULL, 3 FROM orders WHERE o_orderpriority = '2-HIGH'
+  UNION ALL SELECT o_orderkey, 'LATE', NULL, 3 FROM orders WHERE o_orderstatus = 'P' AND o_orderpriority = '2-HIGH')
+SELECT order_key, status, note FROM b QUALIFY row_number() OVER (PARTITION BY order_key ORDER BY part DESC) = 1"""
+)
+def stored_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three upserts through storage: the second brings a column, the third runs twice and is compacted."""
+    o = table(spark, sf_dir, "orders")
+    path = scratch_path(spark, "upserts")
+    note = F.lit(None).cast("string").alias("note")
+
+    def rows(src: DataFrame, status, shift: int = 0) -> DataFrame:
+        return src.select((F.col("o_orderkey") + shift).alias("order_key"), status.alias("status"))
+
+    late = o.where("o_orderpriority = '2-HIGH'")
+    third = rows(late, F.lit("ADDED"), 100_000_000).unionByName(rows(late.where("o_orderstatus = 'P'"), F.lit("LATE")))
+    merge.upsert_table(spark, path, rows(o, F.col("o_orderstatus")), ["order_key"])
+    open_orders = o.where("o_orderstatus = 'P'")
+    noted = open_orders.select("o_orderkey", F.col("o_orderpriority").alias("note")).withColumnRenamed("o_orderkey", "order_key")
+    merge.upsert_table(spark, path, rows(open_orders, F.lit("NEW")).join(noted, "order_key"), ["order_key"])
+    part = merge.upsert_table(spark, path, third.select("*", note), ["order_key"])
+    merge.upsert_table(spark, path, third.select("*", note), ["order_key"], part=part)
+    merge.compact_table(spark, path)
+    return merge.read_table(spark, path).select("order_key", "status", "note")
+
+
+@query(
+    """SELECT CAST(year(l_shipdate) AS INTEGER) AS statement_year, upper(monthname(l_shipdate)) AS statement_month,
+  count(*) AS row_count FROM lineitem
+WHERE NOT (year(l_shipdate) = 1995 AND month(l_shipdate) = 3) GROUP BY 1, 2"""
+)
+def stored_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An archive by period, through storage, in which one period was emptied."""
+    path = scratch_path(spark, "periods")
+    month = F.upper(F.date_format("l_shipdate", "MMMM")).alias("statement_month")
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.year("l_shipdate").alias("statement_year"), month
+    )
+    lines.write.partitionBy("statement_year", "statement_month").parquet(path)
+    merge.write_period(lines.where(F.lit(False)), path, 1995, "March")
+    stored = spark.read.parquet(path)
+    return stored.groupBy("statement_year", "statement_month").agg(F.count("*").alias("row_count"))
+
+
 def stored_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Checked orders as the stored table that exports read, with one header row per file."""
     flat = merge.mark_check(merge.keep_original(rules.flatten_errors(checked_orders(spark, sf_dir))))
@@ -740,16 +790,16 @@ def stored_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 splits AS (
   SELECT file, 'passed_lines' AS split, o_orderkey, data_row AS row_text FROM chk WHERE len(codes) = 0
   UNION ALL SELECT file, 'rejected_lines', o_orderkey, data_row FROM chk WHERE len(codes) > 0
-  UNION ALL SELECT file, 'all_lines_with_errors', o_orderkey, data_row || ',OK' FROM chk WHERE len(codes) = 0)
+  UNION ALL SELECT file, 'rejected_lines_with_errors', o_orderkey, data_row || ',Warning: ' FROM chk WHERE len(codes) > 0
+  UNION ALL SELECT file, 'all_lines_with_errors', o_orderkey,
+    data_row || CASE WHEN len(codes) > 0 THEN ',Warning: ' ELSE ',OK' END FROM chk)
 SELECT file, split, count(*) AS row_count, sum(length(row_text))::BIGINT AS chars, max(o_orderkey) AS last_row
 FROM splits GROUP BY 1, 2"""
 )
 def split_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    splits = export.split_rows(stored_orders(spark, sf_dir))
-    shown = splits.where(
-        F.col("split").isin("passed_lines", "rejected_lines")
-        | ((F.col("split") == "all_lines_with_errors") & F.col("file_row").endswith(",OK"))
-    )
+    """Four splits of all rows; a warning is compared up to its text, which the rule queries compare."""
+    shown = export.split_rows(stored_orders(spark, sf_dir)).where("split <> 'original_file'")
+    shown = shown.withColumn("file_row", F.regexp_replace("file_row", r",Warning: .*$", ",Warning: "))
     return shown.groupBy("file", "split").agg(
         F.count("*").alias("row_count"),
         F.sum(F.length("file_row")).alias("chars"),
@@ -763,16 +813,14 @@ n AS (SELECT file, count(*) AS a, count(*) FILTER (len(codes) = 0) AS g FROM chk
 heads AS (SELECT file, u.split, u.n FROM n, unnest([{{'split': 'original_file', 'n': a}},
   {{'split': 'passed_lines', 'n': g}}, {{'split': 'rejected_lines', 'n': a - g}},
   {{'split': 'rejected_lines_with_errors', 'n': a - g}}, {{'split': 'all_lines_with_errors', 'n': a}}]) AS t(u))
-SELECT file, split, 'IA,' || n || ',TPA01,Orders Template,B7' AS header, n AS line_count FROM heads WHERE n > 0"""
+SELECT file, split, 'IA,' || n || ',TPA01,Orders Template,B7' AS header, n AS line_count FROM heads"""
 )
 def header_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The header of every split, and the lines that really follow it."""
     lines = export.export_splits(stored_orders(spark, sf_dir), F.lit("B7"))
     head = F.col("row_no") < 0
-    return (
-        lines.groupBy("file", "split")
-        .agg(F.max(F.when(head, F.col("file_row"))).alias("header"), F.count_if(~head).alias("line_count"))
-        .where("line_count > 0")
+    return lines.groupBy("file", "split").agg(
+        F.max(F.when(head, F.col("file_row"))).alias("header"), F.count_if(~head).alias("line_count")
     )
 
 
@@ -787,8 +835,8 @@ FROM chk JOIN bad USING (file), range(5) AS r(s) WHERE n > 0 GROUP BY file, s"""
 def delivered_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which output files the checked files give, and how long each is."""
     stored = stored_orders(spark, sf_dir)
-    outcome = rules.file_outcomes(stored)
-    chosen = export.outputs_of_files(export.export_splits(stored), outcome)
+    outcome = stage(rules.file_outcomes(stored), "outcomes")
+    chosen = export.outputs_of_files(stored, outcome)
     name = export.output_name(F.col("file"), F.col("split"), F.lit("A"))
     return chosen.groupBy(name.alias("out_file")).agg(F.count("*").alias("line_count"))
 
@@ -1227,7 +1275,8 @@ def commission_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""WITH {COMMISSION_CTE}
 SELECT broker_id, broker AS broker_name, 'JANUARY' AS month, 2024 AS year, count(*) AS line_count,
   CAST(sum(commission) AS DECIMAL(18,2)) AS total, min(trim(num)) AS first_invoice
-FROM with_sent JOIN (SELECT DISTINCT broker_id AS b, broker AS header_name FROM with_sent) h ON h.b = broker_id
+FROM with_sent JOIN (SELECT DISTINCT broker_id AS b, broker AS header_name FROM with_sent) h
+  ON h.b = broker_id AND h.header_name = broker
 GROUP BY 1, 2"""
 )
 def statement(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -1292,7 +1341,8 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
         ",", F.lit("EV"), F.col("event_id").cast("string"), F.col("event_type"), money("value").cast("string"),
         F.col("user_id").cast("string"),
     )
-    e.select(line.alias("value")).write.text(inbox)
+    # Several batches: files of a user group each, three to a batch.
+    e.repartition(8, F.col("user_id") % 8).select(line.alias("value")).write.text(inbox)
     spec = record("EV", ["EventId:int*", "EventType:text", "Value:money", "UserId:int"])
 
     def as_rows(batch: DataFrame) -> DataFrame:
@@ -1302,5 +1352,5 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("UserId").alias("user_id"),
         )
 
-    ingest(stream_lines(spark, inbox), as_rows, held, seen, ["event_id"], buckets=8)
-    return spark.read.parquet(held).select("event_id", "event_type", "value", "user_id")
+    ingest(stream_lines(spark, inbox, files_per_trigger=3), as_rows, held, seen, ["event_id"])
+    return merge.read_table(spark, held).select("event_id", "event_type", "value", "user_id")

@@ -1,4 +1,4 @@
-"""Session settings, the shared scratch folder and size-checked broadcasts."""
+"""Session settings and the shared scratch folder."""
 
 from __future__ import annotations
 
@@ -6,10 +6,8 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
-BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 
 
 def build_session(app: str = "flatproof", master: str | None = None, **conf: str) -> SparkSession:
@@ -19,6 +17,8 @@ def build_session(app: str = "flatproof", master: str | None = None, **conf: str
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Look-ups by the same key follow each other; split a hot key even if the next one shuffles again for it.
+        .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.ui.enabled", "false")
         # The rules of a layout make long generated methods. Above this size the JVM would not compile
@@ -49,9 +49,20 @@ def scratch_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def session_scratch(spark: SparkSession) -> str:
+    """The folder of this application under :func:`scratch_root`."""
+    return f"{scratch_root(spark)}/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, unused folder under :func:`scratch_root`."""
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new, unused folder under :func:`session_scratch`."""
+    return f"{session_scratch(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove everything this application has staged. Results that were not written elsewhere are lost."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(session_scratch(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def pin_splits(spark: SparkSession) -> None:
@@ -65,39 +76,13 @@ def pin_splits(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.files.minPartitionNum", str(spark.sparkContext.defaultParallelism))
 
 
-def broadcast_bounded(df: DataFrame, max_rows: int | None, row_bytes: int = 256) -> DataFrame:
-    """Hint a broadcast only when a known row bound keeps the side small.
-
-    Without a bound, or beyond it, the side is returned as it is and Spark chooses (a
-    sort-merge join with skew handling for large sides).
-    """
-    if max_rows is not None and max_rows * row_bytes <= BROADCAST_LIMIT_BYTES:
-        return F.broadcast(df)
-    return df
-
-
-def plan_bytes(df: DataFrame) -> int:
-    """Size of a plan's output as the optimizer estimates it."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def spread_small(df: DataFrame) -> DataFrame:
-    """Give a small input one partition per core.
-
-    Files below the minimal split size arrive in one task; before work that is heavy per row this
-    leaves cores idle. Inputs of a useful size have enough splits and are returned as they are.
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    smallest_split = 4 * 1024 * 1024
-    return df.repartition(cores) if plan_bytes(df) < cores * smallest_split else df
-
-
 def stage(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write a table to the shared scratch folder and read it back.
 
-    Used where one result feeds several joins: the work before it runs once, and a lost
-    executor only costs a re-read.
+    Used where one result feeds several joins: the work before it runs once, a lost executor
+    only costs a re-read, and Spark knows the true size of what it joins, so that it sends a small
+    table along by its own limit and shuffles a large one. :func:`clear_scratch` removes all that
+    a session has staged.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..session import broadcast_bounded, pin_splits
+from ..session import pin_splits, stage
 
 # The file masks of a source folder and the size up to which a file is empty.
 FILE_MASKS = ("*.csv", "*.xlsx", "*.xls", "*.txt", "*.mbi")
@@ -63,38 +63,13 @@ def as_logical_files(lines: DataFrame, column: str = "out_file") -> DataFrame:
     return lines.withColumn("file", F.regexp_extract("part", f"/{column}=([^/]*)/", 1))
 
 
-def _byte_conf(spark: SparkSession, key: str) -> int:
-    return int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(key)))
-
-
-def max_blocks(lines: DataFrame) -> int | None:
-    """The most blocks the files behind ``lines`` can be cut into; None if no files are behind them.
-
-    The split size follows from the total size and the pinned number of partitions, by the rule
-    the file source documents for these three settings.
-    """
-    files = len(lines.inputFiles())
-    if not files:
-        return None
-    spark = lines.sparkSession
-    leaves = lines._jdf.queryExecution().optimizedPlan().collectLeaves()
-    size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-    largest, smallest = (
-        _byte_conf(spark, k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
-    )
-    pinned = spark.conf.get("spark.sql.files.minPartitionNum", None)
-    per_partition = size // int(pinned) if pinned else 0
-    split = max(1, min(largest, max(smallest, per_partition)))
-    return size // split + files
-
-
 def number_lines(lines: DataFrame, skip_blank: bool = False) -> DataFrame:
     """Add ``source_row_no``, the line number inside each file, from 1.
 
-    A first pass counts the lines per block; a prefix sum over the small block table gives each
-    block its offset; the second pass adds the position inside the block. While the block table is
-    small enough to broadcast (a million blocks), no line is shuffled; beyond, lines are joined by
-    block, which spreads them evenly. Both passes cut files into the same blocks (see
+    A first pass counts the lines per block; a prefix sum over the block table gives each block its
+    offset; the second pass adds the position inside the block. The block table is written out, so
+    that Spark joins it by its true size: a small one goes to the lines, with a large one lines are
+    joined by block, which spreads them evenly. Both passes cut files into the same blocks (see
     :func:`~flatproof.session.pin_splits`), and a block without an offset fails the job rather
     than losing numbers.
     """
@@ -106,8 +81,8 @@ def number_lines(lines: DataFrame, skip_blank: bool = False) -> DataFrame:
     blocks = placed.groupBy("file", "part", *keys).agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
     before = Window.partitionBy("file").orderBy("part", "_block").rowsBetween(Window.unboundedPreceding, -1)
     shift = F.coalesce(F.sum("_n").over(before), F.lit(0)) + 1 - F.col("_first")
-    offsets = blocks.select(*keys, shift.alias("_shift"))
-    joined = placed.join(broadcast_bounded(offsets, max_blocks(lines), row_bytes=64), list(keys), "left")
+    offsets = stage(blocks.select(*keys, shift.alias("_shift")), "block-offsets")
+    joined = placed.join(offsets, list(keys), "left")
     missing = F.raise_error(F.lit("line block without offset: files were cut differently in both passes"))
     number = F.coalesce(F.col("_at") + F.col("_shift"), missing.cast("bigint"))
     return joined.select(*lines.columns, number.alias("source_row_no"))

@@ -7,16 +7,24 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.merge import has_table, upsert_table
+from ..operators.merge import read_table, stored_parts, upsert_table
+from ..session import pin_splits
 
 
 def stream_lines(spark: SparkSession, path: str, mask: str | None = None, files_per_trigger: int = 1000) -> DataFrame:
-    """New text files of a folder: ``file, modified, line``. Files are read once (checkpoint)."""
+    """New text files of a folder: ``file, part, block, size, modified, line``, as
+    :func:`~flatproof.sources.lines.read_lines` gives them. Files are read once (checkpoint); a file
+    arrives in one batch, so that a batch can be numbered and checked like a folder.
+    """
+    pin_splits(spark)
     reader = spark.readStream.schema("value string").option("maxFilesPerTrigger", files_per_trigger)
     if mask:
         reader = reader.option("pathGlobFilter", mask)
     return reader.option("recursiveFileLookup", "true").format("text").load(path).select(
         F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_path").alias("part"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.col("_metadata.file_size").alias("size"),
         F.col("_metadata.file_modification_time").alias("modified"),
         F.col("value").alias("line"),
     )
@@ -29,22 +37,22 @@ def ingest(
     checkpoint: str,
     keys: list[str],
     order: Column | None = None,
-    buckets: int = 256,
     against_table: Callable[[DataFrame, DataFrame | None], DataFrame] | None = None,
 ) -> None:
     """Upsert what arrived since the last run into a table, then stop.
 
-    Each batch is transformed like a batch job and upserted by key, so a batch that is repeated
-    after a failure changes nothing. ``against_table`` may check rows against what is stored
-    already (repeat postings across batches); it must not count the batch's own stored rows.
+    Each batch is transformed like a batch job and stored as the upsert of its number, so a batch
+    that is repeated after a failure replaces what it wrote. ``against_table`` may check rows
+    against what earlier batches stored (repeat postings across batches).
     """
     spark = lines.sparkSession
 
     def take(batch: DataFrame, batch_id: int) -> None:
         rows = transform(batch).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         if against_table is not None:
-            rows = against_table(rows, _earlier_batches(spark, table_path, batch_id))
-        upsert_table(spark, table_path, rows, keys, order, buckets)
+            earlier = stored_parts(spark, table_path, batch_id + 1)
+            rows = against_table(rows, read_table(spark, table_path, batch_id + 1) if earlier else None)
+        upsert_table(spark, table_path, rows, keys, order, batch_id + 1)
 
     query = (
         lines.writeStream.trigger(availableNow=True)
@@ -54,8 +62,3 @@ def ingest(
     )
     query.awaitTermination()
 
-
-def _earlier_batches(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
-    if not has_table(spark, path):
-        return None
-    return spark.read.parquet(path).where(F.col("batch_id") < batch_id)

@@ -219,6 +219,8 @@ def test_classification_and_headers(spark, numbered):
         old=["IA,3,TPA01,Own", IB.format(ee="1"), "", "please EMAIL completed file to x"],
         new=[IC.format(er="EMP001", ee="1", end="20241231", eff="")],
         odd=["IA,1,TPA01,Own", "IZ,1,2"],
+        mixed=["IA,3,TPA01,Own", "IC" + "," * 13, "IZ" + "," * 6],
+        wide=["IA,3,TPA01,Own", "IZ,1,2", "IC" + "," * 15, "IC" + "," * 13],
     )
     out = {}
     for r in check.prepare_headers(src, templates).orderBy("file", "source_row_no").collect():
@@ -226,6 +228,9 @@ def test_classification_and_headers(spark, numbered):
     assert out["old"] == ["IA,XX,TPA01,Old Template", IB.format(ee="1")]
     assert out["new"][0] == "IA,XX,TPA01,New Template"
     assert out["odd"] == ["IA,1,TPA01,Own", "IZ,1,2"]
+    # The first line that fits a layout decides; segmented funding takes the new template.
+    assert out["mixed"][0] == "IA,XX,TPA01,Old Template" and len(out["mixed"]) == 3
+    assert out["wide"][0] == "IA,XX,TPA01,New Template" and len(out["wide"]) == 4
 
 
 def test_c_flags_are_prepared(spark, numbered):
@@ -270,7 +275,7 @@ def test_result_files(spark, numbered):
 
 def test_from_text_files_to_text_outputs(spark, masters, tmp_path):
     """Files on disk are read, checked, stored twice, split and written."""
-    from flatproof.operators.merge import upsert_table
+    from flatproof.operators.merge import read_table, upsert_table
     from flatproof.sources.lines import as_logical_files, number_lines, read_lines
     from flatproof.sources.sinks import write_lines
 
@@ -283,8 +288,8 @@ def test_from_text_files_to_text_outputs(spark, masters, tmp_path):
     rows, wrong = check.check_a(lines, masters)
     assert wrong.count() == 0
     for _ in range(2):
-        upsert_table(spark, table, rows, buckets=4)
-    stored = spark.read.parquet(table)
+        upsert_table(spark, table, rows)
+    stored = read_table(spark, table)
     assert stored.count() == 4
     write_lines(check.deliver(stored, "A", F.lit("B1")), outbox)
     out = {}

@@ -1,6 +1,7 @@
 import datetime as dt
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from flatproof.functions import text as T
@@ -67,7 +68,12 @@ def test_file_names(spark):
     assert [r[4] for r in out] == [False, False, False, False, True, False]
     assert out[1][5] == "a--123.csv" and out[0][6] == "client.csv"
     ids = df.select(K.file_id(n, F.lit("2024-01-01"))).collect()
-    assert len({r[0] for r in ids}) == len(names) and all(len(r[0]) == 9 for r in ids)
+    assert len({r[0] for r in ids}) == len(names) and all(len(r[0]) == 32 for r in ids)
+    many = spark.range(300_000).select(K.file_id(F.concat(F.lit("in/file_"), "id"), F.lit("2024-01-01")).alias("i"))
+    assert many.distinct().count() == 300_000
+    typed = df.select(K.add_id_and_header_type(F.lit("in/b.csv"), F.lit("77"), F.lit("New")).alias("t")).first()["t"]
+    assert typed == "77--3--b.csv"
+    assert df.select(K.header_type_from_name(F.lit(typed))).first()[0] == "New"
     assert df.select(K.is_excel_file(F.lit("a.XLSX")), K.is_empty_file(F.lit(100))).first() == (True, True)
 
 
@@ -184,3 +190,52 @@ def test_output_names(spark):
     got = {(r["s"], r["p"]): r["n"] for r in rows.select("*", export.output_name(F.lit("f"), F.col("s"), F.col("p")).alias("n")).collect()}
     assert got["passed_lines", "A"] == "f-1-PassedLines.mbi" and got["passed_lines", "C"] == "f-1-PassedLines.csv"
     assert got["all_lines_with_errors", "A"] == "f-4-allLines.err"
+
+
+@pytest.fixture
+def tiny_skew(spark):
+    """Settings under which a key with most rows of a small table counts as skewed."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.set(k, v)
+
+
+def test_a_hot_key_is_split_in_every_look_up(spark, tiny_skew):
+    """Nine rows of ten share a key; the look-ups' own joins must be dealt out, not left to one task."""
+    n = 60_000
+    hot = "if(id % 10 = 0, cast(id as string), 'hot')"
+    rows = spark.range(0, n, 1, 8).selectExpr(
+        f"{hot} as k", "id as source_row_no", "1 as file_seq", f"{hot} as ClientName", f"{hot} as ClientDivisionName",
+        f"{hot} as error_code", "'' as error_message", "cast(null as string) as result_file", "'' as error_row",
+        "if(id % 10 = 0, id, -1) as client_id", "if(id % 10 = 0, id, -1) as client_division_id", "'1' as SSN", f"{hot} as PlanName",
+    )
+    master = spark.range(0, 3 * n, 1, 8).selectExpr("if(id = 1, 'hot', cast(id as string)) as m", "id", "1 as v")
+    known = lookups.first_known(master.withColumnRenamed("m", "k"), rows, ["k"], ["file_seq", "source_row_no"])
+    codes = master.selectExpr("m as error_code", "'text' as user_desc")
+    clients = master.selectExpr("m as client_name", "if(id = 1, -1, id) as client_id")
+    divisions = master.selectExpr("if(id = 1, -1, id) as client_id", "m as division_name", "id as client_division_id")
+    members = master.selectExpr("if(id = 1, -1, id) as client_division_id", "-1 as client_id", "'1' as ssn", "id as member_id")
+    plans = master.selectExpr("if(id = 1, -1, id) as client_id", "m as plan_name", "id as client_plan_qb_id")
+    links = plans.selectExpr("client_plan_qb_id", "client_id as client_division_id")
+    lookup_rows = rows.drop("client_id", "client_division_id")
+    tried = {
+        "exists": lookups.exists(rows, master, {"k": "m"}, "found"),
+        "exists_before": lookups.exists_before(rows, known, {"k": "k"}, ["file_seq", "source_row_no"], "found"),
+        "clients_by_name": lookups.clients_by_name(lookup_rows, clients, divisions),
+        "member_by_ssn": lookups.member_by_ssn(rows, members, "member", by_client=False),
+        "client_plan": lookups.client_plan(rows, plans, links),
+        "with_error_texts": results.with_error_texts(rows, codes),
+        "earlier_posting": lookups.earlier_posting(
+            rows.where("k <> 'hot' or source_row_no < 50000"), ["k"], "file_seq", "source_row_no", {"at": F.col("file_seq")}
+        ),
+    }
+    for name, df in tried.items():
+        assert df.collect()
+        assert "skew=true" in df._jdf.queryExecution().executedPlan().toString(), name

@@ -53,7 +53,6 @@ def test_line_numbers_over_many_splits(spark, tmp_path):
         assert [(r["source_row_no"], r["line"]) for r in dense if r["name"] == "blank.txt"] == [(1, "a"), (2, "b")]
         plan = L.number_lines(src)._jdf.queryExecution().executedPlan().toString()
         assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
-        assert src.select("part", "block").distinct().count() <= L.max_blocks(src) < 200
     finally:
         for k, v in old.items():
             spark.conf.set(k, v) if v else spark.conf.unset(k)
@@ -119,28 +118,73 @@ def test_quarantine(spark, tmp_path):
     assert (row["file"], row["platform"]) == ("f1", "A") and "bad header" in row["side_text"]
 
 
-def test_upsert_table_touches_only_its_buckets(spark, tmp_path):
+def _rows(spark, lo, hi, v, extra=""):
+    return spark.range(lo, hi).selectExpr("concat('f', id) as file", "id as source_row_no", f"{v} as v", *([extra] if extra else []))
+
+
+def _files(path):
+    return {os.path.join(d, f): os.path.getmtime(os.path.join(d, f)) for d, _, fs in os.walk(path) for f in fs}
+
+
+def test_an_upsert_writes_its_own_rows_and_nothing_else(spark, tmp_path):
     path = str(tmp_path / "t")
-    make = lambda lo, hi, v: spark.range(lo, hi).selectExpr("concat('f', id) as file", "id as source_row_no", f"{v} as v")
-    merge.upsert_table(spark, path, make(0, 40, 1), buckets=8)
-    before = {b: sorted(os.listdir(os.path.join(path, b))) for b in os.listdir(path) if b.startswith("bucket=")}
-    merge.upsert_table(spark, path, make(39, 42, 2).unionByName(make(39, 40, 3)), order=F.col("v"), buckets=8)
-    after = {b: sorted(os.listdir(os.path.join(path, b))) for b in os.listdir(path) if b.startswith("bucket=")}
-    got = {r["source_row_no"]: r["v"] for r in spark.read.parquet(path).collect()}
+    merge.upsert_table(spark, path, _rows(spark, 0, 40, 1))
+    before = _files(path)
+    merge.upsert_table(spark, path, _rows(spark, 39, 42, 2).unionByName(_rows(spark, 39, 40, 3)), order=F.col("v"))
+    after = _files(path)
+    assert before.items() <= after.items()
+    assert all("part-000000000002" in f for f in after.keys() - before.keys())
+    got = {r["source_row_no"]: r["v"] for r in merge.read_table(spark, path).collect()}
     assert len(got) == 42 and got[38] == 1 and got[39] == 3 and got[41] == 2
-    assert sum(before.get(b) == files for b, files in after.items()) >= 5
-    merge.upsert_table(spark, path, make(39, 42, 2), buckets=8)
-    assert spark.read.parquet(path).count() == 42
-    one = spark.range(1, 5_000_000, 400_000).selectExpr("'big' as file", "id as source_row_no")
-    assert one.select(merge.key_bucket(merge.ROW_KEY)).distinct().count() > 3
 
 
-def test_period_is_replaced(spark, tmp_path):
+def test_a_new_column_stays(spark, tmp_path):
+    path = str(tmp_path / "t")
+    merge.upsert_table(spark, path, _rows(spark, 0, 3, 1))
+    merge.upsert_table(spark, path, _rows(spark, 2, 4, 2, "'x' as note"))
+    merge.upsert_table(spark, path, _rows(spark, 3, 5, 3))
+    for _ in range(2):
+        got = {r["source_row_no"]: (r["v"], r["note"]) for r in merge.read_table(spark, path).collect()}
+        assert got == {0: (1, None), 1: (1, None), 2: (2, "x"), 3: (3, None), 4: (3, None)}
+        merge.compact_table(spark, path)
+    assert merge.stored_parts(spark, path) == 0 and any("whole-" in f for f in _files(path))
+    assert merge.upsert_table(spark, path, _rows(spark, 0, 1, 9)) == 4
+    assert merge.read_table(spark, path).count() == 5
+
+
+def test_what_a_failed_run_leaves_is_not_read(spark, tmp_path):
+    path = str(tmp_path / "t")
+    merge.upsert_table(spark, path, _rows(spark, 0, 3, 1))
+    merge.upsert_table(spark, path, _rows(spark, 0, 9, 2))
+    os.remove(f"{path}/part-000000000002/_SUCCESS")
+    assert sorted(r["v"] for r in merge.read_table(spark, path).collect()) == [1, 1, 1]
+    assert merge.upsert_table(spark, path, _rows(spark, 2, 5, 3)) == 2
+    assert sorted(r["v"] for r in merge.read_table(spark, path).collect()) == [1, 1, 3, 3, 3]
+    merge.upsert_table(spark, path, _rows(spark, 2, 5, 3), part=2)
+    assert merge.read_table(spark, path).count() == 5
+
+
+def test_other_keys_and_types_are_refused(spark, tmp_path):
+    path = str(tmp_path / "t")
+    merge.upsert_table(spark, path, _rows(spark, 0, 3, 1))
+    with pytest.raises(ValueError, match="keyed by"):
+        merge.upsert_table(spark, path, _rows(spark, 0, 3, 1).withColumn("source_row_no", F.col("source_row_no").cast("int")))
+    with pytest.raises(ValueError, match="keyed by"):
+        merge.upsert_table(spark, path, _rows(spark, 0, 3, 1), ["file"])
+    with pytest.raises(ValueError, match="another type"):
+        merge.upsert_table(spark, path, _rows(spark, 0, 3, 1).withColumn("v", F.lit("a")))
+    assert merge.read_table(spark, path).count() == 3
+
+
+def test_period_is_replaced_and_emptied(spark, tmp_path):
     path = str(tmp_path / "archive")
     make = lambda y, m, v: spark.createDataFrame([(v, y, m)], "v int, statement_year int, statement_month string")
-    merge.write_period(make(2024, "MAY", 1).union(make(2024, "JUNE", 2)), path)
-    merge.write_period(make(2024, "JUNE", 9), path)
-    assert {(r["statement_month"], r["v"]) for r in spark.read.parquet(path).collect()} == {("MAY", 1), ("JUNE", 9)}
+    merge.write_period(make(2024, "MAY", 1).union(make(2024, "JUNE", 2)), path, 2024, "May")
+    merge.write_period(make(2024, "JUNE", 9), path, 2024, "june")
+    read = lambda: {(r["statement_month"], r["v"]) for r in spark.read.parquet(path).collect()}
+    assert read() == {("MAY", 1), ("JUNE", 9)}
+    merge.write_period(make(2024, "JUNE", 9), path, 2024, "May")
+    assert read() == {("JUNE", 9)}
 
 
 def test_stream_takes_each_file_once(spark, tmp_path):
@@ -148,7 +192,7 @@ def test_stream_takes_each_file_once(spark, tmp_path):
     parts = lambda df: df.select(
         F.split("line", ",")[0].alias("k"), F.split("line", ",")[1].alias("v"), "file"
     )
-    run = lambda **kw: ingest(stream_lines(spark, inbox, "*.txt"), parts, table, seen, ["k"], buckets=4, **kw)
+    run = lambda **kw: ingest(stream_lines(spark, inbox, "*.txt"), parts, table, seen, ["k"], **kw)
     write(inbox, "1.txt", "a,1\nb,2\n")
     run()
     write(inbox, "2.txt", "b,3\nc,4\n")
@@ -159,7 +203,7 @@ def test_stream_takes_each_file_once(spark, tmp_path):
         return joined.withColumn("v", F.when(F.col("_k").isNotNull(), F.concat("v", F.lit("*"))).otherwise(F.col("v"))).drop("_k")
 
     run(against_table=mark)
-    got = {r["k"]: (r["v"], r["batch_id"]) for r in spark.read.parquet(table).collect()}
+    got = {r["k"]: (r["v"], r["batch_id"]) for r in merge.read_table(spark, table).collect()}
     assert got == {"a": ("1", 0), "b": ("3*", 1), "c": ("4", 1)}
     run(against_table=mark)
-    assert spark.read.parquet(table).count() == 3
+    assert merge.read_table(spark, table).count() == 3
