@@ -26,7 +26,7 @@ from .common import stage
 from .simhash import segments_of
 
 #: Distinct codes, and distinct queries, of one task.
-CODE_BLOCK, QUERY_BLOCK = 1 << 17, 1 << 14
+CODE_BLOCK, QUERY_BLOCK, LEAST_QUERIES = 1 << 17, 1 << 14, 128
 #: Candidates that a task verifies at once.
 CANDIDATES = 1 << 21
 
@@ -136,7 +136,11 @@ def nearest_codes(
     queries = queries.select("id", "code").where("id is not null and code is not null")
     held = stage(smallest_ids(codes, k), "codes")
     wanted = stage(queries.select("code").distinct(), "queries")
-    code_blocks, query_blocks = ceil(held.count() / code_block) or 1, ceil(wanted.count() / query_block) or 1
+    codes_held, queries_held = held.count(), wanted.count()
+    code_blocks = ceil(codes_held / code_block) or 1
+    # As many blocks as there are partitions, where there are queries for them; a block answers alike at any size.
+    spread = ceil(int(codes.sparkSession.conf.get("spark.sql.shuffle.partitions")) / code_blocks)
+    query_blocks = max(ceil(queries_held / query_block), min(spread, ceil(queries_held / LEAST_QUERIES))) or 1
     dealt = lambda blocks: F.pmod(F.xxhash64("code"), F.lit(blocks)).cast("int")
     every = lambda blocks: F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     left = held.select(dealt(code_blocks).alias("c"), every(query_blocks).alias("q"), "code", F.size("ids").alias("n"))
