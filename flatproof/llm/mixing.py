@@ -7,7 +7,7 @@ the words taken come near the target.
 
 A source may hold a third of all rows. Rows are therefore ranked inside slices (source, size, one of 256 hash
 slices); a table with one row per slice carries the prefix sums. These are made in two levels: over the bands of
-64 sizes of a source, and inside a band, whose slices are bounded in number. Only DataFrame operations are used.
+8 sizes of a source, and inside a band, whose slices are bounded in number. Only DataFrame operations are used.
 """
 
 from __future__ import annotations
@@ -15,9 +15,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, pack, unpack
+from .common import WORD, pack, stage, unpack
 
-SIZES_PER_BAND = 64
+SIZES_PER_BAND = 8
 KEYS = ["_null", "_source", "_size", "_slice"]
 
 
@@ -79,7 +79,8 @@ def mix_sources(
         _id=F.col(id_col),
         _tie=F.xxhash64(F.col(text_col)),
     )
-    slices = packed.groupBy(*KEYS).agg(F.count("*").alias("_rows"))
+    # Written out: it is read for the targets and for both levels of sums, the texts for none of them again.
+    slices = stage(packed.groupBy(*KEYS).agg(F.count("*").alias("_rows")), "size-slices")
     band = [*KEYS[:2], "_band"]
     slices = slices.withColumn("_band", F.floor(F.col("_size") / SIZES_PER_BAND))
     bands = slices.groupBy(*band).agg(F.sum("_rows").alias("_rows"), F.sum(F.col("_size") * F.col("_rows")).alias("_words"))
