@@ -1171,14 +1171,15 @@ INVOICE_CTE = r"""
 inv AS (SELECT l_orderkey AS id, ' ' || l_orderkey AS num, s_name AS agent, p_brand AS name, p_type AS memo,
     CAST(l_quantity AS DECIMAL(18,2)) AS qty, CAST(l_extendedprice AS DECIMAL(18,2)) AS amount, CAST(l_shipdate AS DATE) AS d
   FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN part ON l_partkey = p_partkey),
-agr AS (SELECT s_suppkey AS id, s_name AS broker, 'brand ' || (s_suppkey % 25) AS client, ['ECONOMY', 'LARGE', 'MEDIUM', 'PROMO', 'SMALL', 'STANDARD'][1 + s_nationkey % 6] AS fee,
+agr AS (SELECT s_suppkey AS id, s_name AS broker, 'brand ' || (s_suppkey % 25) AS client, 'brand ' || ((s_suppkey + 1) % 25) AS client2, ['ECONOMY', 'LARGE', 'MEDIUM', 'PROMO', 'SMALL', 'STANDARD'][1 + s_nationkey % 6] AS fee,
     CASE s_suppkey % 4 WHEN 0 THEN 'Per Qt' WHEN 1 THEN 'Per Amount' WHEN 2 THEN 'Flat Rate' ELSE 'Other' END AS unit,
     CAST(abs(CAST(s_acctbal AS DECIMAL(18,2))) * 0.01 AS DECIMAL(18,4)) AS rate FROM supplier),
-hit AS (SELECT inv.id, inv.num, agr.id AS broker_id, broker, inv.name, client, fee, memo, qty, amount, unit, d,
+pairs AS (SELECT inv.id, inv.num, agr.id AS broker_id, broker, inv.name, client, client2, fee, memo, qty, amount, unit, d,
     CAST(CASE unit WHEN 'Per Qt' THEN rate * qty WHEN 'Per Amount' THEN rate * amount WHEN 'Flat Rate' THEN rate END AS DECIMAL(18,2)) AS commission
   FROM inv JOIN agr ON regexp_replace(upper(agent), '[^A-Z0-9]', '', 'g') = regexp_replace(upper(broker), '[^A-Z0-9]', '', 'g')
-   AND regexp_replace(upper(name), '[^A-Z0-9]', '', 'g') = regexp_replace(upper(client), '[^A-Z0-9]', '', 'g')
-   AND memo = fee)"""
+   AND memo = fee),
+hit AS (SELECT * FROM pairs WHERE regexp_replace(upper(name), '[^A-Z0-9]', '', 'g') = regexp_replace(upper(client), '[^A-Z0-9]', '', 'g')),
+hit2 AS (SELECT * FROM pairs WHERE regexp_replace(upper(name), '[^A-Z0-9]', '', 'g') = regexp_replace(upper(client2), '[^A-Z0-9]', '', 'g'))"""
 
 
 def invoice_inputs(spark: SparkSession, sf_dir: str):
@@ -1200,7 +1201,7 @@ def invoice_inputs(spark: SparkSession, sf_dir: str):
     fee = F.get(kinds, F.col("s_nationkey") % 6)
     agreements = s.select(
         F.col("s_suppkey").alias("id"), F.col("s_name").alias("broker_name"), F.col("s_name").alias("qb_broker_name"),
-        F.concat(F.lit("brand "), (F.col("s_suppkey") % 25).cast("string")).alias("client_name"),
+        F.concat(F.lit("brand "), ((F.col("s_suppkey") + 1) % 25).cast("string")).alias("client_name"),
         F.concat(F.lit("brand "), (F.col("s_suppkey") % 25).cast("string")).alias("qb_client_name"),
         fee.alias("qb_fee"), fee.alias("fee_memo"), unit.alias("unit"), F.lit("Active").alias("broker_status"),
         F.lit("").alias("email"), F.lit("").alias("paylocity_id"),
@@ -1251,6 +1252,7 @@ def manual_additions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 COMMISSION_CTE = f"""{INVOICE_CTE},
 merged AS (SELECT DISTINCT id, num, broker_id, broker, name, fee, qty, amount, unit, d, commission FROM hit
+  UNION SELECT id, num, broker_id, broker, name, fee, qty, amount, unit, d, commission FROM hit2
   UNION SELECT n_nationkey, n_regionkey || '-' || n_nationkey || '-2024-01-01', n_regionkey, 'Broker ' || n_regionkey, n_name, 'MANUAL',
     1, n_nationkey * 10 + 5, 'Flat Rate', DATE '2024-01-01', n_nationkey * 10 + 5 FROM nation),
 with_sent AS (SELECT m.*, s.bal FROM merged m LEFT JOIN (SELECT CAST(o_orderkey AS VARCHAR) AS inv,
