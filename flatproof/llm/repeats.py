@@ -28,6 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,7 +37,8 @@ from .common import groups_of, stage
 
 #: Symbols that are hashed at once; a longer document is cut into pieces that overlap by a window less one symbol.
 BLOCK = 1 << 20
-_PLACE_BITS = np.uint64(21)
+#: Bytes of texts whose runs are reduced and packed together.
+PART_BYTES = 12 << 20
 _PLACE = np.uint64((1 << 21) - 1)
 
 #: An odd multiplier and its inverse modulo 2**64, and odd constants for mixing.
@@ -243,6 +245,15 @@ def _reduce(rows: dict, keep_first: bool) -> dict:
     return out
 
 
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, list[bytes]]]:
+    """Ids, sub-numbers and texts of some :data:`PART_BYTES` of documents at a time."""
+    for batch in batches:
+        for part in groups_of(pc.binary_length(batch.column("text")).to_pylist(), PART_BYTES):
+            some = batch.slice(part.start, part.stop - part.start)
+            ids, subs = (some.column(c).to_numpy().astype(np.int64) for c in ("id", "sub"))
+            yield ids, subs, some.column("text").to_pylist()
+
+
 def packed_runs(texts: DataFrame, plan: Plan, buckets: int) -> DataFrame:
     """(bucket, data): the runs of all documents; settled ones go to a bucket of their document."""
     length, gram = plan.length, plan.gram
@@ -251,9 +262,8 @@ def packed_runs(texts: DataFrame, plan: Plan, buckets: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         symbols = plan.make_symbols()
         up, down = powers(BASE, BLOCK + 1), powers(BASE_INVERSE, BLOCK + 1)
-        for batch in batches:
-            ids, subs = (batch.column(c).to_numpy().astype(np.int64) for c in ("id", "sub"))
-            rows = _batch_runs(ids, subs, batch.column("text").to_pylist(), plan, symbols, up, down)
+        for ids, subs, texts in _parts(batches):
+            rows = _batch_runs(ids, subs, texts, plan, symbols, up, down)
             route = np.where(rows["flag"] == DONE, mixed(rows["id"].astype(np.uint64)), rows["key"])
             bucket = (route >> np.uint64(8)) % np.uint64(buckets)
             order = np.argsort(bucket, kind="stable")
@@ -346,7 +356,8 @@ SEGMENTS = "key long, id long, sub int, start int, count int, anchor int, segmen
 
 
 def _segments(texts: DataFrame, asked: DataFrame, plan: Plan, cut: Callable[[], Callable]) -> DataFrame:
-    """The text of every run that is asked for; a run of a key with very many classes as single windows, without text.
+    """The text of every run that is asked for; a run of a key with very many classes as single windows, without text,
+    equal ones reduced to one per Arrow batch.
 
     ``cut`` makes a function from a text, starts and stops (in symbols) to the bytes of these stretches.
     """
@@ -358,37 +369,83 @@ def _segments(texts: DataFrame, asked: DataFrame, plan: Plan, cut: Callable[[],
         symbols, stretches = plan.make_symbols(), cut()
         up = down = None
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("id", "sub", "text", "runs")]
-            held: list[list] = [[] for _ in range(7)]
-            for id_, sub, text, runs in zip(*columns):
-                wanted = [r for r in runs if r["kind"] == NEED]
-                stops = [r["start"] + r["count"] + plan.length - 1 for r in wanted]
-                for r, segment in zip(wanted, stretches(text, [r["start"] for r in wanted], stops)):
-                    for to, value in zip(held, (r["key"], id_, sub, r["start"], r["count"], r["anchor"], segment)):
-                        to.append(value)
-                hot = [r for r in runs if r["kind"] == HOT]
-                if hot:
+            ids, subs = (batch.column(c).to_numpy() for c in ("id", "sub"))
+            bounds, runs = list_columns(batch.column("runs"))
+            held, size, single = [], 0, []
+            for i, text in enumerate(batch.column("text").to_pylist()):
+                own = {c: v[bounds[i] : bounds[i + 1]] for c, v in runs.items()}
+                need = own["kind"] == NEED
+                if need.any():
+                    start, count = own["start"][need], own["count"][need]
+                    cuts = stretches(text, start.tolist(), (start + count + plan.length - 1).tolist())
+                    held.append((own["key"][need], ids[i], subs[i], start, count, own["anchor"][need], cuts))
+                    size += len(cuts)
+                if not need.all():
                     if up is None:
                         up, down = powers(BASE, 2 * plan.length), powers(BASE_INVERSE, 2 * plan.length)
                     sequence = symbols(text)
-                    for r in hot:
-                        part = sequence[r["start"] : r["start"] + r["count"] + plan.length - 1]
-                        for i, key in enumerate(Hashes(part, up, down).fixed(plan.length).view(np.int64).tolist()):
-                            for to, value in zip(held, (key, id_, sub, r["start"] + i, 1, 0, None)):
-                                to.append(value)
-                if len(held[0]) > 20_000:
+                    for first, n in zip(own["start"][~need].tolist(), own["count"][~need].tolist()):
+                        key = Hashes(sequence[first : first + n + plan.length - 1], up, down).fixed(plan.length)
+                        single.append((key, np.full(n, ids[i]), np.full(n, subs[i]), first + np.arange(n)))
+                if size > 20_000:
                     yield _segment_batch(held)
-                    held = [[] for _ in range(7)]
-            if held[0]:
+                    held, size = [], 0
+            if held:
                 yield _segment_batch(held)
+            if single:
+                yield _single_windows(*(np.concatenate(v) for v in zip(*single)), plan.keep_first)
 
     return joined.mapInArrow(run, SEGMENTS)
 
 
-def _segment_batch(held: list[list]) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary())
-    names = ["key", "id", "sub", "start", "count", "anchor", "segment"]
-    return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(held, kinds)], names=names)
+def _single_windows(key: np.ndarray, id_: np.ndarray, sub: np.ndarray, start: np.ndarray, keep_first: bool) -> pa.RecordBatch:
+    """Rows of :data:`SEGMENTS` for single windows: equal ones of a batch reduced to one. ``anchor`` holds the flag; what
+    is settled goes along as ranges, dealt by document."""
+    order = np.lexsort((start, sub, id_, key))
+    rows = {c: v[order] for c, v in (("id", id_), ("sub", sub), ("start", start))}
+    rows["content"] = key[order]
+    # Rows that are equal in id and text are one document.
+    fresh = np.ones(len(order), bool)
+    fresh[1:] = rows["content"][1:] != rows["content"][:-1]
+    for c in ("id", "sub", "start"):
+        fresh[1:] |= rows[c][1:] != rows[c][:-1]
+    rows = _reduce({c: v[fresh] for c, v in rows.items()}, keep_first)
+    done = rows["flag"] == DONE
+    place = {c: rows[c][done] for c in ("id", "sub", "start")}
+    order = np.lexsort((place["start"], place["sub"], place["id"]))
+    place = {c: v[order] for c, v in place.items()}
+    begin = np.ones(len(order), bool)
+    begin[1:] = place["start"][1:] != place["start"][:-1] + 1
+    for c in ("id", "sub"):
+        begin[1:] |= place[c][1:] != place[c][:-1]
+    first = np.flatnonzero(begin)
+    counts = np.diff(np.r_[first, len(order)])
+    route = mixed(place["id"][first].astype(np.uint64))
+    columns = [np.concatenate([route, rows["content"][~done]]).view(np.int64)]
+    columns += [np.concatenate([place[c][first], rows[c][~done]]) for c in ("id", "sub", "start")]
+    columns += [np.concatenate([counts, np.ones(int((~done).sum()), np.int64)]), np.concatenate([np.full(len(first), DONE), rows["flag"][~done]])]
+    kinds = (np.int64, np.int64, np.int32, np.int32, np.int32, np.int32)
+    arrays = [pa.array(v.astype(k)) for v, k in zip(columns, kinds)]
+    arrays.append(pa.nulls(len(columns[0]), pa.binary()))
+    return pa.RecordBatch.from_arrays(arrays, names=["key", "id", "sub", "start", "count", "anchor", "segment"])
+
+
+def list_columns(column: pa.ListArray) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+    """A column of lists of structs as the bounds of each list and the struct's columns, without Python objects."""
+    values = column.values
+    return column.offsets.to_numpy(), {f.name: values.field(i).to_numpy() for i, f in enumerate(values.type)}
+
+
+def _segment_batch(held: list[tuple]) -> pa.RecordBatch:
+    sizes = [len(h[0]) for h in held]
+    key, id_, sub, start, count, anchor, cuts = zip(*held)
+    columns = [
+        pa.array(np.concatenate(key)), pa.array(np.repeat(np.array(id_, np.int64), sizes)),
+        pa.array(np.repeat(np.array(sub, np.int32), sizes)),
+        *[pa.array(np.concatenate(v).astype(np.int32)) for v in (start, count, anchor)],
+        pa.array([c for x in cuts for c in x], pa.binary()),
+    ]
+    return pa.RecordBatch.from_arrays(columns, names=["key", "id", "sub", "start", "count", "anchor", "segment"])
 
 
 SPANS = "id long, sub int, start int, count int"
@@ -419,13 +476,16 @@ def _resolve(segments: DataFrame, plan: Plan, compare: Callable) -> DataFrame:
         texts = [texts[i] for i in order]
         single = np.array([t is None for t in texts], bool)
         parts = []
-        # Single windows: equal keys are equal windows.
-        some = np.flatnonzero(single)
+        # Settled ranges pass through; of single windows equal keys are equal windows.
+        passed = np.flatnonzero(single & (numbers["anchor"] == DONE))
+        parts.append((passed, np.zeros(len(passed), np.int64), numbers["count"][passed]))
+        some = np.flatnonzero(single & (numbers["anchor"] != DONE))
         if len(some):
             key = numbers["key"][some]
             begins = np.r_[True, key[1:] != key[:-1]]
             sizes = np.diff(np.r_[np.flatnonzero(begins), len(key)])
-            repeated = ~begins if plan.keep_first else np.repeat(sizes > 1, sizes)
+            twin = numbers["anchor"][some] == TWIN
+            repeated = ~begins if plan.keep_first else np.repeat(sizes > 1, sizes) & ~twin
             parts.append((some[repeated], np.zeros(int(repeated.sum()), np.int64), np.ones(int(repeated.sum()), np.int64)))
         rest = np.flatnonzero(~single)
         key = numbers["key"][rest]
@@ -472,15 +532,20 @@ def repeated_windows(
     return texts.join(ranges.hint("shuffle_hash"), ["id", "sub"], "left")
 
 
-def covered(windows: list[dict] | None, length: int, size: int) -> list[tuple[int, int]]:
-    """Maximal ranges of symbols that the windows cover, in order."""
-    if not windows:
-        return []
-    edges = np.zeros(size + 1, np.int32)
-    starts = np.array([w["start"] for w in windows])
-    stops = starts + np.array([w["count"] for w in windows]) + length - 1
-    np.add.at(edges, starts, 1)
-    np.add.at(edges, stops, -1)
-    inside = np.r_[False, np.cumsum(edges[:-1]) > 0, False]
-    change = np.flatnonzero(inside[1:] != inside[:-1])
-    return list(zip(change[::2].tolist(), change[1::2].tolist()))
+def covered_ranges(batch: pa.RecordBatch, length: int, sizes: list[int]) -> list[list[tuple[int, int]]]:
+    """For each document of a batch of :func:`repeated_windows`, which has ``sizes`` symbols, the maximal ranges of
+    symbols that its windows cover, in order."""
+    bounds, windows = list_columns(batch.column("windows"))
+    out = []
+    for a, b, size in zip(bounds[:-1].tolist(), bounds[1:].tolist(), sizes):
+        if a == b:
+            out.append([])
+            continue
+        starts = windows["start"][a:b]
+        edges = np.zeros(size + 1, np.int32)
+        np.add.at(edges, starts, 1)
+        np.add.at(edges, starts + windows["count"][a:b] + length - 1, -1)
+        inside = np.r_[False, np.cumsum(edges[:-1]) > 0, False]
+        change = np.flatnonzero(inside[1:] != inside[:-1])
+        out.append(list(zip(change[::2].tolist(), change[1::2].tolist())))
+    return out
