@@ -12,8 +12,8 @@ from ..sources import lines as L
 from ..sources import sinks, tables
 from ..spec import record
 from ..streaming.ingest import ingest, stream_lines
-from . import check
-from .queries import money, query, table
+from . import check, reconcile
+from .queries import error_catalogue, money, query, table
 
 KINDS = record(
     "PT",
@@ -273,3 +273,107 @@ def stream_numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
     ingest(stream_lines(spark, inbox, files_per_trigger=2), numbered, held, seen, merge.ROW_KEY)
     stored = merge.read_table(spark, held)
     return stored.select(F.replace("file", F.lit("_"), F.lit(" ")).alias("file"), "source_row_no", "line")
+
+
+@query(
+    """WITH li AS (SELECT l_returnflag, l_orderkey, l_linenumber, max(l_discount) AS d, max(l_tax) AS t, max(l_linestatus) = 'O' AS rb
+    FROM lineitem GROUP BY 1, 2, 3),
+coded AS (SELECT *, CASE WHEN d > 0.05 THEN '15028' WHEN t > 0.04 THEN '0' WHEN l_returnflag = 'R' THEN '20001' ELSE '777' END AS code FROM li)
+SELECT 'res_' || l_returnflag || '.csv' AS result_file, 'sent_' || l_returnflag || '.mbi' AS sent_file,
+  CASE WHEN rb THEN 'RB' ELSE 'RC' END AS row_type, code AS error_code, count(*) AS row_count FROM coded GROUP BY 1, 2, 3, 4
+UNION ALL SELECT DISTINCT 'res_' || l_returnflag || '.csv', 'sent_' || l_returnflag || '.mbi', 'RA', NULL, 1 FROM lineitem"""
+)
+def stored_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Result files loaded and stored by file and row number; one file comes again with other codes."""
+    li = table(spark, sf_dir, "lineitem").groupBy("l_returnflag", "l_orderkey", "l_linenumber").agg(
+        F.max("l_discount").alias("d"), F.max("l_tax").alias("t"), F.max("l_linestatus").alias("s")
+    )
+
+    def loaded(rows: DataFrame, other: str) -> DataFrame:
+        code = F.when(F.col("d") > 0.05, "15028").when(F.col("t") > 0.04, "0").otherwise(other)
+        rb = delimited_line(F.lit("RB"), F.lit("EMP"), F.lit("1-2"), code, F.lit(""))
+        rc = delimited_line(F.lit("RC"), F.lit("EMP"), F.lit("1-2"), F.lit("PLAN-1"), F.lit("20240101"), F.lit("20241231"), code)
+        file = F.concat(F.lit("out/res_"), F.col("l_returnflag"), F.lit(".csv")).alias("file")
+        body = rows.select(
+            file, (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("source_row_no"),
+            F.when(F.col("s") == "O", rb).otherwise(rc).alias("line"),
+        )
+        head = F.concat(F.lit("RA,sent_"), F.col("l_returnflag"), F.lit(".mbi,Result Template")).alias("line")
+        heads = rows.select(file, F.lit(0).cast("bigint").alias("source_row_no"), head).distinct()
+        return reconcile.load_results(heads.unionByName(body), error_catalogue(spark, sf_dir))
+
+    path = scratch_path(spark, "results")
+    reconcile.store_results(spark, path, loaded(li, "777"))
+    reconcile.store_results(spark, path, loaded(li.where("l_returnflag = 'R'"), "20001"))
+    stored = merge.read_table(spark, path)
+    return stored.groupBy("result_file", "sent_file", "row_type", "error_code").agg(F.count("*").alias("row_count"))
+
+
+@query(
+    """WITH r AS (SELECT c_custkey, r_name, n_name, c_custkey % 2 = 0 AS known FROM customer
+  JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)
+SELECT c_custkey AS key, '[QBLOOKUP]' AS row_type, known AS main_ok, CASE WHEN known THEN '' ELSE 'QB Not Found' END AS error_code,
+  CASE WHEN known THEN '' ELSE 'QB with SSN ''' || c_custkey || ''' not found' END AS message FROM r
+UNION ALL SELECT c_custkey, '[QB]', NOT known, CASE WHEN known THEN 'QB Already exists' ELSE '' END,
+  CASE WHEN known THEN 'Duplicate QB. QB with SSN ''' || c_custkey || ''' already exists' ELSE '' END FROM r"""
+)
+def look_up_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Member rows that must exist, and member rows that must not."""
+    home = (
+        table(spark, sf_dir, "customer")
+        .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    )
+    clients = table(spark, sf_dir, "region").selectExpr("r_regionkey as client_id", "r_name as client_name")
+    divisions = table(spark, sf_dir, "nation").selectExpr(
+        "n_nationkey as client_division_id", "n_regionkey as client_id", "n_name as division_name"
+    )
+    # Every customer is a member; the numbers of odd ones are other numbers.
+    members = home.selectExpr(
+        "c_custkey as member_id", "n_regionkey as client_id", "c_nationkey as client_division_id",
+        "cast(c_custkey + (c_custkey % 2) * 500000000 as string) as ssn",
+    )
+    none = members.where("member_id is null")
+    families = {"QB": members, "SPM": none, "NPM": none.drop("client_id")}
+    mains = home.select(
+        F.col("c_custkey").alias("key"), F.explode(F.array(F.lit("[QBLOOKUP]"), F.lit("[QB]"))).alias("row_type"), "r_name",
+        "n_name",
+    ).select(
+        "key", "row_type", F.col("r_name").alias("ClientName"),
+        F.when(F.col("row_type") == "[QB]", F.col("n_name")).otherwise("").alias("ClientDivisionName"),
+        F.col("key").cast("string").alias("SSN"), rules.no_errors().alias("errors"),
+    )
+    out = lookups.check_main_rows(mains, clients, divisions, families, fail_if_exists=True)
+    return out.select(
+        "key", "row_type", "main_ok", F.array_join("errors.code", ";").alias("error_code"),
+        F.array_join(F.transform("errors", lambda e: F.trim(e["message"])), ";").alias("message"),
+    )
+
+
+@query(
+    """SELECT 'f' AS file, c_custkey AS source_row_no,
+  CASE WHEN c_custkey % 5 = 0 THEN 'The Employer ID ''NOWHERE'' could not be found'
+       ELSE 'The Employee ID ''X' || c_custkey || ''' could not be found for Employer Id ''EMP' || c_nationkey || '''' END AS message
+FROM customer WHERE c_custkey % 5 = 0 OR c_custkey % 3 = 0"""
+)
+def dependent_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dependents of unknown employers and employees."""
+    c = table(spark, sf_dir, "customer")
+    employer = F.concat(F.lit("EMP"), F.col("c_nationkey").cast("string"))
+    key = F.col("c_custkey").cast("string")
+    blank = F.lit("")
+    rows = c.select(
+        F.lit("f").alias("file"), F.col("c_custkey").alias("source_row_no"), F.lit(1).alias("file_seq"),
+        F.lit("ID").alias("row_type"), F.lit("ID/New").alias("layout"), rules.no_errors().alias("errors"), F.lit("TPA01").alias("TpaId"),
+        F.when(F.col("c_custkey") % 5 == 0, "NOWHERE").otherwise(employer).alias("EmployerId"),
+        F.when(F.col("c_custkey") % 3 == 0, F.concat(F.lit("X"), key)).otherwise(key).alias("EmployeeID"),
+        *[blank.alias(n) for n in ("AccountTypeCode", "PlanId", "PlanStartDate", "PlanEndDate", "EffectiveDate", "DepositType")],
+    )
+    employers = c.select(employer.alias("employer_id")).distinct()
+    employees = c.select(employer.alias("employerid"), key.alias("employeeid"))
+    plans = employees.selectExpr(
+        "employerid as employer_id", "employerid", "employeeid", "'' as account_type_code", "'' as plan_id", "'' as plancode",
+        "'' as plandesc", "cast(null as timestamp) as planstart", "cast(null as timestamp) as planend",
+    ).where("employeeid is null")
+    found = lookups.lookup_errors_a(rows, employers, employees, plans, plans)
+    return found.select("file", "source_row_no", F.trim(F.col("found")[0]["message"]).alias("message"))

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import classify as K
-from ..operators import results
+from ..operators import merge, results
 from ..operators.parse import parse_by_layout
 from ..spec import platform_a_layouts
 
@@ -34,6 +34,18 @@ def load_results(lines: DataFrame, codes: DataFrame) -> DataFrame:
     return results.clean_results(rows, codes)
 
 
+RESULT_KEY = ["result_file", "row_num"]
+
+
+def store_results(spark: SparkSession, path: str, loaded: DataFrame) -> int:
+    """Store loaded results, one row per result file and row number; returns the number of the upsert.
+
+    A result file that comes again replaces its rows. Of two files of one name in different
+    folders the rows of the last folder by name are kept.
+    """
+    return merge.upsert_table(spark, path, loaded, RESULT_KEY, F.col("file"))
+
+
 def error_report(
     loaded: DataFrame, sent: DataFrame, managers: DataFrame, client: str = "EmployerId"
 ) -> DataFrame:
