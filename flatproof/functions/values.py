@@ -64,10 +64,6 @@ def to_bool(c: Column) -> Column:
     return F.coalesce(to_flag(c), F.lit(False))
 
 
-def date_text(c: Column) -> Column:
-    return F.trim(keep(c, NOT_DATE_CHAR))
-
-
 def to_timestamp(c: Column) -> Column:
     """The timestamp by the shape that fits, or NULL."""
     out = None

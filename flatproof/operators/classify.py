@@ -13,7 +13,7 @@ from .parse import column_count, first_field, split_csv
 # Header types and their numbers in file names.
 HEADER_TYPES = {"NotApplicable": 0, "Own": 1, "Old": 2, "New": 3, "SegmentedFunding": 4, "NoChange": 5}
 
-# A notice that clients leave above or below their records. Callers add their own texts.
+# Fixed value: a notice that clients leave above or below their records. Callers add their own texts.
 NOTICES = ("please email completed file to",)
 
 UNKNOWN_TYPE = "Unknown"

@@ -82,11 +82,6 @@ def latest_by_prefix(names: DataFrame, log: DataFrame, name_col: str = "name") -
     return joined.withColumn("file_log_id", F.coalesce("file_log_id", F.lit(0)))
 
 
-def latest_per_owner(rows: DataFrame, owner: str, order: str) -> DataFrame:
-    """The highest ``order`` of each owner."""
-    return rows.groupBy(owner).agg(F.max(order).alias(f"latest_{order}"))
-
-
 def top_rows(rows: DataFrame, owner: str, order: str, k: int) -> DataFrame:
     """The last ``k`` rows of each owner by ``order``.
 

@@ -100,6 +100,8 @@ def with_any_key(master: DataFrame, column: str) -> DataFrame:
 
 
 # --- platform A ----------------------------------------------------------------------------
+#
+# The wording of the errors of both platforms, which those who get the files look for.
 
 
 def employer_error(found: Column) -> Column:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import export, lookups, merge, rules
+from ..operators import classify as K
+from ..operators import export, lookups, merge, results, rules
 from ..operators.parse import delimited_line, parse_record
 from ..session import scratch_path
 from ..sources import lines as L
@@ -377,3 +378,55 @@ def dependent_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).where("employeeid is null")
     found = lookups.lookup_errors_a(rows, employers, employees, plans, plans)
     return found.select("file", "source_row_no", F.trim(F.col("found")[0]["message"]).alias("message"))
+
+
+@query(
+    r"""WITH p AS (SELECT page_id, url, md5(url || '|2024-01-01') AS id, regexp_extract(url, '(\.[^./]*)$', 1) AS ext,
+    string_split(url, '/')[-1] AS base FROM pages)
+SELECT page_id, id AS file_id, string_split(regexp_replace(base, '\.[^./]*$', ''), '--')[1] || '--' || id || ext AS with_id,
+  id || '--3--' || base AS with_type, left(regexp_replace(url, '\.[^./]*$', ''), 16) || ext AS transfer_name,
+  lower(ext) IN ('.xlsx', '.xls') AS is_excel FROM p"""
+)
+def transfer_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names of files on their way: with an id, with id and header type, cut to a length."""
+    name = F.col("url")
+    new_id = K.file_id(name, F.lit("2024-01-01"))
+    return table(spark, sf_dir, "pages").select(
+        "page_id", new_id.alias("file_id"), K.add_file_id(name, new_id).alias("with_id"),
+        K.add_id_and_header_type(name, new_id, F.lit("New")).alias("with_type"), K.ftp_file_name(name, 20).alias("transfer_name"),
+        K.is_excel_file(name).alias("is_excel"),
+    )
+
+
+@query(
+    """SELECT o_orderkey AS error_row_num, CASE WHEN o_orderkey % 2 = 0 THEN c_custkey END AS sent_row_num,
+  CASE WHEN o_orderkey % 2 = 0 THEN c_name END AS sent_line FROM orders JOIN customer ON o_custkey = c_custkey"""
+)
+def errors_by_member(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Errors with the sent row of the same member, where there is one."""
+    c = table(spark, sf_dir, "customer")
+    sent = c.select(
+        F.lit("s.mbi").alias("file"), F.col("c_nationkey").cast("string").alias("EmployerId"),
+        F.col("c_custkey").cast("string").alias("EmployeeID"), F.lit("").alias("DependentID"), F.col("c_custkey").alias("row_num"),
+        F.col("c_name").alias("data_row"),
+    )
+    errors = table(spark, sf_dir, "orders").join(c, F.col("o_custkey") == F.col("c_custkey")).select(
+        F.lit("s.mbi").alias("sent_file"), F.col("c_nationkey").cast("string").alias("EmployerId"),
+        F.col("c_custkey").cast("string").alias("EmployeeID"),
+        F.when(F.col("o_orderkey") % 2 == 0, "").otherwise("D1").alias("DependentID"), F.col("o_orderkey").alias("row_num"),
+    )
+    return results.errors_with_sent_by_member(errors, sent).select("error_row_num", "sent_row_num", "sent_line")
+
+
+@query(
+    """SELECT 'I' || substr('ABCDEFHZ', CAST(l_linenumber AS INTEGER), 1) AS code, count(*) AS line_count,
+  l_linenumber = 1 AS is_header FROM lineitem GROUP BY 1, 3"""
+)
+def catalogue_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines by record type of the catalogue."""
+    code = F.concat(F.lit("I"), F.substring(F.lit("ABCDEFHZ"), F.col("l_linenumber").cast("int"), F.lit(1)))
+    lines = table(spark, sf_dir, "lineitem").select(F.concat(code, F.lit(",x")).alias("line"))
+    known = K.catalogue_table(spark).select("code", "is_header")
+    return lines.withColumn("code", K.a_code(F.col("line"))).join(known, "code").groupBy("code", "is_header").agg(
+        F.count("*").alias("line_count")
+    )
