@@ -532,20 +532,26 @@ def repeated_windows(
     return texts.join(ranges.hint("shuffle_hash"), ["id", "sub"], "left")
 
 
-def covered_ranges(batch: pa.RecordBatch, length: int, sizes: list[int]) -> list[list[tuple[int, int]]]:
-    """For each document of a batch of :func:`repeated_windows`, which has ``sizes`` symbols, the maximal ranges of
-    symbols that its windows cover, in order."""
-    bounds, windows = list_columns(batch.column("windows"))
-    out = []
-    for a, b, size in zip(bounds[:-1].tolist(), bounds[1:].tolist(), sizes):
-        if a == b:
-            out.append([])
-            continue
-        starts = windows["start"][a:b]
+class Covered:
+    """What the windows of a batch of :func:`repeated_windows` cover."""
+
+    def __init__(self, batch: pa.RecordBatch, length: int):
+        self.length = length
+        bounds, self.windows = list_columns(batch.column("windows"))
+        self.bounds = bounds.tolist()
+
+    def any(self, row: int) -> bool:
+        return self.bounds[row] < self.bounds[row + 1]
+
+    def ranges(self, row: int, size: int) -> list[tuple[int, int]]:
+        """Maximal ranges of covered symbols of a document of ``size`` symbols, in order."""
+        if not self.any(row):
+            return []
+        own = slice(self.bounds[row], self.bounds[row + 1])
+        starts = self.windows["start"][own]
         edges = np.zeros(size + 1, np.int32)
         np.add.at(edges, starts, 1)
-        np.add.at(edges, starts + windows["count"][a:b] + length - 1, -1)
+        np.add.at(edges, starts + self.windows["count"][own] + self.length - 1, -1)
         inside = np.r_[False, np.cumsum(edges[:-1]) > 0, False]
         change = np.flatnonzero(inside[1:] != inside[:-1])
-        out.append(list(zip(change[::2].tolist(), change[1::2].tolist())))
-    return out
+        return list(zip(change[::2].tolist(), change[1::2].tolist()))

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .repeats import BASE, BASE_INVERSE, Hashes, Plan, covered_ranges, list_columns, powers, repeated_windows
+from .repeats import BASE, BASE_INVERSE, Covered, Hashes, Plan, powers, repeated_windows
 
 GRAM = 10
 #: Words whose hashes a task remembers; beyond it, remembering starts anew.
@@ -109,10 +109,12 @@ def find_repeated_words(
 
     def run(batches):
         for batch in batches:
-            texts = [t.split() for t in batch.column("text").to_pylist()]
-            counts, kept = [len(words) for words in texts], []
-            spans = covered_ranges(batch, length, counts)
-            for words, cuts in zip(texts, spans):
+            counts, spans, kept, covered = [], [], [], Covered(batch, length)
+            for i, text in enumerate(batch.column("text").to_pylist()):
+                words = text.split()
+                cuts = covered.ranges(i, len(words))
+                counts.append(len(words))
+                spans.append(cuts)
                 edges = [0, *[x for c in cuts for x in c], len(words)]
                 kept.append(b" ".join([w for a, b in zip(edges[::2], edges[1::2]) for w in words[a:b]]))
             yield pa.RecordBatch.from_arrays([
@@ -139,12 +141,12 @@ def remove_repeated_words(
 
     def run(batches):
         for batch in batches:
-            texts, before = [], batch.column("text").to_pylist()
-            repeated = np.diff(list_columns(batch.column("windows"))[0]) > 0
-            words = [[m.span() for m in _WORD.finditer(t)] if r else [] for t, r in zip(before, repeated)]
-            spans = covered_ranges(batch, length, [len(w) for w in words])
-            changed = [bool(cuts) for cuts in spans]
-            for text, ranges, cuts, missing in zip(before, words, spans, batch.column("missing").to_pylist()):
+            texts, changed, covered = [], [], Covered(batch, length)
+            columns = [batch.column(c).to_pylist() for c in ("text", "missing")]
+            for i, (text, missing) in enumerate(zip(*columns)):
+                ranges = [m.span() for m in _WORD.finditer(text)] if covered.any(i) else []
+                cuts = covered.ranges(i, len(ranges))
+                changed.append(bool(cuts))
                 edges = [0, *[x for c in cuts for x in c], len(ranges)]
                 if cuts:
                     text = b"\n".join(text[ranges[a][0] : ranges[b - 1][1]] for a, b in zip(edges[::2], edges[1::2]) if a < b)

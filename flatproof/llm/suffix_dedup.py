@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .repeats import Plan, covered_ranges, mixed, repeated_windows
+from .repeats import Covered, Plan, mixed, repeated_windows
 from .suffixes import previous_smaller, suffix_array
 
 GRAM = 24
@@ -94,7 +94,8 @@ def remove_repeated_bytes(
     def run(batches):
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            spans = covered_ranges(batch, length, [len(t) for t in texts])
+            covered = Covered(batch, length)
+            spans = [covered.ranges(i, len(t)) for i, t in enumerate(texts)]
             kept = []
             for text, cuts in zip(texts, spans):
                 edges = [0, *[x for c in cuts for x in c], len(text)]
