@@ -36,7 +36,7 @@ from pyspark.sql import types as T
 from .common import groups_of, stage
 
 #: Symbols that are hashed at once; a longer document is cut into pieces that overlap by a window less one symbol.
-BLOCK = 1 << 20
+BLOCK = 1 << 19
 #: Bytes of texts whose runs are reduced and packed together.
 PART_BYTES = 12 << 20
 _PLACE = np.uint64((1 << 21) - 1)
