@@ -7,7 +7,7 @@ the words taken come near the target.
 
 A source may hold a third of all rows. Rows are therefore ranked inside slices (source, size, one of 256 hash
 slices); a table with one row per slice carries the prefix sums. These are made in two levels: over the bands of
-8 sizes of a source, and inside a band, whose slices are bounded in number. Only DataFrame operations are used.
+4 sizes of a source, and inside a band, whose slices are bounded in number. Only DataFrame operations are used.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from .common import WORD, pack, stage, unpack
 
-SIZES_PER_BAND = 8
+SIZES_PER_BAND = 4
 KEYS = ["_null", "_source", "_size", "_slice"]
 
 
