@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators.classify import classify_files
 from ..operators.parse import delimited_line
-from ..session import stage
+from ..session import spread, stage
 from ..spec import platform_a_layouts, platform_c_layouts
 from . import check, reconcile
 from .queries import account_managers, error_catalogue, money, query, table
@@ -27,8 +27,8 @@ def a_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Members of one segment come after their plan rows, members of another have a bad address.
     """
-    customer = table(spark, sf_dir, "customer")
-    orders = table(spark, sf_dir, "orders")
+    customer = spread(table(spark, sf_dir, "customer"))
+    orders = spread(table(spark, sf_dir, "orders"))
     layouts = platform_a_layouts()
     er = F.concat(F.lit("EMP"), F.lpad(F.col("c_nationkey").cast("string"), 3, "0"))
     ee = F.col("c_custkey").cast("string")
@@ -148,7 +148,7 @@ C_PLAN = {"StartDate": "2/1/2024", "CoverageLevel": "EE", "SendPlanChangeLetterF
 def c_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One file per region: a member row per customer and a plan row of either family below it."""
     home = (
-        table(spark, sf_dir, "customer")
+        spread(table(spark, sf_dir, "customer"))
         .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
         .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     )
@@ -307,7 +307,7 @@ GROUP BY 1, 2, 3, 4, 5"""
 )
 def result_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Result files from lines to a report: two record layouts, sent names, texts, sent rows, managers."""
-    li = table(spark, sf_dir, "lineitem")
+    li = spread(table(spark, sf_dir, "lineitem"))
     code = F.when(F.col("l_discount") > 0.05, "15028").when(F.col("l_tax") > 0.04, "0").otherwise("777")
     er = F.concat(F.lit("NATION_"), (F.col("l_suppkey") % 30).cast("string"))
     ee = F.concat_ws("-", F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string"))

@@ -18,7 +18,7 @@ from ..operators import commission as C
 from ..operators import export, lineage, lookups, merge, results, rules
 from ..operators.parents import last_parent, time_chunk
 from ..operators.parse import delimited_line, parse_record, split_result_rows, split_to_rows
-from ..session import scratch_path, stage
+from ..session import scratch_path, spread, stage
 from ..sources.lines import as_logical_files, latest_of_pattern, number_lines, read_lines
 from ..sources.sinks import write_lines
 from ..spec import record
@@ -70,7 +70,7 @@ ORDER_SPEC = record(
 
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as delimited lines, in the varied and partly faulty forms clients send."""
-    o = table(spark, sf_dir, "orders")
+    o = spread(table(spark, sf_dir, "orders"))
     date = (
         F.when(F.col("o_orderstatus") == "F", F.date_format("o_orderdate", "MM/dd/yyyy"))
         .when(F.col("o_orderstatus") == "O", F.date_format("o_orderdate", "yyyyMMdd"))

@@ -76,6 +76,15 @@ def pin_splits(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.files.minPartitionNum", str(spark.sparkContext.defaultParallelism))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal rows evenly over the session's shuffle partitions, whatever their number.
+
+    For raw rows before work that is heavy per row: files that can't be cut (one row group, a
+    compressed text) would otherwise keep all of it in one task each.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def stage(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write a table to the shared scratch folder and read it back.
 
