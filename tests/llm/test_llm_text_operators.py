@@ -331,6 +331,42 @@ def test_windows_keep_the_budget_the_system_turn_and_the_history(windows):
         counts[r.conv_id] = r.last_turn + 1
 
 
+def test_whole_windows_keep_the_budget_as_formatted(windows):
+    rows, made = windows
+    for r in made.collect():
+        assert r.window_tokens == library_count(r.text)
+        turns = [(t[0], library_count(chat.format_turn(*t)[0])) for t in chat.parse_window(r.text)]
+        if r.first_turn < r.last_turn:
+            assert r.window_tokens <= 200
+        start = 0 if turns[0][0] < r.first_turn and rows_role(rows, r.conv_id) == "system" else -1
+        assert sum(n for number, n in turns if start < number < r.first_turn) <= 60
+
+
+def rows_role(rows, conv):
+    return min((t is not None, t or 0, role or "") for c, t, role, _ in rows if c == conv)[2]
+
+
+def test_empty_turns_fill_windows_too(spark):
+    rows = [(1, None, "user", None)] * 1500 + [(1, i, "assistant", "") for i in range(1500)] + [(2, 0, "user", "x")]
+    made = chat.format_conversations(spark.createDataFrame(rows, TURNS).repartition(3), JSON, budget=200, history=60)
+    got = made.orderBy("conv_id", "window").collect()
+    assert all(r.window_tokens == library_count(r.text) <= 200 for r in got)
+    spans = [(r.first_turn, r.last_turn) for r in got if r.conv_id == 1]
+    assert [a for a, _ in spans] == [0, *(b + 1 for _, b in spans[:-1])] and spans[-1][1] == 2999
+    # Windows are well filled: with one more turn each would be above the budget.
+    assert all(r.window_tokens > 185 for r in got[:-2])
+
+
+def test_other_tokenizers_count_the_formatted_turns(spark):
+    import sentencepiece
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    turns = spark.createDataFrame([(1, i, "user", "a # b <c>") for i in range(50)], TURNS)
+    for r in chat.format_conversations(turns, path, budget=100, history=30).collect():
+        assert r.window_tokens == sum(len(model.encode(chat.format_turn(*t)[0])) for t in chat.parse_window(r.text)) <= 100
+
+
 def test_no_conversations_and_clashing_columns(spark):
     turns = spark.createDataFrame([], TURNS)
     assert chat.read_back(chat.format_conversations(turns, JSON)).collect() == []
