@@ -1,8 +1,9 @@
 """URL filter: rules by host and path, and for all other URLs a tree of path templates per host.
 
 The tree has one level per path segment. A segment that is a number, a hash or a date is a wildcard at once; at every
-node of the tree that has many children with few pages each, the children become one wildcard branch. Siblings whose
-labelled pages do not differ significantly are merged into the wildcard branch as well. A template is rejected by the
+node of the tree that has many children with few pages each, the children become one wildcard branch, except those with
+labels enough that differ from the others. Siblings whose labelled pages do not differ significantly are merged into the
+wildcard branch as well. A template is rejected by the
 share of bad pages among its labelled ones, smoothed towards that of its host's other templates, which is smoothed
 towards that of all pages.
 
@@ -81,13 +82,14 @@ def _differs(bad: Column, labelled: Column, bad_all: Column, labelled_all: Colum
 
 
 def template_tree(
-    shapes: DataFrame, max_depth: int = 6, min_children: int = 8, min_pages: float = 3.0, z: float = 2.58
+    shapes: DataFrame, max_depth: int = 6, min_children: int = 8, min_pages: float = 3.0, z: float = 2.58, min_own: int = 4
 ) -> DataFrame:
     """Adds ``template`` to rows of ``host, shape, pages, labelled, bad``, one row per distinct host and shape.
 
     Level by level, the children of a node are counted; rows are distinct shapes and not pages. More than
-    ``min_children`` children with fewer than ``min_pages`` pages each are one variable segment; siblings that do not
-    differ by ``z`` standard errors are merged. Segments below ``max_depth`` levels are the single tail ``**``. Each
+    ``min_children`` children with fewer than ``min_pages`` pages each on average are a variable segment, in which only
+    children with ``min_own`` labels or more stand alone; with fewer, their own labels could not outweigh the smoothing of
+    :func:`template_verdicts`. Siblings that do not differ by ``z`` standard errors are merged. Segments below ``max_depth`` levels are the single tail ``**``. Each
     level is written out; one number, the depth of the tree, reaches the driver.
     """
     deepest = shapes.agg(F.max(F.size("shape"))).first()[0] or 0
@@ -103,7 +105,7 @@ def template_tree(
         )
         variable = (F.col("_n") > min_children) & (F.col("_all") < min_pages * F.col("_n"))
         apart = _differs(F.col("_bad"), F.col("_labelled"), F.col("_b"), F.col("_l"), z)
-        kept = (F.col("_n") == 1) | (~variable & apart)
+        kept = (F.col("_n") == 1) | (apart & (~variable | (F.col("_labelled") >= min_own)))
         part = F.when(F.col("_segment") == "", F.lit("")).otherwise(
             F.concat(F.lit("/"), F.when(kept, F.col("_segment")).otherwise(F.lit("*")))
         )

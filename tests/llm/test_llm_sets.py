@@ -296,6 +296,33 @@ def test_templates(spark):
     assert url_templates.filter_urls(spark.createDataFrame([], "page_id bigint, url string"), marks).collect() == []
 
 
+def planted(spark, *sites):
+    """The pages of filter_urls from (url, pages, labelled, bad)."""
+    rows, labels = [], []
+    for url, n, labelled, bad in sites:
+        for i in range(n):
+            rows.append((len(rows), url.format(i)))
+            if i < labelled:
+                labels.append((len(rows) - 1, i < bad))
+    pages = spark.createDataFrame(rows, "page_id bigint, url string")
+    return url_templates.filter_urls(pages, spark.createDataFrame(labels, "id bigint, bad boolean"), rules=()).collect()
+
+
+def test_a_heavy_section_among_many_one_page_slugs_stands_alone(spark):
+    got = planted(
+        spark, ("http://s.org/name{}/1", 300, 300, 15), ("http://s.org/casino/{}", 150, 150, 148), ("http://s.org/little/{}", 6, 6, 6),
+        ("http://r.org/name{}/1", 300, 300, 285), ("http://r.org/docs/{}", 150, 150, 2),
+    )
+    found = {}
+    for r in got:
+        found.setdefault((r.host, r.path.split("/")[1][:4]), set()).add((r.template, r.verdict))
+    assert found["s.org", "casi"] == {("/casino/{num}", "block")}
+    assert found["s.org", "litt"] == {("/little/{num}", "block")}
+    assert found["s.org", "name"] == {("/*/{num}", "allow")}
+    assert found["r.org", "docs"] == {("/docs/{num}", "allow")}
+    assert found["r.org", "name"] == {("/*/{num}", "block")}
+
+
 def test_native_operators_run_no_python(spark, docs_of):
     docs = docs_of(mixed_rows(1))
     pages = spark.createDataFrame([(1, "http://a.b/c")], "page_id bigint, url string")
