@@ -81,6 +81,10 @@ def _differs(bad: Column, labelled: Column, bad_all: Column, labelled_all: Colum
     return F.coalesce((error > 0) & (F.abs(share - share_rest) > z * error), F.lit(False))
 
 
+def _deepest(tree: DataFrame) -> int:
+    return tree.agg(F.max(F.size("shape"))).first()[0] or 0
+
+
 def template_tree(
     shapes: DataFrame, max_depth: int = 6, min_children: int = 8, min_pages: float = 3.0, z: float = 2.58, min_own: int = 4
 ) -> DataFrame:
@@ -89,12 +93,28 @@ def template_tree(
     Level by level, the children of a node are counted; rows are distinct shapes and not pages. More than
     ``min_children`` children with fewer than ``min_pages`` pages each on average are a variable segment, in which only
     children with ``min_own`` labels or more stand alone; with fewer, their own labels could not outweigh the smoothing of
-    :func:`template_verdicts`. Siblings that do not differ by ``z`` standard errors are merged. Segments below ``max_depth`` levels are the single tail ``**``. Each
-    level is written out; one number, the depth of the tree, reaches the driver.
+    :func:`template_verdicts`. Siblings that do not differ by ``z`` standard errors are merged. Below ``max_depth`` levels
+    only open nodes go on, as far as their paths do: those with several shapes and labels of both kinds. In all others no
+    child can differ, and what follows is the single tail ``**``. Each level is written out; one number per level reaches
+    the driver, the depth of what goes on.
     """
-    deepest = shapes.agg(F.max(F.size("shape"))).first()[0] or 0
-    tree = shapes.withColumn("template", F.lit(""))
-    for depth in range(min(deepest, max_depth)):
+    tree, ended = shapes.withColumn("template", F.lit("")), []
+    depth, deepest = 0, _deepest(tree)
+    while depth < deepest:
+        if depth >= max_depth:
+            nodes = tree.groupBy("host", "template").agg(
+                F.count("*").alias("_n"), F.max(F.size("shape")).alias("_deepest"),
+                F.sum("labelled").alias("_l"), F.sum("bad").alias("_b"),
+            )
+            is_open = (F.col("_n") > 1) & (F.col("_deepest") > depth) & (F.col("_b") > 0) & (F.col("_b") < F.col("_l"))
+            going = stage(nodes.where(is_open).select("host", "template"), "open-nodes")
+            tail = F.when(F.size("shape") > depth, F.lit("/**")).otherwise(F.lit(""))
+            closed = tree.join(going, ["host", "template"], "left_anti")
+            ended.append(closed.withColumn("template", F.concat("template", tail)))
+            tree = stage(tree.join(going, ["host", "template"], "left_semi"), "tree")
+            deepest = _deepest(tree)
+            if depth >= deepest:
+                break
         tree = tree.withColumn("_segment", F.coalesce(F.get(F.col("shape"), F.lit(depth)), F.lit("")))
         children = tree.groupBy("host", "template", "_segment").agg(
             *[F.sum(c).alias("_" + c) for c in ("pages", "labelled", "bad")]
@@ -112,8 +132,10 @@ def template_tree(
         names = children.join(nodes, ["host", "template"]).select("host", "template", "_segment", part.alias("_part"))
         tree = tree.join(names, ["host", "template", "_segment"])
         tree = stage(tree.withColumn("template", F.concat("template", "_part")).drop("_part", "_segment"), "tree")
-    tail = F.when(F.size("shape") > max_depth, F.lit("/**")).otherwise(F.lit(""))
-    return tree.withColumn("template", F.concat("template", tail))
+        depth += 1
+    for rows in ended:
+        tree = tree.unionByName(rows)
+    return tree
 
 
 def template_verdicts(tree: DataFrame, weight: float = 4.0, threshold: float = 0.5) -> DataFrame:

@@ -323,6 +323,23 @@ def test_a_heavy_section_among_many_one_page_slugs_stands_alone(spark):
     assert found["r.org", "name"] == {("/*/{num}", "block")}
 
 
+def test_pages_that_differ_deep_in_their_paths(spark):
+    got = planted(
+        spark, ("http://e.org/a/b/c/d/e/f/spam/{}", 40, 40, 39), ("http://e.org/a/b/c/d/e/f/docs/{}", 70, 70, 1),
+        ("http://e.org/a/b/c/d/e/f", 5, 5, 0),
+        # Below a variable segment, and beside a closed node.
+        ("http://w.org/1/2/3/4/5/6/name{}/x/spam/1/2", 40, 40, 39), ("http://w.org/1/2/3/4/5/6/name{}/x/docs/1/2", 70, 70, 1),
+        ("http://w.org/own/2/3/4/5/6/7/8/{}", 9, 9, 9), ("http://w.org/own/2/3/4/5/6/7/9/z{}", 9, 9, 9),
+    )
+    n = "/{num}"
+    assert {r.verdict for r in got if "spam" in r.path} == {"block"} and {r.verdict for r in got if "docs" in r.path} == {"allow"}
+    assert {r.template for r in got if r.host == "e.org" and "spam" in r.path} == {"/a/b/c/d/e/f/spam/**"}
+    assert {r.template for r in got if r.host == "e.org" and r.path.endswith("/f")} == {"/a/b/c/d/e/f"}
+    assert {r.template for r in got if r.host == "w.org" and "spam" in r.path} == {n * 6 + "/*/x/spam" + n * 2}
+    assert {r.template for r in got if "/own/" in r.path} == {"/own" + n * 5 + "/**"}
+    assert len(got) == 40 + 70 + 5 + 40 + 70 + 9 + 9
+
+
 def test_native_operators_run_no_python(spark, docs_of):
     docs = docs_of(mixed_rows(1))
     pages = spark.createDataFrame([(1, "http://a.b/c")], "page_id bigint, url string")
