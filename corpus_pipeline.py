@@ -13,7 +13,7 @@ from flatproof.llm.common import stage, table
 from flatproof.llm.decontamination import decontaminate
 from flatproof.llm.mixing import emit_copies, mix_sources
 from flatproof.llm.quality import fit_quality, score_quality
-from flatproof.llm.simhash import keep_one_per_group
+from flatproof.llm.simhash import keep_first_of_groups
 from flatproof.llm.substring_dedup import remove_repeated_words
 
 QUALITY_THRESHOLD = 0.3
@@ -26,8 +26,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one with the smallest id."""
-    return keep_one_per_group(docs)
+    """One document of each group of near duplicates: the one with the smallest id, null last, then by its text."""
+    return keep_first_of_groups(docs)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

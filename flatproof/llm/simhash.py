@@ -71,19 +71,21 @@ def fingerprints(texts: list[bytes], shingle: int) -> np.ndarray:
     return out
 
 
-def fingerprint_table(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """(doc_id, fp) for every row."""
-    schema = T.StructType([T.StructField("doc_id", docs.schema[id_col].dataType), T.StructField("fp", T.LongType())])
+def fingerprint_table(docs: DataFrame, id_col: str, text_col: str, shingle: int, with_hash: bool = False) -> DataFrame:
+    """(doc_id, fp) for every row, and before fp the text's 64-bit ``tie`` if ``with_hash``."""
+    own = {"doc_id": F.col(id_col)} | ({"tie": F.xxhash64(text_col)} if with_hash else {})
+    narrow = docs.select(*[c.alias(n) for n, c in own.items()], F.col(text_col).cast("binary").alias("text"))
+    names = list(own)
+    schema = T.StructType([*[narrow.schema[n] for n in names], T.StructField("fp", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [t or b"" for t in batch.column("text").to_pylist()]
             for part in groups_of(map(len, texts), BLOCK_BYTES):
                 found = fingerprints(texts[part], shingle).view(np.int64)
-                ids = batch.column("doc_id").slice(part.start, part.stop - part.start)
-                yield pa.RecordBatch.from_arrays([ids, pa.array(found)], names=["doc_id", "fp"])
+                kept = [batch.column(n).slice(part.start, part.stop - part.start) for n in names]
+                yield pa.RecordBatch.from_arrays([*kept, pa.array(found)], names=[*names, "fp"])
 
-    narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
     return narrow.mapInArrow(run, schema)
 
 
@@ -155,6 +157,29 @@ def keep_one_per_group(
     return once.unionByName(docs.where(F.col(id_col).isNull()))
 
 
+def keep_first_of_groups(
+    docs: DataFrame, shingle: int = 4, max_bits: int = 4, segments: int = 3, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """One row of each group: the first by id (null last) and hash of the text.
+
+    Groups are told apart by their fingerprints and not by their ids, so rows of one id with unrelated texts, or
+    without an id, stand for their own groups. Of rows equal in id and text one stays.
+    """
+    fps = stage(fingerprint_table(docs, id_col, text_col, shingle, with_hash=True), "fingerprints")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "tie")).alias("first")
+    heads = stage(fps.groupBy("fp").agg(first), "distinct-fingerprints")
+    parts = stage(connected_components(near_links(heads.select("fp"), max_bits, segments)), "components")
+    linked = heads.join(parts, heads["fp"] == parts["node"]).groupBy("root").agg(F.min("first").alias("first"))
+    alone = heads.join(parts, heads["fp"] == parts["node"], "left_anti")
+    # Structs are equal where both sides hold nulls.
+    key = F.struct("first.doc_id", "first.tie").alias("kept")
+    kept = stage(linked.select(key).unionByName(alone.select(key)).distinct(), "kept")
+    packed = pack(docs, key=F.struct(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("tie")))
+    firsts = packed.join(kept, packed["key"] == kept["kept"], "left_semi")
+    # Equal rows are reduced before they are dealt.
+    return firsts.groupBy("key").agg(F.first("row").alias("row")).select("row.*")
+
+
 def op6_simhash(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     found = near_duplicates(docs)

@@ -4,6 +4,7 @@ import os
 
 import corpus_pipeline
 import pytest
+from conftest import CLASHING, passage
 from pyspark.sql import functions as F
 from test_llm_sets import brute_fingerprint, brute_groups, brute_targets, words
 from test_llm_suffixes import brute_words
@@ -114,6 +115,28 @@ def test_pipeline_of_odd_documents(spark, odd_rows, docs_of, tmp_path):
     assert corpus_pipeline.run(spark, f"{tmp_path}/none").collect() == []
 
 
+def test_near_duplicate_stage_keeps_one_row_of_each_group(docs_of):
+    """Rows that share an id, or have none, count by their texts."""
+    copies = {s: [passage(s, 60), passage(s, 60).upper()] for s in (1, 2, 3, 4)}
+    rows = [(0, passage(50 + i, 60)) for i in range(20)]  # a placeholder id with unrelated texts
+    rows += [(0, passage(50, 60))] * 3  # equal in id and text
+    rows += [(9, copies[1][0]), (9, copies[2][0]), (8, copies[2][1])]  # one text of id 9 leads, the other is a copy of 8's
+    rows += [(None, copies[3][0]), (None, copies[3][0]), (None, copies[3][1])]  # a group without ids
+    rows += [(None, copies[4][0]), (30, copies[4][1])]  # an id comes before none
+    rows += [(None, None), (None, ""), (None, " ")]  # texts without words
+    kept = [(r.doc_id, r.text) for r in corpus_pipeline.simhash_near_dedup(None, docs_of(rows, CLASHING), None).collect()]
+    groups = brute_groups([(n, brute_fingerprint(t)) for n, (_, t) in enumerate(rows)], 4)
+    by_group = {}
+    for n, _, group in groups:
+        by_group.setdefault(group, set()).add(rows[n])
+    assert len(kept) == len(by_group) == 20 + 2 + 1 + 1 + 1
+    assert all(sum(k in members for k in kept) == 1 for members in by_group.values())
+    ids = {group: min((i is None, i or 0) for i, _ in members) for group, members in by_group.items()}
+    assert sorted((i is None, i or 0) for i, _ in kept) == sorted(ids.values())
+    assert {(9, copies[1][0]), (8, copies[2][1]), (30, copies[4][1])} <= set(kept)
+    assert sorted(corpus_pipeline.simhash_near_dedup(None, docs_of([]), None).collect()) == []
+
+
 def test_each_operator_has_one_query():
     assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
     assert set(ORACLES) <= set(QUERIES)
