@@ -2,11 +2,11 @@
 
 A word goes if a window of ``length`` consecutive words that covers it also starts anywhere else, in the same document
 or another; all copies go. Seeds are winnowed anchors: word grams that are least by hash within a window, so that equal
-windows have equal seeds; :mod:`.repeats` joins the documents on them. Occurrences of a seed are extended both ways,
-word by word and all at once: at each step an occurrence belongs to the class of those that agree with it so far to the
-left, and to the class of those that agree to the right. Where an occurrence shares both classes with another one and
-the two extensions make up the length, the stretch is a repeat; adjoining stretches together are the maximal repeats.
-No pairs of occurrences are formed, however many share a seed.
+windows have equal seeds; :mod:`.repeats` joins the documents on them and settles runs of windows with equal content
+hashes. Around each occurrence of the other seeds stand the windows that cover it. They are not extended word by word:
+windows of one seed are sorted by its place in them, the hash of their words before it and the hash of those from it on,
+and equal neighbours are repeats; adjoining ones together are the maximal repeats. No pairs of occurrences are formed,
+however many share a seed.
 """
 
 from __future__ import annotations
