@@ -7,6 +7,7 @@ from .decontamination import OP2_SQL, op2_decontamination
 from .mixing import OP10_SQL, op10_systematic_mix
 from .quality import op3_quality_trees
 from .simhash import op6_simhash
+from .structure_repair import OP11_SQL, op11_structure_repair
 from .substring_dedup import OP7_SQL, op7_substring_dedup
 from .suffix_dedup import OP4_SQL, op4_suffix_dedup
 from .tokens import op1_token_counts
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_chat_windows": op8_chat_windows,
     "op9_binary_topk": op9_binary_topk,
     "op10_systematic_mix": op10_systematic_mix,
+    "op11_structure_repair": op11_structure_repair,
 }
 
 ORACLES = {
@@ -32,4 +34,5 @@ ORACLES = {
     "op7_substring_dedup": OP7_SQL,
     "op9_binary_topk": OP9_SQL,
     "op10_systematic_mix": OP10_SQL,
+    "op11_structure_repair": OP11_SQL,
 }
