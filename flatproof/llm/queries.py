@@ -13,6 +13,7 @@ from .suffix_dedup import OP4_SQL, op4_suffix_dedup
 from .tokens import op1_token_counts
 from .topk import OP9_SQL, op9_binary_topk
 from .url_templates import op5_url_templates
+from .whitening import op12_embedding_whitening
 
 QUERIES = {
     "op1_token_counts": op1_token_counts,
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_binary_topk": op9_binary_topk,
     "op10_systematic_mix": op10_systematic_mix,
     "op11_structure_repair": op11_structure_repair,
+    "op12_embedding_whitening": op12_embedding_whitening,
 }
 
 ORACLES = {
