@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .chat import op8_chat_windows
 from .decontamination import OP2_SQL, op2_decontamination
+from .language_id import op13_language_id
 from .mixing import OP10_SQL, op10_systematic_mix
 from .quality import op3_quality_trees
 from .simhash import op6_simhash
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_systematic_mix": op10_systematic_mix,
     "op11_structure_repair": op11_structure_repair,
     "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_language_id": op13_language_id,
 }
 
 ORACLES = {
