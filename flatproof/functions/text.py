@@ -14,10 +14,10 @@ NOT_ALPHA_OR_DASH = r"[^a-zA-Z\-]"
 NOT_DIGIT_OR_DASH = r"[^0-9\-]"
 NOT_DATE_CHAR = r"[^a-zA-Z0-9\s:\-/]"
 
-EMAIL = (
-    r"^[A-Za-z0-9!#$%&'*+/=?^_`{|}~\-]+(\.[A-Za-z0-9!#$%&'*+/=?^_`{|}~\-]+)*"
-    r"@[A-Za-z0-9\-]+(\.[A-Za-z0-9\-]+)*$"
-)
+# Characters of the two sides of an address.
+EMAIL_CHARS = r"^[A-Za-z0-9!#$%&'*+/=?^_`{|}~.\-]+@[A-Za-z0-9.\-]+\z"
+# A label is not empty: no dot at an end of a side, and no two in a row.
+EMAIL_EMPTY_LABEL = r"^\.|\.\.|\.@|@\.|\.\z"
 
 
 def text(c: Column | str) -> Column:

@@ -173,12 +173,17 @@ def prepare_c_flags(lines: DataFrame, positions: dict[str, list[int]], line_col:
     pairs = [x for code, at in positions.items() for x in (F.lit(code), F.array(*[F.lit(p) for p in at]))]
     marks = F.create_map(*pairs)[c_record_type(F.col(line_col))]
 
-    def fix(value: Column, at: Column) -> Column:
-        word = F.upper(F.trim(value))
-        flag = F.when(word.isin(*TRUE_WORDS), "1").when(word.isin(*FALSE_WORDS), "0").otherwise(value)
-        return F.when(F.array_contains(marks, at), flag).otherwise(value)
+    def rebuild(one: Column) -> Column:
+        def fix(value: Column, at: Column) -> Column:
+            word = F.upper(F.trim(value))
+            flag = F.when(word.isin(*TRUE_WORDS), "1").when(word.isin(*FALSE_WORDS), "0").otherwise(value)
+            return F.when(F.array_contains(one["marks"], at), flag).otherwise(value)
 
-    rebuilt = F.array_join(F.transform(split_csv(F.col(line_col)), fix), ",")
+        return F.array_join(F.transform(one["values"], fix), ",")
+
+    # Through an array of one, so that the marks are looked up once for a line and not for each value.
+    whole = F.array(F.struct(split_csv(F.col(line_col)).alias("values"), marks.alias("marks")))
+    rebuilt = F.transform(whole, rebuild)[0]
     return lines.withColumn(line_col, F.when(marks.isNotNull(), rebuilt).otherwise(F.col(line_col)))
 
 

@@ -11,27 +11,70 @@ from ..functions import text as T
 from ..spec import RecordSpec
 
 CSV_OPTIONS = {"quote": '"', "escape": '"', "mode": "PERMISSIVE"}
-_OUTSIDE_QUOTES = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+#: A line with more separators than this is cut to its layout's fields before it is parsed.
+MANY_FIELDS = 10_000
+# Stand-ins while a line is split: in texts the first is always followed by the third, in marks by the second.
+_ESCAPE, _CUT, _OWN = "\x01", "\x02", "\x03"
 
 
 def csv_fields(line: Column, width: int) -> Column:
-    """A struct ``c0..cN`` of the first ``width`` values; missing ones are NULL."""
+    """A struct ``c0..cN`` of the first ``width`` values; missing ones are NULL.
+
+    The parser refuses lines with very many fields, so such a line is first cut to those that are asked for.
+    """
     schema = ", ".join(f"c{i} string" for i in range(width))
-    return F.from_csv(line, F.lit(schema), CSV_OPTIONS)
+    short = F.when(F.length(line) <= MANY_FIELDS, line).when(
+        _count(line, ",") > MANY_FIELDS, F.array_join(F.slice(split_csv(line), 1, width), ",")
+    ).otherwise(line)
+    return F.from_csv(short, F.lit(schema), CSV_OPTIONS)
+
+
+def _count(text: Column, char: str) -> Column:
+    return F.length(text) - F.length(F.replace(text, F.lit(char), F.lit("")))
 
 
 def split_csv(line: Column) -> Column:
-    """All values of a line as an array, quotes kept. The plain split serves lines without quotes."""
-    return F.when(line.contains('"'), F.split(line, _OUTSIDE_QUOTES)).otherwise(F.split(line, ","))
+    """All values of a line as an array, quotes kept. A comma separates if an even number of quotes follows it.
+
+    The line is taken apart at its quotes, and commas count in every other piece from the last one on. The work is in
+    proportion to the line, however long or badly quoted.
+    """
+    pieces = F.split(F.replace(line, F.lit(_ESCAPE), F.lit(_ESCAPE + _OWN)), '"')
+
+    def mark(whole: Column) -> Column:
+        def piece(text: Column, at: Column) -> Column:
+            return F.when((whole["last"] - at) % 2 == 0, F.replace(text, F.lit(","), F.lit(_ESCAPE + _CUT))).otherwise(text)
+
+        return F.transform(whole["pieces"], piece)
+
+    # Through an array of one, so that the line is taken apart once and not again for each piece.
+    one = F.array(F.struct(pieces.alias("pieces"), (_count(line, '"')).alias("last")))
+    marked = F.transform(one, mark)[0]
+    values = F.split(F.array_join(marked, '"'), _ESCAPE + _CUT)
+    restored = F.when(
+        line.contains(_ESCAPE), F.transform(values, lambda v: F.replace(v, F.lit(_ESCAPE + _OWN), F.lit(_ESCAPE)))
+    ).otherwise(values)
+    return F.when(line.contains('"'), restored).otherwise(F.split(line, ","))
 
 
 def column_count(line: Column) -> Column:
-    commas = F.length(line) - F.length(F.replace(line, F.lit(","), F.lit("")))
-    return F.when(line.contains('"'), F.size(F.split(line, _OUTSIDE_QUOTES))).otherwise(commas + 1)
+    """The number of values that :func:`split_csv` gives. Read backwards, quoted parts are closed by the next quote or
+    by the start of the line, and the commas outside them separate."""
+    outside = F.regexp_replace(F.reverse(line), r'"[^"]*("|\z)', "")
+    return F.when(line.contains('"'), _count(outside, ",") + 1).otherwise(_count(line, ",") + 1)
 
 
 def first_field(line: Column) -> Column:
-    quoted = F.regexp_extract(line, r'^"((?:[^"]|"")*)"', 1)
+    """The first value, a quoted one without its outer quotes (doubled ones stay). Quotes are told apart by pairing them
+    from the left: the first one without a partner closes the value, or else the last pair does."""
+    rest = F.substring(line, 2, 2**31 - 1)
+    paired = F.replace(rest, F.lit('""'), F.lit("  "))
+    close, from_end = F.position(F.lit('"'), paired), F.position(F.lit('"'), F.reverse(rest))
+    quoted = (
+        F.when(close > 0, F.left(rest, close - 1))
+        .when(from_end > 0, F.left(rest, F.length(rest) - from_end - 1))
+        .otherwise("")
+    )
     return F.when(line.startswith('"'), quoted).otherwise(F.substring_index(line, ",", 1))
 
 

@@ -134,7 +134,8 @@ def _unreadable(value: str, when: str | None, field: FieldSpec, options: RuleOpt
     """The test and wording of the format error of a kind, on the cleaned value."""
     kind = field.kind
     if kind == "email":
-        return f"not rlike({value}, {sql_text(T.EMAIL)})", "must be a valid Email"
+        chars, empty = sql_text(T.EMAIL_CHARS), sql_text(T.EMAIL_EMPTY_LABEL)
+        return f"(not rlike({value}, {chars}) or rlike({value}, {empty}))", "must be a valid Email"
     if kind == "int":
         return f"(not rlike({value}, '{V.WHOLE}') or try_cast({value} as bigint) is null)", "must be numbers only"
     if kind in MONEY_KINDS:
