@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators import rules
+from ..operators import lookups, merge, rules
 from ..operators.parse import column_count, first_field, parse_by_layout
-from ..session import spread
+from ..session import scratch_path, spread
 from ..spec import record
+from ..streaming.ingest import Postings, ingest, stream_lines
 from .queries import query, table
 
 LAYOUTS = {"LN": record("LN", ["Key:int*", "Name:text[1..5]", "Contact:email"]), "LX": record("LX", ["Key:int*"])}
@@ -53,3 +54,70 @@ def long_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.add_error(checked, unknown).select(
         F.col("n_nationkey").alias("key"), "kind", "columns", "type_length", F.array_join("errors.code", ";").alias("error_code")
     )
+
+
+# --- repeat postings in a stream -----------------------------------------------------------
+
+POSTING = ["user_id", "event_type", "slot"]
+
+
+def posting_rows(batch: DataFrame) -> DataFrame:
+    """Lines of events as rows."""
+    value = lambda n, kind: F.split("line", ",")[n].cast(kind)
+    return batch.select(
+        value(0, "bigint").alias("event_id"), value(1, "bigint").alias("user_id"), value(2, "string").alias("event_type"),
+        value(3, "int").alias("slot"), value(4, "date").alias("day"),
+    )
+
+
+def mark_repeats(rows: DataFrame, known: DataFrame | None) -> DataFrame:
+    """Rows with the earlier posting that they repeat, of the history or of an earlier day of the batch."""
+    found = lookups.earlier_posting(
+        rows.drop("previous_id"), POSTING, "day", "event_id", {"event_id": F.col("event_id")}, known, "event_id", name="previous"
+    )
+    return found.withColumn("previous_id", F.col("previous.event_id")).drop("previous")
+
+
+def accepted_postings(rows: DataFrame) -> DataFrame:
+    """The postings of rows: all of rows that are not marked yet, those without an earlier posting of others."""
+    kept = rows.where("previous_id is null") if "previous_id" in rows.columns else rows
+    return kept.select(*POSTING, "event_id")
+
+
+def repeat_last_batch(spark: SparkSession, checkpoint: str) -> None:
+    """Take back the mark of the last batch of a stream, as if the run had stopped before it was set."""
+    marks = [m for m in merge.glob(spark, f"{checkpoint}/commits/*") if m.rpartition("/")[2].isdigit()]
+    last = max(marks, key=lambda m: int(m.rpartition("/")[2]))
+    merge.remove(spark, last)
+
+
+@query(
+    """WITH e AS (SELECT event_id, user_id, event_type, day(ts) % 10 AS slot, CAST(ts AS DATE) AS d FROM events),
+first_day AS (SELECT user_id, event_type, slot, min(d) AS d1 FROM e GROUP BY 1, 2, 3),
+posted AS (SELECT user_id, event_type, slot, f.d1, max(event_id) AS prev FROM e JOIN first_day f USING (user_id, event_type, slot)
+  WHERE e.d = f.d1 GROUP BY 1, 2, 3, 4)
+SELECT event_id, CASE WHEN d > d1 THEN prev END AS previous_id FROM e JOIN posted USING (user_id, event_type, slot)"""
+)
+def stream_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Postings that repeat one of an earlier batch, through a stream of three batches. The second one compacts the tables
+    and runs twice."""
+    inbox, held, seen, past = (scratch_path(spark, n) for n in ("postings", "held", "seen", "past"))
+    e = table(spark, sf_dir, "events").withColumn("day", F.col("ts").cast("date"))
+    cells = (F.col(c).cast("string") for c in ("event_id", "user_id", "event_type"))
+    line = F.concat_ws(",", *cells, (F.dayofmonth("ts") % 10).cast("string"), F.col("day").cast("string")).alias("value")
+    postings = Postings(past, POSTING, accepted_postings, mark_repeats, F.col("event_id"), buckets=16)
+
+    def run() -> None:
+        lines = stream_lines(spark, inbox, files_per_trigger=1_000_000)
+        ingest(lines, posting_rows, held, seen, ["event_id"], postings=postings, compact_every=2)
+
+    third = F.ntile(3).over(Window.orderBy("day"))
+    days = e.select("day").distinct().select("day", third.alias("third"))
+    placed = e.join(F.broadcast(days), "day")  # one row per day
+    for number in (1, 2, 3):
+        placed.where(F.col("third") == number).select(line).write.mode("append").text(inbox)
+        run()
+        if number == 2:
+            repeat_last_batch(spark, seen)
+            run()
+    return merge.read_table(spark, held).select("event_id", "previous_id")

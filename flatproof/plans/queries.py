@@ -766,9 +766,9 @@ def stored_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", F.year("l_shipdate").alias("statement_year"), month
     )
-    lines.write.partitionBy("statement_year", "statement_month").parquet(path)
+    merge.write_periods(lines, path)
     merge.write_period(lines.where(F.lit(False)), path, 1995, "March")
-    stored = spark.read.parquet(path)
+    stored = merge.read_periods(spark, path)
     return stored.groupBy("statement_year", "statement_month").agg(F.count("*").alias("row_count"))
 
 

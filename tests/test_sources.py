@@ -179,12 +179,65 @@ def test_other_keys_and_types_are_refused(spark, tmp_path):
 def test_period_is_replaced_and_emptied(spark, tmp_path):
     path = str(tmp_path / "archive")
     make = lambda y, m, v: spark.createDataFrame([(v, y, m)], "v int, statement_year int, statement_month string")
+    read = lambda: {(r["statement_month"], r["v"]) for r in merge.read_periods(spark, path).collect()}
+    merge.write_periods(make(2024, "MAY", 5).union(make(2024, "JULY", 7)), path)
     merge.write_period(make(2024, "MAY", 1).union(make(2024, "JUNE", 2)), path, 2024, "May")
     merge.write_period(make(2024, "JUNE", 9), path, 2024, "june")
-    read = lambda: {(r["statement_month"], r["v"]) for r in spark.read.parquet(path).collect()}
-    assert read() == {("MAY", 1), ("JUNE", 9)}
+    assert read() == {("MAY", 1), ("JUNE", 9), ("JULY", 7)}
     merge.write_period(make(2024, "JUNE", 9), path, 2024, "May")
-    assert read() == {("JUNE", 9)}
+    assert read() == {("JUNE", 9), ("JULY", 7)}
+    merge.write_periods(make(2024, "MAY", 3), path)
+    assert read() == {("MAY", 3), ("JUNE", 9), ("JULY", 7)}
+
+
+def test_a_period_survives_a_write_that_stops(spark, tmp_path):
+    path = str(tmp_path / "archive")
+    make = lambda v: spark.createDataFrame([(i, 2024, "MAY") for i in v], "v int, statement_year int, statement_month string")
+    read = lambda: sorted(r["v"] for r in merge.read_periods(spark, path).collect())
+    merge.write_period(make([1, 2]), path, 2024, "May")
+    broken = make(range(50)).withColumn("v", F.when(F.col("v") == 40, F.raise_error(F.lit("stop")).cast("int")).otherwise(F.col("v")))
+    for write in (lambda: merge.write_period(broken, path, 2024, "May"), lambda: merge.write_periods(broken, path)):
+        with pytest.raises(Exception, match="stop"):
+            write()
+        assert read() == [1, 2]
+    merge.write_period(make([3]), path, 2024, "May")
+    assert read() == [3]
+
+
+def test_compaction_keeps_what_may_be_repeated(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for v in (1, 2, 3):
+        merge.upsert_table(spark, path, _rows(spark, v, v + 2, v))
+    merge.compact_table(spark, path, keep=1)
+    assert merge.stored_parts(spark, path) == 1 and merge.has_rows(spark, path, 3) and not merge.has_rows(spark, path, 2)
+    assert {r["source_row_no"]: r["v"] for r in merge.read_table(spark, path, 3).collect()} == {1: 1, 2: 2, 3: 2}
+    merge.upsert_table(spark, path, _rows(spark, 3, 5, 9), part=3)
+    assert {r["source_row_no"]: r["v"] for r in merge.read_table(spark, path).collect()} == {1: 1, 2: 2, 3: 9, 4: 9}
+    merge.compact_table(spark, path)
+    assert merge.stored_parts(spark, path) == 0 and merge.has_rows(spark, path)
+    with pytest.raises(ValueError, match="can't be repeated"):
+        merge.upsert_table(spark, path, _rows(spark, 3, 5, 9), part=3)
+    merge.compact_table(spark, path)
+    assert merge.read_table(spark, path).count() == 4
+
+
+def test_only_the_buckets_of_the_wanted_keys_are_read(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = lambda lo, hi, v: spark.range(lo, hi).selectExpr("id as k", "cast(null as string) as j", f"{v} as v")
+    merge.upsert_table(spark, path, rows(0, 400, 1), ["k", "j"], buckets=16)
+    merge.upsert_table(spark, path, rows(390, 410, 2).selectExpr("*", "'n' as note"), ["k", "j"])
+    for _ in range(2):
+        whole = merge.read_table(spark, path)
+        assert whole.count() == 410 and whole.where("v = 2").count() == 20 and whole.columns == ["k", "j", "v", "note"]
+        # The wanted keys may come as another type.
+        some = merge.read_table(spark, path, only=spark.createDataFrame([(395, None)], "k int, j string"))
+        assert [r["v"] for r in some.where("k = 395").collect()] == [2]
+        assert "PartitionFilters: [_bucket" in some._jdf.queryExecution().executedPlan().toString().replace("isnotnull(_bucket", "_bucket")
+        assert 0 < some.count() < 60
+        assert merge.read_table(spark, path, only=rows(0, 0, 1)).count() == 0
+        merge.compact_table(spark, path)
+    with pytest.raises(ValueError, match="buckets"):
+        merge.upsert_table(spark, path, rows(0, 1, 1).selectExpr("*", "'n' as note"), ["k", "j"], buckets=8)
 
 
 def test_stream_takes_each_file_once(spark, tmp_path):
