@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions import values as V
+from ..session import glob, remove
 
 ROW_KEY = ["file", "source_row_no"]
 
@@ -78,25 +79,8 @@ def upsert(
 PART, BUCKET = "_part", "_bucket"
 
 
-def _file_system(spark: SparkSession, path: str):
-    root = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return root.getFileSystem(spark._jsc.hadoopConfiguration()), root
-
-
-def glob(spark: SparkSession, pattern: str) -> list[str]:
-    """Paths that fit a pattern, in order; one call for all of them."""
-    fs, found = _file_system(spark, pattern)
-    return sorted(str(status.getPath()) for status in fs.globStatus(found) or [])
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    fs, found = _file_system(spark, path)
-    fs.delete(found, True)
-
-
 def has_table(spark: SparkSession, path: str) -> bool:
-    fs, root = _file_system(spark, path)
-    return bool(fs.exists(fs.makeQualified(root)))
+    return bool(glob(spark, path))
 
 
 def _committed(spark: SparkSession, path: str, kind: str) -> list[int]:

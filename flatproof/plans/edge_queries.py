@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 
 from ..operators import lookups, merge, rules
 from ..operators.parse import column_count, first_field, parse_by_layout
-from ..session import scratch_path, spread
+from ..session import glob, remove, scratch_path, spread
+from ..sources import lines as L
+from ..sources import sinks
 from ..spec import record
 from ..streaming.ingest import Postings, ingest, stream_lines
-from .queries import query, table
+from . import check
+from .queries import ORDER_TEXT_CTE, query, stored_orders, table
 
 LAYOUTS = {"LN": record("LN", ["Key:int*", "Name:text[1..5]", "Contact:email"]), "LX": record("LX", ["Key:int*"])}
 
@@ -86,9 +89,9 @@ def accepted_postings(rows: DataFrame) -> DataFrame:
 
 def repeat_last_batch(spark: SparkSession, checkpoint: str) -> None:
     """Take back the mark of the last batch of a stream, as if the run had stopped before it was set."""
-    marks = [m for m in merge.glob(spark, f"{checkpoint}/commits/*") if m.rpartition("/")[2].isdigit()]
+    marks = [m for m in glob(spark, f"{checkpoint}/commits/*") if m.rpartition("/")[2].isdigit()]
     last = max(marks, key=lambda m: int(m.rpartition("/")[2]))
-    merge.remove(spark, last)
+    remove(spark, last)
 
 
 @query(
@@ -121,3 +124,61 @@ def stream_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
             repeat_last_batch(spark, seen)
             run()
     return merge.read_table(spark, held).select("event_id", "previous_id")
+
+
+# --- files ---------------------------------------------------------------------------------
+
+
+@query(
+    f"""WITH {ORDER_TEXT_CTE},
+bad AS (SELECT file, count(*) FILTER (len(codes) > 0) AS b, count(*) AS a FROM txt GROUP BY 1),
+named AS (SELECT file || ['-0-OriginalFile.mbi', '-1-PassedLines.mbi', '-2-RejectedLines.err', '-3-RejectedLines.mbi',
+    '-4-allLines.err'][n + 1] AS out_file, row_no, file_row FROM splits
+  UNION ALL SELECT file || t.ending, -1, 'IA,' || CASE t.k WHEN 0 THEN a WHEN 1 THEN a - b ELSE b END || ',TPA01,Orders Template,B7'
+  FROM bad, (VALUES ('-0-OriginalFile.mbi', 0), ('-1-PassedLines.mbi', 1), ('-2-RejectedLines.err', 2), ('-3-RejectedLines.mbi', 2),
+    ('-4-allLines.err', 0)) t(ending, k))
+SELECT out_file, count(*) AS line_count, sum(length(file_row) + 1)::BIGINT AS size,
+  sha256(string_agg(file_row, chr(10) ORDER BY row_no) || chr(10)) AS digest FROM named GROUP BY 1"""
+)
+def named_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The outputs of the checked files, one file each under its exact name, as their bytes are on disk."""
+    outputs = check.deliver(stored_orders(spark, sf_dir), "A", F.lit("B7"))
+    path = scratch_path(spark, "outbox")
+    sinks.write_named_files(outputs, path)
+    files = spark.read.format("binaryFile").load(path)
+    text = F.col("content").cast("string")
+    return files.select(
+        F.element_at(F.split("path", "/"), -1).alias("out_file"),
+        (F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit("")))).cast("bigint").alias("line_count"),
+        F.col("length").alias("size"), F.sha2("content", 256).alias("digest"),
+    )
+
+
+def damage_file(spark: SparkSession, path: str) -> None:
+    """Cut a file to half its bytes, as a broken transfer leaves it."""
+    content = spark.read.format("binaryFile").load(path).first()["content"]
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True)
+    stream.write(bytearray(content[: len(content) // 2]))
+    stream.close()
+
+
+@query(
+    """SELECT replace(o_orderpriority, ' ', '_') AS file, CASE WHEN o_orderpriority <> '1-URGENT' THEN count(*) END AS line_count,
+  CASE WHEN o_orderpriority = '1-URGENT' THEN 'Could not process this file:' || chr(10) || '1-URGENT' || chr(10) ||
+    'Unexpected end of input stream' END AS side_text FROM orders GROUP BY o_orderpriority"""
+)
+def broken_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Compressed files of which one is broken: the lines of the others, and the quarantine's text of that one."""
+    inbox, held = scratch_path(spark, "mixed"), scratch_path(spark, "broken")
+    o = table(spark, sf_dir, "orders").select(
+        F.replace("o_orderpriority", F.lit(" "), F.lit("_")).alias("out_file"),
+        F.concat_ws(",", F.lit("OR"), F.col("o_orderkey").cast("string"), F.col("o_totalprice").cast("string")).alias("value"),
+    )
+    o.repartition("out_file").write.partitionBy("out_file").option("compression", "gzip").text(inbox)
+    damage_file(spark, glob(spark, f"{inbox}/out_file=1-URGENT/part-*")[0])
+    lines, failed = L.read_good_lines(spark, [inbox], ["*.gz"], recursive=True)
+    sinks.write_quarantine(failed.withColumn("file", F.regexp_extract("file", "/out_file=([^/]*)/", 1)), held)
+    none = lambda kind: F.lit(None).cast(kind)
+    read = L.as_logical_files(lines).groupBy("file").agg(F.count("*").alias("line_count"), none("string").alias("side_text"))
+    return read.unionByName(spark.read.parquet(held).select("file", none("bigint").alias("line_count"), "side_text"))

@@ -143,6 +143,34 @@ chk AS (
 """
 
 
+# The lines as they came, the text of each broken rule, and the lines of the five splits.
+ORDER_TEXT_CTE = ORDER_CTE + r""",
+texts AS (
+  SELECT *, format('{:,}', CAST(floor(price) AS BIGINT)) || '.' ||
+    lpad(CAST(CAST((price - floor(price)) * 100 AS BIGINT) AS VARCHAR), 2, '0') AS shown FROM chk),
+worded AS (
+  SELECT *, [c || ' ' || CASE c WHEN 'OrderKey' THEN 'must be maximum 4 characters long. '' ' || o_orderkey
+      WHEN 'Status' THEN 'must always be one of F|O. ''' || o_orderstatus
+      WHEN 'TotalPrice' THEN 'must be a number with a value less than 400000. ''' || shown
+      WHEN 'OrderDate' THEN 'must be in format YYYYMMDD. ''' || odate WHEN 'Rush' THEN 'must be either Yes or No. ''maybe'
+      WHEN 'Contact' THEN 'must be a valid Email. ''' || contact ELSE 'must be maximum 9 characters long. ''1-' || o_orderkey END
+      || ''' is not valid' FOR c IN codes] AS messages,
+    'OR, ' || o_orderkey || ',' || o_custkey || ',' || o_orderstatus || ',"' || shown || '",' ||
+      CASE WHEN o_orderstatus = 'F' THEN strftime(o_orderdate, '%m/%d/%Y') WHEN o_orderstatus = 'O' THEN strftime(o_orderdate, '%Y%m%d')
+      WHEN o_custkey % 7 = 0 THEN '2024-13-01' ELSE strftime(o_orderdate, '%d-%b-%Y') END || ',' || o_orderpriority || ',' ||
+      CASE WHEN o_orderstatus = 'F' THEN 'client' ELSE '' END || ',' || CASE WHEN o_orderstatus = 'O' THEN 'special' ELSE '' END || ',' ||
+      rush || ',' || contact || ',1-' || o_orderkey AS org_row FROM texts),
+txt AS (SELECT *, data_row || ',Warning: ' || array_to_string(messages, ';') AS warned FROM worded),
+splits AS (
+  SELECT file, 'original_file' AS split, o_orderkey AS row_no, org_row AS file_row, 0 AS n FROM txt
+  UNION ALL SELECT file, 'passed_lines', o_orderkey, data_row, 1 FROM txt WHERE len(codes) = 0
+  UNION ALL SELECT file, 'rejected_lines_with_errors', o_orderkey, warned, 2 FROM txt WHERE len(codes) > 0
+  UNION ALL SELECT file, 'rejected_lines', o_orderkey, data_row, 3 FROM txt WHERE len(codes) > 0
+  UNION ALL SELECT file, 'all_lines_with_errors', o_orderkey,
+    CASE WHEN len(codes) > 0 THEN warned ELSE data_row || ',OK' END, 4 FROM txt)
+"""
+
+
 @query(
     f"""WITH {ORDER_CTE}
 SELECT u.code AS error_code, count(*) AS row_count FROM chk, unnest(codes) AS u(code) GROUP BY 1"""
@@ -173,18 +201,13 @@ def file_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""WITH {ORDER_CTE},
-last_code AS (SELECT o_orderkey, codes[len(codes)] AS code FROM chk WHERE len(codes) > 0)
-SELECT code, count(*) AS row_count, min(o_orderkey) AS first_row, max(o_orderkey) AS last_row
-FROM last_code GROUP BY 1"""
+    f"""WITH {ORDER_TEXT_CTE}
+SELECT file, o_orderkey AS row_no, o_orderkey || ': ' || codes[len(codes)] || ' : ' || messages[len(messages)] AS report
+FROM txt WHERE len(codes) > 0"""
 )
 def row_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    reports = rules.row_reports(checked_orders(spark, sf_dir))
-    parts = F.split("report", ":")
-    number, code = parts[0].cast("bigint"), F.trim(parts[1])
-    return reports.groupBy(code.alias("code")).agg(
-        F.count("*").alias("row_count"), F.min(number).alias("first_row"), F.max(number).alias("last_row")
-    )
+    """The whole report of each row with errors."""
+    return rules.row_reports(checked_orders(spark, sf_dir)).select("file", F.col("source_row_no").alias("row_no"), "report")
 
 
 @query(
@@ -786,25 +809,13 @@ def stored_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""WITH {ORDER_CTE},
-splits AS (
-  SELECT file, 'passed_lines' AS split, o_orderkey, data_row AS row_text FROM chk WHERE len(codes) = 0
-  UNION ALL SELECT file, 'rejected_lines', o_orderkey, data_row FROM chk WHERE len(codes) > 0
-  UNION ALL SELECT file, 'rejected_lines_with_errors', o_orderkey, data_row || ',Warning: ' FROM chk WHERE len(codes) > 0
-  UNION ALL SELECT file, 'all_lines_with_errors', o_orderkey,
-    data_row || CASE WHEN len(codes) > 0 THEN ',Warning: ' ELSE ',OK' END FROM chk)
-SELECT file, split, count(*) AS row_count, sum(length(row_text))::BIGINT AS chars, max(o_orderkey) AS last_row
-FROM splits GROUP BY 1, 2"""
+    f"""WITH {ORDER_TEXT_CTE}
+SELECT file, split, row_no, file_row FROM splits"""
 )
 def split_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Four splits of all rows; a warning is compared up to its text, which the rule queries compare."""
-    shown = export.split_rows(stored_orders(spark, sf_dir)).where("split <> 'original_file'")
-    shown = shown.withColumn("file_row", F.regexp_replace("file_row", r",Warning: .*$", ",Warning: "))
-    return shown.groupBy("file", "split").agg(
-        F.count("*").alias("row_count"),
-        F.sum(F.length("file_row")).alias("chars"),
-        F.max("row_no").alias("last_row"),
-    )
+    """All lines of all five splits, with the texts of their errors."""
+    shown = export.split_rows(stored_orders(spark, sf_dir))
+    return shown.select("file", "split", "row_no", "file_row")
 
 
 @query(

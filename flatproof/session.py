@@ -59,10 +59,26 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{session_scratch(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()), found
+
+
+def glob(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that fit a pattern, in order; one call for all of them."""
+    fs, found = _file_system(spark, pattern)
+    return sorted(str(status.getPath()) for status in fs.globStatus(found) or [])
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or a folder with all that is in it, if it is there."""
+    fs, found = _file_system(spark, path)
+    fs.delete(found, True)
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Remove everything this application has staged. Results that were not written elsewhere are lost."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(session_scratch(spark))
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    remove(spark, session_scratch(spark))
 
 
 def pin_splits(spark: SparkSession) -> None:

@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -58,6 +64,72 @@ def read_lines(
     return lines if keep is None else lines.where(keep)
 
 
+def literal_path(path: str) -> str:
+    """A path in which no character is a pattern."""
+    return re.sub(r"([\\*?{}\[\]])", r"\\\1", path)
+
+
+def _why(error: Exception) -> str:
+    """The innermost cause of a failed read, in one line."""
+    causes = re.findall(r"^Caused by: (?:[\w.$]+: )?(.*)$", str(error), re.M)
+    return (causes[-1] if causes else str(error).split("\n", 1)[0]).strip()
+
+
+def unreadable_files(spark: SparkSession, paths: list[str], at_once: int = 4) -> list[tuple[str, str]]:
+    """Files that can't be read to their end, each with the reason.
+
+    All files are read in one job. Only if that fails, halves of them are read, and halves of those that
+    fail, ``at_once`` at a time, down to single files. So good files cost one pass, a broken file some
+    more passes over ever fewer files, and a failure that does not come back when a file is read alone
+    blames no file.
+    """
+    parts, broken = [paths] if paths else [], []
+
+    def failure(part: list[str]) -> str | None:
+        try:
+            spark.read.text([literal_path(p) for p in part]).agg(F.max(F.length("value"))).collect()
+        except (PySparkException, Py4JJavaError) as error:
+            return _why(error)
+        return None
+
+    with ThreadPoolExecutor(at_once) as pool:
+        while parts:
+            failed = [(part, why) for part, why in zip(parts, pool.map(failure, parts)) if why is not None]
+            broken += [(part[0], why) for part, why in failed if len(part) == 1]
+            cut = [part for part, _ in failed if len(part) > 1]
+            parts = [half for part in cut for half in (part[: len(part) // 2], part[len(part) // 2 :])]
+    return sorted(broken)
+
+
+def read_good_lines(
+    spark: SparkSession,
+    paths: list[str],
+    masks: list[str] | None = None,
+    recursive: bool = False,
+    keep: Column | None = None,
+    on_error: Callable[[str, str], None] | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """Lines as :func:`read_lines` gives them, of all files that can be read, and the others: ``file,
+    platform, reason``, ready for the quarantine. ``on_error`` is called with the path and the reason
+    of each of them.
+
+    Good files are read as strictly as ever: a failure that comes later fails the job rather than
+    losing lines.
+    """
+    found = [r["path"] for r in list_files(spark, paths, masks or ["*"], recursive).select("path").collect()]
+    broken = unreadable_files(spark, found)
+    for path, why in broken:
+        if on_error is not None:
+            on_error(path, why)
+    bad = {path for path, _ in broken}
+    good = [literal_path(p) for p in found if p not in bad]
+    failed = spark.createDataFrame([(p, "Unknown", why) for p, why in broken], "file string, platform string, reason string")
+    if good:
+        return read_lines(spark, good, keep=keep), failed
+    nothing = "file string, part string, block bigint, size bigint, modified timestamp, line string"
+    return spark.createDataFrame([], nothing), failed
+
+
 def as_logical_files(lines: DataFrame, column: str = "out_file") -> DataFrame:
     """Treat each ``column=value`` folder as one file whose parts follow each other by name."""
     return lines.withColumn("file", F.regexp_extract("part", f"/{column}=([^/]*)/", 1))

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import glob, remove, scratch_path
+
 
 def write_lines(
     rows: DataFrame, path: str, file_col: str = "out_file", order: str = "row_no", line_col: str = "file_row",
@@ -21,6 +25,44 @@ def write_lines(
     ordered.write.mode(mode).partitionBy(file_col).text(path)
 
 
+def write_named_files(
+    rows: DataFrame, path: str, file_col: str = "out_file", order: str = "row_no", line_col: str = "file_row"
+) -> list[str]:
+    """Write each output as one file, ``path`` / its name, with its lines in order; returns the names.
+
+    The lines of a file are sorted and written by one task, as a file of one name has one writer; what
+    does not fit memory is sorted on disk. The finished files are then put under their names, which
+    moves no data. A file that is there already is replaced; a run that stops before leaves it alone.
+    Names with a slash are refused. For outputs that may be folders of parts, :func:`write_lines` lets
+    many tasks write one output.
+    """
+    spark = rows.sparkSession
+    refused = F.raise_error(F.concat(F.lit("a name with a slash: "), F.col(file_col))).cast("string")
+    name = F.when(F.col(file_col).contains("/"), refused).otherwise(F.col(file_col))
+    named = rows.select(name.alias("name"), F.col(order).alias("at"), F.col(line_col).alias("value"))
+    # One task per name, as parts would be files of their own.
+    in_order = named.repartition("name").sortWithinPartitions("name", "at").select("name", "value")
+    made = scratch_path(spark, "named")
+    in_order.write.option("maxRecordsPerFile", 0).partitionBy("name").text(made)
+
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    store = hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    store.mkdirs(hadoop.Path(path))
+    parts: dict[str, list[str]] = {}
+    for part in glob(spark, f"{made}/name=*/part-*"):
+        parts.setdefault(unquote(part.split("/")[-2].removeprefix("name=")), []).append(part)
+    several = [n for n, found in parts.items() if len(found) > 1]
+    if several:
+        raise RuntimeError(f"outputs in several parts: {several[:10]}")
+    for n, (part,) in sorted(parts.items()):
+        final = hadoop.Path(hadoop.Path(path), hadoop.Path(None, None, n))
+        store.delete(final, False)
+        if not store.rename(hadoop.Path(part), final):
+            raise RuntimeError(f"could not put {part} under the name {n}")
+    remove(spark, made)
+    return sorted(parts)
+
+
 def quarantine(files: DataFrame, reason_col: str = "reason") -> DataFrame:
     """Rejected files with the text that is put beside them: ``file, platform, reason, side_text``."""
     side = F.concat_ws("\n", F.lit("Could not process this file:"), F.col("file"), F.col(reason_col))

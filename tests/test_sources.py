@@ -260,3 +260,45 @@ def test_stream_takes_each_file_once(spark, tmp_path):
     assert got == {"a": ("1", 0), "b": ("3*", 1), "c": ("4", 1)}
     run(against_table=mark)
     assert merge.read_table(spark, table).count() == 3
+
+
+def test_broken_files_are_named_and_the_others_read(spark, tmp_path):
+    import gzip
+
+    folder = tmp_path / "in [x]"
+    folder.mkdir()
+    for i in range(9):
+        data = gzip.compress(f"{i},a\n{i},b\n".encode() * 500)
+        (folder / f"f{i}.txt.gz").write_bytes(data[: len(data) // 2] if i in (2, 7) else data)
+    (folder / "plain{1}.txt").write_text("p\n")
+    (folder / "empty.txt").write_text("")
+    told = []
+    lines, failed = L.read_good_lines(spark, [str(tmp_path)], ["*.gz", "*.txt"], recursive=True, on_error=lambda p, why: told.append((p, why)))
+    counts = {r["file"].rpartition("/")[2]: r["count"] for r in lines.groupBy("file").count().collect()}
+    assert sum(counts.values()) == 7 * 1000 + 1 and not any("f2" in f or "f7" in f for f in counts)
+    got = [(r["file"], r["reason"]) for r in failed.orderBy("file").collect()]
+    assert got == told and ["f2.txt.gz", "f7.txt.gz"] == [f.rpartition("/")[2] for f, _ in got]
+    assert all("Unexpected end of input stream" in why for _, why in got)
+    side = sinks.quarantine(failed).first()["side_text"]
+    assert side.startswith("Could not process this file:\n") and "f2.txt.gz\nUnexpected" in side
+    only = tmp_path / "only"
+    only.mkdir()
+    (only / "x.gz").write_bytes(b"no gzip")
+    lines, failed = L.read_good_lines(spark, [str(only)])
+    assert lines.count() == 0 and failed.count() == 1 and lines.columns == L.read_lines(spark, [L.literal_path(str(folder))]).columns
+
+
+def test_outputs_under_their_names(spark, tmp_path):
+    path = tmp_path / "out"
+    path.mkdir()
+    (path / "a.mbi").write_text("old")
+    (path / "stays").write_text("old")
+    rows = spark.range(3000).selectExpr("if(id % 3 = 0, 'a.mbi', 'b%20 c=d.err') as out_file", "-id as row_no", "concat('é', id) as file_row")
+    assert sinks.write_named_files(rows.repartition(7), str(path)) == ["a.mbi", "b%20 c=d.err"]
+    expect = lambda ids: "".join(f"é{i}\n" for i in sorted(ids, reverse=True))
+    assert (path / "a.mbi").read_text() == expect(range(0, 3000, 3))
+    assert (path / "b%20 c=d.err").read_text() == expect(i for i in range(3000) if i % 3)
+    assert (path / "stays").read_text() == "old"
+    with pytest.raises(Exception, match="slash"):
+        sinks.write_named_files(rows.withColumn("out_file", F.lit("x/y")), str(path))
+    assert sinks.write_named_files(rows.limit(0), str(path)) == []
