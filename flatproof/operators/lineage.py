@@ -69,14 +69,14 @@ def error_counts(owners: DataFrame, rows: DataFrame, key: str, is_error: Column,
 def latest_by_prefix(names: DataFrame, log: DataFrame, name_col: str = "name") -> DataFrame:
     """For each name the highest log id whose original or new file name begins with it, else 0.
 
-    The test is made an equi-join: a log name is listed under each of its beginnings (names are
-    short), and only the wanted beginnings go on.
+    The test is made an equi-join: a log name is listed under its beginnings of the lengths that wanted
+    names have. These lengths, some numbers, are read when the plan is made.
     """
     wanted = names.select(F.col(name_col).alias("_name")).where(~T.is_blank(F.col("_name"))).distinct()
+    lengths = sorted(r[0] for r in wanted.select(F.length("_name")).distinct().collect())
     entries = log.select("file_log_id", F.explode(F.array("original_file_name", "new_file_name")).alias("_file"))
-    entries = entries.where(F.length("_file") > 0)
-    beginnings = F.transform(F.sequence(F.lit(1), F.length("_file")), lambda n: F.left(F.col("_file"), n))
-    cut = entries.select("file_log_id", F.explode(beginnings).alias("_name"))
+    fitting = F.filter(F.array(*[F.lit(n) for n in lengths]).cast("array<int>"), lambda n: n <= F.length("_file"))
+    cut = entries.select("file_log_id", F.explode(F.transform(fitting, lambda n: F.left("_file", n))).alias("_name"))
     best = cut.join(wanted, "_name", "left_semi").groupBy("_name").agg(F.max("file_log_id").alias("file_log_id"))
     joined = names.join(best, names[name_col] == best["_name"], "left").drop("_name")
     return joined.withColumn("file_log_id", F.coalesce("file_log_id", F.lit(0)))

@@ -27,7 +27,7 @@ def mark_check(rows: DataFrame, check_type: str = "PreCheck") -> DataFrame:
 
 def clear_result_headers(rows: DataFrame) -> DataFrame:
     """Result header rows carry no error."""
-    header = F.coalesce(F.upper("row_type") == "RA", F.lit(False))
+    header = F.coalesce(F.upper("row_type").isin("RA", "[VERSION]"), F.lit(False))
     return rows.withColumns(
         {c: F.when(~header, F.col(c)) for c in ("error_code", "error_message") if c in rows.columns}
     )

@@ -89,10 +89,14 @@ def manager_list(managers: DataFrame) -> DataFrame:
     return managers.select("bencode", "crm", "crm_email").distinct()
 
 
-def with_manager(rows: DataFrame, managers: DataFrame, client: str = "EmployerId") -> DataFrame:
-    """Distinct error rows with the account manager of their client."""
+def with_manager(rows: DataFrame, managers: DataFrame, client: str = "EmployerId", unique: bool = False) -> DataFrame:
+    """Distinct error rows with the account manager of their client.
+
+    Rows of stored results are ``unique`` by file and number, so that wide rows need not be compared.
+    """
     side = manager_list(managers).withColumnRenamed("bencode", "_client")
-    return rows.join(side, rows[client] == side["_client"], "left").drop("_client").distinct()
+    joined = rows.join(side, rows[client] == side["_client"], "left").drop("_client")
+    return joined if unique else joined.distinct()
 
 
 def distinct_messages(errors: DataFrame) -> DataFrame:
@@ -159,27 +163,40 @@ def track_new_errors(
 # --- clients in rows -----------------------------------------------------------------------
 
 
+#: The length of the pieces that lead from texts to codes. Shorter codes are looked up as a whole.
+GRAM = 4
+
+
+def _grams(text: Column, size: Column | int) -> Column:
+    """The different pieces of a length in a text."""
+    size = F.lit(size) if isinstance(size, int) else size
+    last = F.length(text) - size + 1
+    cut = F.transform(F.sequence(F.lit(1), last), lambda i: F.substring(text, i, size))
+    return F.when(last >= 1, F.array_distinct(cut)).otherwise(F.array().cast("array<string>"))
+
+
 def rows_with_codes(
-    rows: DataFrame, text_col: str, codes: DataFrame, code_col: str, after_first: bool = True
+    rows: DataFrame, text_col: str, codes: DataFrame, code_col: str, after_first: bool = True, sample: int = 100_000
 ) -> DataFrame:
     """Pairs of rows and codes where the text contains the code (not at its very start).
 
-    An equi-join on whole codes: for every length that codes have, the distinct pieces of that
-    length of a text are joined to the codes of that length. What is joined is a hit, however many
-    codes share a beginning; a row gives as many pieces as its text has places, for each length.
-    The lengths, a handful of numbers, are read when the plan is made.
+    An equi-join on pieces of :data:`GRAM` characters: a code stands under the one of its pieces that is
+    rarest among the texts, a row under each of its different pieces, and what meets is tested. A row
+    gives its pieces once, however many lengths the codes have; codes shorter than a piece add their few
+    lengths, which are read when the plan is made. The rarest piece is that of the first ``sample`` rows,
+    which decides how many pairs are tested, not which are found.
     """
     keyed = codes.select(code_col).where(T.text(code_col) != "").distinct()
-    lengths = sorted(r[0] for r in keyed.select(F.length(code_col)).distinct().collect())
-    if not lengths:
+    sized = keyed.withColumn("_size", F.least(F.length(code_col), F.lit(GRAM)))
+    sizes = sorted(r[0] for r in sized.select("_size").distinct().collect())
+    if not sizes:
         return rows.withColumn(code_col, F.lit(None).cast("string")).where(F.lit(False))
-    text = F.col(text_col)
-
-    def pieces(size: int) -> Column:
-        last = F.length(text) - F.lit(size - 1)
-        cut = F.transform(F.sequence(F.lit(1), last), lambda i: F.substring(text, i, F.lit(size)))
-        return F.when(last >= 1, F.array_distinct(cut)).otherwise(F.array().cast("array<string>"))
-
-    every = F.concat(*[pieces(n) for n in lengths])
-    hits = rows.select("*", F.explode(every).alias(code_col)).join(keyed, code_col).select(*rows.columns, code_col)
-    return hits.where(F.position(F.col(code_col), text) > (1 if after_first else 0))
+    pieces = F.concat(*[_grams(F.col(text_col), n) for n in sizes])
+    seen = rows.select(F.col(text_col)).limit(sample).select(F.explode(pieces).alias("_piece"))
+    counts = seen.groupBy("_piece").agg(F.count("*").alias("_n"))
+    own = sized.select(code_col, F.explode(_grams(F.col(code_col), F.col("_size"))).alias("_piece"))
+    ranked = own.join(counts, "_piece", "left")
+    rarest = F.min_by("_piece", F.struct(F.coalesce("_n", F.lit(0)), "_piece")).alias("_piece")
+    placed = ranked.groupBy(code_col).agg(rarest)
+    met = rows.select("*", F.explode(pieces).alias("_piece")).join(placed, "_piece").select(*rows.columns, code_col)
+    return met.where(F.position(F.col(code_col), F.col(text_col)) > (1 if after_first else 0))

@@ -419,14 +419,18 @@ def errors_by_member(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """SELECT 'I' || substr('ABCDEFHZ', CAST(l_linenumber AS INTEGER), 1) AS code, count(*) AS line_count,
-  l_linenumber = 1 AS is_header FROM lineitem GROUP BY 1, 3"""
+    """WITH c AS (SELECT CASE l_returnflag WHEN 'R' THEN 'R' ELSE 'I' END || substr('ABCDEFHZ', CAST(l_linenumber AS INTEGER), 1) AS code FROM lineitem)
+SELECT code, count(*) AS line_count, right(code, 1) = 'A' AS is_header, left(code, 1) = 'R' AND code <> 'RA' AS is_result
+FROM c WHERE code <> 'RG' GROUP BY code"""
 )
 def catalogue_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines by record type of the catalogue."""
-    code = F.concat(F.lit("I"), F.substring(F.lit("ABCDEFHZ"), F.col("l_linenumber").cast("int"), F.lit(1)))
+    """Lines by record type of the catalogue, by its table and by the tests on codes."""
+    letter = F.substring(F.lit("ABCDEFHZ"), F.col("l_linenumber").cast("int"), F.lit(1))
+    code = F.concat(F.when(F.col("l_returnflag") == "R", "R").otherwise("I"), letter)
     lines = table(spark, sf_dir, "lineitem").select(F.concat(code, F.lit(",x")).alias("line"))
-    known = K.catalogue_table(spark).select("code", "is_header")
-    return lines.withColumn("code", K.a_code(F.col("line"))).join(known, "code").groupBy("code", "is_header").agg(
-        F.count("*").alias("line_count")
+    known = K.catalogue_table(spark).select("code", "is_header", "is_result")
+    coded = lines.withColumn("code", K.a_code(F.col("line")))
+    tested = coded.join(known, "code").where(
+        (K.is_result_code(F.col("code")) == F.col("is_result")) & (K.is_header_code(F.col("code")) == F.col("is_header"))
     )
+    return tested.groupBy("code", "is_header", "is_result").agg(F.count("*").alias("line_count"))

@@ -34,6 +34,13 @@ def test_contains_join_against_brute_force(spark):
     got = sorted((r["id"], r["code"]) for r in results.rows_with_codes(rows, "t", names, "code").collect())
     want = sorted((i, c) for i, t in enumerate(texts) for c in set(codes) if t.find(c) > 0)
     assert got == want
+    # The pieces of a text are as many for two lengths as for ten.
+    ten = spark.createDataFrame([("ABCA" * n,) for n in range(1, 11)], "code string")
+    assert sorted((r["id"], r["code"]) for r in results.rows_with_codes(rows, "t", ten, "code").collect()) == sorted(
+        (i, "ABCA" * n) for i, t in enumerate(texts) for n in range(1, 11) if t.find("ABCA" * n) > 0
+    )
+    pieces = lambda codes: results.rows_with_codes(rows, "t", codes, "code")._jdf.queryExecution().analyzed().toString().count("sequence(")
+    assert pieces(ten) == pieces(ten.where("length(code) in (8, 12)"))
     plan = results.rows_with_codes(rows, "t", names, "code")._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
@@ -239,3 +246,33 @@ def test_a_hot_key_is_split_in_every_look_up(spark, tiny_skew):
     for name, df in tried.items():
         assert df.collect()
         assert "skew=true" in df._jdf.queryExecution().executedPlan().toString(), name
+
+
+def test_latest_by_prefix(spark):
+    rng = random.Random(9)
+    log = [(i, "".join(rng.choice("ab") for _ in range(rng.randrange(9))), rng.choice([None, "", "abba--1.mbi"])) for i in range(200)]
+    names = ["", " ", "a", "ab", "abba--1", "bbbbb", "zz", "a", None]
+    entries = spark.createDataFrame(log, "file_log_id bigint, original_file_name string, new_file_name string")
+    wanted = spark.createDataFrame([(n,) for n in names], "name string")
+    got = sorted((r["name"] or "", r["file_log_id"]) for r in lineage.latest_by_prefix(wanted, entries).collect())
+    best = lambda n: max([i for i, a, b in log if n and n.strip() and (a.startswith(n) or (b or "").startswith(n))], default=0)
+    assert got == sorted((n or "", best(n)) for n in names)
+    assert [r["file_log_id"] for r in lineage.latest_by_prefix(wanted.where("name = ' '"), entries).collect()] == [0]
+
+
+def test_sql_functions_agree_with_the_columns(spark):
+    from flatproof.functions import text as T
+    from flatproof.functions import values as V
+    from flatproof.operators import classify as K
+    from flatproof.sql_functions import register_functions
+
+    assert "file_error_count" not in register_functions(spark)
+    values = ["in/a--b.mbi", "--x.csv", "a--b--c", "", None, "1,234.50", " 12 ", "x", "0", "15028", "Ab-1 c", "a.b--7.x/y--9.z"]
+    df = spark.createDataFrame([(v, w) for v in values for w in values], "a string, b string")
+    df.createOrReplaceTempView("values_of_functions")
+    got = spark.sql("""SELECT file_id_from_name(a) f, file_log_id(a, b) i, match_key(a) m, money_or_zero(a) p, is_error_code(a) e
+        FROM values_of_functions""").collect()
+    a = F.col("a")
+    code = F.coalesce(results.is_error_code(a), F.lit(False))
+    want = df.select(K.file_id_from_name(a), F.xxhash64(lineage.resolve_file_id(a, T.text("b"))), T.match_key(a), V.money_or_zero(a), code).collect()
+    assert [tuple(r) for r in got] == [tuple(r) for r in want]
