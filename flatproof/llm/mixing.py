@@ -5,9 +5,10 @@ summed along the source, ordered by size, one random offset is added, and a docu
 number that its interval crosses. Ordered by size, the sample takes long and short documents in their proportion, so
 the words taken come near the target.
 
-A source may hold a third of all rows. Rows are therefore ranked inside slices (source, size, one of 256 hash
-slices); a table with one row per slice carries the prefix sums. These are made in two levels: over the bands of
-4 sizes of a source, and inside a band, whose slices are bounded in number. Only DataFrame operations are used.
+A source may hold a third of all rows, and so may one id or null. Rows are therefore ranked inside slices (source,
+size, one of 256 slices by a hash of id and text); a table with one row per slice carries the prefix sums. These are made
+in two levels: over the bands of 4 sizes of a source, and inside a band, whose slices are bounded in number. The sums
+over sources, of which there may be many, run along ranges of them. Only DataFrame operations are used.
 """
 
 from __future__ import annotations
@@ -32,26 +33,41 @@ def offset_of(seed: int, null: Column, source: Column) -> Column:
     return F.conv(F.substring(F.md5(name), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
 
 
+def before(rows: DataFrame, order: list[str], **sums: Column) -> DataFrame:
+    """The rows with the sum of each expression over all earlier rows in ``order``, whose values are distinct.
+
+    The rows are cut into ranges; sums run inside each range and over the table of ranges, one row each.
+    """
+    cut = stage(rows.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "ranges")
+    inside = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    ranges = cut.groupBy("_range").agg(*[F.sum(c).alias(f"_of_{n}") for n, c in sums.items()])
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row per task
+    ranges = ranges.select("_range", *[F.sum(f"_of_{n}").over(earlier).alias(f"_to_{n}") for n in sums])
+    joined = cut.join(F.broadcast(ranges), "_range")
+    zero = F.lit(0)
+    added = {n: F.coalesce(F.col(f"_to_{n}"), zero) + F.coalesce(F.sum(c).over(inside), zero) for n, c in sums.items()}
+    return joined.select(*rows.columns, *[c.alias(n) for n, c in added.items()])
+
+
 def source_targets(bands: DataFrame, weights: list[float], max_copies: float) -> DataFrame:
     """Per source its size and target: shares by weight, none above ``max_copies`` times its size.
 
     ``bands`` has ``_null, _source, _words``. Sources in order of cap over weight are capped as long as that is
-    below the level which the remaining weights give; the level is largest where capping ends, so it is a maximum. One
-    row per source passes through a single window.
+    below the level which the remaining weights give; the level is largest where capping ends, so it is a maximum.
     """
     sources = bands.groupBy("_null", "_source").agg(F.sum("_words").alias("source_size"))
-    by_name = Window.orderBy("_null", "_source")
-    place = (F.row_number().over(by_name) - 1) % len(weights)
-    sources = sources.withColumn("_weight", F.element_at(F.array(*[F.lit(float(w)) for w in weights]), place + 1))
+    sources = before(sources, ["_null", "_source"], _place=F.lit(1))
+    of_place = F.array(*[F.lit(float(w)) for w in weights])
+    sources = sources.withColumn("_weight", F.element_at(of_place, (F.col("_place") % len(weights) + 1).cast("int")))
     sources = sources.withColumn("_cap", F.col("source_size") * F.lit(float(max_copies)))
-    everything = Window.partitionBy()
-    earlier = Window.orderBy(F.col("_cap") / F.col("_weight"), "_null", "_source").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    left = F.sum("source_size").over(everything) - F.coalesce(F.sum("_cap").over(earlier), F.lit(0.0))
-    weight_left = F.sum("_weight").over(everything) - F.coalesce(F.sum("_weight").over(earlier), F.lit(0.0))
-    sources = sources.withColumn("_level", left / weight_left)
-    target = F.least(F.col("_cap"), F.max("_level").over(everything) * F.col("_weight"))
+    sources = sources.withColumn("_ratio", F.col("_cap") / F.col("_weight"))
+    sources = before(sources, ["_ratio", "_null", "_source"], _caps=F.col("_cap"), _weights=F.col("_weight"))
+    sources = stage(sources, "sources")
+    # Two numbers, then one.
+    words, all_weights = sources.agg(F.sum("source_size"), F.sum("_weight")).first()
+    level = (F.lit(words).cast("long") - F.col("_caps")) / (F.lit(all_weights).cast("double") - F.col("_weights"))
+    highest = F.lit(sources.agg(F.max(level)).first()[0]).cast("double")
+    target = F.least(F.col("_cap"), highest * F.col("_weight"))
     return sources.select("_null", "_source", "source_size", target.alias("target"))
 
 
@@ -67,18 +83,17 @@ def mix_sources(
     """Each row with ``size, source_size, target, copies, taken``; these replace input columns of the same names.
 
     Sources in order of code points, null last, take the weights in turn. Null and empty texts have size 0; a source
-    without words has target 0 and no copies. Rows of one source, size and id are told apart by a hash of their text,
-    so reruns agree; equal rows share what falls to them. An empty table gives an empty result.
+    without words has target 0 and no copies. Rows of one source and size are in order of a hash of id and text, so reruns
+    agree; equal rows share what falls to them. An empty table gives an empty result.
     """
     packed = pack(
         docs,
         _null=F.col(source_col).isNull(),
         _source=F.coalesce(F.col(source_col), F.lit("")),
         _size=word_count(F.col(text_col)),
-        _slice=F.substring(F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("null"))), 1, 2),
-        _id=F.col(id_col),
-        _tie=F.xxhash64(F.col(text_col)),
+        _key=F.md5(F.concat_ws(":", F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.md5(F.coalesce(text_col, F.lit(""))))),
     )
+    packed = packed.withColumn("_slice", F.left("_key", F.lit(2)))
     # Written out: it is read for the targets and for both levels of sums, the texts for none of them again.
     slices = stage(packed.groupBy(*KEYS).agg(F.count("*").alias("_rows")), "size-slices")
     band = [*KEYS[:2], "_band"]
@@ -91,7 +106,7 @@ def mix_sources(
     inside_band = F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_inside_band")
     placed = slices.select(*KEYS, "_band", inside_band).join(bands, band)
     placed = placed.withColumn("_first", F.col("_band_first") + F.col("_inside_band")).drop("_band")
-    inside = F.row_number().over(Window.partitionBy(*KEYS).orderBy("_id", "_tie"))
+    inside = F.row_number().over(Window.partitionBy(*KEYS).orderBy("_key"))
     ranked = packed.withColumn("_inside", inside).join(placed, KEYS)
     each = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     rank, shift = F.col("_first") + F.col("_inside"), offset_of(seed, F.col("_null"), F.col("_source"))
@@ -117,7 +132,7 @@ OP10_SQL = r"""
 WITH d AS (
   SELECT doc_id, source IS NULL AS n, coalesce(source, '') AS s,
          len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-         md5(coalesce(doc_id::VARCHAR, 'null'))[1:2] AS h
+         md5(coalesce(doc_id::VARCHAR, 'null') || ':' || md5(coalesce(text, ''))) AS h
   FROM documents),
 sources AS (
   SELECT n, s, sum(size)::BIGINT AS source_size,
@@ -134,7 +149,7 @@ targets AS (
          ('0x' || md5('0:' || CASE WHEN n THEN 'n:' ELSE 's:' END || s)[1:8])::BIGINT / 4294967296.0::DOUBLE AS u
   FROM levels),
 ranked AS (
-  SELECT d.*, source_size, target, u, row_number() OVER (PARTITION BY d.n, d.s ORDER BY size, h, doc_id) AS r,
+  SELECT d.*, source_size, target, u, row_number() OVER (PARTITION BY d.n, d.s ORDER BY size, h) AS r,
          CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS e
   FROM d JOIN targets t ON d.n = t.n AND d.s = t.s)
 SELECT doc_id, size, source_size, target,

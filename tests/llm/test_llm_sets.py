@@ -103,12 +103,17 @@ def test_groups_against_brute_force(docs_of, odd_rows):
     want = brute_groups([(i, brute_fingerprint(t)) for i, t in rows], 4)
     order = lambda r: (r[0] is None, r[0] or 0, r[1])
     assert sorted(got, key=order) == sorted(want, key=order)
-    kept = simhash.keep_one_per_group(docs)
-    assert kept.columns == docs.columns
-    ids = sorted((r.doc_id for r in kept.collect()), key=lambda i: (i is None, i))
-    assert ids == sorted({c for i, _, c in want if i == c and i is not None}) + [None] * 2
     assert simhash.near_duplicates(docs_of([])).collect() == []
-    assert simhash.keep_one_per_group(docs_of([])).collect() == []
+    assert simhash.keep_first_of_groups(docs_of([])).collect() == []
+
+
+def test_of_equal_rows_the_least_stays(docs_of):
+    text = passage(1, 40)
+    rows = [(1, text, "c"), (1, text, "a"), (1, text, "b"), (2, text, "z"), (3, passage(2, 40), "x")]
+    for _ in range(2):
+        rows.reverse()
+        kept = simhash.keep_first_of_groups(docs_of(rows, ["row"]))
+        assert sorted((r.doc_id, r.source) for r in kept.collect()) == [(1, "a"), (3, "x")]
 
 
 # Binary top-k.

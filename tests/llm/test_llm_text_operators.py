@@ -251,6 +251,21 @@ def test_training_sample_is_bounded(spark, docs_of):
     assert seen == [50]
 
 
+def test_training_rows_are_bounded_where_ids_repeat(spark, docs_of):
+    docs = docs_of([(i % 2, passage(i, 5)) for i in range(900)] + [(5, "one and the same")] * 300)
+    labels = spark.createDataFrame([(0, 1), (1, 0), (5, 1), (3, 0)], "doc_id bigint, quality int")
+    assert not any(r[0] for r in labels.select(quality.held_out(F.col("doc_id"))).where("doc_id < 2").collect())
+    seen = []
+    original = quality.fit_trees
+    quality.fit_trees = lambda x, y: seen.append(len(y)) or original(x, y)
+    try:
+        for most in (40, 10_000):
+            quality.fit_quality(docs, labels, train_rows=most)
+    finally:
+        quality.fit_trees = original
+    assert 10 <= seen[0] <= 40 and seen[1] >= 900
+
+
 # Chat windows.
 
 TURNS = "conv_id bigint, turn bigint, role string, text string"
@@ -288,7 +303,7 @@ def odd_conversations():
 def windows(spark):
     rows = odd_conversations()
     turns = spark.createDataFrame(rows, TURNS).repartition(5)
-    return rows, chat.format_conversations(turns, JSON, budget=200, history=60).cache()
+    return rows, chat.format_conversations(turns, JSON, budget=200, history=60, bare_tokens=True).cache()
 
 
 def test_conversations_read_back(windows):
