@@ -162,7 +162,8 @@ def fit_quality(
     text_col: str = "text",
     label_col: str = "quality",
 ) -> Trees:
-    """Trees from at most ``train_rows`` labelled ids that are not held out, the first by a hash of the id.
+    """Trees from at most ``train_rows`` documents with labelled ids that are not held out: the ids come first by their
+    hash, and where ids have several rows, a share of the rows by a hash of their texts.
 
     Null labels and ids are left out; several labels of an id count as 1 if at least half are.
     """
@@ -171,11 +172,15 @@ def fit_quality(
     chosen = one.orderBy(F.xxhash64("_id"), "_id").limit(train_rows)
     # At most train_rows rows of two numbers.
     rows = docs.select(id_col, text_col).join(F.broadcast(chosen), F.col(id_col) == F.col("_id"))
+    found = rows.count()
+    if found > train_rows:
+        place = F.pmod(F.xxhash64(F.col(text_col), F.lit(1)), F.lit(1 << 20))
+        rows = rows.where(place < int(train_rows / found * (1 << 20)) + 1)
 
     def prepare() -> Callable:
         return lambda texts: [pa.array([statistics(t) for t in texts], pa.list_(pa.float64()))]
 
-    found = map_texts(rows, text_col, "x array<double>", prepare, ["_id", "_label"]).collect()
+    found = map_texts(rows, text_col, "x array<double>", prepare, ["_id", "_label"]).limit(train_rows).collect()
     found.sort(key=lambda r: (r["_id"], r["x"]))
     x = np.array([r["x"] for r in found], float).reshape(len(found), len(FEATURES))
     return fit_trees(x, np.array([r["_label"] for r in found], float))
