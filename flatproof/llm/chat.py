@@ -39,7 +39,7 @@ _ESCAPED = re.compile(r"\\(.)", re.S)
 _TURN = re.compile(r"### (\d+) ((?:[^\\#<:]++|\\.)*+): ((?:[^\\#<]++|\\.)*+)</turn>\n", re.S)
 _ROLE = re.compile(r"[\\#<:]")
 
-Turn = tuple[int, str, str, int, int]  # number, role, text, tokens of the text, tokens of the formatted turn
+Turn = tuple[int, str, str, int | None, int]  # number, role, text, tokens of the text, tokens of the formatted turn
 
 
 def escape(text: str) -> str:
@@ -81,7 +81,7 @@ def format_window(number: int, system: Turn | None, past: list[Turn], span: list
         at += len(piece)
     return {
         "window": number, "text": "".join(pieces), "loss": mask, "first_turn": span[0][0], "last_turn": span[-1][0],
-        "n_tokens": sum(t[3] for t in [*repeated, *span]), "window_tokens": sum(t[4] for t in [*repeated, *span]),
+        "n_tokens": None if span[0][3] is None else sum(t[3] for t in [*repeated, *span]), "window_tokens": sum(t[4] for t in [*repeated, *span]),
     }
 
 
@@ -170,11 +170,12 @@ def format_conversations(
     turn_col: str = "turn",
     role_col: str = "role",
     text_col: str = "text",
+    bare_tokens: bool = False,
 ) -> DataFrame:
     """``conv_id, window, text, loss, first_turn, last_turn, n_tokens, window_tokens``, one row per window.
 
-    ``window_tokens`` are the tokens of the formatted turns, which ``budget`` and ``history`` bound; ``n_tokens`` those
-    of the bare texts of the turns. ``loss`` lists the code point ranges of the formatted text under the loss mask. Turns are ordered by turn number
+    ``window_tokens`` are the tokens of the formatted turns, which ``budget`` and ``history`` bound; ``n_tokens``, null
+    unless ``bare_tokens`` asks for a second encoding, those of the bare texts of the turns. ``loss`` lists the code point ranges of the formatted text under the loss mask. Turns are ordered by turn number
     (null first), then role and text; rows with equal keys are turns of their own. Null texts and roles are empty.
     Rows with a null conversation form one conversation with a null id. No rows give no windows.
     """
@@ -198,7 +199,8 @@ def format_conversations(
         for batch in batches:
             numbers, roles, texts = (batch.column(c).to_pylist() for c in ("number", "role", "text"))
             formatted = turn_count([format_turn(*turn)[0] for turn in zip(numbers, roles, texts)])
-            found = [pa.array(counter(texts), pa.int64()), pa.array(formatted, pa.int64())]
+            bare = pa.array(counter(texts), pa.int64()) if bare_tokens else pa.nulls(len(texts), pa.int64())
+            found = [bare, pa.array(formatted, pa.int64())]
             yield pa.RecordBatch.from_arrays([*batch.columns, *found], names=counted_schema.names)
 
     id_field = rows.schema["conv_id"]
