@@ -165,13 +165,15 @@ def count_tokens(
 
     chosen.mapInArrow(run, CACHE_SCHEMA).write.mode("append").parquet(cache_path)
     # A written table on this side, so that the join has two plain shuffles and a frequent digest can be split.
-    counts = stage(one_each.select("content_digest").join(read_cache(spark, cache_path, digest), "content_digest"), "counts")
+    stored = read_cache(spark, cache_path, digest)
+    counts = stage(one_each.select("content_digest").join(stored, "content_digest", "left"), "counts")
     counts = counts.withColumnRenamed("content_digest", "_digest")
     packed = pack(docs, content_digest=F.sha2(text, 256), n_bytes=F.octet_length(text).cast("long"))
-    counted = packed.join(counts, F.col("content_digest") == F.col("_digest"))
-    return unpack(
-        counted, docs.columns, n_bytes=F.col("n_bytes"), n_tokens=F.col("n_tokens"), over_limit=F.col("n_tokens") > limit
-    )
+    counted = packed.join(counts, F.col("content_digest") == F.col("_digest"), "left")
+    # A ``normalise`` that gives another text each time must not lose rows.
+    lost = F.raise_error(F.lit("a text without a count: it is not the same each time it is normalised")).cast("long")
+    n_tokens = F.coalesce("n_tokens", lost)
+    return unpack(counted, docs.columns, n_bytes=F.col("n_bytes"), n_tokens=n_tokens, over_limit=n_tokens > limit)
 
 
 def op1_token_counts(spark, sf_dir):
