@@ -144,26 +144,13 @@ def near_duplicates(
     return fps.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one_per_group(
-    docs: DataFrame, shingle: int = 4, max_bits: int = 4, segments: int = 3, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """The rows whose id names their group, one row per id. Rows with a null id are kept as they are."""
-    groups = near_duplicates(docs, shingle, max_bits, segments, id_col, text_col)
-    kept = stage(groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct(), "kept")
-    packed = pack(docs, id=F.col(id_col), tie=F.xxhash64(F.col(text_col)))
-    named = packed.join(kept, packed["id"] == kept["doc_id"], "left_semi")
-    place = F.row_number().over(Window.partitionBy("id").orderBy("tie"))
-    once = named.withColumn("place", place).where(F.col("place") == 1).select("row.*")
-    return once.unionByName(docs.where(F.col(id_col).isNull()))
-
-
 def keep_first_of_groups(
     docs: DataFrame, shingle: int = 4, max_bits: int = 4, segments: int = 3, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """One row of each group: the first by id (null last) and hash of the text.
 
     Groups are told apart by their fingerprints and not by their ids, so rows of one id with unrelated texts, or
-    without an id, stand for their own groups. Of rows equal in id and text one stays.
+    without an id, stand for their own groups. Of rows equal in id and text the least by its other columns stays.
     """
     fps = stage(fingerprint_table(docs, id_col, text_col, shingle, with_hash=True), "fingerprints")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "tie")).alias("first")
@@ -177,7 +164,7 @@ def keep_first_of_groups(
     packed = pack(docs, key=F.struct(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("tie")))
     firsts = packed.join(kept, packed["key"] == kept["kept"], "left_semi")
     # Equal rows are reduced before they are dealt.
-    return firsts.groupBy("key").agg(F.first("row").alias("row")).select("row.*")
+    return firsts.groupBy("key").agg(F.min("row").alias("row")).select("row.*")
 
 
 def op6_simhash(spark, sf_dir):
