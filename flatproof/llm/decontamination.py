@@ -21,15 +21,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import groups_of, map_texts
+from .common import groups_of, map_texts, running_sums, stage
 from .suffixes import suffix_array
 
 SHARD_BYTES = 4 << 20
 #: Symbols of a piece of a long text.
 PIECE = 1 << 20
 SAMPLE = 16
-#: Bytes of benchmark texts that are sent to the tasks at once.
-BENCHMARK_BYTES = 16 << 20
+#: Bytes of benchmark texts and ids that are sent to the tasks at once, of a piece of a long text, and ids of a piece.
+BENCHMARK_BYTES, PIECE_BYTES, NAMES = 8 << 20, 4 << 20, 4096
 
 #: A word is a run of characters outside this class, after A-Z have been lower-cased.
 NO_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]"
@@ -117,7 +117,7 @@ class FMIndex:
         low, high = np.zeros(len(patterns), np.int64), np.full(len(patterns), self.size)
         for i in range(patterns.shape[1]):
             todo = np.flatnonzero((lengths > i) & (low < high))
-            symbol = patterns[todo, -1 - i] + 1
+            symbol = patterns[todo, -1 - i].astype(np.int64) + 1
             low[todo] = self.below[symbol] + self.tree.rank(symbol, low[todo])
             high[todo] = self.below[symbol] + self.tree.rank(symbol, high[todo])
         return low, np.maximum(low, high)
@@ -135,23 +135,72 @@ class FMIndex:
         return out
 
 
+def _distinct(column: Callable[[int], np.ndarray], width: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """An order in which equal rows stand together, and which rows in it are the first of their kind. ``column`` makes
+    one column of the rows at a time."""
+    key = np.zeros(size, np.uint64)
+    for i in range(width):
+        key = (key ^ column(i).astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        key ^= key >> np.uint64(29)
+    order = np.argsort(key, kind="stable").astype(np.int32)
+    key = key[order]
+    same = key[1:] == key[:-1]
+
+    def equal(order: np.ndarray) -> np.ndarray:
+        out = np.ones(max(0, size - 1), bool)
+        for i in range(width):
+            of = column(i)[order]
+            out &= of[1:] == of[:-1]
+        return out
+
+    found = equal(order)
+    if (same & ~found).any():  # two different rows share a hash
+        order = np.lexsort([column(i) for i in range(width)]).astype(np.int32)
+        found = equal(order)
+    return order, np.r_[np.ones(min(1, size), bool), ~found]
+
+
 class Windows:
-    """The distinct windows of some items, as symbols, and the items that have each."""
+    """The distinct windows of some items, as rows of symbols filled from the right, and the items that have each.
 
-    def __init__(self, items: list[tuple[str, bytes]], window: int):
-        self.vocabulary: dict[bytes, int] = {}
-        owners: dict[tuple, set[str]] = {}
-        for name, text in items:
+    ``items`` are names and texts; an item with several names counts for all of them. Everything is arrays, so a block
+    of items takes a few times its own size, and the vocabulary.
+    """
+
+    def __init__(self, items: list[tuple[list[str], bytes]], window: int):
+        self.window, self.vocabulary, parts = window, {}, []
+        for _, text in items:
             symbols = [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words_of(text)]
-            size = min(window, len(symbols))
-            for i in range(len(symbols) - size + 1 if symbols else 0):
-                owners.setdefault(tuple(symbols[i : i + size]), set()).add(name)
-        self.items = [sorted(x) for x in owners.values()]
-        self.lengths = np.array([len(w) for w in owners], np.int64)
-        self.patterns = np.zeros((len(owners), window), np.int64)
-        for i, w in enumerate(owners):
-            self.patterns[i, window - len(w) :] = w
-        self.window = window
+            parts.append(np.array(symbols, np.int32))
+        self.names = [names for names, _ in items]
+        sizes = np.array([len(p) for p in parts], np.int32)
+        width = np.minimum(sizes, window)
+        count = np.where(sizes > 0, sizes - width + 1, 0)
+        owner = np.repeat(np.arange(len(parts), dtype=np.int32), count)
+        before = (np.cumsum(sizes) - sizes + width - (np.cumsum(count) - count)).astype(np.int32)
+        ends = before[owner] + np.arange(len(owner), dtype=np.int32)
+        # One more symbol in front, which short windows are filled with; it is no word.
+        joined = np.concatenate([np.zeros(1, np.int32), *parts])
+        lengths = width[owner]
+
+        def symbol(i: int, of: slice | np.ndarray = slice(None)) -> np.ndarray:
+            return joined[np.where(i < lengths[of], ends[of] - np.int32(i), 0)]
+
+        order, first = _distinct(symbol, window, len(owner))
+        chosen = order[first]
+        self.lengths = lengths[chosen].astype(np.int64)
+        self.patterns = np.zeros((len(chosen), window), np.int32)
+        for i in range(window):
+            self.patterns[:, -1 - i] = symbol(i, chosen)
+        # The owners of a window, each once.
+        pairs = (np.cumsum(first) - 1) * len(parts)
+        pairs += owner[order]
+        pairs = np.unique(pairs)
+        self.owners = (pairs % max(1, len(parts))).astype(np.int32)
+        self.bounds = np.searchsorted(pairs // max(1, len(parts)), np.arange(len(self.lengths) + 1))
+
+    def items_of(self, pattern: int) -> list[str]:
+        return [n for o in self.owners[self.bounds[pattern] : self.bounds[pattern + 1]].tolist() for n in self.names[o]]
 
     def find(self, sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(sequence, first word, pattern) of all occurrences in the sequences of symbols."""
@@ -185,7 +234,7 @@ class Windows:
             for s, f, p in zip(sequence.tolist(), first.tolist(), pattern.tolist()):
                 i, a = chosen[s]
                 spans[i].append((a + f, a + f + int(self.lengths[p])))
-                items[i].update(self.items[p])
+                items[i].update(self.items_of(p))
         return [len(w) for w in words], [merge_spans(s) for s in spans], [sorted(x) for x in items]
 
 
@@ -203,16 +252,50 @@ def merge_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 SPANS = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
 
 
-def benchmark_blocks(benchmark: DataFrame, id_col: str, text_col: str) -> list[list[tuple[str, bytes]]]:
-    """The items in blocks of about ``BENCHMARK_BYTES``, read one block at a time. A null id is ``null``."""
+def _cut_items(benchmark: DataFrame, id_col: str, text_col: str, window: int) -> DataFrame:
+    """``names, text``: every distinct text with its ids, at most some thousands in a row, long texts cut into pieces
+    that overlap by a window less one word. A null id is ``null``."""
     items = benchmark.select(
         F.coalesce(F.col(id_col).cast("string"), F.lit("null")).alias("name"), F.col(text_col).alias("text")
     ).where("text is not null")
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = total // BENCHMARK_BYTES + 1
-    numbered = items.withColumn("block", F.pmod(F.xxhash64("text"), F.lit(blocks)))
-    for b in range(blocks):
-        yield [(r.name_, r.text.encode()) for r in numbered.where(F.col("block") == b).selectExpr("name name_", "text").collect()]
+    sizes = items.groupBy("text").agg((F.floor(F.count("*") / NAMES) + 1).alias("parts"))
+    dealt = items.join(sizes, "text").withColumn("part", F.pmod(F.xxhash64("name"), F.col("parts")))
+    grouped = dealt.groupBy("text", "part").agg(F.sort_array(F.collect_set("name")).alias("names"))
+
+    def cut(batches):
+        for batch in batches:
+            names, texts = [], []
+            for own, text in zip(batch.column("names").to_pylist(), batch.column("text").to_pylist()):
+                data = text.encode()
+                ranges = word_ranges(data) if len(data) > PIECE_BYTES else []
+                if len(ranges) <= window:
+                    names.append(own)
+                    texts.append(data)
+                    continue
+                step = max(window, len(ranges) * PIECE_BYTES // len(data))
+                for a in range(0, len(ranges) - window + 1, step):
+                    stop = min(len(ranges), a + step + window - 1)
+                    names.append(own)
+                    texts.append(data[ranges[a][0] : ranges[stop - 1][1]])
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.list_(pa.string())), pa.array(texts, pa.binary())], names=["names", "text"])
+
+    return grouped.select("names", "text").mapInArrow(cut, "names array<string>, text binary")
+
+
+def benchmark_blocks(benchmark: DataFrame, id_col: str, text_col: str, window: int) -> tuple[DataFrame, int]:
+    """The pieces of all items with the number of their block, and how many blocks there are. A block has at most
+    ``BENCHMARK_BYTES`` and one piece."""
+    pieces = _cut_items(benchmark, id_col, text_col, window)
+    weight = F.octet_length("text") + F.aggregate("names", F.lit(0), lambda a, n: a + F.octet_length(n))
+    keyed = stage(pieces.select("*", F.md5(F.concat(F.col("text"), F.array_join("names", ",").cast("binary"))).alias("key"), weight.alias("weight")), "items")
+    # Equal pieces of one text are once enough.
+    once = keyed.dropDuplicates(["key"])
+    placed = running_sums(once, ["key"], block=F.col("weight"))
+    numbered = stage(placed.withColumn("block", F.floor(F.col("block") / BENCHMARK_BYTES).cast("int")), "blocks")
+    # Blocks that a long piece leaves empty have no number.
+    numbers = sorted(r[0] for r in numbered.select("block").distinct().collect())
+    place = F.array_position(F.array(*[F.lit(n) for n in numbers]).cast("array<int>"), F.col("block")) - 1
+    return numbered.select("names", "text", place.alias("block")), len(numbers)
 
 
 def find_contamination(
@@ -230,74 +313,70 @@ def find_contamination(
 
     ``spans`` are word ranges, merged; ``items`` the ids, as texts, of items with a window in the document. An item with
     fewer words than ``window`` is one window; one without words, or null, is none. Null and empty texts have no
-    words. Repeated rows are judged alike; an empty benchmark marks nothing.
+    words. Repeated rows are judged alike; an empty benchmark marks nothing. A benchmark of several blocks is searched
+    block by block, with the documents and what was found written to the shared folder in between.
     """
     spark = docs.sparkSession
-    columns = list(docs.columns if keep is None else keep)
-    needed = list(dict.fromkeys([*columns, text_col]))
-    found = docs.select(*[F.col(f"`{c}`") for c in needed])
-    blocks = list(_sent_blocks(spark, benchmark, item_id_col, item_text_col))
-    for number, sent in enumerate(blocks):
-        last = number == len(blocks) - 1
-        clean = text_out and last and number == 0
-
-        def prepare(sent=sent, clean=clean) -> Callable:
+    computed = ["n_words", "spans", "items", *["cleaned"] * text_out]
+    kept = [c for c in (docs.columns if keep is None else keep) if c not in computed]
+    own = [f"c{i}" for i in range(len(kept))]
+    rows = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(kept, own)], F.col(f"`{text_col}`").alias("t"))
+    items, blocks = benchmark_blocks(benchmark, item_id_col, item_text_col, window)
+    schema = "n_words long, spans array<struct<start:long,stop:long>>, items array<string>"
+
+    def search(rows: DataFrame, block: int, keep: list[str], clean: bool) -> tuple:
+        # At most a block of items.
+        found = items.where(F.col("block") == block).select("names", "text").collect()
+        sent = spark.sparkContext.broadcast([(list(r["names"]), bytes(r["text"])) for r in found])
+
+        def prepare() -> Callable:
             windows = Windows(sent.value, window)
 
             def compute(texts: list[bytes]) -> list[pa.Array]:
-                counts, spans, items = windows.hits(texts)
-                found = [
-                    pa.array(counts, pa.int64()),
-                    pa.array([[{"start": a, "stop": b} for a, b in s] for s in spans], SPANS),
-                    pa.array(items, pa.list_(pa.string())),
-                ]
-                if clean:
-                    cut = [remove_words(t, s) if s else t for t, s in zip(texts, spans)]
-                    found.append(pa.array(cut, pa.binary()).cast(pa.string()))
-                return found
+                counts, spans, names = windows.hits(texts)
+                out = [pa.array(counts, pa.int64()), _span_array(spans), pa.array(names, pa.list_(pa.string()))]
+                return [*out, _without(texts, spans)] if clean else out
 
             return compute
 
-        schema = "n_words long, spans array<struct<start:long,stop:long>>, items array<string>" + ", cleaned string" * clean
-        if len(blocks) == 1:
-            return map_texts(found, text_col, schema, prepare, columns, SHARD_BYTES)
-        renamed = re.sub(r"(\w+) (long|array)", rf"\1_{number} \2", schema)
-        found = map_texts(found, text_col, renamed, prepare, None, SHARD_BYTES)
-    return _merge_blocks(found, columns, len(blocks), text_col, text_out)
+        return sent, map_texts(rows, "t", schema + ", cleaned string" * clean, prepare, keep, SHARD_BYTES)
 
+    if blocks <= 1:
+        _, found = search(rows, 0, own, text_out)
+        return found.select(*[F.col(n).alias(c) for c, n in zip(kept, own)], *computed)
+    rows = rows.select("*", F.array().cast("array<struct<start:long,stop:long>>").alias("s"), F.array().cast("array<string>").alias("m"))
+    for block in range(blocks):
+        sent, found = search(rows, block, [*own, "t", "s", "m"], False)
+        both = found.select(*own, "t", "n_words", F.concat("s", "spans").alias("s"), F.array_distinct(F.concat("m", "items")).alias("m"))
+        rows = stage(both, f"searched-{block}")
+        sent.destroy()
+    merged = _merged(rows, own, text_out)
+    return merged.select(*[F.col(n).alias(c) for c, n in zip(kept, own)], *computed)
 
-def _sent_blocks(spark, benchmark: DataFrame, id_col: str, text_col: str):
-    for block in benchmark_blocks(benchmark, id_col, text_col):
-        yield spark.sparkContext.broadcast(block)
 
+def _span_array(spans: list[list[tuple[int, int]]]) -> pa.Array:
+    return pa.array([[{"start": a, "stop": b} for a, b in s] for s in spans], SPANS)
+
+
+def _without(texts: list[bytes], spans: list) -> pa.Array:
+    return pa.array([remove_words(t, s) if s else t for t, s in zip(texts, spans)], pa.binary()).cast(pa.string())
 
-def _merge_blocks(found: DataFrame, columns: list[str], blocks: int, text_col: str, text_out: bool) -> DataFrame:
-    """One set of spans and items from those of each block of the benchmark."""
-    every = lambda name: F.flatten(F.array(*[F.col(f"{name}_{i}") for i in range(blocks)]))
-    computed = {"n_words", "spans", "items", "cleaned"}
-    kept = [c for c in columns if c not in computed]
-    own = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)]
-    joined = found.select(
-        *own, F.col("n_words_0").alias("n_words"), every("spans").alias("raw_spans"),
-        F.array_sort(F.array_distinct(every("items"))).alias("items"), F.col(f"`{text_col}`").alias("text"),
-    )
+
+def _merged(rows: DataFrame, own: list[str], text_out: bool) -> DataFrame:
+    """One set of spans and items from those of all blocks."""
+    fields = [rows.schema[c] for c in [*own, "n_words"]]
+    fields += T._parse_datatype_string("spans array<struct<start:long,stop:long>>, items array<string>" + ", cleaned string" * text_out).fields
+    schema = T.StructType(fields)
 
     def merge(batches):
         for batch in batches:
-            texts = [t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()]
-            spans = [merge_spans([(x["start"], x["stop"]) for x in s]) for s in batch.column("raw_spans").to_pylist()]
-            arrays = [batch.column(i) for i in range(len(kept) + 1)]
-            arrays += [pa.array([[{"start": a, "stop": b} for a, b in s] for s in spans], SPANS), batch.column("items")]
+            spans = [merge_spans([(x["start"], x["stop"]) for x in s]) for s in batch.column("s").to_pylist()]
+            arrays = [*[batch.column(c) for c in [*own, "n_words"]], _span_array(spans), batch.column("m")]
             if text_out:
-                cut = [remove_words(t, s) if s else t for t, s in zip(texts, spans)]
-                arrays.append(pa.array(cut, pa.binary()).cast(pa.string()))
-            yield pa.RecordBatch.from_arrays(arrays, names=[f.name for f in schema.fields])
+                arrays.append(_without([t or b"" for t in batch.column("t").cast(pa.binary()).to_pylist()], spans))
+            yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
-    fields = [*[found.schema[c] for c in kept], joined.schema["n_words"]]
-    fields += T._parse_datatype_string("spans array<struct<start:long,stop:long>>").fields + [joined.schema["items"]]
-    fields += T._parse_datatype_string("cleaned string").fields * text_out
-    schema = T.StructType(fields)
-    return joined.mapInArrow(merge, schema)
+    return rows.withColumn("m", F.array_sort("m")).mapInArrow(merge, schema)
 
 
 def remove_words(text: bytes, spans: list[tuple[int, int]]) -> bytes:

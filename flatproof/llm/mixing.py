@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, pack, stage, unpack
+from .common import WORD, pack, running_sums, stage, unpack
 
 SIZES_PER_BAND = 4
 KEYS = ["_null", "_source", "_size", "_slice"]
@@ -33,22 +33,6 @@ def offset_of(seed: int, null: Column, source: Column) -> Column:
     return F.conv(F.substring(F.md5(name), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
 
 
-def before(rows: DataFrame, order: list[str], **sums: Column) -> DataFrame:
-    """The rows with the sum of each expression over all earlier rows in ``order``, whose values are distinct.
-
-    The rows are cut into ranges; sums run inside each range and over the table of ranges, one row each.
-    """
-    cut = stage(rows.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "ranges")
-    inside = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    ranges = cut.groupBy("_range").agg(*[F.sum(c).alias(f"_of_{n}") for n, c in sums.items()])
-    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row per task
-    ranges = ranges.select("_range", *[F.sum(f"_of_{n}").over(earlier).alias(f"_to_{n}") for n in sums])
-    joined = cut.join(F.broadcast(ranges), "_range")
-    zero = F.lit(0)
-    added = {n: F.coalesce(F.col(f"_to_{n}"), zero) + F.coalesce(F.sum(c).over(inside), zero) for n, c in sums.items()}
-    return joined.select(*rows.columns, *[c.alias(n) for n, c in added.items()])
-
-
 def source_targets(bands: DataFrame, weights: list[float], max_copies: float) -> DataFrame:
     """Per source its size and target: shares by weight, none above ``max_copies`` times its size.
 
@@ -56,12 +40,12 @@ def source_targets(bands: DataFrame, weights: list[float], max_copies: float) ->
     below the level which the remaining weights give; the level is largest where capping ends, so it is a maximum.
     """
     sources = bands.groupBy("_null", "_source").agg(F.sum("_words").alias("source_size"))
-    sources = before(sources, ["_null", "_source"], _place=F.lit(1))
+    sources = running_sums(sources, ["_null", "_source"], _place=F.lit(1))
     of_place = F.array(*[F.lit(float(w)) for w in weights])
     sources = sources.withColumn("_weight", F.element_at(of_place, (F.col("_place") % len(weights) + 1).cast("int")))
     sources = sources.withColumn("_cap", F.col("source_size") * F.lit(float(max_copies)))
     sources = sources.withColumn("_ratio", F.col("_cap") / F.col("_weight"))
-    sources = before(sources, ["_ratio", "_null", "_source"], _caps=F.col("_cap"), _weights=F.col("_weight"))
+    sources = running_sums(sources, ["_ratio", "_null", "_source"], _caps=F.col("_cap"), _weights=F.col("_weight"))
     sources = stage(sources, "sources")
     # Two numbers, then one.
     words, all_weights = sources.agg(F.sum("source_size"), F.sum("_weight")).first()

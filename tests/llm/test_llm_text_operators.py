@@ -3,6 +3,7 @@
 import hashlib
 import json
 import random
+import tracemalloc
 import re
 
 import numpy as np
@@ -396,3 +397,30 @@ def test_escaping_is_reversible():
         piece, start, stop = chat.format_turn(3, role, text)
         assert chat.parse_window(piece * 2) == [(3, role, text)] * 2
         assert chat.unescape(piece[start:stop]) == text
+
+
+def test_a_block_of_a_benchmark_takes_bounded_memory():
+    """Two megabytes of items: as many times its size as a block of the full size takes."""
+    rng = random.Random(7)
+    vocabulary = [f"w{i:x}".encode() for i in range(30_000)]
+    items = [([str(i)], b" ".join(rng.choices(vocabulary, k=200))) for i in range(1700)]
+    tracemalloc.start()
+    made = decontamination.Windows(items, 10)
+    text = b" ".join(rng.choices(vocabulary, k=20_000)) + b" " + items[3][1]
+    _, spans, names = made.hits([text])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert spans[0][-1] == (20_000, 20_200) and "3" in names[0]
+    assert peak < 32 * sum(len(t) for _, t in items)
+
+
+def test_items_with_many_names_and_long_items(spark, docs_of, monkeypatch):
+    monkeypatch.setattr(decontamination, "NAMES", 5)
+    monkeypatch.setattr(decontamination, "PIECE_BYTES", 64)
+    monkeypatch.setattr(decontamination, "BENCHMARK_BYTES", 300)
+    rng = random.Random(8)
+    long = " ".join(rng.choice(["a", "b", "cc", "dé"]) for _ in range(400))
+    items = [(i, "one text of many names") for i in range(40)] + [(100, long), (101, long), (102, "a b")]
+    rows = [(1, "x one text of many names y"), (2, long[200:330]), (3, None), (4, "a b cc"), (5, "nothing")]
+    got = contamination(decontamination.find_contamination(docs_of(rows), items_table(spark, items), window=4))
+    assert got == brute_contamination(rows, items, 4)
