@@ -15,7 +15,8 @@ anchor form a run; a run is at most ``length - gram + 1`` windows long and on av
 
 Runs of one content are reduced to one per Arrow batch before they move, so a passage that a third of all documents
 share arrives once per batch. An anchor with more than ``group_limit`` classes (a passage within ever new text) is
-split into single windows, keyed by their whole content: an exact way that gathers only equal windows.
+split into single windows, keyed by their whole content: an exact way that gathers only equal windows. Buckets are taken
+one after the other, and a bucket holds a bounded number of runs besides one per class of the keys that are not hot.
 
 Documents are addressed by id and a sub-number, which is 0 unless rows share an id and differ in text. Rows that are
 equal in id and text are one document.
@@ -29,16 +30,18 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import groups_of, stage
+from .common import groups_of, running_sums, stage
 
 #: Symbols that are hashed at once; a longer document is cut into pieces that overlap by a window less one symbol.
 BLOCK = 1 << 19
 #: Bytes of texts whose runs are reduced and packed together.
 PART_BYTES = 12 << 20
+#: Runs that a bucket holds before it reduces them.
+HELD_RUNS = 1 << 20
 _PLACE = np.uint64((1 << 21) - 1)
 
 #: An odd multiplier and its inverse modulo 2**64, and odd constants for mixing.
@@ -141,25 +144,30 @@ def window_runs(pieces: list[np.ndarray], length: int, gram: int, up: np.ndarray
 
 
 def addressed(docs: DataFrame, id_col: str, text_col: str, carry: bool = False) -> DataFrame:
-    """(id, sub, text): a null id is the greatest long; ``sub`` numbers the different texts of one id. With ``carry``
-    also ``row``, the whole row but for its text, and ``missing``, whether the text is null.
+    """(id, sub, none, text): a null id is the greatest long, and ``none`` is true; ``sub`` numbers the different texts of one
+    id, those of a null id behind those of the greatest long. With ``carry`` also ``row``, the whole row but for its text,
+    and ``missing``, whether the text is null.
 
     The table of ids with several texts is written out; where it is small or empty Spark sends it along, and no text
-    moves for it.
+    moves for it. Its numbers are running sums, since all rows may have one id, or none.
     """
     if not isinstance(docs.schema[id_col].dataType, T.IntegralType):
         raise TypeError(f"{id_col} must be an integer column")
     number = F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1)).alias("id")
+    none = F.col(id_col).isNull().alias("none")
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text")
     others = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("row")
     carried = [others, F.col(text_col).isNull().alias("missing")] if carry else []
-    rows = docs.select(number, text, *carried)
-    pairs = rows.select("id", F.xxhash64("text").alias("tie")).distinct()
+    rows = docs.select(number, none, text, *carried)
+    key = ["id", "none", "tie"]
+    pairs = rows.select("id", "none", F.xxhash64("text").alias("tie")).distinct()
     several = pairs.groupBy("id").count().where("count > 1").select("id")
-    place = (F.row_number().over(Window.partitionBy("id").orderBy("tie")) - 1).alias("sub")
-    shared = stage(pairs.join(several, "id").select("id", "tie", place).where("sub > 0"), "shared-ids")
-    tied = rows.withColumn("tie", F.xxhash64("text")).join(shared, ["id", "tie"], "left")
-    return tied.select("id", F.coalesce("sub", F.lit(0)).alias("sub"), "text", *["row", "missing"][: 2 * carry])
+    shared = running_sums(pairs.join(several, "id").select(*key), key, at=F.lit(1))
+    firsts = shared.groupBy("id").agg(F.min("at").alias("first"))
+    place = (F.col("at") - F.col("first")).cast("int").alias("sub")
+    numbered = stage(shared.join(firsts, "id").select(*key, place).where("sub > 0"), "shared-ids")
+    tied = rows.withColumn("tie", F.xxhash64("text")).join(numbered, key, "left")
+    return tied.select("id", F.coalesce("sub", F.lit(0)).alias("sub"), "none", "text", *["row", "missing"][: 2 * carry])
 
 
 _COLUMNS = (("key", "<u8"), ("content", "<u8"), ("id", "<i8"), ("sub", "<i4"), ("start", "<i4"), ("count", "<u2"),
@@ -337,19 +345,97 @@ def _found_batch(rows: dict) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, names=list(kinds))
 
 
+class Bucket:
+    """The runs of one bucket as they come in, in bounded memory.
+
+    Once ``HELD_RUNS`` are held they are reduced: of each class one representative stays, the settled members go out. A
+    key that has more than ``group_limit`` classes by then is hot: its representatives go out as runs to be looked at
+    window by window, and so does whatever comes for it later, unseen. What stays is bounded by the number of keys.
+    """
+
+    def __init__(self, plan: Plan):
+        self.plan, self.parts, self.held, self.room = plan, [], 0, HELD_RUNS
+        self.hot = np.zeros(0, np.uint64)
+
+    def add(self, rows: dict) -> Iterator[tuple[int, dict]]:
+        done = rows["flag"] == DONE
+        yield SPAN, {c: v[done] for c, v in rows.items()}
+        rows = {c: v[~done] for c, v in rows.items()}
+        if len(self.hot):
+            hot = np.isin(rows["key"], self.hot)
+            yield HOT, {c: v[hot] for c, v in rows.items()}
+            rows = {c: v[~hot] for c, v in rows.items()}
+        self.parts.append(rows)
+        self.held += len(rows["key"])
+        if self.held > self.room:
+            yield from self.reduce()
+
+    def reduce(self) -> Iterator[tuple[int, dict]]:
+        rows, first, first_key = _classes({c: np.concatenate([p[c] for p in self.parts]) for c, _ in _COLUMNS})
+        class_of = np.cumsum(first) - 1
+        several = np.bincount(class_of)[class_of] > 1
+        if self.plan.keep_first:
+            yield SPAN, {c: v[~first] for c, v in rows.items()}
+        else:
+            # A representative that was told of a twin before has gone out already.
+            yield SPAN, {c: v[several & (rows["flag"] != TWIN)] for c, v in rows.items()}
+            twin = np.bincount(class_of, rows["flag"] == TWIN) > 0
+            rows["flag"] = np.where(several | twin[class_of], TWIN, rows["flag"])
+        key_of = np.cumsum(first_key) - 1
+        hot = np.bincount(key_of[first])[key_of] > self.plan.group_limit
+        yield HOT, {c: v[first & hot] for c, v in rows.items()}
+        self.hot = np.union1d(self.hot, rows["key"][first & hot])
+        self.parts = [{c: v[first & ~hot] for c, v in rows.items()}]
+        self.held = int((first & ~hot).sum())
+        self.room = max(HELD_RUNS, 2 * self.held)
+
+    def close(self) -> Iterator[tuple[int, dict]]:
+        rows = {c: np.concatenate([p[c] for p in self.parts]) for c, _ in _COLUMNS}
+        found = settle_bucket(rows, self.plan)
+        for kind in (SPAN, NEED, HOT):
+            own = found["kind"] == kind
+            yield kind, {c: v[own] for c, v in found.items()}
+
+
+def _found_batches(found: Iterator[tuple[int, dict]]) -> Iterator[pa.RecordBatch]:
+    """Batches of :data:`FOUND` of a fair size, from pieces of any."""
+    held, size = [], 0
+
+    def batch() -> pa.RecordBatch:
+        return _found_batch({c: np.concatenate([h[c] for h in held]) for c in held[0]})
+
+    for kind, rows in found:
+        n = len(rows["key"])
+        for a in range(0, n, 1 << 17):
+            part = {c: rows[c][a : a + (1 << 17)] for c in ("key", "id", "sub", "start", "count", "anchor")}
+            held.append({**part, "kind": np.full(len(part["key"]), kind)})
+            size += len(part["key"])
+            if size >= 1 << 17:
+                yield batch()
+                held, size = [], 0
+    if held:
+        yield batch()
+
+
 def settle(packed: DataFrame, plan: Plan) -> DataFrame:
-    """Rows of :data:`FOUND`, one task per shuffle partition, which holds whole buckets."""
+    """Rows of :data:`FOUND`; a task has its buckets one after the other."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [_unpack(d) for batch in batches for d in batch.column("data").to_pylist()]
-        if parts:
-            rows = {c: np.concatenate([p[c] for p in parts]) for c, _ in _COLUMNS}
-            del parts
-            found = settle_bucket(rows, plan)
-            for a in range(0, len(found["id"]), 1 << 17):
-                yield _found_batch({c: v[a : a + (1 << 17)] for c, v in found.items()})
+        def found() -> Iterator[tuple[int, dict]]:
+            number, bucket = None, None
+            for batch in batches:
+                for b, data in zip(batch.column("bucket").to_pylist(), batch.column("data")):
+                    if b != number:
+                        if bucket is not None:
+                            yield from bucket.close()
+                        number, bucket = b, Bucket(plan)
+                    yield from bucket.add(_unpack(data.as_buffer().to_pybytes()))
+            if bucket is not None:
+                yield from bucket.close()
 
-    return packed.repartition("bucket").mapInArrow(run, FOUND)
+        yield from _found_batches(found())
+
+    return packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, FOUND)
 
 
 SEGMENTS = "key long, id long, sub int, start int, count int, anchor int, segment binary"
@@ -451,6 +537,28 @@ def _segment_batch(held: list[tuple]) -> pa.RecordBatch:
 SPANS = "id long, sub int, start int, count int"
 
 
+def _by_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows in order of key as tables of whole keys, of about :data:`BLOCK` bytes of text. Settled ranges belong to no key and
+    go along with what comes."""
+    held, size = [], 0
+    for batch in batches:
+        for a in range(0, batch.num_rows, 4096):
+            part = batch.slice(a, 4096)
+            if not part.num_rows:
+                continue
+            if size >= 8 * BLOCK:
+                keys = part.column("key").to_numpy()
+                last = held[-1].column("key")[-1].as_py()
+                same = int(np.searchsorted(keys != last, True))
+                if same < len(keys):
+                    yield pa.Table.from_batches([*held, part.slice(0, same)])
+                    held, size, part = [], 0, part.slice(same)
+            held.append(part)
+            size += part.nbytes
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def _resolve(segments: DataFrame, plan: Plan, compare: Callable) -> DataFrame:
     """(id, sub, start, count): repeated windows among the segments of each key.
 
@@ -459,10 +567,10 @@ def _resolve(segments: DataFrame, plan: Plan, compare: Callable) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = [b for b in batches if b.num_rows]
-        if not got:
-            return
-        table = pa.Table.from_batches(got)
+        for table in _by_keys(batches):
+            yield from resolved(table)
+
+    def resolved(table: pa.Table) -> Iterator[pa.RecordBatch]:
         numbers = {c: table.column(c).to_numpy() for c in ("key", "id", "sub", "start", "count", "anchor")}
         order = np.lexsort((numbers["start"], numbers["sub"], numbers["id"], numbers["key"]))
         # Rows that are equal in id and text are one document.
@@ -509,7 +617,7 @@ def _resolve(segments: DataFrame, plan: Plan, compare: Callable) -> DataFrame:
                 ]
                 yield pa.RecordBatch.from_arrays(arrays, names=["id", "sub", "start", "count"])
 
-    return segments.repartition("key").mapInArrow(run, SPANS)
+    return segments.repartition("key").sortWithinPartitions("key").mapInArrow(run, SPANS)
 
 
 def repeated_windows(

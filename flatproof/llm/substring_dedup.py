@@ -3,10 +3,9 @@
 A word goes if a window of ``length`` consecutive words that covers it also starts anywhere else, in the same document
 or another; all copies go. Seeds are winnowed anchors: word grams that are least by hash within a window, so that equal
 windows have equal seeds; :mod:`.repeats` joins the documents on them and settles runs of windows with equal content
-hashes. Around each occurrence of the other seeds stand the windows that cover it. They are not extended word by word:
-windows of one seed are sorted by its place in them, the hash of their words before it and the hash of those from it on,
-and equal neighbours are repeats; adjoining ones together are the maximal repeats. No pairs of occurrences are formed,
-however many share a seed.
+hashes. The occurrences of the other seeds are extended both ways, word by word, for as long as others agree; what is
+longer than a window on both sides together is a repeat, and adjoining ones are the maximal repeats. No pairs of
+occurrences are formed, however many share a seed.
 """
 
 from __future__ import annotations
@@ -21,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .repeats import BASE, BASE_INVERSE, Covered, Hashes, Plan, powers, repeated_windows
+from .repeats import Covered, Plan, repeated_windows
 
 GRAM = 10
 #: Words whose hashes a task remembers; beyond it, remembering starts anew.
@@ -56,31 +55,61 @@ def cut_words() -> Callable:
     return cut
 
 
+def _classes_of(classes: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Classes refined by one more word; -1 for those that share theirs with no other, and for what was -1 or has no word."""
+    out = np.full(len(classes), -1)
+    alive = np.flatnonzero((classes >= 0) & (words >= 0))
+    if len(alive):
+        pairs = classes[alive] * (int(words.max()) + 1) + words[alive]
+        _, place, count = np.unique(pairs, return_inverse=True, return_counts=True)
+        out[alive] = np.where(count[place] > 1, place, -1)
+    return out
+
+
 def extend_seeds(segments: list[bytes], rows: dict[str, np.ndarray], plan: Plan) -> tuple:
-    """Places of rows, first windows and numbers of windows that occur more than once among the rows of a key."""
-    symbols = word_symbols()
-    words = [symbols(s) for s in segments]
-    joined = np.concatenate(words)
-    up, down = powers(BASE, len(joined) + 1), powers(BASE_INVERSE, len(joined) + 1)
-    hashes = Hashes(joined, up, down)
-    offsets = np.cumsum([0, *map(len, words[:-1])])
-    count = rows["count"]
-    row = np.repeat(np.arange(len(count)), count)
-    first = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
-    seed = (offsets + rows["anchor"])[row]
-    to_left = rows["anchor"][row] - first
-    # The class of an extension is the hash of its words.
-    left = hashes.of(seed - to_left, seed)
-    right = hashes.of(seed, seed + plan.length - to_left)
-    order = np.lexsort((right, left, to_left, rows["key"][row]))
-    same = np.ones(max(0, len(order) - 1), bool)
-    for v in (right, left, to_left, rows["key"][row]):
-        v = v[order]
-        same &= v[1:] == v[:-1]
-    repeated = np.zeros(len(order), bool)
-    repeated[order[1:]] |= same
-    repeated[order[:-1]] |= same
-    row, first = row[repeated], first[repeated]
+    """Places of rows, first windows and numbers of windows that occur more than once among the rows of a key.
+
+    Occurrences of a seed are extended word by word to the left and to the right for as long as others agree: at each
+    step those that agree so far and in the next word form a class. A window with ``t`` words before the seed is
+    repeated if another occurrence is in its class both ``t`` words to the left and the rest to the right.
+    """
+    number: dict[bytes, int] = {}
+    words = [np.array([number.setdefault(w, len(number)) for w in s.split()], np.int64) for s in segments]
+    sizes = np.array([len(w) for w in words])
+    joined = np.concatenate([*words, np.zeros(0, np.int64)])
+    starts = np.cumsum(sizes) - sizes
+    anchor, count = rows["anchor"], rows["count"]
+
+    def word(at: np.ndarray) -> np.ndarray:
+        """The word of each row at a place of its own, -1 outside of it."""
+        inside = (at >= 0) & (at < sizes)
+        return np.where(inside, joined[np.where(inside, starts + at, 0)], -1)
+
+    _, left = np.unique(rows["key"], return_inverse=True)
+    most = int(anchor.max(initial=0))
+    right = [left]
+    for m in range(plan.length):
+        right.append(_classes_of(right[-1], word(anchor + m)))
+        if m + 1 < plan.length - most:
+            right[m] = None  # shorter than any window needs
+    found_row, found_first = [], []
+    for t in range(most + 1):
+        if t:
+            left = _classes_of(left, word(anchor - t))
+        rest = right[plan.length - t]
+        first = anchor - t
+        real = np.flatnonzero((first >= 0) & (first < count) & (left >= 0) & (rest >= 0))
+        if len(real):
+            pairs = left[real] * (int(rest.max()) + 1) + rest[real]
+            _, place, n = np.unique(pairs, return_inverse=True, return_counts=True)
+            again = real[n[place] > 1]
+            found_row.append(again)
+            found_first.append(first[again])
+    if not found_row:
+        return (np.zeros(0, np.int64),) * 3
+    row, first = np.concatenate(found_row), np.concatenate(found_first)
+    order = np.lexsort((first, row))
+    row, first = row[order], first[order]
     fresh = np.ones(len(row), bool)
     fresh[1:] = (row[1:] != row[:-1]) | (first[1:] != first[:-1] + 1)
     begin = np.flatnonzero(fresh)
@@ -122,8 +151,8 @@ def find_repeated_words(
                 pa.array([[{"start": a, "stop": b} for a, b in s] for s in spans], kind), pa.array(kept, pa.binary()),
             ], names=schema.names)
 
-    out = found.select("id", "text", "windows").mapInArrow(run, schema)
-    number = F.when(F.col("id") < (1 << 63) - 1, F.col("id")).cast(docs.schema[id_col].dataType)
+    out = found.select(F.when(~F.col("none"), F.col("id")).alias("id"), "text", "windows").mapInArrow(run, schema)
+    number = F.col("id").cast(docs.schema[id_col].dataType)
     return out.select(number.alias("doc_id"), "n_words", "n_removed", "spans", "kept")
 
 

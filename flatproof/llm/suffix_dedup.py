@@ -107,9 +107,8 @@ def remove_repeated_bytes(
                 pa.array([[{"start": a, "stop": b} for a, b in s] for s in spans], kind), pa.array(kept, pa.binary()),
             ], names=schema.names)
 
-    out = found.select("id", "text", "windows").mapInArrow(run, schema)
-    number = F.when(F.col("id") < (1 << 63) - 1, F.col("id")).cast(id_type)
-    return out.select(number.alias("doc_id"), "n_bytes", "n_removed", "n_spans", "spans", "kept")
+    out = found.select(F.when(~F.col("none"), F.col("id")).alias("id"), "text", "windows").mapInArrow(run, schema)
+    return out.select(F.col("id").cast(id_type).alias("doc_id"), "n_bytes", "n_removed", "n_spans", "spans", "kept")
 
 
 def op4_suffix_dedup(spark, sf_dir):

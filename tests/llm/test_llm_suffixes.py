@@ -5,7 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from conftest import CLASHING, sha
+from conftest import CLASHING, passage, sha
 
 from flatproof.llm import repeats, suffix_dedup
 from flatproof.llm.substring_dedup import find_repeated_words, remove_repeated_words
@@ -121,9 +121,12 @@ def word_report(df):
     return sorted((r.doc_id, r.n_words, r.n_removed, sha(bytes(r.kept))) for r in df.collect())
 
 
-@pytest.mark.parametrize("seed, limit, block", [(1, 4096, 1 << 20), (2, 1, 1 << 20), (3, 4096, 64), (4, 1, 64)])
-def test_removal_against_brute_force(spark, docs_of, monkeypatch, seed, limit, block):
-    """Also with anchors split into single windows, and with texts cut into pieces."""
+@pytest.mark.parametrize(
+    "seed, limit, block, held", [(1, 4096, 1 << 20, 1 << 20), (2, 1, 1 << 20, 5), (3, 4096, 64, 5), (4, 1, 64, 1), (5, 3, 1 << 20, 20)]
+)
+def test_removal_against_brute_force(spark, docs_of, monkeypatch, seed, limit, block, held):
+    """Also with anchors split into single windows, with texts cut into pieces, and with buckets that hold few runs."""
+    monkeypatch.setattr(repeats, "HELD_RUNS", held)
     monkeypatch.setattr(repeats.Plan, "group_limit", limit)
     monkeypatch.setattr(repeats.Plan.__init__, "__defaults__", (limit,))
     monkeypatch.setattr(repeats, "BLOCK", block)
@@ -190,6 +193,39 @@ def test_one_text_in_a_third_of_all_rows_reaches_a_bucket_once_per_batch(docs_of
     assert moving.sum() == len(np.unique(batch["content"])) and set(batch["id"][moving]) == {0}
 
 
+def test_ids_at_the_end_and_many_texts_without_an_id(spark, docs_of):
+    last, text = 2**63 - 1, passage(1, 80)
+    rows = [(last, text), (last, passage(2, 90)), (1, text)] + [(None, passage(3 + i, 50) + chr(0x4E00 + i * 67) + text) for i in range(30)]
+    want = brute_bytes(rows, 100)
+    got = [(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, sha(bytes(r.kept))) for r in remove_repeated_bytes(docs_of(rows)).collect()]
+    assert sorted(got, key=key) == sorted((want[r] for r in rows), key=key)
+    want = brute_words(rows, 35)
+    got = [(r.doc_id, r.n_words, r.n_removed, sha(bytes(r.kept))) for r in find_repeated_words(docs_of(rows)).collect()]
+    assert sorted(got, key=key) == sorted((want[r] for r in rows), key=key)
+
+
+@pytest.mark.parametrize("keep_first", [True, False])
+def test_a_hot_anchor_stays_within_bounds(monkeypatch, keep_first):
+    """One short passage in 100,000 different texts: a bucket holds a bounded number of their runs, and none is lost."""
+    monkeypatch.setattr(repeats, "HELD_RUNS", 4096)
+    plan = repeats.Plan(35, 10, keep_first, suffix_dedup.byte_symbols)
+    bucket, most, out = repeats.Bucket(plan), 0, Counter()
+    other = np.arange(2000, dtype=np.uint64) % 50
+    for part in range(50):
+        rows = {c: np.zeros(2000, k) for c, k in repeats._COLUMNS}
+        rows["key"] = np.concatenate([np.full(1950, 7, np.uint64), other[:50] + np.uint64(100)])
+        rows["content"] = np.concatenate([repeats.mixed(np.arange(1950, dtype=np.uint64) + np.uint64(1950 * part)), other[:50]])
+        rows["id"], rows["count"] = np.arange(2000) + 2000 * part, np.full(2000, 3)
+        for kind, found in bucket.add(rows):
+            out[kind] += len(found["key"])
+        most = max(most, bucket.held)
+    for kind, found in bucket.close():
+        out[kind] += len(found["key"])
+    assert most <= 4096 + 2000
+    assert out[repeats.HOT] == 50 * 1950
+    assert out[repeats.SPAN] == (49 * 50 if keep_first else 50 * 50) and out[repeats.NEED] == 0
+
+
 def test_text_moves_once(spark, docs_of):
     docs = docs_of([(i, f"text {i} " * 50) for i in range(50)])
     plan = remove_repeated_bytes(docs)._jdf.queryExecution().optimizedPlan().toString()
