@@ -81,8 +81,20 @@ def _differs(bad: Column, labelled: Column, bad_all: Column, labelled_all: Colum
     return F.coalesce((error > 0) & (F.abs(share - share_rest) > z * error), F.lit(False))
 
 
-def _deepest(tree: DataFrame) -> int:
-    return tree.agg(F.max(F.size("shape"))).first()[0] or 0
+def _rest() -> Column:
+    """The segments of a shape that no template has taken up yet."""
+    return F.slice("shape", F.col("_at") + 1, F.greatest(F.size("shape") - F.col("_at"), F.lit(0)))
+
+
+def _common(a: Column, b: Column) -> Column:
+    """How many segments two lists have in common from their start."""
+    agree = F.zip_with(a, b, lambda x, y: x.eqNullSafe(y))
+    first = F.array_position(agree, F.lit(False))
+    return F.when(first > 0, first - 1).otherwise(F.size(a)).cast("int")
+
+
+def _left(tree: DataFrame) -> int:
+    return tree.agg(F.max(F.size("shape") - F.col("_at"))).first()[0] or 0
 
 
 def template_tree(
@@ -94,28 +106,34 @@ def template_tree(
     ``min_children`` children with fewer than ``min_pages`` pages each on average are a variable segment, in which only
     children with ``min_own`` labels or more stand alone; with fewer, their own labels could not outweigh the smoothing of
     :func:`template_verdicts`. Siblings that do not differ by ``z`` standard errors are merged. Below ``max_depth`` levels
-    only open nodes go on, as far as their paths do: those with several shapes and labels of both kinds. In all others no
-    child can differ, and what follows is the single tail ``**``. Each level is written out; one number per level reaches
-    the driver, the depth of what goes on.
+    only open nodes go on, as far as their paths do: those with several shapes and labels of both kinds, and more labels
+    than ``z`` squared, without which no share of them can differ. In all others what follows is the single tail ``**``.
+    There, what all shapes of a node have in common is taken up in one step, so that the steps count branches and not
+    levels. Each step is written out; one number per step reaches the driver, how far paths still go.
     """
-    tree, ended = shapes.withColumn("template", F.lit("")), []
-    depth, deepest = 0, _deepest(tree)
-    while depth < deepest:
+    tree, ended = shapes.withColumns({"template": F.lit(""), "_at": F.lit(0)}), []
+    depth = 0
+    while _left(tree) > 0:
         if depth >= max_depth:
             nodes = tree.groupBy("host", "template").agg(
-                F.count("*").alias("_n"), F.max(F.size("shape")).alias("_deepest"),
-                F.sum("labelled").alias("_l"), F.sum("bad").alias("_b"),
+                F.count("*").alias("_n"), F.max(F.size("shape") - F.col("_at")).alias("_more"),
+                F.sum("labelled").alias("_l"), F.sum("bad").alias("_b"), F.min(_rest()).alias("_lo"), F.max(_rest()).alias("_hi"),
             )
-            is_open = (F.col("_n") > 1) & (F.col("_deepest") > depth) & (F.col("_b") > 0) & (F.col("_b") < F.col("_l"))
-            going = stage(nodes.where(is_open).select("host", "template"), "open-nodes")
-            tail = F.when(F.size("shape") > depth, F.lit("/**")).otherwise(F.lit(""))
+            both = (F.col("_b") > 0) & (F.col("_b") < F.col("_l")) & (F.col("_l") > z * z)
+            is_open = (F.col("_n") > 1) & (F.col("_more") > 0) & both
+            going = nodes.where(is_open).select("host", "template", _common(F.col("_lo"), F.col("_hi")).alias("_skip"))
+            going = stage(going, "open-nodes")
+            tail = F.when(F.size("shape") > F.col("_at"), F.lit("/**")).otherwise(F.lit(""))
             closed = tree.join(going, ["host", "template"], "left_anti")
             ended.append(closed.withColumn("template", F.concat("template", tail)))
-            tree = stage(tree.join(going, ["host", "template"], "left_semi"), "tree")
-            deepest = _deepest(tree)
-            if depth >= deepest:
+            same = F.transform(F.slice("shape", F.col("_at") + 1, F.col("_skip")), lambda x: F.concat(F.lit("/"), x))
+            tree = tree.join(going, ["host", "template"]).withColumns(
+                {"template": F.concat("template", F.array_join(same, "")), "_at": F.col("_at") + F.col("_skip")}
+            )
+            tree = stage(tree.drop("_skip"), "tree")
+            if _left(tree) <= 0:
                 break
-        tree = tree.withColumn("_segment", F.coalesce(F.get(F.col("shape"), F.lit(depth)), F.lit("")))
+        tree = tree.withColumn("_segment", F.coalesce(F.get(F.col("shape"), F.col("_at")), F.lit("")))
         children = tree.groupBy("host", "template", "_segment").agg(
             *[F.sum(c).alias("_" + c) for c in ("pages", "labelled", "bad")]
         )
@@ -130,12 +148,14 @@ def template_tree(
             F.concat(F.lit("/"), F.when(kept, F.col("_segment")).otherwise(F.lit("*")))
         )
         names = children.join(nodes, ["host", "template"]).select("host", "template", "_segment", part.alias("_part"))
-        tree = tree.join(names, ["host", "template", "_segment"])
-        tree = stage(tree.withColumn("template", F.concat("template", "_part")).drop("_part", "_segment"), "tree")
+        tree = tree.join(names, ["host", "template", "_segment"]).withColumns(
+            {"template": F.concat("template", "_part"), "_at": F.col("_at") + 1}
+        )
+        tree = stage(tree.drop("_part", "_segment"), "tree")
         depth += 1
     for rows in ended:
         tree = tree.unionByName(rows)
-    return tree
+    return tree.drop("_at")
 
 
 def template_verdicts(tree: DataFrame, weight: float = 4.0, threshold: float = 0.5) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 from collections import Counter, defaultdict
 from fractions import Fraction
 
@@ -352,3 +353,19 @@ def test_native_operators_run_no_python(spark, docs_of):
     for df in frames:
         plan = df._jdf.queryExecution().toString()
         assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_long_paths_take_few_steps(spark):
+    """Pages that differ in their 40th segment only are told apart, and URLs of 1,000 segments hold nothing up."""
+    deep = "/".join(f"s{chr(97 + i % 26)}{'x' * (i // 26)}" for i in range(39))
+    pages = [(i, f"http://h.org/{deep}/{'good' if i % 2 else 'bad'}/p{chr(97 + i % 26)}{'q' * (i // 26)}") for i in range(60)]
+    long = [[("ab"[n] + "yz"[(i * n) % 2]) * 2 for i in range(1000)] for n in range(2)]
+    pages += [(100 + n, "http://long.org/" + "/".join(s)) for n, s in enumerate(long)]
+    labels = [(i, i % 2 == 0) for i in range(40)] + [(100, True), (101, False)]
+    start = time.time()
+    out = url_templates.filter_urls(
+        spark.createDataFrame(pages, "page_id bigint, url string"), spark.createDataFrame(labels, "id bigint, bad boolean")
+    )
+    got = {r.page_id: r.verdict for r in out.collect()}
+    assert time.time() - start < 60
+    assert all(got[i] == ("allow" if i % 2 else "block") for i in range(60))
