@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,9 +57,25 @@ def session_scratch(spark: SparkSession) -> str:
     return f"{scratch_root(spark)}/{spark.sparkContext.applicationId}"
 
 
+_SCOPE: ContextVar[str] = ContextVar("scratch scope", default="")
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused folder under :func:`session_scratch`."""
-    return f"{session_scratch(spark)}/{label}-{uuid.uuid4().hex}"
+    return f"{session_scratch(spark)}/{_SCOPE.get()}{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """What this thread stages inside is removed at the end. Results must have been written elsewhere by then."""
+    outer = _SCOPE.get()
+    own = f"{outer}scope-{uuid.uuid4().hex}/"
+    token = _SCOPE.set(own)
+    try:
+        yield
+    finally:
+        _SCOPE.reset(token)
+        remove(spark, f"{session_scratch(spark)}/{own}")
 
 
 def _file_system(spark: SparkSession, path: str):

@@ -302,3 +302,18 @@ def test_outputs_under_their_names(spark, tmp_path):
     with pytest.raises(Exception, match="slash"):
         sinks.write_named_files(rows.withColumn("out_file", F.lit("x/y")), str(path))
     assert sinks.write_named_files(rows.limit(0), str(path)) == []
+
+
+def test_a_scope_leaves_nothing_behind(spark):
+    from flatproof import session
+
+    kept = session.stage(spark.range(3).toDF("id"), "kept")
+    with pytest.raises(ValueError), session.scratch_scope(spark):
+        inside = session.scratch_path(spark, "inside")
+        session.stage(spark.range(3).toDF("id"), "x")
+        with session.scratch_scope(spark):
+            session.stage(spark.range(3).toDF("id"), "y")
+        spark.range(2).write.parquet(inside)
+        raise ValueError
+    assert not session.glob(spark, inside) and not session.glob(spark, f"{session.session_scratch(spark)}/scope-*")
+    assert kept.count() == 3 and "scope" not in session.scratch_path(spark, "z")
