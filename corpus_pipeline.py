@@ -9,12 +9,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flatproof.llm.common import stage, table
+from flatproof.llm.common import table
 from flatproof.llm.decontamination import decontaminate
 from flatproof.llm.mixing import emit_copies, mix_sources
 from flatproof.llm.quality import fit_quality, score_quality
 from flatproof.llm.simhash import keep_first_of_groups
 from flatproof.llm.substring_dedup import remove_repeated_words
+from flatproof.session import remove, scratch_path, scratch_scope
 
 QUALITY_THRESHOLD = 0.3
 
@@ -58,8 +59,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``. What a stage has staged goes once its rows are written, and these once the next
+    stage has read them."""
+    docs, held = table(spark, sf_dir, "documents"), None
     for name, step in STAGES[:-1]:
-        docs = stage(step(spark, docs, sf_dir), name.replace(" ", "-").lower())
+        path = scratch_path(spark, name.replace(" ", "-").lower())
+        with scratch_scope(spark):
+            step(spark, docs, sf_dir).write.parquet(path)
+        if held:
+            remove(spark, held)
+        docs, held = spark.read.parquet(path), path
     return STAGES[-1][1](spark, docs, sf_dir)
