@@ -165,7 +165,8 @@ def remove_repeated_words(
     nulls, stay as they are. ``n_chars``, where it is a column, follows a changed text.
     """
     found = repeated_windows(docs, _plan(length), cut_words, extend_seeds, id_col, text_col, carry=True)
-    rows = found.select("row", "missing", "text", "windows")
+    # All columns of the texts, so that both joins with them have the same shuffle.
+    rows = found.select("row", "missing", "none", "text", "windows")
     schema = T.StructType([rows.schema["row"], *T._parse_datatype_string("text string, changed boolean").fields])
 
     def run(batches):

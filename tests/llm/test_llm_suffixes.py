@@ -230,6 +230,6 @@ def test_text_moves_once(spark, docs_of):
     docs = docs_of([(i, f"text {i} " * 50) for i in range(50)])
     plan = remove_repeated_bytes(docs)._jdf.queryExecution().optimizedPlan().toString()
     assert "RepartitionByExpression" in plan
-    found = remove_repeated_bytes(docs)
-    found.collect()
-    assert "ReusedExchange" in found._jdf.queryExecution().executedPlan().toString()
+    for found in (remove_repeated_bytes(docs), find_repeated_words(docs), remove_repeated_words(docs)):
+        found.collect()
+        assert "ReusedExchange" in found._jdf.queryExecution().executedPlan().toString()
