@@ -18,7 +18,9 @@ def sent_name(text: Column) -> Column:
     ends = [F.position(F.lit(e), small) for e in (".mbi", ".csv")]
     first = F.least(*[F.when(e > 0, e) for e in ends])
     head = F.left(F.translate(text, '"', ","), first + 3)
-    return F.coalesce(F.trim(F.substring_index(head, ",", -1)), F.lit(""))
+    # Few rows hold a file ending; only these are cut.
+    named = small.contains(".mbi") | small.contains(".csv")
+    return F.when(named, F.trim(F.substring_index(head, ",", -1))).otherwise("")
 
 
 def sent_file_names(rows: DataFrame, result_file: str = "result_file", order: str = "source_row_no",
