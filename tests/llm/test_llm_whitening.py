@@ -119,3 +119,19 @@ def test_other_number_types(spark, kind):
     df = spark.createDataFrame([(i, [float(rng.randrange(9)), float(rng.randrange(5))]) for i in range(60)], ROWS)
     model = w.fit_whitening(df.select("vec_id", F.col("embedding").cast(kind).alias("embedding")))
     assert model.components.shape == (2, 2) and model.identity_error < 1e-9
+
+
+def test_query_on_whole_vectors(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    rows = [(r[0], r[1]) for r in spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding").collect()]
+    n, own, values, vectors, trace = brute(rows)
+    got = w.op12_embedding_whitening(spark, sf_dir).collect()
+    assert len(got) == len(own) * 16 and {r.n for r in got} == {n} and {r.identity_error for r in got}.pop() < 1e-9
+    by_id = {i: (d, x) for i, d, x in own}
+    signs = {}
+    for r in got:
+        deviation, x = by_id[r.vec_id]
+        want = float(np.dot(x, vectors[:, r.component - 1])) / math.sqrt(values[r.component - 1])
+        sign = signs.setdefault(r.component, 1 if want * r.whitened > 0 else -1)
+        assert r.deviation == deviation and abs(r.whitened - sign * want) < 1e-6
+        assert abs(r.explained - values[r.component - 1] / trace) < 1e-9 * r.explained + 1e-12
