@@ -276,3 +276,12 @@ def test_sql_functions_agree_with_the_columns(spark):
     code = F.coalesce(results.is_error_code(a), F.lit(False))
     want = df.select(K.file_id_from_name(a), F.xxhash64(lineage.resolve_file_id(a, T.text("b"))), T.match_key(a), V.money_or_zero(a), code).collect()
     assert [tuple(r) for r in got] == [tuple(r) for r in want]
+
+
+def test_unique_errors_need_no_comparison_of_whole_rows(spark):
+    errors = spark.createDataFrame([(i, f"E{i % 3}", "x" * 50) for i in range(20)], "row_num int, EmployerId string, error_row string")
+    managers = spark.createDataFrame([("E0", "a", "a@x"), ("E0", "a", "a@x"), ("E1", "b", "b@x")], "bencode string, crm string, crm_email string")
+    plain, unique = (results.with_manager(errors, managers, unique=u) for u in (False, True))
+    assert sorted(map(tuple, plain.collect()), key=repr) == sorted(map(tuple, unique.collect()), key=repr)
+    aggregates = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("Aggregate [")
+    assert aggregates(unique) == aggregates(plain) - 1
