@@ -149,13 +149,8 @@ def named_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     outputs = check.deliver(stored_orders(spark, sf_dir), "A", F.lit("B7"))
     path = scratch_path(spark, "outbox")
     sinks.write_named_files(outputs, path)
-    files = spark.read.format("binaryFile").load(path)
-    text = F.col("content").cast("string")
-    return files.select(
-        F.element_at(F.split("path", "/"), -1).alias("out_file"),
-        (F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit("")))).cast("bigint").alias("line_count"),
-        F.col("length").alias("size"), F.sha2("content", 256).alias("digest"),
-    )
+    name = F.element_at(F.split("path", "/"), -1)
+    return sinks.file_digests(spark, path).select(name.alias("out_file"), "line_count", "size", "digest")
 
 
 def damage_file(spark: SparkSession, path: str) -> None:

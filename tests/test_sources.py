@@ -1,3 +1,4 @@
+import hashlib
 import os
 
 import pytest
@@ -304,6 +305,26 @@ def test_outputs_under_their_names(spark, tmp_path):
     assert sinks.write_named_files(rows.limit(0), str(path)) == []
 
 
+def test_digests_of_stored_files(spark, tmp_path):
+    """Files are digested as streams of lines, in order of their bytes, and never as one value."""
+    made = {
+        "a b%20=c.mbi": "".join(f"é{i}\r\n" for i in range(90_000)).encode(), "no end": b"x\n\ny\n\n\nlast", "ends": b"\n\n",
+        "odd": b"\xff\x00\n\r\xfe\n", "one": b"z",
+    }
+    for name, body in made.items():
+        (tmp_path / name).write_bytes(body)
+    limit = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "60000")
+    try:
+        found = sinks.file_digests(spark, str(tmp_path))
+        got = {r.path.rpartition("/")[2]: (r.line_count, r.size, r.digest) for r in found.collect()}
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", limit)
+    assert got == {n: (b.count(b"\n"), len(b), hashlib.sha256(b).hexdigest()) for n, b in made.items()}
+    assert "content" not in plan
+
+
 def test_a_scope_leaves_nothing_behind(spark):
     from flatproof import session
 
