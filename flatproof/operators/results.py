@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..session import stage
 from .lookups import one_per_key
 from .merge import clear_result_headers, default_sent_name
 
@@ -33,9 +34,13 @@ def sent_file_names(rows: DataFrame, result_file: str = "result_file", order: st
 
 def with_sent_file(rows: DataFrame, result_file: str = "result_file", order: str = "source_row_no",
                    row_col: str = "error_row") -> DataFrame:
-    """Add the sent-file name of each result file to all its rows; default to the result name."""
+    """Add the sent-file name of each result file to all its rows; default to the result name.
+
+    The names, one row per file, are staged, so that Spark joins them by their true size and does not
+    deal the rows of large files by file.
+    """
     names = sent_file_names(rows, result_file, order, row_col)
-    names = one_per_key(names, {"_rf": F.col(result_file)}, F.first("sent_file").alias("sent_file"))
+    names = stage(names.withColumnRenamed(result_file, "_rf"), "sent-names")
     joined = rows.drop("sent_file").join(names, F.col(result_file) == F.col("_rf"), "left").drop("_rf")
     return default_sent_name(joined, "sent_file", result_file)
 

@@ -299,3 +299,25 @@ def test_from_text_files_to_text_outputs(spark, masters, tmp_path):
     assert out["a.mbi-2-RejectedLines.err"][1].endswith("DepositType must always be one of 1. '3' is not valid")
     assert out["b.mbi"] == [good.replace("20240115", "20240116")]
     assert len(out) == 6
+
+
+def test_sent_names_are_joined_by_their_size(spark):
+    """A few names are sent to the rows of large files; the rows are not dealt by file."""
+    from flatproof.operators import results
+    from flatproof.session import stage
+
+    rows = spark.range(30_000).selectExpr(
+        "if(id % 3 > 0, 'hot', if(id % 2 > 0, null, 'other')) as result_file", "id as source_row_no",
+        "if(id = 1, 'RA,x.mbi,T', 'RB,' || id) as error_row",
+    )
+    rows = stage(rows, "result-rows")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20000")
+    try:
+        got = results.with_sent_file(rows)
+        plan = got._jdf.queryExecution().sparkPlan().toString()
+        counts = {(r.result_file, r.sent_file): r["count"] for r in got.groupBy("result_file", "sent_file").count().collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert counts == {("hot", "x.mbi"): 20_000, ("other", "other"): 5_000, (None, None): 5_000}
