@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions import values as V
-from ..session import glob, remove
+from ..session import glob, remove, scratch_scope, stage
 
 ROW_KEY = ["file", "source_row_no"]
+#: Rows of a table with the same key are compared by tasks of about this many rows.
+TASK_ROWS = 200_000
 
 
 def keep_original(rows: DataFrame, row_col: str = "data_row", org_col: str = "org_data_row") -> DataFrame:
@@ -43,8 +45,14 @@ def duplicate_keys(rows: DataFrame, keys: list[str] = ROW_KEY) -> DataFrame:
     return rows.groupBy(*keys).agg(F.count("*").alias("row_count")).where(F.col("row_count") > 1)
 
 
-def latest_per_key(rows: DataFrame, keys: list[str], order: Column) -> DataFrame:
-    """One row per key: the one that is highest in ``order``. Reduced before the shuffle."""
+def latest_per_key(rows: DataFrame, keys: list[str], order: Column, tasks: int | None = None) -> DataFrame:
+    """One row per key: the one that is highest in ``order``. Reduced before the shuffle.
+
+    Whole rows are sorted for that. With ``tasks`` they are dealt over so many by key first, and a task
+    sorts its share rather than all that it reads.
+    """
+    if tasks is not None:
+        rows = rows.repartition(tasks, *[F.col(f"`{k}`") for k in keys])
     rest = [c for c in rows.columns if c not in keys]
     best = F.max_by(F.struct(*[F.col(f"`{c}`") for c in rest]), order).alias("_best")
     return rows.groupBy(*keys).agg(best).select(
@@ -185,7 +193,11 @@ def read_table(spark: SparkSession, path: str, before: int | None = None, only:
         rows = rows.where(F.col(BUCKET).isin(sorted(wanted)) if wanted else F.lit(False))
     if buckets:
         rows = rows.drop(BUCKET)
-    fresh = latest_per_key(rows.where(F.col(PART) > last), keys, F.col(PART))
+    later = rows.where(F.col(PART) > last)
+    tasks = later.count() // TASK_ROWS + 1
+    if tasks > 1:  # few tasks would be too few for a join with a large whole
+        tasks = max(tasks, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    fresh = latest_per_key(later, keys, F.col(PART), tasks if tasks > 1 else None)
     return upsert(rows.where(F.col(PART) <= last), fresh, keys).drop(PART)
 
 
@@ -200,8 +212,8 @@ def upsert_table(
 ) -> int:
     """Upsert into a stored table; the batch is computed and written once, stored rows are not touched.
 
-    With ``order``, duplicate keys of the batch keep their highest row; without it, they must not
-    occur. ``part`` numbers the upsert, from 1 on (by default the next number); an upsert that is
+    With ``order``, duplicate keys of the batch keep their highest row, for which the batch is staged;
+    without it, they must not occur. ``part`` numbers the upsert, from 1 on (by default the next number); an upsert that is
     repeated under its number replaces what it wrote before, and is refused once a whole holds it.
     ``buckets`` is settled by the first upsert. Returns the number.
     """
@@ -211,8 +223,13 @@ def upsert_table(
         part = max([0, *_committed(spark, path, "part"), *wholes]) + 1
     elif wholes and part <= wholes[-1]:
         raise ValueError(f"upsert {part} is part of the whole {wholes[-1]} and can't be repeated")
-    rows = batch if order is None else latest_per_key(batch, keys, order)
-    _write(rows.withColumn(PART, F.lit(part).cast("bigint")), _folder(path, "part", part), keys, buckets)
+    folder = _folder(path, "part", part)
+    with scratch_scope(spark):
+        rows = batch
+        if order is not None:
+            held = stage(batch.withColumn(PART, order), "batch")
+            rows = latest_per_key(held, keys, F.col(PART), held.count() // TASK_ROWS + 1)
+        _write(rows.withColumn(PART, F.lit(part).cast("bigint")), folder, keys, buckets)
     return part
 
 

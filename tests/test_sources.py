@@ -305,6 +305,22 @@ def test_outputs_under_their_names(spark, tmp_path):
     assert sinks.write_named_files(rows.limit(0), str(path)) == []
 
 
+def test_upserts_sort_a_share_of_the_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(merge, "TASK_ROWS", 100)
+    path = str(tmp_path / "t")
+    rows = spark.range(1000).selectExpr("if(id % 9 = 0, null, 'f') as file", "id % 600 as source_row_no", "id as v")
+    merge.upsert_table(spark, path, rows, order=F.col("v"))
+    merge.upsert_table(spark, path, rows.where("id < 50").withColumn("v", F.lit(-1).cast("bigint")), order=F.col("v"))
+    got = merge.read_table(spark, path)
+    assert "REPARTITION_BY_NUM" in got._jdf.queryExecution().executedPlan().toString()
+    own = {(None if i % 9 == 0 else "f", i % 600): -1 if i < 50 else i for i in range(1000)}
+    own.update({(None if i % 9 == 0 else "f", i): -1 for i in range(50)})
+    assert sorted(map(str, got.collect())) == sorted(str(r) for r in spark.createDataFrame(
+        [(*k, v) for k, v in own.items()], "file string, source_row_no bigint, v bigint").collect())
+    most = got.where("v >= 0").groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert most < 250
+
+
 def test_digests_of_stored_files(spark, tmp_path):
     """Files are digested as streams of lines, in order of their bytes, and never as one value."""
     made = {
