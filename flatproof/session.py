@@ -26,7 +26,7 @@ def build_session(app: str = "flatproof", master: str | None = None, **conf: str
         .config("spark.ui.enabled", "false")
         # The rules of a layout make long generated methods. Above this size the JVM would not compile
         # them to machine code; Spark then generates shorter ones, operator by operator.
-        .config("spark.sql.codegen.hugeMethodLimit", "8000")
+        .config("spark.sql.codegen.hugeMethodLimit", str(METHOD_BYTES))
         # Call-site capture costs several JVM round trips per column operation.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
@@ -111,6 +111,18 @@ def pin_splits(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.files.minPartitionNum", str(spark.sparkContext.defaultParallelism))
 
 
+#: Above this size of a generated method the JVM interprets it.
+METHOD_BYTES = 8000
+
+
+def compile_methods(spark: SparkSession) -> None:
+    """Let the JVM compile what is generated for the rest of the session, as :func:`build_session` sets it, in a
+    session that others built: for wide work like the rules of all layouts."""
+    key = "spark.sql.codegen.hugeMethodLimit"
+    if int(spark.conf.get(key)) > METHOD_BYTES:
+        spark.conf.set(key, str(METHOD_BYTES))
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Deal rows evenly over the session's shuffle partitions, whatever their number.
 

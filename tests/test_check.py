@@ -301,6 +301,21 @@ def test_from_text_files_to_text_outputs(spark, masters, tmp_path):
     assert len(out) == 6
 
 
+def test_lines_of_one_split_are_checked_by_many_tasks(spark, numbered):
+    """The work of the rules follows the lines, not the bytes or splits of files."""
+    wide = spark.conf.get("spark.sql.codegen.hugeMethodLimit")
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "65535")
+    try:
+        c = numbered(c=["[VERSION],1.2", *(f"[QB],client {i},div" for i in range(200))]).coalesce(1)
+        a = numbered(a=["IA,XX,TPA01,T", *(f"IZ,TPA01,EMP001,{i},20240101,,East" for i in range(200))]).coalesce(1)
+        for rows in (check.validate_c(c), check.validate_a(a)[0]):
+            tasks = rows.groupBy(F.spark_partition_id().alias("task")).agg(F.count("*").alias("n")).collect()
+            assert sum(t.n for t in tasks) == 201 and len(tasks) > 1 and max(t.n for t in tasks) < 120
+        assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+    finally:
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", wide)
+
+
 def test_sent_names_are_joined_by_their_size(spark):
     """A few names are sent to the rows of large files; the rows are not dealt by file."""
     from flatproof.operators import results
