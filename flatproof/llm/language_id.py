@@ -18,9 +18,11 @@ the tasks in blocks of at most ``model_bytes``: a block holds some languages, or
 grams behind some units, since a gram and everything it may fall back to share the last unit of the context. With
 several blocks the texts are passed once per block, and the sums so far are written to the shared folder in between.
 
-The language of the lowest cross-entropy per unit wins, of equal ones the least name. Two things are calibrated on about
-``calibration_rows`` texts chosen by a hash, at most a fifth of all, against models without them: the scale that makes
-``score`` a probability, and for each language the cross-entropy above which a text is ``rejected`` as none of the languages.
+The language of the lowest cross-entropy per unit wins, of equal ones the least name. Two things are calibrated on all learnt
+texts, each scored by models that did not learn it: the scale that makes ``score`` a probability, and for each language the
+cross-entropy above which a text is ``rejected`` as none of the languages. For that the texts are dealt into :data:`FOLDS`
+folds by a hash, so that copies share one, and for each fold models are made of the counts of the others. Losses are summed
+over all texts, limits are exact quantiles, found by ranks along ranges.
 
 Null texts and texts without a letter, and all texts if nothing was learnt, are ``und`` with score 0 and not rejected. Rows
 with a null language are not learnt from. Equal texts have equal answers.
@@ -30,13 +32,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import groups_of, map_texts, stage
+from .common import groups_of, map_texts, running_sums, stage
 
 ORDER = 4
 UNIT = 16
@@ -46,6 +49,10 @@ HELD_GRAMS = 2 << 20
 #: Bytes of a hash and a value.
 ENTRY_BYTES = 12
 GRAM, CONTEXT = 0, 1
+#: Parts of the learnt texts, each of which is scored by the models of the others for calibration.
+FOLDS = 3
+#: Scales of which the one of the least loss is taken.
+SCALES = [2.0 ** (step / 2) for step in range(-4, 21)]
 
 _MASKS = [(1 << UNIT * n) - 1 for n in range(ORDER + 1)]
 
@@ -320,47 +327,63 @@ def score_texts(docs: DataFrame, model: Languages, text_col: str = "text", keep:
     return rows
 
 
-def calibrate(truth: np.ndarray, sums: np.ndarray, sizes: np.ndarray, rejected: float) -> tuple[float, tuple[float, ...]]:
-    """The scale of cross-entropies that makes the likeliest probabilities of the true languages (by place), and per
-    language the cross-entropy that the share ``rejected`` of its texts exceeds (of all texts, where it has none)."""
-    if not len(sizes):
-        return 1.0, (float("inf"),) * sums.shape[1]
-    entropy = -sums / sizes[:, None]
-    rows = np.arange(len(truth))
-    best, scale = np.inf, 1.0
-    for step in range(-4, 21):
-        trial = 2.0 ** (step / 2)
-        logits = -entropy * trial
-        logits -= logits.max(axis=1, keepdims=True)
-        loss = float((np.log(np.exp(logits).sum(axis=1)) - logits[rows, truth]).mean())
-        if loss < best - 1e-12:
-            best, scale = loss, trial
-    true = entropy[rows, truth]
-    own = [true[truth == i] for i in range(sums.shape[1])]
-    return scale, tuple(float(np.quantile(e if len(e) else true, 1 - rejected)) for e in own)
-
-
-def _calibrated(known: DataFrame, counts: DataFrame, names: list[str], rows: int, rejected: float, model_bytes: int) -> tuple:
-    """Scale and limits, from texts that are taken out of the counts for that: all copies of those whose hash is small
-    enough, at most a fifth."""
-    some = known.where("lang is not null and text is not null")
-    share = min(0.2, rows / max(1, some.count()))
-    chosen = some.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
-    theirs = count_grams(chosen, "text", "lang").withColumnRenamed("n", "less")
-    rest = counts.join(theirs, ["lang", "gram"], "left").withColumn("n", F.col("n") - F.coalesce("less", F.lit(0)))
-    rest = stage(rest.where("n > 0").drop("less"), "other-grams")
-    left = sorted(r["lang"] for r in rest.select("lang").distinct().collect())
-    if not left:
-        return calibrate(np.zeros(0, int), np.zeros((0, len(names))), np.zeros(0), rejected)
-    model = Languages(left, *_deal_blocks(kneser_ney(rest), left, model_bytes))
-    texts = chosen.where(F.col("lang").isin(left)).distinct().limit(2 * rows)
-    sample = score_texts(texts, model, keep=["lang"]).where("n_units > 0").collect()  # at most 2 * rows
-    sample.sort(key=lambda r: (r["lang"], r["n_units"], r["sums"]))
-    sums = np.array([r["sums"] for r in sample], float).reshape(len(sample), len(left))
-    sizes = np.array([r["n_units"] for r in sample], float)
-    scale, limits = calibrate(np.array([left.index(r["lang"]) for r in sample], int), sums, sizes, rejected)
-    of = dict(zip(left, limits))
-    return scale, tuple(of.get(name, max(limits)) for name in names)
+def best_scale(scored: DataFrame) -> float:
+    """The scale of cross-entropies that makes the likeliest probabilities of the true languages over all rows of
+    ``entropies, own`` (that of the true language)."""
+
+    def loss(scale: float) -> Column:
+        far = F.aggregate("entropies", F.lit(0.0), lambda a, e: a + F.exp((least - e) * F.lit(scale)))
+        return F.sum(F.log(far) + (F.col("own") - least) * F.lit(scale))
+
+    least = F.array_min("entropies")
+    losses = scored.agg(*[loss(scale).alias(f"l{i}") for i, scale in enumerate(SCALES)]).first()
+    best, found = None, 1.0
+    for scale, total in zip(SCALES, losses):
+        if total is not None and (best is None or total < best - 1e-12):
+            best, found = total, scale
+    return found
+
+
+def quantiles(scored: DataFrame, share: float) -> dict[str, float]:
+    """Per language the exact quantile of ``own``, between two values in proportion."""
+    equal = scored.groupBy("lang", "own").agg(F.count("*").alias("n"))
+    ranked = stage(running_sums(equal, ["lang", "own"], before=F.col("n")), "ranks")
+    sizes = ranked.groupBy("lang").agg(F.min("before").alias("start"), F.sum("n").alias("n")).collect()  # one per language
+    wanted = [(r["lang"], r["start"] + int((r["n"] - 1) * share) + up) for r in sizes for up in (0, 1)]
+    if not wanted:
+        return {}
+    places = scored.sparkSession.createDataFrame(wanted, "lang string, place long")
+    inside = (F.col("place") >= F.col("before")) & (F.col("place") < F.col("before") + F.col("n"))
+    values = {(r["lang"], r["place"]): r["own"] for r in ranked.join(F.broadcast(places), "lang").where(inside).collect()}
+    out = {}
+    for r in sizes:
+        at = (r["n"] - 1) * share
+        low = values[r["lang"], r["start"] + int(at)]
+        out[r["lang"]] = low + (at - int(at)) * (values.get((r["lang"], r["start"] + int(at) + 1), low) - low)
+    return out
+
+
+def _calibrated(known: DataFrame, counts: DataFrame, names: list[str], rejected: float, model_bytes: int) -> tuple:
+    """Scale and limits, from all texts with their folds, each scored by the counts of the other folds."""
+    parts = []
+    for fold in range(FOLDS):
+        others = counts.where(F.col("fold") != fold).groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+        rest = stage(others, "other-grams")
+        left = sorted(r["lang"] for r in rest.select("lang").distinct().collect())
+        if not left:
+            continue
+        model = Languages(left, *_deal_blocks(kneser_ney(rest), left, model_bytes))
+        texts = known.where((F.col("fold") == fold) & F.col("lang").isin(left))
+        entropies = F.transform("sums", lambda s: -s / F.col("n_units")).alias("entropies")
+        scored = score_texts(texts, model, keep=["lang"]).where("n_units > 0").select("lang", entropies)
+        place = F.array_position(F.array(*[F.lit(name) for name in left]), F.col("lang")).cast("int")
+        parts.append(stage(scored.withColumn("own", F.get("entropies", place - 1)), "calibration"))
+    if not parts:
+        return 1.0, (float("inf"),) * len(names)
+    scored = reduce(DataFrame.unionByName, parts)
+    limits = quantiles(scored, 1 - rejected)
+    most = max(limits.values(), default=float("inf"))
+    return best_scale(scored), tuple(limits.get(name, most) for name in names)
 
 
 def fit_languages(
@@ -368,17 +391,22 @@ def fit_languages(
     text_col: str = "text",
     lang_col: str = "lang",
     model_bytes: int = 128 << 20,
-    calibration_rows: int = 4000,
     rejected: float = 0.002,
 ) -> Languages:
     """Models from all given rows whose language is not null."""
     known = docs.select(F.col(f"`{text_col}`").alias("text"), F.col(f"`{lang_col}`").cast("string").alias("lang"))
-    counts = stage(count_grams(known, "text", "lang"), "grams")
+    known = known.where("lang is not null and text is not null").withColumn("fold", F.pmod(F.xxhash64("text"), F.lit(FOLDS)))
+    tagged = known.select("text", F.concat(F.col("fold").cast("string"), F.lit(":"), F.col("lang")).alias("tag"))
+    found = count_grams(tagged, "text", "tag").withColumnRenamed("lang", "tag")
+    at = F.position(F.lit(":"), F.col("tag"))
+    lang, fold = F.substring(F.col("tag"), at + 1, F.length("tag")), F.substring_index("tag", ":", 1).cast("int")
+    by_fold = stage(found.select(lang.alias("lang"), fold.alias("fold"), "gram", "n"), "fold-grams")
+    counts = stage(by_fold.groupBy("lang", "gram").agg(F.sum("n").alias("n")), "grams")
     names = sorted(r["lang"] for r in counts.select("lang").distinct().collect())  # one row per language
     if not names:
         return Languages([], None, [])
     tables, blocks = _deal_blocks(kneser_ney(counts), names, model_bytes)
-    return Languages(names, tables, blocks, *_calibrated(known, counts, names, calibration_rows, rejected, model_bytes))
+    return Languages(names, tables, blocks, *_calibrated(known, by_fold, names, rejected, model_bytes))
 
 
 def identify_languages(docs: DataFrame, model: Languages, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:

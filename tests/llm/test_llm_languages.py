@@ -159,6 +159,31 @@ def test_rejection(spark):
     assert sum(got[100 + i].rejected for i in range(100)) <= 5 and all(got[100 + i].lang_pred == "ab" for i in range(100))
 
 
+def test_calibration_takes_all_texts(spark):
+    """Limits and scale come from every learnt text, scored by models without its fold; no sample decides."""
+    rng = random.Random(5)
+    rows = [(i, words(rng, "abcde" if i % 2 else "klmno", 4), "ab" if i % 2 else "kl") for i in range(900)]
+    rows += [(900 + i, words(rng, "abcdeklmno", 4), "ab" if i % 3 else "kl") for i in range(100)] + rows[:50]
+    df = spark.createDataFrame(rows, ROWS)
+    model = li.fit_languages(df, rejected=0.1)
+    fold = {r.text: r.fold for r in df.selectExpr("text", f"pmod(xxhash64(text), {li.FOLDS}) as fold").collect()}
+    entropies = []
+    for f in range(li.FOLDS):
+        others = spark.createDataFrame([r for r in rows if fold[r[1]] != f], ROWS)
+        counts = li.stage(li.count_grams(others, "text", "lang"), "test-grams")
+        part = li.Languages(["ab", "kl"], *li._deal_blocks(li.kneser_ney(counts), ["ab", "kl"], 1 << 20))
+        own = spark.createDataFrame([r for r in rows if fold[r[1]] == f], ROWS)
+        entropies += [(r.lang, [-s / r.n_units for s in r.sums]) for r in li.score_texts(own, part, keep=["lang"]).collect()]
+    assert len(entropies) == len(rows) == 1050
+    for i, (name, limit) in enumerate(zip(model.names, model.limits)):
+        assert np.isclose(limit, np.quantile([e[i] for lang, e in entropies if lang == name], 0.9), rtol=1e-6)
+    e = np.array([x for _, x in entropies])
+    truth = np.array([model.names.index(lang) for lang, _ in entropies])
+    e -= e.min(axis=1, keepdims=True)
+    losses = [(np.log(np.exp(-e * t).sum(axis=1)) + e[np.arange(len(e)), truth] * t).sum() for t in li.SCALES]
+    assert model.scale == li.SCALES[int(np.argmin(losses))]
+
+
 def test_query_against_plain_models_and_held_out_accuracy(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text", "lang").collect()]
     out = {r[0]: zlib.crc32(str(r[0]).encode()) % 4 == 2 for r in rows}
