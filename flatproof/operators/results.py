@@ -46,8 +46,12 @@ def with_sent_file(rows: DataFrame, result_file: str = "result_file", order: str
 
 
 def with_error_texts(rows: DataFrame, codes: DataFrame) -> DataFrame:
-    """Take the text of a known error code from the catalogue where the row has none."""
+    """Take the text of a known error code from the catalogue where the row has none.
+
+    The texts are staged like the sent names, since few codes stand in most rows.
+    """
     known = one_per_key(codes, {"_code": F.col("error_code")}, F.min("user_desc").alias("error_message_calc"))
+    known = stage(known, "error-texts")
     joined = rows.join(known, rows["error_code"] == known["_code"], "left").drop("_code")
     message = F.coalesce(T.blank_to_null(F.col("error_message")), F.col("error_message_calc"))
     return joined.withColumn("error_message", message)
